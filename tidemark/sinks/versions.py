@@ -1,0 +1,136 @@
+"""Immutable version folders: how one plain Parquet table takes changes safely.
+
+Every write goes to a new folder ``_version=<id>/<partitions>``. A :class:`Snapshot`
+names the partition folders that make up the table. Files are never changed in place, so
+a snapshot stays readable while the next one is built, and a failed write is not seen.
+"""
+
+from __future__ import annotations
+
+import json
+import re
+import uuid
+from collections.abc import Iterable, Sequence
+from dataclasses import dataclass
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from tidemark.functions.scalars import name, names
+from tidemark.functions.stamps import DAY_COLUMNS
+
+VERSION = "_version"
+
+
+@dataclass(frozen=True)
+class Snapshot:
+    """Schema, partition columns and partition folders of a table at one moment."""
+
+    schema: T.StructType
+    partition_by: tuple[str, ...]
+    paths: tuple[str, ...]
+
+    def to_json(self) -> str:
+        return json.dumps(
+            {
+                "schema": self.schema.jsonValue(),
+                "partition_by": self.partition_by,
+                "paths": self.paths,
+            }
+        )
+
+    @classmethod
+    def from_json(cls, text: str | None) -> Snapshot | None:
+        if text is None:
+            return None
+        value = json.loads(text)
+        return cls(
+            T.StructType.fromJson(value["schema"]),
+            tuple(value["partition_by"]),
+            tuple(value["paths"]),
+        )
+
+    def with_paths(self, paths: Iterable[str]) -> Snapshot:
+        return Snapshot(self.schema, self.partition_by, tuple(sorted(paths)))
+
+
+def partition_of(path: str) -> str:
+    """The partition part of a folder, without its version."""
+    return path.split("/", 1)[1]
+
+
+def folder(row, partition_by: Sequence[str]) -> str:
+    """Folder of a row that holds the version and the partition values."""
+    parts = [f"{c}={row[c]}" for c in (VERSION, *partition_by)]
+    for part in parts:
+        if not re.fullmatch(r"\w+=[\w.\-]+", part):
+            raise ValueError(f"not usable as a partition folder: {part!r}")
+    return "/".join(parts)
+
+
+def read_snapshot(
+    spark: SparkSession, root: str, snapshot: Snapshot, with_version: bool = False
+) -> DataFrame:
+    """The rows of a snapshot; partition filters prune its folders."""
+    if not snapshot.paths:
+        empty = spark.createDataFrame([], snapshot.schema)
+        return empty.withColumn(VERSION, F.lit("")) if with_version else empty
+    schema = T.StructType([*snapshot.schema.fields, T.StructField(VERSION, T.StringType())])
+    df = (
+        spark.read.schema(schema)
+        .option("basePath", root)
+        .parquet(*[f"{root}/{p}" for p in snapshot.paths])
+    )
+    return df.select(*names(snapshot.schema.names), *([name(VERSION)] if with_version else []))
+
+
+def write_version(
+    df: DataFrame, root: str, partition_by: Sequence[str] = DAY_COLUMNS
+) -> Snapshot:
+    """Write ``df`` as a new version, and return that version alone as a snapshot.
+
+    Which partitions came about is read back from the file footers, not by running
+    ``df`` a second time.
+    """
+    spark = df.sparkSession
+    version = uuid.uuid4().hex[:16]
+    schema = df.schema
+    target = f"{root}/{VERSION}={version}"
+    df.write.partitionBy(*partition_by).parquet(target)
+    written = spark.read.schema(schema).parquet(target)
+    found = (
+        written.groupBy(*names(partition_by))
+        .count()
+        .withColumn(VERSION, F.lit(version))
+        .collect()
+    )
+    fixed = Snapshot(schema, tuple(partition_by), ())
+    return fixed.with_paths(folder(row, partition_by) for row in found)
+
+
+def copy_snapshot(
+    spark: SparkSession,
+    source_root: str,
+    target_root: str,
+    snapshot: Snapshot,
+    present: Snapshot | None = None,
+) -> Snapshot:
+    """Copy a snapshot below another root, folder by folder under the same names.
+
+    Folders of ``present``, an earlier copy, are immutable and are not copied again. A
+    folder left half-written by a failed attempt is replaced.
+    """
+    done = set(present.paths) if present else set()
+    missing = [p for p in snapshot.paths if p not in done]
+    if missing:
+        rows = read_snapshot(
+            spark, source_root, snapshot.with_paths(missing), with_version=True
+        )
+        (
+            rows.write.mode("overwrite")
+            .option("partitionOverwriteMode", "dynamic")
+            .partitionBy(VERSION, *snapshot.partition_by)
+            .parquet(target_root)
+        )
+    return snapshot
