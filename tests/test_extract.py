@@ -1,0 +1,190 @@
+from __future__ import annotations
+
+from datetime import date, datetime
+from decimal import Decimal
+
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from pyspark.sql import DataFrameReader
+from pyspark.sql import functions as F
+
+from tests.conftest import plan, rows
+from tidemark.sources.extract import (
+    extract,
+    extract_incremental,
+    is_empty,
+    next_watermark,
+)
+from tidemark.sources.tables import (
+    FrameSource,
+    JdbcSource,
+    ParquetSource,
+    bounds_query,
+    quoted,
+    range_predicates,
+)
+
+
+def control(load_type, mark, column):
+    return {
+        "table_name": "t",
+        "load_type": load_type,
+        "ingest_column": mark,
+        "source_dt_col": column,
+    }
+
+
+@pytest.fixture(scope="module")
+def stamps(spark):
+    texts = ["2024-01-01 00:00:00", "2024-01-02 00:00:00", "2024-01-02 00:00:00.5", None]
+    frame = spark.createDataFrame(list(enumerate(texts)), "id int, text string")
+    return frame.select("id", F.col("text").cast("timestamp_ntz").alias("ts"))
+
+
+def test_mark_is_strict_and_skips_null(spark, stamps):
+    got = extract_incremental(
+        spark, FrameSource({"t": stamps}), "t", "ts", "2024-01-02 00:00:00"
+    )
+    assert rows(got, "id") == [(2,)]
+
+
+@pytest.mark.parametrize("ansi", ["true", "false"])
+def test_malformed_mark_fails_in_every_sql_mode(spark, stamps, ansi):
+    before = spark.conf.get("spark.sql.ansi.enabled")
+    spark.conf.set("spark.sql.ansi.enabled", ansi)
+    try:
+        got = extract_incremental(spark, FrameSource({"t": stamps}), "t", "ts", "soon")
+        with pytest.raises(Exception, match="high-water mark of t"):
+            got.collect()
+    finally:
+        spark.conf.set("spark.sql.ansi.enabled", before)
+
+
+@pytest.mark.parametrize("mark", [None, "", "None"])
+def test_first_run_takes_all_and_appends(spark, stamps, mark):
+    source = FrameSource({"t": stamps})
+    got, mode = extract(spark, source, control("incremental", mark, "ts"))
+    assert (got.count(), mode) == (4, "append")
+
+
+def test_full_ignores_the_mark(spark, stamps):
+    source = FrameSource({"t": stamps})
+    got, mode = extract(spark, source, control("Full", "2024-01-02 00:00:00", "ts"))
+    assert (got.count(), mode) == (4, "overwrite")
+
+
+def test_marks_of_other_types(spark):
+    frame = spark.createDataFrame(
+        [(9, date(2024, 1, 1), "b"), (10, date(2024, 1, 2), "a")], "n int, d date, `s t.r` string"
+    )
+    source = FrameSource({"t": frame})
+    for column, mark in (("n", "9"), ("d", "2024-01-01")):
+        got = extract_incremental(spark, source, "t", column, mark)
+        assert rows(got, "n") == [(10,)]
+    assert rows(extract_incremental(spark, source, "t", "s t.r", "a"), "n") == [(9,)]
+
+
+def test_mark_reaches_the_scan(spark, sf_dir):
+    got = extract_incremental(
+        spark, ParquetSource(sf_dir), "orders", "o_orderdate", "2001-01-01 00:00:00"
+    )
+    assert "GreaterThan(o_orderdate,2001-01-01T00:00)" in plan(got)
+    assert "struct<o_orderkey:bigint,o_orderdate" in plan(got.select("o_orderkey"))
+
+
+def test_empty_and_next_mark(stamps):
+    assert not is_empty(stamps)
+    assert is_empty(stamps.filter("id > 9"))
+    assert rows(next_watermark(stamps, "ts")) == [(datetime(2024, 1, 2, 0, 0, 0, 500000),)]
+    assert rows(next_watermark(stamps.filter("id > 9"), "ts")) == [(None,)]
+
+
+# ---- parallel database reads, without a database ------------------------------------
+
+
+def hits_per_row(frame, predicates):
+    """How many of the ranges take each row; SQL quotes become Spark's."""
+    texts = [p.replace('"', "`") for p in predicates]
+    total = sum(
+        (F.when(F.expr(text), 1).otherwise(0) for text in texts), start=F.lit(0)
+    )
+    return [r[0] for r in frame.select(total).collect()]
+
+
+@settings(max_examples=15, deadline=None)
+@given(
+    values=st.lists(st.none() | st.integers(-50, 50), min_size=1, max_size=30),
+    pieces=st.integers(1, 9),
+    late=st.lists(st.integers(-500, 500), max_size=5),
+)
+def test_ranges_take_every_row_once(spark, values, pieces, late):
+    known = [v for v in values if v is not None]
+    low, high = (min(known), max(known)) if known else (None, None)
+    predicates = range_predicates("n", low, high, pieces)
+    frame = spark.createDataFrame([(v,) for v in [*values, *late]], "n long")
+    assert set(hits_per_row(frame, predicates)) == {1}
+    assert len(predicates) <= pieces + 1
+
+
+def test_time_and_decimal_ranges(spark, load):
+    orders = load("orders")
+    low, high = orders.agg(F.min("o_orderdate"), F.max("o_orderdate")).first()
+    predicates = range_predicates("o_orderdate", low, high, 8, with_null=False)
+    assert len(predicates) == 8
+    assert set(hits_per_row(orders, predicates)) == {1}
+    assert range_predicates("d", Decimal("0"), Decimal("1"), 2) == [
+        '"d" < 0.5',
+        '"d" >= 0.5',
+        '"d" IS NULL',
+    ]
+    assert range_predicates("d", date(2024, 1, 1), date(2024, 1, 3), 2)[0] == (
+        "\"d\" < '2024-01-02'"
+    )
+
+
+def test_quoting():
+    assert quoted('public.or"ders') == '"public"."or""ders"'
+    assert bounds_query("t", "c", ("ts", "a'b")) == (
+        '(SELECT MIN("c") AS lo, MAX("c") AS hi FROM "t" WHERE "ts" > \'a\'\'b\') bounds'
+    )
+
+
+@pytest.fixture
+def jdbc_calls(spark, monkeypatch):
+    calls = []
+
+    def fake(reader, url, table, **options):
+        calls.append((url, table, options))
+        frame = spark.createDataFrame([(0, 100)], "lo long, hi long")
+        return frame if "bounds" in table else frame.withColumn("ts", F.lit("2"))
+
+    monkeypatch.setattr(DataFrameReader, "jdbc", fake)
+    return calls
+
+
+def test_jdbc_reads_ranges_with_a_fetch_size(spark, jdbc_calls):
+    source = JdbcSource("jdbc:x", {"user": "u"}, {"t": ("id", 4)})
+    extract_incremental(spark, source, "t", "ts", "1").collect()
+    (_, bounds, _), (_, table, options) = jdbc_calls
+    assert bounds.endswith('FROM "t" WHERE "ts" > \'1\') bounds')
+    assert table == '"t"'
+    assert options["properties"] == {"fetchsize": "10000", "user": "u"}
+    assert options["predicates"] == [
+        '"id" < 25',
+        '"id" >= 25 AND "id" < 50',
+        '"id" >= 50 AND "id" < 75',
+        '"id" >= 75',
+        '"id" IS NULL',
+    ]
+
+
+def test_jdbc_split_on_the_mark_column_leaves_null_out(spark, jdbc_calls):
+    JdbcSource("jdbc:x", {}, {"t": ("ts", 2)}).read(spark, "t", ("ts", "1"))
+    assert jdbc_calls[1][2]["predicates"] == ['"ts" < 50', '"ts" >= 50']
+
+
+def test_jdbc_without_split_is_one_plain_read(spark, jdbc_calls):
+    JdbcSource("jdbc:x").read(spark, "s.t")
+    assert [c[1] for c in jdbc_calls] == ['"s"."t"']
+    assert "predicates" not in jdbc_calls[0][2]

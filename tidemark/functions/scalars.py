@@ -54,3 +54,16 @@ def split_by_null_key(df: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, Da
     """
     complete = all_set(keys)
     return df.filter(complete), df.filter(~complete)
+
+
+def all_nullable(dtype: T.DataType) -> T.DataType:
+    """The type with every field, element and value nullable, as files store it."""
+    if isinstance(dtype, T.StructType):
+        return T.StructType(
+            [T.StructField(f.name, all_nullable(f.dataType)) for f in dtype.fields]
+        )
+    if isinstance(dtype, T.ArrayType):
+        return T.ArrayType(all_nullable(dtype.elementType))
+    if isinstance(dtype, T.MapType):
+        return T.MapType(all_nullable(dtype.keyType), all_nullable(dtype.valueType))
+    return dtype

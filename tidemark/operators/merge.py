@@ -38,8 +38,9 @@ def duplicate_keys(source: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 def matched_keys(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Target rows whose key is in the source, one result row per target row."""
-    wanted = source.filter(all_set(keys)).select(*names(keys))
-    return target.filter(all_set(keys)).join(wanted, list(keys), "left_semi")
+    return target.filter(all_set(keys)).join(
+        _distinct_keys(source, keys), list(keys), "left_semi"
+    )
 
 
 def check_single_match(source: DataFrame, hits: DataFrame, keys: Sequence[str]) -> None:
@@ -48,7 +49,7 @@ def check_single_match(source: DataFrame, hits: DataFrame, keys: Sequence[str])
     Repeated keys that match nothing are plain inserts and pass.
     """
     clash = duplicate_keys(source, keys).join(
-        hits.select(*names(keys)), list(keys), "left_semi"
+        _distinct_keys(hits, keys), list(keys), "left_semi"
     )
     found = clash.head()
     if found is not None:
@@ -66,13 +67,19 @@ def upsert(
     A key that occurs several times in the target is updated each time. ``hits`` are the
     target keys found in the source, if the caller has them already. Source keys that
     match must be unique, see :func:`check_single_match`.
+
+    The right side of every join has one row per key, so a hot key is only ever on the
+    left, where Spark can split it.
     """
     old, old_unkeyed = split_by_null_key(target, keys)
     new, new_unkeyed = split_by_null_key(source, keys)
     if hits is None:
         hits = matched_keys(target.select(*names(keys)), source, keys)
+    known = _distinct_keys(hits, keys)
     values = [name(c) for c in target.columns if c not in keys]
-    change = new.select(*names(keys), F.struct(F.lit(True).alias("_"), *values).alias("_new"))
+    change = new.join(known, list(keys), "left_semi").select(
+        *names(keys), F.struct(F.lit(True).alias("_"), *values).alias("_new")
+    )
     updated = old.join(change, list(keys), "left").select(
         *[
             name(c)
@@ -83,7 +90,12 @@ def upsert(
             for c in target.columns
         ]
     )
-    inserted = new.join(hits.select(*names(keys)), list(keys), "left_anti")
+    inserted = new.join(known, list(keys), "left_anti")
     return (
         updated.unionByName(inserted).unionByName(old_unkeyed).unionByName(new_unkeyed)
     )
+
+
+def _distinct_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Complete keys, each once. Repeats are dropped by each task before the shuffle."""
+    return df.filter(all_set(keys)).select(*names(keys)).distinct()

@@ -12,6 +12,7 @@ from tidemark.operators.control import CURATED, LANDED, advance_status
 from tidemark.operators.merge import conform
 from tidemark.operators.rows import dedupe_latest
 from tidemark.plans.results import DONE, RunResult
+from tidemark.session import write_scratch
 from tidemark.sinks.catalog import CatalogTable
 from tidemark.sinks.silver import (
     append_silver,
@@ -52,7 +53,8 @@ def curate(
         spark, cfg.bronze_path(table), run_ts=None if every_day else run_ts
     )
     if keys and dedupe_order:
-        batch = dedupe_latest(batch, keys, dedupe_order)
+        # Written once, because a merge looks at its batch several times.
+        batch = write_scratch(dedupe_latest(batch, keys, dedupe_order), "deduped")
 
     replace = full and full_mode == "replace"
     if cfg.silver_catalog:

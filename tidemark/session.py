@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_root(spark: SparkSession) -> str:
@@ -27,10 +27,11 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_root(spark)}/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def ensure_checkpoint_dir(spark: SparkSession) -> None:
-    """``checkpoint()`` needs a folder; Spark sets it itself from the cluster setting."""
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(shared_root(spark))
+def write_scratch(df: DataFrame, name: str) -> DataFrame:
+    """``df`` as a written table: computed once, and safe when executors are lost."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def local_session(

@@ -14,7 +14,7 @@ from tidemark.operators.merge import (
     matched_keys,
     upsert,
 )
-from tidemark.session import ensure_checkpoint_dir
+from tidemark.session import write_scratch
 from tidemark.sinks.versions import (
     VERSION,
     Snapshot,
@@ -53,16 +53,16 @@ def merge_silver(
 
     One pass over the target reads keys and partition columns alone. Its hits tell which
     folders are to be rewritten, whether a key matches twice, and which batch rows are
-    inserts; they are checkpointed because all three need them. Updated rows move to the
-    partition of their new values, and a folder left without rows drops out.
+    inserts; all three need them, so they are written to the shared scratch folder.
+    Updated rows move to the partition of their new values, and a folder left without
+    rows drops out.
     """
     spark = batch.sparkSession
-    ensure_checkpoint_dir(spark)
     batch = conform(batch, table.schema)
     place = [VERSION, *table.partition_by]
-    wanted = [*keys, *(c for c in place if c not in keys)]
-    target = read_snapshot(spark, root, table, with_version=True)
-    hits = matched_keys(target.select(*names(wanted)), batch, keys).checkpoint()
+    wanted = names([*keys, *(c for c in place if c not in keys)])
+    target = read_snapshot(spark, root, table, with_version=True).select(*wanted)
+    hits = write_scratch(matched_keys(target, batch, keys), "merge-hits")
     check_single_match(batch, hits, keys)
     touched = {
         folder(row, table.partition_by)

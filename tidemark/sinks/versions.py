@@ -17,10 +17,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.functions.scalars import name, names
+from tidemark.functions.scalars import all_nullable, name, names
 from tidemark.functions.stamps import DAY_COLUMNS
 
+# Names of the two folder levels above the partitions.
 VERSION = "_version"
+COPY = "_copy"
 
 
 @dataclass(frozen=True)
@@ -95,7 +97,7 @@ def write_version(
     """
     spark = df.sparkSession
     version = uuid.uuid4().hex[:16]
-    schema = df.schema
+    schema = all_nullable(df.schema)
     target = f"{root}/{VERSION}={version}"
     df.write.partitionBy(*partition_by).parquet(target)
     written = spark.read.schema(schema).parquet(target)
@@ -116,21 +118,18 @@ def copy_snapshot(
     snapshot: Snapshot,
     present: Snapshot | None = None,
 ) -> Snapshot:
-    """Copy a snapshot below another root, folder by folder under the same names.
+    """Copy a snapshot below another root, into a new folder ``_copy=<id>``.
 
-    Folders of ``present``, an earlier copy, are immutable and are not copied again. A
-    folder left half-written by a failed attempt is replaced.
+    Folders of ``present``, an earlier copy, never change and are taken over instead of
+    being copied again. What a failed attempt leaves behind is not referred to.
     """
-    done = set(present.paths) if present else set()
-    missing = [p for p in snapshot.paths if p not in done]
+    done = {path.split("/", 1)[1]: path for path in present.paths} if present else {}
+    missing = [path for path in snapshot.paths if path not in done]
+    new = f"{COPY}={uuid.uuid4().hex[:16]}"
     if missing:
         rows = read_snapshot(
             spark, source_root, snapshot.with_paths(missing), with_version=True
         )
-        (
-            rows.write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .partitionBy(VERSION, *snapshot.partition_by)
-            .parquet(target_root)
-        )
-    return snapshot
+        writer = rows.write.partitionBy(VERSION, *snapshot.partition_by)
+        writer.parquet(f"{target_root}/{new}")
+    return snapshot.with_paths(done.get(p, f"{new}/{p}") for p in snapshot.paths)
