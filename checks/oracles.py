@@ -70,12 +70,12 @@ SELECT table_name, CASE WHEN upper(load_type) = 'FULL' AND process_number = '02'
   THEN '00' ELSE process_number END AS process_number
 FROM feeds
 """,
-    "extract_full_customer": "SELECT * FROM customer",
-    "extract_first_run_lineitem": "SELECT * FROM lineitem",
-    "extract_incremental_orders": """
+    "extract_full": "SELECT * FROM customer",
+    "extract_first_run": "SELECT * FROM lineitem",
+    "extract_incremental": """
 SELECT * FROM orders WHERE o_orderdate > TIMESTAMP '2001-01-01 00:00:00'
 """,
-    "next_watermark_orders": """
+    "next_watermark": """
 SELECT 'orders' AS table_name, max(o_orderdate) AS next_mark
 FROM orders WHERE o_orderdate > TIMESTAMP '2001-01-01 00:00:00'
 """,
@@ -160,7 +160,7 @@ SELECT * FROM s WHERE NOT EXISTS (SELECT 1 FROM t WHERE t.k = s.k)
 SELECT l_orderkey, l_linenumber, count(*) AS n FROM lineitem
 GROUP BY l_orderkey, l_linenumber HAVING count(*) > 1
 """,
-    "dedupe_latest_lineitem": "SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_shipdate FROM ("
+    "dedupe_latest": "SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_shipdate FROM ("
     + LATEST_LINES.format(where="")
     + ") y",
     "ingest_curate_orders": TWO_DAYS_OF_ORDERS,

@@ -13,8 +13,9 @@ from pyspark.sql import functions as F
 
 from tidemark.config import LakeConfig
 from tidemark.operators import control as ctl
+from tidemark.operators import rows as row_ops
 from tidemark.operators.merge import duplicate_keys, upsert
-from tidemark.operators.rows import day_slice, dedupe_latest, enrich
+from tidemark.operators.rows import day_slice, enrich
 from tidemark.plans.curate import curate
 from tidemark.plans.ingest import ingest
 from tidemark.plans.publish import publish_ready, read_gold, read_silver, stage_gold
@@ -26,13 +27,8 @@ from tidemark.sinks.silver import (
     overwrite_partitions,
 )
 from tidemark.sinks.versions import read_snapshot
+from tidemark.sources import extract as extracts
 from tidemark.sources.bronze import read_bronze
-from tidemark.sources.extract import (
-    extract_first_run,
-    extract_full,
-    extract_incremental,
-    next_watermark,
-)
 from tidemark.sources.tables import FrameSource, ParquetSource
 from tidemark.state import StateLog
 
@@ -122,26 +118,26 @@ def status_reset(spark, sf_dir):
 
 
 @query
-def extract_full_customer(spark, sf_dir):
-    return extract_full(spark, ParquetSource(sf_dir), "customer")
+def extract_full(spark, sf_dir):
+    return extracts.extract_full(spark, ParquetSource(sf_dir), "customer")
 
 
 @query
-def extract_first_run_lineitem(spark, sf_dir):
-    return extract_first_run(spark, ParquetSource(sf_dir), "lineitem")
+def extract_first_run(spark, sf_dir):
+    return extracts.extract_first_run(spark, ParquetSource(sf_dir), "lineitem")
 
 
 @query
-def extract_incremental_orders(spark, sf_dir):
-    return extract_incremental(
+def extract_incremental(spark, sf_dir):
+    return extracts.extract_incremental(
         spark, ParquetSource(sf_dir), "orders", "o_orderdate", "2001-01-01 00:00:00"
     )
 
 
 @query
-def next_watermark_orders(spark, sf_dir):
-    batch = extract_incremental_orders(spark, sf_dir)
-    return next_watermark(batch, "o_orderdate").select(
+def next_watermark(spark, sf_dir):
+    batch = extract_incremental(spark, sf_dir)
+    return extracts.next_watermark(batch, "o_orderdate").select(
         F.lit("orders").alias("table_name"), "next_mark"
     )
 
@@ -282,7 +278,7 @@ def merge_duplicate_keys(spark, sf_dir):
 
 
 @query
-def dedupe_latest_lineitem(spark, sf_dir):
+def dedupe_latest(spark, sf_dir):
     lines = load(spark, sf_dir, "lineitem")
     order = [
         F.desc("l_shipdate"),
@@ -290,7 +286,7 @@ def dedupe_latest_lineitem(spark, sf_dir):
         F.desc("l_suppkey"),
         F.desc("l_extendedprice"),
     ]
-    return dedupe_latest(lines, ["l_orderkey", "l_linenumber"], order).select(
+    return row_ops.dedupe_latest(lines, ["l_orderkey", "l_linenumber"], order).select(
         "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_shipdate"
     )
 

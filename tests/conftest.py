@@ -24,6 +24,8 @@ def spark(tmp_path_factory):
             "spark.sql.warehouse.dir": str(folder / "warehouse"),
             "spark.checkpoint.dir": str(folder / "checkpoints"),
             "spark.driver.memory": "4g",
+            "spark.sql.shuffle.partitions": "4",
+            "spark.default.parallelism": "4",
         },
     )
     yield session

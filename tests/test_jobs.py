@@ -133,6 +133,20 @@ def test_without_keys_rows_are_appended(spark, lake, load, keys):
     assert read_silver(spark, lake.cfg, "region").count() == 10
 
 
+def test_control_names_match_columns_in_any_case(spark, lake, load):
+    lake.create(("region", "INCREMENTAL", None, "R_NAME", "R_RegionKey", "00"))
+    first, _ = run(lake, "region", load("region"), DAY_1)
+    assert first.next_mark == "MIDDLE EAST"
+    run(lake, "region", load("region"), DAY_2)
+    assert read_silver(spark, lake.cfg, "region").count() == 5
+
+
+def test_unknown_key_columns_are_refused(spark, lake, load):
+    lake.create(("region", "INCREMENTAL", None, None, "r_regionkey|nope", "00"))
+    with pytest.raises(ValueError, match="nope"):
+        run(lake, "region", load("region"), DAY_1)
+
+
 def test_full_load_keeps_a_copy_per_day_or_replaces(spark, lake, load):
     customer = load("customer")
     lake.create(CUSTOMER)

@@ -13,6 +13,7 @@ from tidemark.operators.merge import (
     check_single_match,
     conform,
     duplicate_keys,
+    key_range,
     matched_keys,
     upsert,
 )
@@ -88,6 +89,29 @@ def test_merge_into_folders_is_merge(spark, tmp_path_factory, target, source, ke
     assert as_sorted(got) == as_sorted([(*t, str(t[2] % 3)) for t in expected])
 
 
+def test_key_range_keeps_every_match(spark):
+    columns = (
+        "i int, d decimal(9,2), s string, t date, n timestamp_ntz, z timestamp, f double"
+    )
+    values = spark.range(1, 60).selectExpr(
+        "cast(id % 50 as int) i",
+        "cast(id / 7 as decimal(9,2)) d",
+        "concat('k ', char(60 + cast(id as int)), '\\'') s",
+        "date '2024-01-01' + cast(id as int) t",
+        "timestamp_ntz '2024-01-01 00:00:00.123456' + make_interval(0,0,0,0,id) n",
+        "timestamp '2024-01-01 00:00:00' + make_interval(0,0,0,0,id) z",
+        "cast(id as double) / 3 f",
+    )
+    some = values.filter("i between 11 and 17")
+    for key in [c.split()[0] for c in columns.split(", ")]:
+        near = values.filter(key_range(some, [key]))
+        kept = matched_keys(near, some, [key])
+        assert kept.count() == matched_keys(values, some, [key]).count() > 0
+        pruned = key not in "zf"
+        assert near.count() < values.count() if pruned else near.count() == values.count()
+    assert values.filter(key_range(some.filter("i < 0"), ["i"])).isEmpty()
+
+
 def test_duplicate_keys_ignore_null(spark):
     frame = spark.createDataFrame([(1, "x", 0)] * 3 + [(None, "x", 0)] * 2, SCHEMA)
     assert rows(duplicate_keys(frame, ["a", "b"])) == [(1, "x", 3)]

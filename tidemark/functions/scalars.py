@@ -22,6 +22,13 @@ def names(columns: Sequence[str]) -> list[Column]:
     return [name(c) for c in columns]
 
 
+def resolve(column: str, columns: Sequence[str]) -> str | None:
+    """The spelling of ``column`` in ``columns``, whatever the case; None if missing."""
+    if column in columns:
+        return column
+    return next((c for c in columns if c.lower() == column.lower()), None)
+
+
 def split_keys(text: Column) -> Column:
     """``'a | b'`` to ``['a', 'b']``: trimmed, blanks dropped; unset gives no keys."""
     parts = F.filter(

@@ -4,13 +4,26 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.functions.scalars import all_set, name, names, split_by_null_key
 
 
+# Types that come back unchanged from their text form.
+EXACT_AS_TEXT = (
+    T.ByteType,
+    T.ShortType,
+    T.IntegerType,
+    T.LongType,
+    T.DecimalType,
+    T.StringType,
+    T.DateType,
+    T.TimestampNTZType,
+)
+
+
 class MergeConflict(ValueError):
     """Several source rows match the same target row."""
 
@@ -43,6 +56,27 @@ def matched_keys(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> D
     )
 
 
+def key_range(source: DataFrame, keys: Sequence[str]) -> Column:
+    """A filter that every row passes whose key is in the source.
+
+    It holds the lowest and highest source key as literals, so a scan skips the row
+    groups outside them; new batches mostly carry recent keys. Runs one small query.
+    """
+    types = {f.name: f.dataType for f in source.schema if f.name in keys}
+    bounded = [k for k in keys if isinstance(types[k], EXACT_AS_TEXT)]
+    ends = [end(name(k)).cast("string") for k in bounded for end in (F.min, F.max)]
+    if not bounded:
+        return F.lit(True)
+    found = source.filter(all_set(keys)).agg(*ends).first()
+    if found[0] is None:
+        return F.lit(False)
+    inside = F.lit(True)
+    for i, key in enumerate(bounded):
+        low, high = (F.lit(text).cast(types[key]) for text in found[2 * i : 2 * i + 2])
+        inside = inside & name(key).between(low, high)
+    return inside
+
+
 def check_single_match(source: DataFrame, hits: DataFrame, keys: Sequence[str]) -> None:
     """Raise if a key that exists in the target comes more than once in the source.
 

@@ -8,6 +8,7 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame, SparkSession
 
 from tidemark.config import LakeConfig
+from tidemark.functions.scalars import resolve
 from tidemark.operators.control import CURATED, LANDED, advance_status
 from tidemark.operators.merge import conform
 from tidemark.operators.rows import dedupe_latest
@@ -52,6 +53,10 @@ def curate(
     batch = read_bronze(
         spark, cfg.bronze_path(table), run_ts=None if every_day else run_ts
     )
+    missing = [k for k in keys if resolve(k, batch.columns) is None]
+    if missing:
+        raise ValueError(f"primary_keys of {table} that it does not have: {missing}")
+    keys = [resolve(k, batch.columns) for k in keys]
     if keys and dedupe_order:
         # Written once, because a merge looks at its batch several times.
         batch = write_scratch(dedupe_latest(batch, keys, dedupe_order), "deduped")

@@ -8,12 +8,12 @@ from pyspark.sql import Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.config import LakeConfig
-from tidemark.functions.scalars import name
+from tidemark.functions.scalars import name, resolve
 from tidemark.operators.control import IDLE, LANDED, advance_status
 from tidemark.operators.rows import enrich
 from tidemark.plans.results import DONE, EMPTY, RunResult
 from tidemark.sinks.bronze import write_bronze
-from tidemark.sources.extract import extract, is_unset
+from tidemark.sources.extract import extract
 from tidemark.state import StateLog
 
 
@@ -28,9 +28,8 @@ def ingest(spark: SparkSession, cfg: LakeConfig, table: str, run_ts: datetime) -
     control = state.lookup(table)
     rows, mode = extract(spark, cfg.source, control)
 
-    dt_column = control["source_dt_col"]
-    follows_time = not is_unset(dt_column) and dt_column in rows.columns
-    newest = F.max(name(dt_column)) if follows_time else F.lit(None)
+    dt_column = resolve(control["source_dt_col"] or "", rows.columns)
+    newest = F.max(name(dt_column)) if dt_column else F.lit(None)
     seen = Observation()
     observed = rows.observe(
         seen, F.count(F.lit(1)).alias("rows"), newest.cast("string").alias("next_mark")

@@ -11,6 +11,7 @@ from tidemark.functions.stamps import DAY_COLUMNS
 from tidemark.operators.merge import (
     check_single_match,
     conform,
+    key_range,
     matched_keys,
     upsert,
 )
@@ -62,7 +63,10 @@ def merge_silver(
     place = [VERSION, *table.partition_by]
     wanted = names([*keys, *(c for c in place if c not in keys)])
     target = read_snapshot(spark, root, table, with_version=True).select(*wanted)
-    hits = write_scratch(matched_keys(target, batch, keys), "merge-hits")
+    target = target.filter(key_range(batch, keys))
+    # Hits are few and come from all tasks of the scan: gather them into few files.
+    hits = matched_keys(target, batch, keys).hint("rebalance", *names(keys))
+    hits = write_scratch(hits, "merge-hits")
     check_single_match(batch, hits, keys)
     touched = {
         folder(row, table.partition_by)
@@ -72,6 +76,9 @@ def merge_silver(
         read_snapshot(spark, root, table.with_paths(touched)), batch, keys, hits
     )
     # Cluster by partition to avoid a file per task and day; hot days are split by size.
-    rows = rows.hint("rebalance", *names(table.partition_by))
+    # The writer sorts by partition anyway; keys next make row groups skippable by key.
+    rows = rows.hint("rebalance", *names(table.partition_by)).sortWithinPartitions(
+        *names([*table.partition_by, *keys])
+    )
     new = write_version(rows, root, table.partition_by)
     return table.with_paths({*table.paths} - touched | {*new.paths})

@@ -95,6 +95,9 @@ def write_version(
     Which partitions came about is read back from the file footers, not by running
     ``df`` a second time.
     """
+    taken = {VERSION, COPY} & set(df.columns)
+    if taken:
+        raise ValueError(f"column names reserved for folders: {sorted(taken)}")
     spark = df.sparkSession
     version = uuid.uuid4().hex[:16]
     schema = all_nullable(df.schema)

@@ -9,7 +9,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-from tidemark.functions.stamps import DAY_COLUMNS, day_folder
+from tidemark.functions.stamps import DAY_COLUMNS, day_folder, day_parts
 from tidemark.operators.rows import day_slice
 
 
@@ -43,7 +43,8 @@ def read_bronze(
             if schema is None:
                 schema = reader.parquet(folder).schema
             day = reader.schema(text_partitions(schema)).parquet(folder)
-            return day_slice(day, run_ts)
+            # As literals, the day parts need no sort when the slice is written again.
+            return day_slice(day, run_ts).withColumns(day_parts(run_ts))
         except AnalysisException as error:
             if error.getCondition() != "PATH_NOT_FOUND":
                 raise
