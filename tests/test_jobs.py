@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
 from datetime import datetime
 
 import pytest
@@ -249,6 +250,19 @@ def test_second_publication_copies_only_new_folders(spark, lake, load):
     assert read_gold(spark, lake.cfg, "customer").count() == 155
 
 
+def test_publication_without_a_gold_root_copies_nothing(spark, lake, load):
+    ready_tables(lake, load, "customer")
+    cfg = replace(lake.cfg, gold_root=None)
+    before = data_files(cfg.silver_root)
+    assert publish_ready(spark, cfg).moved == 1
+    assert data_files(cfg.silver_root) == before
+    lake.set("customer", load_type="INCREMENTAL")
+    run(lake, "customer", load("customer").limit(5), DAY_2)
+    assert read_gold(spark, cfg, "customer").filter("day = '02'").isEmpty()
+    publish_ready(spark, cfg)
+    assert read_gold(spark, cfg, "customer").filter("day = '02'").count() == 5
+
+
 def test_readers_of_an_old_publication_are_not_disturbed(spark, lake, load):
     ready_tables(lake, load, "customer")
     publish_ready(spark, lake.cfg)

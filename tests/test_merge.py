@@ -19,7 +19,7 @@ from tidemark.operators.merge import (
 )
 from tidemark.operators.rows import dedupe_latest, enrich
 from tidemark.sinks.silver import append_silver, create_silver, merge_silver
-from tidemark.sinks.versions import Snapshot, partition_of, read_snapshot
+from tidemark.sinks.versions import Snapshot, copy_snapshot, read_snapshot
 
 SCHEMA = "a int, b string, v int"
 maybe_int = st.none() | st.integers(0, 4)
@@ -167,39 +167,95 @@ def test_dedupe_keeps_rows_with_a_null_key(spark):
     ]
 
 
-def test_merge_rewrites_only_folders_with_a_match(spark, tmp_path):
+def test_merge_rewrites_only_files_with_a_match(spark, tmp_path):
     root = str(tmp_path)
-    days = spark.range(30).withColumn("day", (F.col("id") % 3).cast("string"))
+    days = spark.range(0, 32, 1, 4).withColumn("day", (F.col("id") % 2).cast("string"))
     table = create_silver(days.withColumn("tag", F.lit("old")), root, ["day"])
+    assert [(f.partition, f.live) for f in table.folders] == [("day=0", 4), ("day=1", 4)]
     before = data_files(root)
     batch = spark.createDataFrame([(1, "9", "new"), (100, "9", "new")], "id long, day string, tag string")
     merged = merge_silver(table, batch, root, ["id"])
 
-    kept = [p for p in table.paths if p.endswith(("day=0", "day=2"))]
-    assert set(kept) <= set(merged.paths)
-    assert {partition_of(p) for p in set(merged.paths) - set(kept)} == {"day=1", "day=9"}
+    kept = [f for f in merged.folders if f.path in {g.path for g in table.folders}]
+    assert [(f.partition, f.live, len(f.dropped)) for f in kept] == [
+        ("day=0", 4, 0),
+        ("day=1", 3, 1),
+    ]
+    rewritten = [f for f in merged.folders if f not in kept]
+    assert [(f.partition, f.live) for f in rewritten] == [("day=1", 1), ("day=9", 1)]
     assert before.items() <= data_files(root).items()
     got = read_snapshot(spark, root, merged)
-    assert got.count() == 31
+    assert got.count() == 33
     assert rows(got.filter("tag = 'new'"), "id", "day") == [(1, "9"), (100, "9")]
     assert read_snapshot(spark, root, table).filter("tag = 'new'").isEmpty()
 
 
+def test_dropped_files_are_pruned_and_not_opened(spark, tmp_path):
+    root = str(tmp_path)
+    table = create_silver(enrich(spark.range(0, 40, 1, 4), DAY_1), root)
+    table = merge_silver(table, enrich(spark.range(5), DAY_2), root, ["id"])
+    (old,) = [f for f in table.folders if f.dropped]
+    gone = tmp_path / old.path / old.dropped[0]
+    gone.write_bytes(b"not parquet any more")
+    assert rows(read_snapshot(spark, root, table), "id") == [(i,) for i in range(40)]
+
+
+def test_colliding_file_ids_only_add_to_the_rewrite(spark, tmp_path, monkeypatch):
+    root = str(tmp_path)
+    table = create_silver(enrich(spark.range(0, 40, 1, 4), DAY_1), root)
+    table = merge_silver(table, enrich(spark.range(5), DAY_2), root, ["id"])
+    monkeypatch.setattr(F, "xxhash64", lambda *columns: F.lit(7).cast("long"))
+    merged = merge_silver(table, enrich(spark.range(30, 31), DAY_2), root, ["id"])
+    got = read_snapshot(spark, root, merged)
+    assert rows(got, "id") == [(i,) for i in range(40)]
+    assert got.filter("day = '02'").count() == 6
+    assert not {f.path for f in table.folders} & {f.path for f in merged.folders}
+
+
+batch_rows = st.lists(st.tuples(st.integers(0, 30), st.integers(0, 2)), max_size=8)
+
+
+@settings(max_examples=4, deadline=None)
+@given(first=batch_rows, later=st.lists(batch_rows, min_size=3, max_size=3))
+def test_many_merges_and_publications(spark, tmp_path_factory, first, later):
+    """A table and its copy follow a plain dictionary through merge after merge."""
+    root, copy_root = (str(tmp_path_factory.mktemp(n)) for n in ("silver", "gold"))
+
+    def frame(pairs, step):
+        data = [(k, str(p), step) for k, p in pairs]
+        return spark.createDataFrame(data, "k int, p string, step int").repartition(3, "k")
+
+    model = {k: (k, str(p), 0) for k, p in dict(first).items()}
+    table = create_silver(frame(dict(first).items(), 0), root, ["p"])
+    copy = copy_snapshot(spark, root, copy_root, table)
+    for step, pairs in enumerate(later, 1):
+        unique = dict(pairs)
+        table = merge_silver(table, frame(unique.items(), step), root, ["k"])
+        model.update({k: (k, str(p), step) for k, p in unique.items()})
+        copy = copy_snapshot(spark, root, copy_root, table, copy)
+        expected = sorted(model.values())
+        table = Snapshot.from_json(table.to_json())
+        order = ["k", "p", "step"]
+        assert rows(read_snapshot(spark, root, table), *order) == expected
+        assert rows(read_snapshot(spark, copy_root, copy), *order) == expected
+        assert all(f.live > 0 for f in table.folders)
+
+
 def test_a_folder_that_loses_every_row_drops_out(spark, tmp_path):
     root = str(tmp_path)
     table = create_silver(enrich(spark.range(3), DAY_1), root)
     merged = merge_silver(table, enrich(spark.range(3), DAY_2), root, ["id"])
-    assert [partition_of(p) for p in merged.paths] == ["year=2026/month=01/day=02"]
+    assert [f.partition for f in merged.folders] == ["year=2026/month=01/day=02"]
     assert read_snapshot(spark, root, merged).count() == 3
 
 
 def test_merge_into_and_from_nothing(spark, tmp_path):
     root = str(tmp_path)
     table = create_silver(enrich(spark.range(0), DAY_1), root)
-    assert table.paths == ()
+    assert table.folders == ()
     table = merge_silver(table, enrich(spark.range(2), DAY_1), root, ["id"])
     again = merge_silver(table, enrich(spark.range(0), DAY_2), root, ["id"])
-    assert again.paths == table.paths
+    assert again == table
 
 
 def test_conflict_leaves_the_table_as_it_was(spark, tmp_path):
@@ -215,7 +271,7 @@ def test_appends_share_a_partition(spark, tmp_path):
     root = str(tmp_path)
     table = create_silver(enrich(spark.range(3), DAY_1), root)
     table = append_silver(table, enrich(spark.range(2), DAY_1), root)
-    assert len(table.paths) == 2
+    assert len(table.folders) == 2
     assert read_snapshot(spark, root, table).count() == 5
 
 
@@ -230,6 +286,11 @@ def test_snapshot_reads_prune_and_round_trip(spark, tmp_path):
     assert "PartitionFilters: [isnotnull(day" in plan(day)
 
 
+def test_reserved_column_names(spark, tmp_path):
+    with pytest.raises(ValueError, match="reserved"):
+        create_silver(enrich(spark.range(1).withColumn("_file", F.lit(1)), DAY_1), str(tmp_path))
+
+
 def test_partition_values_must_fit_a_folder_name(spark, tmp_path):
     with pytest.raises(ValueError, match="not usable"):
         create_silver(spark.range(1).withColumn("p", F.lit("a b")), str(tmp_path), ["p"])

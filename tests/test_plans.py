@@ -84,9 +84,9 @@ def test_first_merge_pass_reads_keys_and_folders_only(spark, load, tmp_path):
     orders = load("orders")
     table = create_silver(enrich(orders, DAY_1), root)
     table = append_silver(table, enrich(orders.limit(5), DAY_2), root)
-    target = read_snapshot(spark, root, table, with_version=True)
+    target = read_snapshot(spark, root, table, extra=["_file_id"])
     batch = enrich(orders.filter("o_orderkey < 3"), DAY_2)
-    keys = target.select("o_orderkey", "_version", "year", "month", "day")
+    keys = target.select("o_orderkey", "_file_id")
     near = keys.filter(key_range(batch, ["o_orderkey"]))
     text = plan(matched_keys(near, batch, ["o_orderkey"]))
     assert "ReadSchema: struct<o_orderkey:bigint>" in text

@@ -14,13 +14,14 @@ def _folder(root: str) -> str:
 class LakeConfig:
     """Roots of the three layers and of the state log, plus the table source.
 
-    ``silver_catalog`` (for example ``"lake.sales"``) puts Silver into tables of a
+    Without a ``gold_root``, publishing makes Silver's own files visible and copies
+    nothing; they never change once written. ``silver_catalog`` (for example ``"lake.sales"``) puts Silver into tables of a
     Spark catalog with row-level writes instead of versioned Parquet directories.
     """
 
     bronze_root: str
     silver_root: str
-    gold_root: str
+    gold_root: str | None
     state_root: str
     source: Any = field(default=None, repr=False)
     silver_catalog: str | None = None
@@ -40,6 +41,8 @@ class LakeConfig:
         return f"{_folder(self.silver_root)}/{table}"
 
     def gold_path(self, table: str) -> str:
+        if self.gold_root is None:
+            return self.silver_path(table)
         return f"{_folder(self.gold_root)}/{table}"
 
     @property

@@ -42,7 +42,8 @@ def _read(spark: SparkSession, root: str, table: str, text: str | None) -> DataF
 def stage_gold(spark: SparkSession, cfg: LakeConfig, row: dict) -> Snapshot:
     """Copy one Silver table below the Gold root, unseen by readers until a commit.
 
-    Folders that an earlier publication copied already are taken over as they are.
+    Folders that an earlier publication copied already are taken over as they are. In a
+    lake without a Gold root the Silver snapshot itself is what gets published.
     """
     table = row["table_name"]
     root = cfg.gold_path(table)
@@ -51,6 +52,8 @@ def stage_gold(spark: SparkSession, cfg: LakeConfig, row: dict) -> Snapshot:
     snapshot = Snapshot.from_json(row["silver"])
     if snapshot is None:
         raise ValueError(f"table {table!r} has no Silver data to publish")
+    if cfg.gold_root is None:
+        return snapshot
     return copy_snapshot(
         spark, cfg.silver_path(table), root, snapshot, Snapshot.from_json(row["gold"])
     )

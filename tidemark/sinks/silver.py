@@ -16,14 +16,7 @@ from tidemark.operators.merge import (
     upsert,
 )
 from tidemark.session import write_scratch
-from tidemark.sinks.versions import (
-    VERSION,
-    Snapshot,
-    folder,
-    partition_of,
-    read_snapshot,
-    write_version,
-)
+from tidemark.sinks.versions import FILE, FILE_ID, Snapshot, read_snapshot, write_version
 
 
 def create_silver(
@@ -36,49 +29,44 @@ def create_silver(
 def append_silver(table: Snapshot, batch: DataFrame, root: str) -> Snapshot:
     """Add the batch. Nothing that is there already is read or rewritten."""
     new = write_version(conform(batch, table.schema), root, table.partition_by)
-    return table.with_paths({*table.paths, *new.paths})
+    return table.with_folders([*table.folders, *new.folders])
 
 
 def overwrite_partitions(table: Snapshot, batch: DataFrame, root: str) -> Snapshot:
     """Replace the partitions that occur in the batch; the rest is kept as it lies."""
     new = write_version(conform(batch, table.schema), root, table.partition_by)
-    replaced = {partition_of(p) for p in new.paths}
-    kept = {p for p in table.paths if partition_of(p) not in replaced}
-    return table.with_paths({*kept, *new.paths})
+    replaced = {folder.partition for folder in new.folders}
+    kept = [folder for folder in table.folders if folder.partition not in replaced]
+    return table.with_folders([*kept, *new.folders])
 
 
 def merge_silver(
     table: Snapshot, batch: DataFrame, root: str, keys: Sequence[str]
 ) -> Snapshot:
-    """Upsert the batch by key, rewriting only folders that hold a matched row.
+    """Upsert the batch by key, rewriting only files that hold a matched row.
 
-    One pass over the target reads keys and partition columns alone. Its hits tell which
-    folders are to be rewritten, whether a key matches twice, and which batch rows are
-    inserts; all three need them, so they are written to the shared scratch folder.
-    Updated rows move to the partition of their new values, and a folder left without
-    rows drops out.
+    One pass over the target reads key columns alone, in the batch's key range. Its hits
+    tell which files are to be rewritten, whether a key matches twice, and which batch
+    rows are inserts; all three need them, so they are written to the shared scratch
+    folder. Updated rows move to the partition of their new values.
     """
     spark = batch.sparkSession
     batch = conform(batch, table.schema)
-    place = [VERSION, *table.partition_by]
-    wanted = names([*keys, *(c for c in place if c not in keys)])
-    target = read_snapshot(spark, root, table, with_version=True).select(*wanted)
-    target = target.filter(key_range(batch, keys))
+    target = read_snapshot(spark, root, table, extra=[FILE_ID])
+    target = target.select(*names([*keys, FILE_ID])).filter(key_range(batch, keys))
     # Hits are few and come from all tasks of the scan: gather them into few files.
     hits = matched_keys(target, batch, keys).hint("rebalance", *names(keys))
     hits = write_scratch(hits, "merge-hits")
     check_single_match(batch, hits, keys)
-    touched = {
-        folder(row, table.partition_by)
-        for row in hits.select(*names(place)).distinct().collect()
-    }
-    rows = upsert(
-        read_snapshot(spark, root, table.with_paths(touched)), batch, keys, hits
-    )
+    # Ids might collide: that adds a file to the rewrite and changes nothing else.
+    ids = [row[FILE_ID] for row in hits.select(FILE_ID).distinct().collect()]
+    old = read_snapshot(spark, root, table, file_ids=ids, extra=[FILE])
+    touched = [row[FILE] for row in old.select(FILE).distinct().collect()]
+    rows = upsert(old.drop(FILE), batch, keys, hits)
     # Cluster by partition to avoid a file per task and day; hot days are split by size.
     # The writer sorts by partition anyway; keys next make row groups skippable by key.
     rows = rows.hint("rebalance", *names(table.partition_by)).sortWithinPartitions(
         *names([*table.partition_by, *keys])
     )
     new = write_version(rows, root, table.partition_by)
-    return table.with_paths({*table.paths} - touched | {*new.paths})
+    return table.with_folders([*table.without_files(touched).folders, *new.folders])

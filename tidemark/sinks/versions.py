@@ -1,8 +1,9 @@
 """Immutable version folders: how one plain Parquet table takes changes safely.
 
 Every write goes to a new folder ``_version=<id>/<partitions>``. A :class:`Snapshot`
-names the partition folders that make up the table. Files are never changed in place, so
-a snapshot stays readable while the next one is built, and a failed write is not seen.
+names the partition folders that make up the table, and the files in them that a merge
+has replaced. Files are never changed in place, so a snapshot stays readable while the
+next one is built, and a failed write is not seen.
 """
 
 from __future__ import annotations
@@ -10,6 +11,7 @@ from __future__ import annotations
 import json
 import re
 import uuid
+from collections import defaultdict
 from collections.abc import Iterable, Sequence
 from dataclasses import dataclass
 
@@ -20,25 +22,49 @@ from pyspark.sql import types as T
 from tidemark.functions.scalars import all_nullable, name, names
 from tidemark.functions.stamps import DAY_COLUMNS
 
-# Names of the two folder levels above the partitions.
+# The two folder levels above the partitions, and columns for a row's file.
 VERSION = "_version"
 COPY = "_copy"
+FILE = "_file"
+FILE_ID = "_file_id"
+RESERVED = {VERSION, COPY, FILE, FILE_ID, "_metadata"}
+
+
+@dataclass(frozen=True)
+class Folder:
+    """A partition folder: how many of its files count, and the names of those that don't.
+
+    Files only ever drop out, so path and ``live`` together identify the content.
+    """
+
+    path: str
+    live: int
+    dropped: tuple[str, ...] = ()
+
+    @property
+    def partition(self) -> str:
+        """The partition part of the path, without the version."""
+        return self.path.split("/", 1)[1]
+
+    def without(self, files: Iterable[str]) -> Folder:
+        gone = sorted(files)
+        return Folder(self.path, self.live - len(gone), (*self.dropped, *gone))
 
 
 @dataclass(frozen=True)
 class Snapshot:
-    """Schema, partition columns and partition folders of a table at one moment."""
+    """Schema, partition columns and folders of a table at one moment."""
 
     schema: T.StructType
     partition_by: tuple[str, ...]
-    paths: tuple[str, ...]
+    folders: tuple[Folder, ...]
 
     def to_json(self) -> str:
         return json.dumps(
             {
                 "schema": self.schema.jsonValue(),
                 "partition_by": self.partition_by,
-                "paths": self.paths,
+                "folders": [[f.path, f.live, f.dropped] for f in self.folders],
             }
         )
 
@@ -50,41 +76,65 @@ class Snapshot:
         return cls(
             T.StructType.fromJson(value["schema"]),
             tuple(value["partition_by"]),
-            tuple(value["paths"]),
+            tuple(Folder(path, live, tuple(gone)) for path, live, gone in value["folders"]),
         )
 
-    def with_paths(self, paths: Iterable[str]) -> Snapshot:
-        return Snapshot(self.schema, self.partition_by, tuple(sorted(paths)))
-
+    def with_folders(self, folders: Iterable[Folder]) -> Snapshot:
+        ordered = tuple(sorted(folders, key=lambda f: f.path))
+        return Snapshot(self.schema, self.partition_by, ordered)
 
-def partition_of(path: str) -> str:
-    """The partition part of a folder, without its version."""
-    return path.split("/", 1)[1]
+    @property
+    def file_levels(self) -> int:
+        """Trailing parts of a file path: version, partitions, file name."""
+        return 2 + len(self.partition_by)
 
-
-def folder(row, partition_by: Sequence[str]) -> str:
-    """Folder of a row that holds the version and the partition values."""
-    parts = [f"{c}={row[c]}" for c in (VERSION, *partition_by)]
-    for part in parts:
-        if not re.fullmatch(r"\w+=[\w.\-]+", part):
-            raise ValueError(f"not usable as a partition folder: {part!r}")
-    return "/".join(parts)
+    def without_files(self, files: Iterable[str]) -> Snapshot:
+        """The snapshot without some files, given by their paths."""
+        gone = defaultdict(list)
+        for file in files:
+            *folder, file_name = file.split("/")[-self.file_levels :]
+            gone["/".join(folder)].append(file_name)
+        left = [f.without(gone[f.path]) if f.path in gone else f for f in self.folders]
+        return self.with_folders(f for f in left if f.live)
 
 
 def read_snapshot(
-    spark: SparkSession, root: str, snapshot: Snapshot, with_version: bool = False
+    spark: SparkSession,
+    root: str,
+    snapshot: Snapshot,
+    file_ids: Sequence[int] | None = None,
+    extra: Sequence[str] = (),
 ) -> DataFrame:
-    """The rows of a snapshot; partition filters prune its folders."""
-    if not snapshot.paths:
+    """The rows of a snapshot, or of some of its files.
+
+    Partition filters prune folders, and the conditions on files prune files, both before
+    anything is opened. ``extra`` may ask for ``_version``, the path of a row's ``_file``,
+    or its ``_file_id``, a number that is cheaper to shuffle.
+    """
+    if not snapshot.folders:
+        types = {VERSION: "string", FILE: "string", FILE_ID: "long"}
         empty = spark.createDataFrame([], snapshot.schema)
-        return empty.withColumn(VERSION, F.lit("")) if with_version else empty
+        return empty.withColumns({c: F.lit(None).cast(types[c]) for c in extra})
     schema = T.StructType([*snapshot.schema.fields, T.StructField(VERSION, T.StringType())])
     df = (
         spark.read.schema(schema)
         .option("basePath", root)
-        .parquet(*[f"{root}/{p}" for p in snapshot.paths])
+        .parquet(*[f"{root}/{folder.path}" for folder in snapshot.folders])
     )
-    return df.select(*names(snapshot.schema.names), *([name(VERSION)] if with_version else []))
+    file = F.col("_metadata.file_path")
+    file_id = F.xxhash64(file)
+    dropped = [f"{folder.path}/{gone}" for folder in snapshot.folders for gone in folder.dropped]
+    if dropped:
+        tail = F.substring_index(file, "/", -snapshot.file_levels)
+        df = df.filter(~tail.isin(dropped))
+    if file_ids is not None:
+        df = df.filter(file_id.isin(list(file_ids)))
+    columns = {
+        VERSION: name(VERSION),
+        FILE: file.alias(FILE),
+        FILE_ID: file_id.alias(FILE_ID),
+    }
+    return df.select(*names(snapshot.schema.names), *[columns[c] for c in extra])
 
 
 def write_version(
@@ -92,26 +142,35 @@ def write_version(
 ) -> Snapshot:
     """Write ``df`` as a new version, and return that version alone as a snapshot.
 
-    Which partitions came about is read back from the file footers, not by running
-    ``df`` a second time.
+    Which folders came about is read back from the file footers, not by running ``df``
+    a second time.
     """
-    taken = {VERSION, COPY} & set(df.columns)
+    taken = RESERVED & set(df.columns)
     if taken:
-        raise ValueError(f"column names reserved for folders: {sorted(taken)}")
-    spark = df.sparkSession
-    version = uuid.uuid4().hex[:16]
+        raise ValueError(f"reserved column names: {sorted(taken)}")
     schema = all_nullable(df.schema)
-    target = f"{root}/{VERSION}={version}"
-    df.write.partitionBy(*partition_by).parquet(target)
-    written = spark.read.schema(schema).parquet(target)
+    version = f"{VERSION}={uuid.uuid4().hex[:16]}"
+    df.write.partitionBy(*partition_by).parquet(f"{root}/{version}")
+    written = df.sparkSession.read.schema(schema).parquet(f"{root}/{version}")
     found = (
         written.groupBy(*names(partition_by))
-        .count()
-        .withColumn(VERSION, F.lit(version))
+        .agg(F.count_distinct("_metadata.file_path").alias("_live"))
         .collect()
     )
-    fixed = Snapshot(schema, tuple(partition_by), ())
-    return fixed.with_paths(folder(row, partition_by) for row in found)
+    folders = [
+        Folder("/".join([version, *_partition(row, partition_by)]), row["_live"])
+        for row in found
+    ]
+    return Snapshot(schema, tuple(partition_by), ()).with_folders(folders)
+
+
+def _partition(row, partition_by: Sequence[str]) -> list[str]:
+    """Folder names of one row's partition values."""
+    parts = [f"{column}={row[column]}" for column in partition_by]
+    for part in parts:
+        if not re.fullmatch(r"\w+=[\w.\-]+", part):
+            raise ValueError(f"not usable as a partition folder: {part!r}")
+    return parts
 
 
 def copy_snapshot(
@@ -123,16 +182,22 @@ def copy_snapshot(
 ) -> Snapshot:
     """Copy a snapshot below another root, into a new folder ``_copy=<id>``.
 
-    Folders of ``present``, an earlier copy, never change and are taken over instead of
-    being copied again. What a failed attempt leaves behind is not referred to.
+    Folders of ``present``, an earlier copy, that still have the same content are taken
+    over instead of being copied again. What a failed attempt leaves behind is not
+    referred to.
     """
-    done = {path.split("/", 1)[1]: path for path in present.paths} if present else {}
-    missing = [path for path in snapshot.paths if path not in done]
+    done = {}
+    for folder in present.folders if present else ():
+        done[folder.path.split("/", 1)[1], folder.live] = folder
+    missing = [f for f in snapshot.folders if (f.path, f.live) not in done]
     new = f"{COPY}={uuid.uuid4().hex[:16]}"
     if missing:
         rows = read_snapshot(
-            spark, source_root, snapshot.with_paths(missing), with_version=True
+            spark, source_root, snapshot.with_folders(missing), extra=[VERSION]
         )
         writer = rows.write.partitionBy(VERSION, *snapshot.partition_by)
         writer.parquet(f"{target_root}/{new}")
-    return snapshot.with_paths(done.get(p, f"{new}/{p}") for p in snapshot.paths)
+    return snapshot.with_folders(
+        done.get((f.path, f.live), Folder(f"{new}/{f.path}", f.live))
+        for f in snapshot.folders
+    )
