@@ -51,7 +51,7 @@ FROM feeds WHERE table_name = 'Customer#000000001'
     "key_list": FEEDS
     + """
 SELECT table_name, pos, key_col FROM (
-  SELECT table_name, unnest(ks) AS key_col, generate_subscripts(ks, 1) AS pos
+  SELECT table_name, unnest(ks) AS key_col, CAST(generate_subscripts(ks, 1) AS INTEGER) AS pos
   FROM (
     SELECT table_name, list_filter(
       list_transform(string_split(primary_keys, '|'), lambda k: trim(k)),

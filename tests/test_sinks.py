@@ -35,13 +35,23 @@ def test_scratch_is_below_the_configured_folder(spark):
 
 
 Fake = namedtuple("Fake", "conf sparkContext")
+Conf = namedtuple("Conf", "get")
+Context = namedtuple("Context", "master applicationId")
 
 
-def test_no_machine_local_folder_on_a_cluster():
-    conf = namedtuple("Conf", "get")(lambda key, default=None: default)
-    context = namedtuple("Context", "master")("spark://host:1")
+def without_setting(master):
+    return Fake(Conf(lambda key, default=None: default), Context(master, "app-1"))
+
+
+@pytest.mark.parametrize("master", ["spark://host:1", "yarn", "local-cluster[2,1,1024]"])
+def test_no_machine_local_folder_on_a_cluster(master):
     with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
-        shared_root(Fake(conf, context))
+        shared_root(without_setting(master))
+
+
+def test_a_local_session_without_the_setting_has_one_folder():
+    session = without_setting("local[8]")
+    assert shared_root(session) == shared_root(session)
 
 
 def test_catalog_table_is_created_partitioned(spark):

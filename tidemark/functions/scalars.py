@@ -48,6 +48,15 @@ def strict_literal(value: str, dtype: T.DataType, what: str) -> Column:
     return F.coalesce(F.lit(value).try_cast(dtype), F.raise_error(F.lit(message)))
 
 
+def is_among(expression: str, values: Sequence[str] | Sequence[int]) -> Column:
+    """``expression IN (values)``. One SQL text, as literal columns add up in long lists."""
+    texts = [
+        str(v) if isinstance(v, int) else "'" + v.replace("\\", "\\\\").replace("'", "\\'") + "'"
+        for v in values
+    ]
+    return F.expr(f"{expression} IN ({', '.join(texts)})") if texts else F.lit(False)
+
+
 def all_set(columns: Sequence[str]) -> Column:
     """True where every one of the columns has a value."""
     return reduce(lambda a, b: a & b, [name(c).isNotNull() for c in columns])

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -13,15 +14,19 @@ def shared_root(spark: SparkSession) -> str:
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         return configured.rstrip("/")
-    if spark.sparkContext.master.startswith("local"):
-        root = tempfile.mkdtemp(prefix="tidemark-")
-        spark.conf.set("spark.checkpoint.dir", root)
-        return root
+    context = spark.sparkContext
+    if context.master.startswith("local") and "cluster" not in context.master:
+        return _local_root(context.applicationId)
     raise RuntimeError(
         "set spark.checkpoint.dir to a folder that every executor can reach"
     )
 
 
+@cache
+def _local_root(application: str) -> str:
+    return tempfile.mkdtemp(prefix="tidemark-")
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path below the shared scratch folder."""
     return f"{shared_root(spark)}/{name}-{uuid.uuid4().hex[:12]}"

@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.functions.scalars import all_nullable, name, names
+from tidemark.functions.scalars import all_nullable, is_among, name, names
 from tidemark.functions.stamps import DAY_COLUMNS
 
 # The two folder levels above the partitions, and columns for a row's file.
@@ -121,18 +121,18 @@ def read_snapshot(
         .option("basePath", root)
         .parquet(*[f"{root}/{folder.path}" for folder in snapshot.folders])
     )
-    file = F.col("_metadata.file_path")
-    file_id = F.xxhash64(file)
+    file = "_metadata.file_path"
+    file_id = f"xxhash64({file})"
     dropped = [f"{folder.path}/{gone}" for folder in snapshot.folders for gone in folder.dropped]
     if dropped:
-        tail = F.substring_index(file, "/", -snapshot.file_levels)
-        df = df.filter(~tail.isin(dropped))
+        tail = f"substring_index({file}, '/', {-snapshot.file_levels})"
+        df = df.filter(~is_among(tail, dropped))
     if file_ids is not None:
-        df = df.filter(file_id.isin(list(file_ids)))
+        df = df.filter(is_among(file_id, file_ids))
     columns = {
         VERSION: name(VERSION),
-        FILE: file.alias(FILE),
-        FILE_ID: file_id.alias(FILE_ID),
+        FILE: F.expr(file).alias(FILE),
+        FILE_ID: F.expr(file_id).alias(FILE_ID),
     }
     return df.select(*names(snapshot.schema.names), *[columns[c] for c in extra])
 
