@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from tests.conftest import DAY_1, DAY_2, data_files, plan, rows
 from tidemark.operators.rows import day_slice, enrich
 from tidemark.sinks.bronze import write_bronze
-from tidemark.sources.bronze import read_bronze
+from tidemark.sources.bronze import landed_days, of_days, read_bronze
 
 
 def test_envelope_is_one_utc_time(spark):
@@ -94,6 +94,26 @@ def test_one_day_is_opened_by_its_folder(spark, tmp_path):
     assert len(day.inputFiles()) > 0
 
 
+def test_landed_days_change_with_their_files(spark, tmp_path):
+    path = str(tmp_path / "t")
+    write_bronze(enrich(spark.range(3), DAY_1), path, "append")
+    write_bronze(enrich(spark.range(5), DAY_2), path, "append")
+    first, second = "year=2026/month=01/day=01", "year=2026/month=01/day=02"
+    before = landed_days(spark, path)
+    assert set(before) == {first, second} and before == landed_days(spark, path)
+    write_bronze(enrich(spark.range(5), DAY_2), path, "overwrite")
+    after = landed_days(spark, path)
+    assert after[first] == before[first] and after[second] != before[second]
+    write_bronze(enrich(spark.range(1), DAY_1), path, "append")
+    assert landed_days(spark, path)[first] != after[first]
+
+    some = of_days(read_bronze(spark, path), [second])
+    assert some.count() == 5
+    text = plan(some)
+    assert "PartitionFilters: [concat(year=" in text or "PartitionFilters: [(concat(year=" in text
+    assert of_days(read_bronze(spark, path), []).isEmpty()
+
+
 def test_a_day_without_data_is_empty(spark, tmp_path):
     path = str(tmp_path / "t")
     write_bronze(enrich(spark.range(3), DAY_1), path, "append")

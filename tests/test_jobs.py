@@ -12,8 +12,11 @@ from tests.conftest import DAY_1, DAY_2, at, data_files, rows
 from tidemark import curate, ingest, publish_ready, read_gold, read_silver
 from tidemark.operators.control import ControlError
 from tidemark.operators.merge import MergeConflict
+from tidemark.operators.rows import enrich
 from tidemark.plans import publish as publish_module
 from tidemark.plans.results import DONE, EMPTY
+from tidemark.sinks.bronze import write_bronze
+from tidemark.sinks.versions import Snapshot
 from tidemark.sources.bronze import read_bronze
 
 EVENTS = ("events", "INCREMENTAL", None, "ts", "event_id", "00")
@@ -161,6 +164,44 @@ def test_full_load_keeps_a_copy_per_day_or_replaces(spark, lake, load):
         curate(spark, lake.cfg, "customer", DAY_2, full_mode="other")
 
 
+def test_full_load_folds_changed_days_only(spark, lake, load):
+    customer = load("customer")
+    lake.create(CUSTOMER)
+    day_3 = datetime(2026, 1, 3)
+    run(lake, "customer", customer, DAY_1)
+    run(lake, "customer", customer, DAY_2)
+
+    def folders():
+        snapshot = Snapshot.from_json(lake.state.lookup("customer")["silver"])
+        return {f.path for f in snapshot.folders}
+
+    two_days = folders()
+    run(lake, "customer", customer, day_3)
+    assert len(folders() & two_days) == 2 and len(folders()) == 3
+    three_days = folders()
+    curate(spark, lake.cfg, "customer", day_3)
+    assert folders() == three_days
+
+    # Landed again, appended to, or changed in Silver: folded again.
+    ingest(spark, lake.showing(customer=customer.limit(7)), "customer", DAY_2)
+    write_bronze(
+        enrich(customer.limit(3), DAY_1), lake.cfg.bronze_path("customer"), "append"
+    )
+    curate(spark, lake.cfg, "customer", day_3)
+    assert len(folders() & three_days) == 1
+    counts = read_silver(spark, lake.cfg, "customer").groupBy("day").count()
+    assert rows(counts) == [("01", 153), ("02", 7), ("03", 150)]
+
+    lake.set("customer", load_type="INCREMENTAL")
+    changed = customer.filter("c_custkey = 1").withColumn("c_name", F.lit("changed"))
+    run(lake, "customer", changed, datetime(2026, 1, 4))
+    lake.set("customer", load_type="FULL")
+    curate(spark, lake.cfg, "customer", day_3)
+    silver = read_silver(spark, lake.cfg, "customer")
+    bronze = read_bronze(spark, lake.cfg.bronze_path("customer"))
+    assert silver.exceptAll(bronze).isEmpty() and bronze.exceptAll(silver).isEmpty()
+
+
 def test_full_load_then_keyed_updates_reach_every_copy(spark, lake, load):
     """Two full copies, then an upsert: MERGE updates each target row that matches."""
     region = load("region")

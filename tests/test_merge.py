@@ -48,7 +48,7 @@ def as_sorted(tuples):
     return sorted(tuples, key=lambda t: [(v is not None, str(v)) for v in t])
 
 
-@settings(max_examples=12, deadline=None)
+@settings(max_examples=8, deadline=None)
 @given(
     target=st.lists(row, max_size=12),
     source=st.lists(row, max_size=8),
@@ -68,7 +68,7 @@ def test_upsert_is_merge(spark, target, source, keys):
         assert as_sorted(got) == as_sorted(expected)
 
 
-@settings(max_examples=8, deadline=None)
+@settings(max_examples=5, deadline=None)
 @given(
     target=st.lists(row, min_size=1, max_size=12),
     source=st.lists(row, max_size=8),
@@ -230,7 +230,7 @@ def test_colliding_file_ids_only_add_to_the_rewrite(spark, tmp_path, monkeypatch
 batch_rows = st.lists(st.tuples(st.integers(0, 30), st.integers(0, 2)), max_size=8)
 
 
-@settings(max_examples=4, deadline=None)
+@settings(max_examples=3, deadline=None)
 @given(first=batch_rows, later=st.lists(batch_rows, min_size=3, max_size=3))
 def test_many_merges_and_publications(spark, tmp_path_factory, first, later):
     """A table and its copy follow a plain dictionary through merge after merge."""

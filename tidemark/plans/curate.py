@@ -22,7 +22,7 @@ from tidemark.sinks.silver import (
     overwrite_partitions,
 )
 from tidemark.sinks.versions import Snapshot
-from tidemark.sources.bronze import read_bronze
+from tidemark.sources.bronze import landed_days, of_days, read_bronze
 from tidemark.sources.extract import FULL, checked_load_type
 from tidemark.state import StateLog
 
@@ -39,7 +39,8 @@ def curate(
 
     Incremental tables take the day of ``run_ts`` and upsert it by their keys, or append
     it if they have none. Full tables take every landed day and replace the partitions
-    found; ``full_mode="replace"`` takes the run day alone as the whole table.
+    found; days that Silver already holds unchanged are left as they are, with the same
+    result. ``full_mode="replace"`` takes the run day alone as the whole table.
     ``dedupe_order`` keeps the first row per key of a batch that delivers keys twice.
     """
     if full_mode not in ("partitions", "replace"):
@@ -50,9 +51,14 @@ def curate(
     keys = [] if full else control["keys"]
 
     every_day = full and full_mode == "partitions"
-    batch = read_bronze(
-        spark, cfg.bronze_path(table), run_ts=None if every_day else run_ts
-    )
+    bronze_path = cfg.bronze_path(table)
+    present = Snapshot.from_json(control["silver"])
+    batch = read_bronze(spark, bronze_path, run_ts=None if every_day else run_ts)
+    landed = {}
+    if every_day and not cfg.silver_catalog:
+        landed = landed_days(spark, bronze_path)
+        folded = present.sources() if present else {}
+        batch = of_days(batch, [day for day in landed if folded.get(day) != landed[day]])
     missing = [k for k in keys if resolve(k, batch.columns) is None]
     if missing:
         raise ValueError(f"primary_keys of {table} that it does not have: {missing}")
@@ -66,8 +72,8 @@ def curate(
         _fold_into_catalog(spark, cfg, table, batch, keys, full, replace)
         changes = {}
     else:
-        present = Snapshot.from_json(control["silver"])
-        new = _fold(present, batch, cfg.silver_path(table), keys, full, replace)
+        root = cfg.silver_path(table)
+        new = _fold(present, batch, root, keys, full, replace, landed)
         changes = {"silver": {table: new.to_json()}}
 
     moved = state.commit(
@@ -83,13 +89,14 @@ def _fold(
     keys: list[str],
     full: bool,
     replace: bool,
+    landed: dict[str, str],
 ) -> Snapshot:
     if present is None:
-        return create_silver(batch, root)
+        return create_silver(batch, root, sources=landed)
     if replace:
         return create_silver(conform(batch, present.schema), root)
     if full:
-        return overwrite_partitions(present, batch, root)
+        return overwrite_partitions(present, batch, root, landed)
     if keys:
         return merge_silver(present, batch, root, keys)
     return append_silver(present, batch, root)

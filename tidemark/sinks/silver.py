@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
+from types import MappingProxyType
 
 from pyspark.sql import DataFrame
 
@@ -20,10 +21,13 @@ from tidemark.sinks.versions import FILE, FILE_ID, Snapshot, read_snapshot, writ
 
 
 def create_silver(
-    batch: DataFrame, root: str, partition_by: Sequence[str] = DAY_COLUMNS
+    batch: DataFrame,
+    root: str,
+    partition_by: Sequence[str] = DAY_COLUMNS,
+    sources: Mapping[str, str] = MappingProxyType({}),
 ) -> Snapshot:
     """A table that is exactly this batch; its schema is fixed from here on."""
-    return write_version(batch, root, partition_by)
+    return write_version(batch, root, partition_by).with_sources(sources)
 
 
 def append_silver(table: Snapshot, batch: DataFrame, root: str) -> Snapshot:
@@ -32,9 +36,15 @@ def append_silver(table: Snapshot, batch: DataFrame, root: str) -> Snapshot:
     return table.with_folders([*table.folders, *new.folders])
 
 
-def overwrite_partitions(table: Snapshot, batch: DataFrame, root: str) -> Snapshot:
+def overwrite_partitions(
+    table: Snapshot,
+    batch: DataFrame,
+    root: str,
+    sources: Mapping[str, str] = MappingProxyType({}),
+) -> Snapshot:
     """Replace the partitions that occur in the batch; the rest is kept as it lies."""
     new = write_version(conform(batch, table.schema), root, table.partition_by)
+    new = new.with_sources(sources)
     replaced = {folder.partition for folder in new.folders}
     kept = [folder for folder in table.folders if folder.partition not in replaced]
     return table.with_folders([*kept, *new.folders])

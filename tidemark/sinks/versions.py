@@ -11,9 +11,9 @@ from __future__ import annotations
 import json
 import re
 import uuid
-from collections import defaultdict
-from collections.abc import Iterable, Sequence
-from dataclasses import dataclass
+from collections import Counter, defaultdict
+from collections.abc import Iterable, Mapping, Sequence
+from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -35,11 +35,13 @@ class Folder:
     """A partition folder: how many of its files count, and the names of those that don't.
 
     Files only ever drop out, so path and ``live`` together identify the content.
+    ``source`` tells what the folder is a whole and unchanged copy of, if known.
     """
 
     path: str
     live: int
     dropped: tuple[str, ...] = ()
+    source: str = ""
 
     @property
     def partition(self) -> str:
@@ -64,7 +66,7 @@ class Snapshot:
             {
                 "schema": self.schema.jsonValue(),
                 "partition_by": self.partition_by,
-                "folders": [[f.path, f.live, f.dropped] for f in self.folders],
+                "folders": [[f.path, f.live, f.dropped, f.source] for f in self.folders],
             }
         )
 
@@ -76,13 +78,24 @@ class Snapshot:
         return cls(
             T.StructType.fromJson(value["schema"]),
             tuple(value["partition_by"]),
-            tuple(Folder(path, live, tuple(gone)) for path, live, gone in value["folders"]),
+            tuple(Folder(p, live, tuple(gone), src) for p, live, gone, src in value["folders"]),
         )
 
     def with_folders(self, folders: Iterable[Folder]) -> Snapshot:
         ordered = tuple(sorted(folders, key=lambda f: f.path))
         return Snapshot(self.schema, self.partition_by, ordered)
 
+    def with_sources(self, sources: Mapping[str, str]) -> Snapshot:
+        """The snapshot with the ``source`` of its folders given by partition."""
+        return self.with_folders(
+            replace(f, source=sources.get(f.partition, "")) for f in self.folders
+        )
+
+    def sources(self) -> dict[str, str]:
+        """``source`` by partition, for partitions that consist of one folder."""
+        count = Counter(f.partition for f in self.folders)
+        return {f.partition: f.source for f in self.folders if count[f.partition] == 1}
+
     @property
     def file_levels(self) -> int:
         """Trailing parts of a file path: version, partitions, file name."""

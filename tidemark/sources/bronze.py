@@ -7,9 +7,11 @@ from datetime import datetime
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.functions.stamps import DAY_COLUMNS, day_folder, day_parts
+from tidemark.functions.scalars import is_among
+from tidemark.functions.stamps import DAY_COLUMNS, DAY_FOLDER, day_folder, day_parts
 from tidemark.operators.rows import day_slice
 
 
@@ -52,3 +54,22 @@ def read_bronze(
     if schema is None:
         schema = spark.read.parquet(path).schema
     return spark.read.schema(text_partitions(schema)).parquet(path)
+
+
+def landed_days(spark: SparkSession, path: str) -> dict[str, str]:
+    """Every landed day by its folder, with a mark that changes when its files change.
+
+    Reads file names and row counts, no columns. Names are unique to the job that wrote
+    the file, so the same names are the same files.
+    """
+    files = read_bronze(spark, path).select(*DAY_COLUMNS, "_metadata.file_name").distinct()
+    names = F.concat_ws(
+        "-", F.count(F.lit(1)), F.bit_xor(F.xxhash64("file_name"))
+    ).alias("mark")
+    days = files.groupBy(F.expr(DAY_FOLDER).alias("folder")).agg(names).collect()
+    return {row.folder: row.mark for row in days}
+
+
+def of_days(bronze: DataFrame, folders: Sequence[str]) -> DataFrame:
+    """Rows of some days, given by folder; other folders are pruned."""
+    return bronze.filter(is_among(DAY_FOLDER, folders))
