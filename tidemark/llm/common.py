@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+import sys
+import types
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 # The columns of `documents`, and words as the contracts define them.
@@ -28,6 +30,13 @@ def remainder(column: Column, divisor: int) -> Column:
     return F.crc32(column.cast("string")) % divisor
 
 
+def distinct_documents(docs: DataFrame) -> DataFrame:
+    """The columns of `documents` and text_hash, one row per doc_id and text."""
+    keyed = docs.select(*DOCUMENT_COLUMNS, F.xxhash64(text_of(docs)).alias("text_hash"))
+    one = Window.partitionBy("doc_id", "text_hash").orderBy("doc_id", "text_hash")
+    return keyed.withColumn("_nth", F.row_number().over(one)).filter("_nth = 1").drop("_nth")
+
+
 def root_buckets(rows: int) -> int:
     """About as many buckets as a bucket has rows, so that neither level of two grows large."""
     return max(1, math.isqrt(max(rows, 1)))
@@ -45,6 +54,14 @@ def runs(texts: list[str], budget: int) -> Iterator[tuple[int, int]]:
         yield begin, len(texts)
 
 
+def per_worker(name: object, make: Callable):
+    """What ``make`` gives, made once per Python worker and kept between its tasks."""
+    kept = sys.modules.setdefault("_tidemark_worker", types.ModuleType("_tidemark_worker")).__dict__
+    if name not in kept:
+        kept[name] = make()
+    return kept[name]
+
+
 def batch(schema: pa.Schema, **columns) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(
         [pa.array(columns[f.name], type=f.type) for f in schema], schema=schema

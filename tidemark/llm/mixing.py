@@ -29,11 +29,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import DOCUMENT_COLUMNS, WORD, batch, root_buckets, text_of
+from tidemark.llm.common import DOCUMENT_COLUMNS, WORD, batch, distinct_documents, root_buckets, text_of
 from tidemark.session import write_scratch
 
 SLOTS = "shard long, slot long, source_ix int, epoch int, block long"
 
+TASK_SLOTS = 500_000
+
 
 @dataclass
 class Source:
@@ -149,25 +151,26 @@ class Mix:
 
         def place(rows: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             for pdf in rows:
-                for r in pdf.itertuples(index=False):
-                    n = blocks[r.source_ix]
-                    number = np.arange(r.first, min(r.first + r.n, most * n), dtype=np.int64)
-                    if not len(number):
-                        continue
-                    epoch, block = number // n, np.empty(len(number), np.int64)
-                    for e in np.unique(epoch):
-                        now = epoch == e
-                        key = (seed * 1_000_003 + r.source_ix) * 1_000 + int(e)
-                        block[now] = permuted(number[now] % n, n, key)
-                    yield pd.DataFrame(
-                        {
-                            "shard": r.shard,
-                            "slot": r.slot + np.arange(len(number)),
-                            "source_ix": np.int32(r.source_ix),
-                            "epoch": epoch.astype(np.int32),
-                            "block": block,
-                        }
-                    )
+                n = pdf["n"].to_numpy()
+                at = np.repeat(np.arange(len(pdf)), n)
+                nth = np.arange(len(at)) - np.repeat(np.cumsum(n) - n, n)
+                source = pdf["source_ix"].to_numpy()[at]
+                size = np.array(blocks)[source]
+                number = pdf["first"].to_numpy()[at] + nth
+                epoch, index, block = number // size, number % size, np.zeros(len(at), np.int64)
+                for ix, e in np.unique(np.column_stack([source, epoch]), axis=0).tolist():
+                    now = (source == ix) & (epoch == e)
+                    block[now] = permuted(index[now], blocks[ix], (seed * 1_000_003 + ix) * 1_000 + e)
+                drawn = pd.DataFrame(
+                    {
+                        "shard": pdf["shard"].to_numpy()[at],
+                        "slot": pdf["slot"].to_numpy()[at] + nth,
+                        "source_ix": source.astype(np.int32),
+                        "epoch": epoch.astype(np.int32),
+                        "block": block,
+                    }
+                )
+                yield drawn[epoch < most]
 
         shards = math.ceil(total / per)
         counts = self.spark.range(shards).mapInPandas(draw, "shard long, source_ix int, n long")
@@ -177,7 +180,9 @@ class Mix:
             "*",
             F.coalesce(F.sum("n").over(before.partitionBy("source_ix")), F.lit(0)).alias("first"),
         ).withColumn("slot", F.coalesce(F.sum("n").over(inside), F.lit(0)))
-        return numbered.mapInPandas(place, SLOTS)
+        tasks = max(int(self.spark.conf.get("spark.sql.shuffle.partitions")), math.ceil(total / TASK_SLOTS))
+        # Written: the plan can't know how many rows the draws give, and would broadcast them.
+        return write_scratch(numbered.repartition(tasks, "shard").mapInPandas(place, SLOTS), "mix-slots")
 
     def spans(self) -> DataFrame:
         """Each document with words: its place in the stream of its source."""
@@ -253,13 +258,7 @@ def mixed_documents(docs: DataFrame, **options) -> DataFrame:
         .agg(F.collect_list(F.struct("start", "epoch", "from_word", "words")).alias("pieces"))
         .select(F.col("doc_id").alias("d"), F.col("text_hash").alias("h"), "size", "pieces")
     )
-    text = text_of(docs)
-    keyed = docs.select(*DOCUMENT_COLUMNS, F.xxhash64(text).alias("text_hash"))
-    once = (
-        keyed.withColumn("nth", F.row_number().over(Window.partitionBy("doc_id", "text_hash").orderBy("doc_id", "text_hash")))
-        .filter("nth = 1")
-        .drop("nth")
-    )
+    once = distinct_documents(docs)
     joined = once.join(
         pieces, once["doc_id"].eqNullSafe(F.col("d")) & (once["text_hash"] == F.col("h"))
     ).drop("d", "h", "text_hash")

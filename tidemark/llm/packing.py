@@ -14,8 +14,11 @@ give no rows. Other columns of the input are ignored.
 
 from __future__ import annotations
 
+import json
 import math
+import os
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -25,7 +28,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import batch, text_of
+from tidemark.llm.common import batch, per_worker, text_of
 
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
 _CUT = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, group long, ids binary"
@@ -41,8 +44,9 @@ _CUT_ARROW = pa.schema(
     ]
 )
 LONG_WORD = 64
-KNOWN_WORDS = 1_000_000
-SPACE = " \t\n\x0b\x0c\r"
+KNOWN_WORDS = 500_000
+# Signs that a split into runs of letters, single digits and runs of other signs parts from a letter.
+TAIL = b".,;:!?|%$#*&"
 
 
 def crc(ids: np.ndarray) -> int:
@@ -53,34 +57,67 @@ class WordTokens:
     """Ids of texts as bytes, tokenising each distinct chunk between white space once.
 
     Holds for tokenizers that normalise and split chunks between ASCII white space independently
-    of each other and drop white space. The number of remembered chunks is bounded.
+    of each other and drop white space. If the tokenizer lower-cases and parts letters from other signs,
+    chunks that differ in case or in trailing signs share their tokenisation too; texts with a special
+    token's string don't. At most ``KNOWN_WORDS`` chunks are remembered.
     """
 
     def __init__(self, tokenizer_json: str):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_str(tokenizer_json)
         self.kind = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 65536 else "<u4")
         self.known: dict[bytes, bytes] = {}
-
-    def _learn(self, chunks: list[bytes]) -> list[bytes]:
-        found = []
-        for begin in range(0, len(chunks), 20_000):
-            some = [c.decode() for c in chunks[begin : begin + 20_000]]
-            for encoding in self.tokenizer.encode_batch_fast(some, add_special_tokens=False):
-                found.append(np.array(encoding.ids, self.kind).tobytes())
+        given = json.loads(tokenizer_json)
+        self.special = [t["content"].lower().encode() for t in given["added_tokens"]]
+        normalizers = json.dumps(given["normalizer"])
+        pattern = json.dumps(given["pre_tokenizer"])
+        self.shares = '"Lowercase"' in normalizers and json.dumps(r"[^\s\p{L}\p{N}]+")[1:-1] in pattern
+
+    def _encoded(self, chunks: list[bytes]) -> dict[bytes, bytes]:
+        found = {}
+        code = "H" if self.kind.itemsize == 2 else "I"
+        for begin in range(0, len(chunks), 5_000):
+            some = chunks[begin : begin + 5_000]
+            made = self.tokenizer.encode_batch_fast([c.decode() for c in some], add_special_tokens=False)
+            found.update(zip(some, (array(code, e.ids).tobytes() for e in made), strict=True))
         return found
 
-    def __call__(self, texts: list[str]) -> Iterator[np.ndarray]:
-        split = [t.encode().split() for t in texts]
-        if len(self.known) > KNOWN_WORDS:
-            self.known.clear()
-        new = list({w for words in split for w in words if w not in self.known})
-        short = [w for w in new if len(w) <= LONG_WORD]
-        self.known.update(zip(short, self._learn(short), strict=True))
-        long = [w for w in new if len(w) > LONG_WORD]
-        here = dict(zip(long, self._learn(long), strict=True)) if long else {}
+    def _learn(self, chunks: list[bytes], share: bool) -> dict[bytes, bytes]:
+        """The ids of new chunks."""
+        if not share:
+            return self._encoded(chunks)
+        parts = {}
+        for chunk in chunks:
+            low = chunk.lower()
+            head = low.rstrip(TAIL)
+            if head and len(head) < len(low) and 97 <= head[-1] <= 122:
+                parts[chunk] = head, low[len(head) :]
+            else:
+                parts[chunk] = low, b""
+        wanted = {p for pair in parts.values() for p in pair if p and p not in self.known}
+        made = self._encoded(list(wanted))
+        made[b""] = b""
         known = self.known
+        return {c: (made[h] if h in made else known[h]) + (made[t] if t in made else known[t]) for c, (h, t) in parts.items()}
+
+    def __call__(self, texts: list[str]) -> Iterator[np.ndarray]:
+        for begin in range(0, len(texts), 250):
+            yield from self._some(texts[begin : begin + 250])
+
+    def _some(self, texts: list[str]) -> Iterator[np.ndarray]:
+        raw = [t.encode() for t in texts]
+        split = [r.split() for r in raw]
+        known, here = self.known, {}
+        new = {w for words in split for w in words if w not in known}
+        plain = self.shares
+        if plain and any(s in r.lower() for r in raw for s in self.special):
+            plain = False
+        if new:
+            here = self._learn(list(new), plain)
+            if len(known) < KNOWN_WORDS:
+                known.update((w, ids) for w, ids in here.items() if len(w) <= LONG_WORD)
         for words in split:
             if here:
                 parts = [known[w] if w in known else here[w] for w in words]
@@ -93,7 +130,7 @@ def tokenise(docs: DataFrame, tokenizer_json: str, length: int, end_id: int, gro
     """Whole pieces of ``length`` ids, and remainders with their ids, with the group of each."""
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokens = WordTokens(tokenizer_json)
+        tokens = per_worker(("tokens", tokenizer_json), lambda: WordTokens(tokenizer_json))
         for got in batches:
             for begin in range(0, got.num_rows, 1000):
                 some = got.slice(begin, 1000)

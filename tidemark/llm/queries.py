@@ -5,8 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tidemark.llm.common import documents
+from tidemark.llm import ann, chat, langid, lm, pii, simhash, sketch, toxicity
+from tidemark.llm.common import documents, remainder
 from tidemark.llm.mixing import mix
 from tidemark.llm.packing import pack
 
@@ -27,11 +29,68 @@ def word_tokenizer() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+@query
+def op1_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.find(documents(spark, sf_dir))
+
+
+@query
+def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.components(documents(spark, sf_dir), words=3, distance=3, seed=42)
+
+
+@query
+def op3_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    rest = remainder(docs["doc_id"], 5)
+    model = langid.learn(docs.filter(rest != 0), F.col("lang"))
+    asked = docs.select("doc_id", F.coalesce(rest == 0, F.lit(False)).alias("held_out"), "text")
+    return langid.predict(asked, model, ["doc_id", "held_out"])
+
+
+@query
+def op4_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = spark.read.parquet(f"{sf_dir}/embeddings.parquet")
+    return ann.search(vectors, F.col("id") % 50 == 0, k=5, bits=64, radius=29)
+
+
 @query
 def op5_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix(documents(spark, sf_dir))
 
 
+@query
+def op6_sketch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sketch.fingerprints(documents(spark, sf_dir))
+
+
+@query
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet").select("doc_id", F.col("toxic").alias("label"))
+    scorer = toxicity.learn(docs, labels.filter(remainder(F.col("doc_id"), 4) != 2))
+    held_out = F.coalesce(remainder(docs["doc_id"], 4) == 2, F.lit(False))
+    return toxicity.score(docs.select("doc_id", held_out.alias("held_out"), "text"), scorer, threshold=0.3)
+
+
+@query
+def op8_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    conversations = spark.read.parquet(f"{sf_dir}/conversations.parquet")
+    return chat.digests(chat.format_conversations(conversations))
+
+
+ORACLES["op8_chat"] = chat.DIGESTS_SQL
+
+
+@query
+def op9_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    rest = remainder(docs["doc_id"], 5)
+    model = lm.learn(docs.filter(rest != 1))
+    held_out = F.coalesce(rest == 1, F.lit(False))
+    return lm.score(docs.select("doc_id", held_out.alias("held_out"), "text"), model)
+
+
 @query
 def op10_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(documents(spark, sf_dir), word_tokenizer())
