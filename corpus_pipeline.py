@@ -11,6 +11,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tidemark.llm import langid, pii, simhash
 from tidemark.llm.mixing import mixed_documents
 from tidemark.llm.packing import pack
 from tidemark.llm.queries import word_tokenizer
@@ -19,15 +20,35 @@ from tidemark.session import scratch_path
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
+def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keeps documents that have a language with half of their letters; fills in a null lang."""
+    return langid.identified(docs, langid.learn(docs, docs["lang"]))
+
+
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keeps one document of each component of three-word SimHashes at most three bits apart."""
+    return simhash.first_of_each(docs, words=3, distance=3, seed=42)
+
+
+def redact_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Replaces personal data by its kind; keeps every document."""
+    return pii.redact(docs)
+
+
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keeps the words that the mix of sources takes, once for each time it takes them."""
     return mixed_documents(docs)
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The pieces of training sequences."""
     return pack(docs, word_tokenizer())
 
 
 STAGES: list[tuple[str, Stage]] = [
+    ("language", identify_language),
+    ("near_copies", drop_near_copies),
+    ("personal_data", redact_personal_data),
     ("mixing", mix_sources),
     ("packing", pack_sequences),
 ]
