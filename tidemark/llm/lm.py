@@ -1,16 +1,18 @@
 """N-gram language-model scores from log-frequency Bloom filters.
 
 Training texts' words (A-Z lower-cased, white-space separated) and one end per text are counted, all of
-them. A filter holds, for an n-gram seen c times, one item for each level 1 to floor(log2 c), so a
-membership probe for level 1, 2, ... until the first miss reads the count's logarithm back. One
-filter holds words, another holds bigrams of words both seen ``2 ** bigram_level`` times or more. They are
-broadcast and probed by the scoring tasks:
+them. Counts are quantised to levels that grow as the logarithm. A filter holds, for an n-gram of level
+q, one item for each level 1 to q, so membership probes for level 1, 2, ... until the first miss read the
+level back. One filter holds words, another bigrams seen twice or more of words both seen ``often`` times or
+more. They are broadcast and probed by the scoring tasks:
 
-    P(w) = (c(w) + 0.5) / (N + 0.5 (V + 1)),  P(w | v) = (c(v w) + mu P(w)) / (c(v) + mu)
+    P(w) = (c(w) + 0.5) / (N + 0.5 (V + 1)),  P(w | v) = a c(v w) / c(v) + (1 - a) P(w)
 
-with quantised counts, and P(w) alone after a rarer v. A filter has ``bits_per_item`` bits per item
-up to ``max_bits``; beyond that only higher counts are held (the least level rises), so
-what is broadcast has a bound.
+with quantised counts, N their sum, and P(w) alone where v or w is rarer. The weight a is, of ``WEIGHTS``, the one
+that makes the training texts likeliest when each token's own occurrence is left out of the counts;
+about ``tuning_texts`` texts (the smallest hashes) decide. A filter has ``bits_per_item`` bits per item up to
+``max_bits``; beyond that only higher counts are held (the least level rises), so what is broadcast
+has a bound.
 
 The base score needs exact counts. Words with at least N / 2**18 occurrences, at most 2**18 of them, are
 broadcast; the other words of each text are joined with the counts. Words are identified by
@@ -81,8 +83,21 @@ def tokens(texts: list[str]) -> tuple[np.ndarray, list[bytes], np.ndarray]:
 # ---- the filter --------------------------------------------------------------------
 
 
+def _steps() -> np.ndarray:
+    """The least count of each level: 1, 2, 3, ... and then each a fifth more."""
+    steps = [1]
+    while steps[-1] < 1 << 60:
+        steps.append(max(steps[-1] + 1, steps[-1] * 6 // 5))
+    return np.array(steps, np.int64)
+
+
+STEPS = _steps()
+MIDDLES = np.append(0.0, np.sqrt(STEPS[:-1].astype(float) * (STEPS[1:] - 1)))  # by level
+
+
 def levels(counts: np.ndarray) -> np.ndarray:
-    return np.floor(np.log2(np.maximum(counts, 1)) + 1e-9).astype(np.int64)
+    """How many of STEPS a count reaches."""
+    return np.searchsorted(STEPS, counts, "right")
 
 
 def _positions(keys: np.ndarray, level: int) -> Iterator[np.ndarray]:
@@ -120,18 +135,21 @@ class LogFilter:
 
     def count(self, keys: np.ndarray) -> np.ndarray:
         """Quantised counts: the middle of a level on the log scale; 0 if not held."""
-        level = self.level(keys)
-        return np.where(level > 0, 2.0**level * 1.4142, 0.0)
+        return MIDDLES[self.level(keys)]
 
 
-def build_filter(counts: DataFrame, bits_per_item: int, max_bits: int) -> LogFilter:
-    """A filter of columns key, n; each segment is made by one task."""
-    spark = counts.sparkSession
-    level = F.floor(F.log2(F.col("n")) + F.lit(1e-9)).cast("int")
-    held = counts.filter("n >= 2").select("key", level.alias("level"))
+def build_filter(counts: DataFrame, bits_per_item: int, max_bits: int) -> tuple[LogFilter, float]:
+    """A filter of columns key, n, each segment made by one task; and the sum of quantised counts."""
+
+    def quantise(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for got in batches:
+            yield batch(_LEVELS, key=got["key"], level=levels(got["n"].to_numpy()).astype(np.int32))
+
+    held = counts.select("key", "n").mapInArrow(quantise, "key long, level int")
     sizes = {r["level"]: r["n"] for r in held.groupBy("level").agg(F.count("*").alias("n")).collect()}
     if not sizes:
-        return LogFilter(np.zeros((0, SEGMENT_BITS // 8), np.uint8), 1, 0)
+        return LogFilter(np.zeros((0, SEGMENT_BITS // 8), np.uint8), 1, 0), 0.0
+    total = float(sum(n * MIDDLES[level] for level, n in sizes.items()))
     least, most = 1, max(sizes)
 
     def items() -> int:
@@ -162,12 +180,13 @@ def build_filter(counts: DataFrame, bits_per_item: int, max_bits: int) -> LogFil
     out = np.zeros((segments, SEGMENT_BITS // 8), np.uint8)
     for row in made.toLocalIterator():
         out[row["segment"]] = np.frombuffer(row["bits"], np.uint8)
-    return LogFilter(out, least, most)
+    return LogFilter(out, least, most), total
 
 
 # ---- counting ----------------------------------------------------------------------
 
 _COUNTS = pa.schema([("key", pa.int64()), ("n", pa.int64())])
+_LEVELS = pa.schema([("key", pa.int64()), ("level", pa.int32())])
 
 
 def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -202,32 +221,42 @@ class Model:
     counts: DataFrame  # key, n of every word
     train_tokens: int
     types: int
-    bigram_level: int
-    mu: float
+    often: int  # the level from which words form bigrams
+    norm: float
+    weight: float = 0.0
 
 
-def _pairs(words: LogFilter, bigram_level: int, texts: list[str]) -> tuple:
+def _pairs(words: LogFilter, often: int, texts: list[str]) -> tuple:
+    """Tokens, distinct keys and levels, sizes, the token before each, and which tokens end a bigram."""
     ids, distinct, sizes = tokens(texts)
     keys = hashed(distinct)
     level = words.level(keys)
-    ends = np.zeros(len(ids), bool)
-    ends[np.cumsum(sizes) - 1] = True
-    follows = np.zeros(len(ids), bool)
-    follows[1:] = ~ends[:-1]
-    before = np.concatenate([[0], ids[:-1]]) if len(ids) else ids
-    often = level >= bigram_level
-    return ids, keys, level, sizes, before, follows & often[before] & often[ids]
+    follows = np.ones(len(ids), bool)
+    follows[np.concatenate([[0], np.cumsum(sizes)[:-1]]).astype(np.int64)] = False
+    before = np.concatenate([[0], ids[:-1]])
+    common = level >= often
+    return ids, keys, level, sizes, before, follows & common[before] & common[ids]
+
 
+def _bigram_shares(pairs: LogFilter, keys: np.ndarray, count: np.ndarray, first: np.ndarray, second: np.ndarray, less: float) -> np.ndarray:
+    """c(v w) / c(v) of each token, with ``less`` taken off both counts."""
+    code, at = np.unique(first * len(keys) + second, return_inverse=True)
+    v, w = code // len(keys), code % len(keys)
+    joint = np.minimum(pairs.count(bigram(keys[v], keys[w])), count[v])
+    return (np.maximum(joint - less, 0) / np.maximum(count[v] - less, 1))[at]
 
-def learn(docs: DataFrame, *, bits_per_item: int = 10, max_bits: int = 1 << 30, bigram_level: int = 7, mu: float = 200.0) -> Model:
-    """A model of all texts of ``docs`` (column ``text``)."""
+
+def learn(docs: DataFrame, *, bits_per_item: int = 10, max_bits: int = 1 << 30, often: int = 128, tuning_texts: int = 2000) -> Model:
+    """A model of all texts of ``docs`` (doc_id, text)."""
     context = docs.sparkSession.sparkContext
     counts = write_scratch(word_counts(docs), "lm-words")
     total, types = counts.agg(F.sum("n"), F.count("*")).first()
     total = total or 0
-    words = context.broadcast(build_filter(counts, bits_per_item, max_bits))
+    made, mass = build_filter(counts, bits_per_item, max_bits)
+    words = context.broadcast(made)
     heavy = counts.filter(F.col("n") >= max(1, -(-total // HEAVY))).toPandas().sort_values("key")
-    pair = (heavy["key"].to_numpy(np.int64), heavy["n"].to_numpy(np.int64))
+    exact = (heavy["key"].to_numpy(np.int64), heavy["n"].to_numpy(np.int64))
+    least = int(levels(np.array([often]))[0])
 
     def count_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: dict[str, list] = {"key": [], "n": []}
@@ -244,7 +273,7 @@ def learn(docs: DataFrame, *, bits_per_item: int = 10, max_bits: int = 1 << 30,
         for got in batches:
             texts = got["text"].to_pylist()
             for begin, end in runs(texts, RUN_CHARS):
-                ids, keys, _, _, before, on = _pairs(words.value, bigram_level, texts[begin:end])
+                ids, keys, _, _, before, on = _pairs(words.value, least, texts[begin:end])
                 code, n = np.unique(before[on] * len(keys) + ids[on], return_counts=True)
                 seen["key"].append(bigram(keys[code // len(keys)], keys[code % len(keys)]))
                 seen["n"].append(n)
@@ -256,28 +285,51 @@ def learn(docs: DataFrame, *, bits_per_item: int = 10, max_bits: int = 1 << 30,
 
     partial = docs.select(text_of(docs).alias("text")).mapInArrow(count_pairs, "key long, n long")
     bigrams = partial.groupBy("key").agg(F.sum("n").alias("n")).filter("n >= 2")
-    bigrams = write_scratch(bigrams, "lm-bigrams")
-    pairs = context.broadcast(build_filter(bigrams, bits_per_item, max_bits))
-    return Model(words, pairs, context.broadcast(pair), counts, total, types, bigram_level, mu)
+    pairs = context.broadcast(build_filter(write_scratch(bigrams, "lm-bigrams"), bits_per_item, max_bits)[0])
+    norm = mass + 0.5 * (types + 1)
+    model = Model(words, pairs, context.broadcast(exact), counts, total, types, least, norm)
+    model.weight = _tuned(docs, model, tuning_texts)
+    return model
+
+
+WEIGHTS = [0.0, 0.01, 0.02, 0.05, 0.1, 0.15, 0.2, 0.3, 0.4, 0.5, 0.6, 0.7]
+
+
+def _tuned(docs: DataFrame, model: Model, texts: int) -> float:
+    """The bigram weight that makes a sample of training texts likeliest, leaving each token out."""
+    words, pairs, often, norm = model.words, model.pairs, model.often, model.norm
+
+    def try_all(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        schema = pa.schema([("which", pa.int32()), ("total", pa.float64())])
+        for got in batches:
+            some = got["text"].to_pylist()
+            for begin, end in runs(some, RUN_CHARS):
+                ids, keys, level, _, before, on = _pairs(words.value, often, some[begin:end])
+                count = MIDDLES[level]
+                share = _bigram_shares(pairs.value, keys, count, before[on], ids[on], 1.0)
+                alone = (np.maximum(count - 1, 0) + 0.5)[ids[on]] / norm
+                sums = [float(np.log(a * share + (1 - a) * alone).sum()) for a in WEIGHTS]
+                yield batch(schema, which=list(range(len(WEIGHTS))), total=sums)
+
+    h = F.xxhash64("doc_id", F.lit(9))
+    cut = docs.select(h.alias("h")).orderBy("h").limit(texts).agg(F.max("h")).first()[0]
+    if cut is None:
+        return 0.0
+    sums = docs.filter(h <= cut).select(text_of(docs).alias("text")).mapInArrow(try_all, "which int, total double")
+    best = sums.groupBy("which").agg(F.sum("total").alias("total")).orderBy(F.desc("total"), "which").first()
+    return WEIGHTS[best["which"]]
 
 
 # ---- scoring -----------------------------------------------------------------------
 
 
-def _log_probabilities(model: Model, texts: list[str], words, pairs) -> tuple:
-    ids, keys, level, sizes, before, on = _pairs(words, model.bigram_level, texts)
-    norm = model.train_tokens + 0.5 * (model.types + 1)
-    count = np.where(level > 0, 2.0**level * 1.4142, 0.0)
-    alone = (count + 0.5) / norm
-    p = alone[ids]
-    if on.any():
-        code, at = np.unique(before[on] * len(keys) + ids[on], return_inverse=True)
-        first, second = code // len(keys), code % len(keys)
-        joint = np.minimum(pairs.count(bigram(keys[first], keys[second])), count[first])
-        p[on] = ((joint + model.mu * alone[second]) / (count[first] + model.mu))[at]
-    context = np.zeros(len(ids), bool)
-    context[1:] = (level[before[1:]] >= model.bigram_level) & (before[1:] != 0) & ~on[1:]
-    p[context] = (model.mu * p[context]) / (count[before[context]] + model.mu)
+def _log_probabilities(texts: list[str], words: LogFilter, pairs: LogFilter, often: int, norm: float, weight: float) -> tuple:
+    """Tokens, distinct keys, sizes, each token's text, and log10 probabilities by text."""
+    ids, keys, level, sizes, before, on = _pairs(words, often, texts)
+    count = MIDDLES[level]
+    p = ((count + 0.5) / norm)[ids]
+    if weight > 0 and on.any():
+        p[on] = weight * _bigram_shares(pairs, keys, count, before[on], ids[on], 0.0) + (1 - weight) * p[on]
     doc = np.repeat(np.arange(len(texts)), sizes)
     return ids, keys, sizes, doc, np.bincount(doc, np.log10(np.minimum(p, 1.0)), len(texts))
 
@@ -300,14 +352,15 @@ _SCORED_SQL = "doc_id long, held_out boolean, text_hash long, n_tokens long, kno
 def score(docs: DataFrame, model: Model) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score of rows with doc_id, held_out, text."""
     words, pairs, heavy = model.words, model.pairs, model.heavy
-    small = Model(None, None, None, None, model.train_tokens, model.types, model.bigram_level, model.mu)
+    often, own_norm, weight = model.often, model.norm, model.weight
 
     def rate(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         heavy_keys, heavy_counts = heavy.value
         for got in batches:
             texts = got["text"].to_pylist()
             for begin, end in runs(texts, RUN_CHARS):
-                ids, keys, sizes, doc, found = _log_probabilities(small, texts[begin:end], words.value, pairs.value)
+                some = texts[begin:end]
+                ids, keys, sizes, doc, found = _log_probabilities(some, words.value, pairs.value, often, own_norm, weight)
                 signed = keys.view(np.int64)
                 exact = np.zeros(len(keys), np.int64)
                 if len(heavy_keys):

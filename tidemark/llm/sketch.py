@@ -1,13 +1,14 @@
 """Document fingerprints: invertible Bloom lookup sketches of paragraphs. DataFrame functions only.
 
 A text's paragraphs are its lines, each cut every ``WORDS`` words; their digests (XXH64, without
-repeats) are the elements. A sketch has sections of ``CELLS`` cells; an element belongs to one section
-and, in it, to one cell of each third. A cell holds the number of its elements, the exclusive or
-of their digests and that of their check hashes. Sketches of two versions subtract cell by cell.
-Peeling then takes cells that hold one element of either version, gives its digest out and removes it from
-its other cells, until all cells are empty: the digests are exactly the paragraphs by which
-the versions differ. If cells remain, it is retried with twice as many sections, up to ``TRIES``
-times. A section that still fails counts the elements that its cells' counts prove (at least).
+repeats) are the elements. A sketch has sections; an element belongs to one section and, in it, to one
+cell of each third. A cell holds the number of its elements, the exclusive or of their digests and
+that of their check hashes. Sketches of two versions subtract cell by cell. Peeling then takes cells
+that hold one element of either version, gives its digest out and removes it from its other cells, until
+all cells are empty: the digests are exactly the paragraphs by which the versions differ. A section
+that keeps filled cells is retried with twice the cells and other hashes, up to ``TRIES`` times. One that
+still fails (about one in a hundred million) counts the elements recovered. Sections grow with the
+root of a text's length, and so does the work per paragraph.
 
 The likeness of two texts is 1 - d / u for d differing paragraphs and u paragraphs of either (1 if
 neither has any). The fingerprint is the text's sketch of one section, in hex.
@@ -28,11 +29,10 @@ from tidemark.llm.common import text_of
 from tidemark.session import write_scratch
 
 WORDS = 16
-CELLS = 24  # a multiple of three
-LOAD = 6  # elements per section and version to begin with
+LOAD = 6  # least elements per section and version
+FINGERPRINT_THIRD = 8  # cells in a third of the fingerprint's one section
 TRIES = 4
-ROUNDS = 10
-THIRD = CELLS // 3
+ROUNDS = 40
 
 
 def paragraphs(text: Column, words: int = WORDS) -> Column:
@@ -61,13 +61,18 @@ def record(**fields: Column) -> Column:
     return F.named_struct(*(x for name, value in fields.items() for x in (F.lit(name), value)))
 
 
-def element(digest: Column) -> Column:
-    """A digest with its check hash and its three cells."""
-    places = {
-        f"c{third}": (F.pmod(F.shiftrightunsigned(digest, 10 * third), F.lit(THIRD)) + third * THIRD).cast("int")
-        for third in range(3)
-    }
-    return record(key=digest, check=F.xxhash64(digest, F.lit(1)), **places)
+def element(digest: Column, third: Column, salt: int) -> Column:
+    """A digest with its check hash and its cell in each third."""
+    return let(
+        F.xxhash64(digest, F.lit(salt)),
+        lambda h: record(
+            key=digest,
+            check=h,
+            c0=F.pmod(F.shiftrightunsigned(h, 40), third).cast("int"),
+            c1=(F.pmod(F.shiftrightunsigned(h, 20).bitwiseAND(F.lit(0xFFFFF)), third) + third).cast("int"),
+            c2=(F.pmod(h.bitwiseAND(F.lit(0xFFFFF)), third) + third * 2).cast("int"),
+        ),
+    )
 
 
 def lies_in(e: Column, cell: Column) -> Column:
@@ -78,26 +83,19 @@ def xor_all(elements: Column, name: str) -> Column:
     return F.aggregate(elements, F.lit(0).cast("long"), lambda a, e: a.bitwiseXOR(e[name]))
 
 
-def sketched(digests: Column, sections: Column) -> Column:
-    """The cells of each section: arrays of count, key and check."""
-
-    def section(s: Column) -> Column:
-        mine = F.filter(digests, lambda d: F.pmod(F.shiftrightunsigned(d, 33), sections) == s)
+def cells_of(digests: Column, third: Column, salt: int) -> Column:
+    """The cells of a section: arrays of count, key and check."""
 
-        def cells(own: Column) -> Column:
-            def cell(c: Column) -> Column:
-                return let(
-                    F.filter(own, lambda e: lies_in(e, c)),
-                    lambda inside: record(
-                        count=F.size(inside), key=xor_all(inside, "key"), check=xor_all(inside, "check")
-                    ),
-                )
-
-            return F.transform(F.sequence(F.lit(0), F.lit(CELLS - 1)), cell)
+    def cells(own: Column) -> Column:
+        def cell(c: Column) -> Column:
+            return let(
+                F.filter(own, lambda e: lies_in(e, c)),
+                lambda inside: record(count=F.size(inside), key=xor_all(inside, "key"), check=xor_all(inside, "check")),
+            )
 
-        return let(F.transform(mine, element), cells)
+        return F.transform(F.sequence(F.lit(0), (third * 3 - 1).cast("int")), cell)
 
-    return F.transform(F.sequence(F.lit(0).cast("long"), sections - 1), section)
+    return let(F.transform(digests, lambda d: element(d, third, salt)), cells)
 
 
 def written(cells: Column) -> Column:
@@ -115,7 +113,7 @@ def written(cells: Column) -> Column:
     )
 
 
-def peeled(mine: Column, other: Column) -> Column:
+def peeled(mine: Column, other: Column, third: Column, salt: int) -> Column:
     """found: the differing elements that peeling recovers; left: cells that stay filled."""
 
     def minus(x: Column, y: Column) -> Column:
@@ -124,11 +122,13 @@ def peeled(mine: Column, other: Column) -> Column:
         )
 
     def pure(cell: Column) -> Column:
-        return (F.abs(cell["count"]) == 1) & (F.xxhash64(cell["key"], F.lit(1)) == cell["check"])
+        return (F.abs(cell["count"]) == 1) & (F.xxhash64(cell["key"], F.lit(salt)) == cell["check"])
 
     def pure_ones(cells: Column) -> Column:
         # An element may be pure in several cells; it counts once.
-        ones = F.transform(F.filter(cells, pure), lambda c: record(e=element(c["key"]), sign=c["count"]))
+        ones = F.transform(
+            F.filter(cells, pure), lambda c: record(e=element(c["key"], third, salt), sign=c["count"])
+        )
         return F.array_distinct(ones)
 
     def step(state: Column, _: Column) -> Column:
@@ -151,39 +151,44 @@ def peeled(mine: Column, other: Column) -> Column:
 
         return F.when(F.size(state["gone"]) == 0, state).otherwise(let(F.transform(state["cells"], without), after))
 
-    def section(x: Column, y: Column) -> Column:
-        def start(cells: Column) -> Column:
-            return let(pure_ones(cells), lambda gone: record(cells=cells, gone=gone, found=F.size(gone)))
+    def start(cells: Column) -> Column:
+        return let(pure_ones(cells), lambda gone: record(cells=cells, gone=gone, found=F.size(gone)))
 
-        return F.aggregate(
-            F.sequence(F.lit(1), F.lit(ROUNDS)),
-            let(F.zip_with(x, y, minus), start),
-            step,
-            lambda s: record(
-                found=s["found"], left=F.size(F.filter(s["cells"], lambda c: (c["count"] != 0) | (c["key"] != 0)))
-            ),
-        )
+    return F.aggregate(
+        F.sequence(F.lit(1), F.lit(ROUNDS)),
+        let(F.zip_with(mine, other, minus), start),
+        step,
+        lambda s: record(
+            found=s["found"], left=F.size(F.filter(s["cells"], lambda c: (c["count"] != 0) | (c["key"] != 0)))
+        ),
+    )
 
-    def total(a: Column, s: Column) -> Column:
-        return record(found=a["found"] + s["found"], left=a["left"] + s["left"])
 
-    zero = record(found=F.lit(0), left=F.lit(0))
-    return F.aggregate(F.zip_with(mine, other, section), zero, total)
+def differing(rows: DataFrame, mine: str, other: str, out: str) -> DataFrame:
+    """Adds ``out``: how many elements of two digest arrays differ, by sections, retried larger on failure."""
+    size = F.greatest(F.size(mine), F.size(other))
+    load = F.greatest(F.lit(float(LOAD)), F.sqrt(size) / 2)
+    rows = rows.withColumn("_sections", F.greatest(F.ceil(size / load), F.lit(1)).cast("long"))
+    rows = rows.withColumn("_third", F.ceil(load * 1.33).cast("long"))
 
+    def inside(digests: str, s: Column) -> Column:
+        return F.filter(digests, lambda d: F.pmod(d, F.col("_sections")) == s)
 
-def differing(rows: DataFrame, mine: str, other: str, out: str) -> DataFrame:
-    """Adds ``out``: how many elements of two digest arrays differ, by peeling, retried larger."""
-    start = F.greatest(
-        F.ceil(F.greatest(F.size(mine), F.size(other)) / LOAD).cast("long"), F.lit(1).cast("long")
-    )
-    rows = rows.withColumn("_n", start).withColumn(
-        "_d", peeled(sketched(F.col(mine), F.col("_n")), sketched(F.col(other), F.col("_n")))
-    )
-    for attempt in range(1, TRIES):
-        sections = F.col("_n") * (1 << attempt)
-        again = peeled(sketched(F.col(mine), sections), sketched(F.col(other), sections))
-        rows = rows.withColumn("_d", F.when(F.col("_d")["left"] > 0, again).otherwise(F.col("_d")))
-    return rows.withColumn(out, F.col("_d")["found"]).drop("_n", "_d")
+    numbers = F.sequence(F.lit(0).cast("long"), F.col("_sections") - 1)
+    rows = rows.withColumn("_parts", F.transform(numbers, lambda s: record(x=inside(mine, s), y=inside(other, s))))
+    def attempt(number: int) -> Callable[[Column], Column]:
+        third, salt = F.col("_third") * (1 << number), number + 1
+        return lambda part: peeled(cells_of(part["x"], third, salt), cells_of(part["y"], third, salt), third, salt)
+
+    def again(number: int) -> Callable[[Column, Column], Column]:
+        return lambda part, r: F.when(r["left"] == 0, r).otherwise(attempt(number)(part))
+
+    # A column per attempt: the analyzer can't take them nested.
+    rows = rows.withColumn("_made", F.transform("_parts", attempt(0)))
+    for number in range(1, TRIES):
+        rows = rows.withColumn("_made", F.zip_with("_parts", "_made", again(number)))
+    found = F.aggregate("_made", F.lit(0), lambda n, r: n + r["found"])
+    return rows.withColumn(out, found).drop("_sections", "_third", "_parts", "_made")
 
 
 def likeness(differ: Column, mine: Column, other: Column) -> Column:
@@ -276,12 +281,13 @@ def fingerprints(docs: DataFrame) -> DataFrame:
     )
     rows = differing(rows, "digests", "edited_digests", "d_edited")
     rows = differing(rows, "digests", "next_digests", "d_next")
+    third = F.lit(FINGERPRINT_THIRD).cast("long")
     made = rows.select(
         F.when(~F.col("_null"), F.col("_id")).alias("doc_id"),
         "n_chars",
         "edited_sha256",
-        written(F.element_at(sketched(F.col("digests"), one), 1)).alias("fingerprint"),
-        written(F.element_at(sketched(F.col("edited_digests"), one), 1)).alias("edited_fingerprint"),
+        written(cells_of(F.col("digests"), third, 1)).alias("fingerprint"),
+        written(cells_of(F.col("edited_digests"), third, 1)).alias("edited_fingerprint"),
         likeness(F.col("d_edited"), F.col("digests"), F.col("edited_digests")).alias("near_edited"),
         likeness(F.col("d_next"), F.col("digests"), F.col("next_digests")).alias("near_next"),
         F.explode(F.sequence(one, F.col("copies"))).alias("_copy"),
