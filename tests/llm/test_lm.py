@@ -1,0 +1,109 @@
+import math
+import zlib
+from collections import Counter
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from tidemark.llm import lm
+from tidemark.llm.queries import op9_lm
+
+
+def split(text):
+    return [*(text or "").encode().lower().split(), lm.END]
+
+
+def plainly(rows, learned):
+    counts = Counter()
+    for doc_id, text in rows:
+        if learned(doc_id):
+            counts.update(split(text))
+    total, types = sum(counts.values()), len(counts)
+    for doc_id, text in rows:
+        words = split(text)
+        base = sum(math.log10((counts[w] + 0.5) / (total + 0.5 * (types + 1))) for w in words)
+        yield doc_id, len(words), sum(counts[w] > 0 for w in words), total, base
+
+
+def check(got, want):
+    for r, (doc_id, n, known, total, base) in zip(got, want, strict=True):
+        assert (r["doc_id"], r["n_tokens"], r["n_known"], r["train_tokens"]) == (doc_id, n, known, total)
+        assert r["base_score"] == pytest.approx(base, rel=1e-9)
+
+
+def test_query_against_plain_counts(spark, sf_dir, documents):
+    def rest(i):
+        return zlib.crc32(str(i).encode()) % 5
+
+    rows = sorted((r["doc_id"], r["text"]) for r in documents.collect())
+    got = op9_lm(spark, sf_dir).orderBy("doc_id").collect()
+    check(got, plainly(rows, lambda i: rest(i) != 1))
+    assert all(r["held_out"] == (rest(r["doc_id"]) == 1) for r in got)
+    held = [r for r in got if r["held_out"]]
+    assert sum(r["score"] for r in held) >= sum(r["base_score"] for r in held)
+
+
+@pytest.mark.parametrize("heavy", [1, 8, 1 << 18])
+def test_base_score_does_not_depend_on_what_is_broadcast(spark, documents, monkeypatch, heavy):
+    monkeypatch.setattr(lm, "HEAVY", heavy)
+    docs = documents.filter("length(text) < 3000")
+    rows = sorted((r["doc_id"], r["text"]) for r in docs.collect())
+    asked = docs.select("doc_id", F.lit(False).alias("held_out"), "text")
+    got = lm.score(asked, lm.learn(docs)).orderBy("doc_id").collect()
+    check(got, plainly(rows, lambda i: True))
+
+
+def test_filter_reads_levels_back(spark):
+    rng = np.random.default_rng(0)
+    keys = rng.integers(-(1 << 62), 1 << 62, 3000)
+    n = np.maximum(1, (1000 / np.arange(1, 3001)).astype(int))
+    df = spark.createDataFrame([(int(k), int(c)) for k, c in zip(keys, n, strict=True)], "key long, n long")
+    made, total = lm.build_filter(df, 12, 1 << 20)
+    got = made.level(keys.astype(np.int64).view(np.uint64))
+    want = lm.levels(n)
+    assert (got >= want).all()  # a filter never misses what it holds
+    assert (got == want).mean() > 0.97
+    assert abs(total / n.sum() - 1) < 0.05
+    others = made.level(rng.integers(0, 1 << 62, 3000).astype(np.uint64))
+    assert (others > 0).mean() < 0.03
+
+
+def test_a_full_filter_holds_the_higher_counts(spark):
+    df = spark.createDataFrame([(i, 1 if i % 10 else 50) for i in range(20_000)], "key long, n long")
+    made, _ = lm.build_filter(df, 10, 1 << 17)
+    assert made.least > 1 and made.segments.size * 8 <= (1 << 17) + lm.SEGMENT_BITS
+    often = np.arange(0, 20_000, 10).astype(np.uint64)
+    assert (made.count(often) > 40).all()
+
+
+def test_quantised_counts_stay_near():
+    counts = np.array([1, 2, 3, 5, 6, 7, 10, 100, 12345, 10**9, 10**15])
+    middle = lm.MIDDLES[lm.levels(counts)]
+    assert (np.abs(np.log(middle / counts)) < 0.2).all()
+    assert lm.levels(np.array([0]))[0] == 0 and lm.MIDDLES[0] == 0
+
+
+def test_bigrams_help_where_words_depend_on_each_other(spark):
+    rng = np.random.default_rng(1)
+    pairs = [("new", "york"), ("per", "cent"), ("ad", "hoc"), ("et", "al")]
+    rows = [(i, " ".join(" ".join(pairs[k]) for k in rng.integers(0, 4, 60))) for i in range(200)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    model = lm.learn(docs)
+    assert model.weight >= 0.5
+    asked = docs.filter("doc_id < 20").withColumn("held_out", F.lit(False))
+    got = lm.score(asked, model).agg(F.sum("score"), F.sum("base_score")).first()
+    assert got[0] > 0.8 * got[1] + 1
+
+
+def test_messy_and_empty_tables(spark, messy, nothing):
+    asked = messy.withColumn("held_out", F.lit(None).cast("boolean"))
+    key = lambda t: (t[0] is None, t[0] or 0, t[1])
+    rows = [(r["doc_id"], r["text"]) for r in messy.collect()]
+    got = lm.score(asked, lm.learn(messy)).collect()
+    mine = sorted(((r["doc_id"], r["n_tokens"], r["n_known"], round(r["base_score"], 6)) for r in got), key=key)
+    want = sorted(((d, n, k, round(b, 6)) for d, n, k, _, b in plainly(rows, lambda i: True)), key=key)
+    assert mine == want
+    none = lm.score(asked, lm.learn(nothing)).collect()
+    assert len(none) == len(rows) and all(r["train_tokens"] == 0 and r["base_score"] == 0 for r in none)
+    assert lm.score(nothing.withColumn("held_out", F.lit(True)), lm.learn(messy)).count() == 0

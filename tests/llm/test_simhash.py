@@ -1,0 +1,124 @@
+import numpy as np
+import pytest
+import xxhash
+from pyspark.sql import functions as F
+
+from tidemark.llm import simhash
+from tidemark.llm.queries import op2_simhash
+
+
+def plain_print(text, words=3):
+    split = text.encode().lower().split()
+    if not split:
+        return 0
+    shingles = [b" ".join(split[i : i + words]) for i in range(len(split) - words + 1)] or [b" ".join(split)]
+    hashes = [xxhash.xxh64_intdigest(s, 42) for s in shingles]
+    return sum(1 << k for k in range(64) if 2 * sum(h >> k & 1 for h in hashes) > len(hashes))
+
+
+def plain_classes(prints, distance):
+    label = list(range(len(prints)))
+
+    def find(x):
+        while label[x] != x:
+            x = label[x]
+        return x
+
+    for i, a in enumerate(prints):
+        for j in range(i):
+            if (a ^ prints[j]).bit_count() <= distance:
+                label[find(i)] = find(j)
+    return [find(i) for i in range(len(prints))]
+
+
+def same_classes(a, b):
+    pairs = set(zip(a, b, strict=True))
+    return len(pairs) == len(set(a)) == len(set(b))
+
+
+@pytest.mark.parametrize("text", ["", " ", "One", "a B", "a b c", "a b c d e f g", "ÄÖ x y z \x0b\x0c q", "a a a a a a"])
+def test_fingerprints_equal_the_plain_definition(text):
+    assert simhash.simhash(text, 3, 42) == plain_print(text)
+
+
+def clustered(rng, n, flips):
+    base = rng.integers(0, 1 << 63, max(1, n // 20), dtype=np.uint64)
+    out = rng.choice(base, n)
+    for _ in range(flips):
+        out ^= np.uint64(1) << rng.integers(0, 64, n, dtype=np.uint64)
+    return np.unique(out)
+
+
+@pytest.mark.parametrize("distance", [0, 1, 3, 5])
+def test_trie_join_finds_exactly_the_classes(distance, monkeypatch):
+    rng = np.random.default_rng(distance)
+    for frontier, direct in ((1 << 20, 64), (50, 1)):
+        monkeypatch.setattr(simhash, "FRONTIER", frontier)
+        monkeypatch.setattr(simhash, "DIRECT", direct)
+        for flips in (1, 3, 6):
+            prints = clustered(rng, 300, flips)
+            label = simhash.trie_classes(prints, np.array([0, len(prints)]), distance)
+            assert same_classes(label.tolist(), plain_classes([int(p) for p in prints], distance))
+
+
+@pytest.mark.parametrize(("distance", "hot"), [(3, 4096), (3, 10), (3, 1), (0, 5), (2, 3)])
+def test_dealing_loses_no_link(spark, distance, hot):
+    rng = np.random.default_rng(hot)
+    prints = clustered(rng, 200, 4)
+    df = spark.createDataFrame([(int(p),) for p in prints.view(np.int64)], "fp long")
+    found = simhash.roots(simhash.edges(df, distance, hot))
+    root = {r["node"]: r["root"] for r in found.collect()}
+    label = [root.get(int(p), int(p)) for p in prints.view(np.int64)]
+    assert same_classes(label, plain_classes([int(p) for p in prints], distance))
+
+
+def test_long_chains_and_stars_are_one_component(spark):
+    chain = [(i, i + 1) for i in range(300)]
+    star = [(1000, i) for i in range(1001, 1400)]
+    df = spark.createDataFrame(chain + star, "a long, b long")
+    root = {r["node"]: r["root"] for r in simhash.roots(df).collect()}
+    assert {root[i] for i in range(1, 301)} == {0}
+    assert {root[i] for i in range(1001, 1400)} == {1000}
+    assert simhash.roots(df.limit(0)).count() == 0
+
+
+def test_dense_classes_stay_cheap():
+    center = np.uint64(0x123456789ABCDEF0)
+    ones = [center ^ (np.uint64(1) << np.uint64(i)) ^ (np.uint64(1) << np.uint64(j)) for i in range(64) for j in range(i)]
+    prints = np.unique(np.array(ones + [center], np.uint64))
+    assert len(set(simhash.trie_classes(prints, np.array([0, len(prints)]), 3))) == 1
+
+
+def test_query_against_all_pairs(spark, sf_dir, documents):
+    rows = documents.collect()
+    prints = [plain_print(r["text"] or "") for r in rows]
+    label = plain_classes(prints, 3)
+    least = {}
+    for row, k in zip(rows, label, strict=True):
+        least[k] = min(least.get(k, row["doc_id"]), row["doc_id"])
+    want = {(r["doc_id"], f"{p:016x}", least[k]) for r, p, k in zip(rows, prints, label, strict=True)}
+    assert {tuple(r) for r in op2_simhash(spark, sf_dir).collect()} == want
+
+
+def test_messy_and_empty_tables(messy, nothing):
+    rows = simhash.components(messy).collect()
+    assert len(rows) == messy.count()
+    # No words, whether null or blank: fingerprint zero, one component.
+    zero = [r for r in rows if r["fingerprint"] == "0" * 16]
+    assert {r["doc_id"] for r in zero} == {None, 1, 2, 3}
+    assert {r["component_id"] for r in zero} == {1}
+    unnumbered = [r for r in rows if r["doc_id"] is None and r["fingerprint"] != "0" * 16]
+    assert len(unnumbered) == 2 and all(r["component_id"] is None for r in unnumbered)
+    assert simhash.components(nothing).count() == 0
+
+
+def test_one_document_of_each_component_stays(messy, nothing, documents):
+    rows = simhash.first_of_each(messy).collect()
+    keys = [(r["doc_id"], r["text"]) for r in rows]
+    assert len(set(keys)) == len(keys)
+    assert sum(d == 6 for d, _ in keys) == 2  # two different texts
+    assert sum(d is None for d, _ in keys) == 1
+    assert simhash.first_of_each(nothing).count() == 0
+    classes = simhash.components(documents)
+    kept = {r["doc_id"] for r in simhash.first_of_each(documents).collect()}
+    assert kept == {r["component_id"] for r in classes.select(F.col("component_id")).collect()}

@@ -1,0 +1,104 @@
+import hashlib
+import re
+
+import pytest
+from pyspark.sql import functions as F
+
+from tidemark.llm import sketch
+from tidemark.llm.common import WORD
+from tidemark.llm.queries import op6_sketch
+
+
+def paragraphs(text):
+    found = set()
+    for line in text.split("\n"):
+        words = re.findall(WORD, line)
+        found |= {" ".join(words[i : i + sketch.WORDS]) for i in range(0, len(words), sketch.WORDS)}
+    return found
+
+
+def like(a, b):
+    a, b = paragraphs(a), paragraphs(b)
+    return 1 - len(a ^ b) / len(a | b) if a | b else 1.0
+
+
+def plainly(rows):
+    """(doc_id, text) in order to the contract's figures."""
+    for i, (doc_id, text) in enumerate(rows):
+        after, half = rows[(i + 1) % len(rows)][1], len(text) // 2
+        edited = text[: len(text) - half] + after[:half]
+        sha = hashlib.sha256(edited.encode()).hexdigest()
+        yield doc_id, len(text), sha, like(text, edited), like(text, after)
+
+
+def test_query_against_sets_of_paragraphs(spark, sf_dir, documents):
+    rows = sorted((r["doc_id"], r["text"] or "") for r in documents.collect())
+    got = {r["doc_id"]: r for r in op6_sketch(spark, sf_dir).collect()}
+    assert len(got) == len(rows)
+    for doc_id, n, sha, near_edited, near_next in plainly(rows):
+        r = got[doc_id]
+        assert (r["n_chars"], r["edited_sha256"]) == (n, sha)
+        assert r["near_edited"] == pytest.approx(near_edited)
+        assert r["near_next"] == pytest.approx(near_next)
+    prints = {}
+    for doc_id, text in rows:
+        assert prints.setdefault(text, got[doc_id]["fingerprint"]) == got[doc_id]["fingerprint"]
+    assert len(set(prints.values())) > 0.95 * len(prints)
+
+
+def with_digests(df):
+    mixed = [F.transform(c, lambda x: F.xxhash64(x)).alias(f"{c}digests") for c in ("", "edited_", "next_")]
+    return df.select("_id", F.lit(1).cast("long").alias("_hash"), *mixed)
+
+
+@pytest.mark.parametrize("n", [0, 1, 5, 60, 700])
+def test_peeling_recovers_the_difference_exactly(spark, n):
+    rows = [(k, list(range(k, k + n)), list(range(k + n // 3, k + n // 3 + n + k % 3)), [k] * 9) for k in range(0, 400, 7)]
+    arrays = ", ".join(f"`{c}` array<long>" for c in ("", "edited_", "next_"))
+    df = with_digests(spark.createDataFrame(rows, f"_id long, {arrays}"))
+    df = df.withColumn("next_digests", F.array_distinct("next_digests"))
+    got = df.join(sketch.compared(df), sketch.KEY, "left").na.fill(0, ["d_edited", "d_next"])
+    for name in ("edited", "next"):
+        both = F.size(F.array_except("digests", f"{name}_digests")) + F.size(F.array_except(f"{name}_digests", "digests"))
+        assert got.filter(F.col(f"d_{name}") != both).count() == 0
+
+
+def test_failed_pairs_are_retried_with_more_cells(spark, monkeypatch):
+    """Many small sketches can't be peeled at first; the attempts together recover all."""
+    monkeypatch.setattr(sketch, "LEAST_THIRD", 4)
+    numbers = F.transform(F.sequence(F.lit(1), F.lit(2)), lambda i: F.xxhash64(i, F.col("id")))
+    none = F.array().cast("array<bigint>")
+    df = spark.range(3000).select(
+        F.col("id").alias("_id"), F.lit(0).cast("long").alias("_hash"),
+        numbers.alias("digests"), none.alias("edited_digests"), none.alias("next_digests"),
+    )
+    part = sketch.elements(sketch.EDITED, F.lit(4), "digests", "edited_digests")
+    once = sketch.outcome(sketch.peeled(sketch.sketched(df, [part], 1), 1))
+    assert once.filter("left_edited > 0").count() > 20
+    assert sketch.compared(df).filter("d_edited != 2").count() == 0
+
+
+def test_messy_tables(spark, messy, nothing):
+    rows = sketch.fingerprints(messy).collect()
+    assert len(rows) == messy.count()
+    assert sum(r["doc_id"] == 6 for r in rows) == 3
+    prints = [r["fingerprint"] for r in rows if r["n_chars"] == 0]
+    assert len(prints) == 3 and len(set(prints)) == 1
+    assert sketch.fingerprints(nothing).count() == 0
+    single = spark.createDataFrame([(5, "a b c")], "doc_id long, text string")
+    r = sketch.fingerprints(single).first()
+    assert r["near_next"] == 1.0  # a single document is its own next
+
+
+def test_order_is_found_without_one_task(spark):
+    rows = [(i * 3, f"text {i}") for i in range(500)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(7)
+    got = {r["_id"]: (r["p_id"], r["p_half"]) for r in sketch.predecessors(docs).collect()}
+    assert got == {i * 3: ((i - 1) % 500 * 3, len(f"text {(i - 1) % 500}") // 2) for i in range(500)}
+
+
+def test_plans_hold_no_python(spark, sf_dir):
+    from tests.conftest import plan
+
+    text = plan(op6_sketch(spark, sf_dir))
+    assert not re.search("Python|Pandas|Arrow", text)

@@ -1,0 +1,89 @@
+import zlib
+
+import numpy as np
+
+from tidemark.llm import toxicity
+from tidemark.llm.queries import op7_toxicity
+
+
+def test_probabilities_of_each_class_add_up_to_one():
+    words = ["a", "b", "c"]
+    terms = [(None, w, 4 + i, 2 * i + 1) for i, w in enumerate(words)]
+    terms += [("a", "b", 3, 1), ("a", "c", 1, 0), ("b", "a", 0, 3)]
+    totals = {0: 20, 1: 12}
+    model = toxicity.KneserNey.fit(terms, totals, {"a": 2, "b": 1})
+    assert model.index == {"a": 1, "b": 2, "c": 3}
+    # exp(ratio) * p0 = p1; recover p0 from the definition for the lowest order.
+    one = np.array([[0, 4, 5, 6], [0, 1, 3, 5]], float)
+    shared = np.array([0.5, 2.5, 1.5, 0.5]) / 5
+    for k in (0, 1):
+        kept = np.maximum(one[k] - toxicity.DISCOUNT, 0)
+        p = kept / totals[k] + (1 - kept.sum() / totals[k]) * shared
+        assert abs(p.sum() - 1) < 1e-12
+        one[k] = p
+    assert np.allclose(model.single, np.log(one[1] / one[0]))
+
+
+def test_features_follow_the_bigrams():
+    terms = [(None, "you", 50, 50), (None, "idiot", 0, 40), (None, "fine", 40, 0), ("you", "idiot", 0, 20), ("you", "fine", 20, 0)]
+    model = toxicity.KneserNey.fit(terms, {0: 100, 1: 100}, {"you": 2, "idiot": 1, "fine": 1})
+    x = model.features(["you idiot", "you fine", "", "unknown words only", "IDIOT!"])
+    assert x[0, 0] > 1 > -1 > x[1, 0]
+    assert (x[2] == 0).all()
+    assert abs(x[3, 0]) < abs(x[4, 0])
+
+
+def test_query_holds_out_and_separates(spark, sf_dir, load):
+    toxic = {r["doc_id"]: r["toxic"] for r in load("labels").collect()}
+    rows = op7_toxicity(spark, sf_dir).collect()
+    assert len(rows) == load("documents").count()
+    assert all(r["held_out"] == (zlib.crc32(str(r["doc_id"]).encode()) % 4 == 2) for r in rows)
+    assert all(0 <= r["score"] <= 1 and r["predicted"] == (r["score"] >= 0.3) for r in rows)
+
+
+def test_accuracy_on_held_out_documents(spark, load):
+    """Planted words make texts toxic; half of them is learned from."""
+    rng = np.random.default_rng(4)
+    clean = [r["text"] for r in load("documents").filter("length(text) between 200 and 4000").collect()]
+    rows = []
+    for i in range(600):
+        words = clean[i % len(clean)].split()
+        bad = i % 3 == 0
+        if bad:
+            for w in rng.choice(["idiot", "scum", "moron"], 4):
+                words.insert(int(rng.integers(len(words))), str(w))
+        rows.append((i, " ".join(words), int(bad)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string, label int")
+    half = docs.filter("doc_id % 2 = 0")
+    scorer = toxicity.learn(docs, half.select("doc_id", "label"), sample=150)
+    held = docs.filter("doc_id % 2 = 1")
+    from pyspark.sql import functions as F
+
+    got = toxicity.score(held.withColumn("held_out", F.lit(True)), scorer).join(held.select("doc_id", "label"), "doc_id")
+    right = [r["predicted"] == r["label"] for r in got.collect()]
+    assert np.mean(right) > 0.95
+
+
+def test_messy_and_missing_labels(spark, messy, nothing, documents, load):
+    from pyspark.sql import functions as F
+
+    asked = messy.withColumn("held_out", F.lit(None).cast("boolean"))
+    schema = "doc_id long, label int"
+    few = spark.createDataFrame([(2, 1), (4, 0), (6, 1), (6, 0), (9, None), (None, 1), (5, 7)], schema)
+    for labels in (few, few.limit(0), few.filter("label = 1")):
+        scorer = toxicity.learn(messy, labels)
+        rows = toxicity.score(asked, scorer).collect()
+        assert len(rows) == messy.count()
+        assert all(0 <= r["score"] <= 1 for r in rows)
+    labels = load("labels").select("doc_id", F.col("toxic").alias("label"))
+    scorer = toxicity.learn(documents, labels)
+    assert toxicity.score(asked, scorer).count() == messy.count()
+    assert toxicity.score(nothing.withColumn("held_out", F.lit(True)), scorer).count() == 0
+
+
+def test_the_sample_is_bounded(spark):
+    labels = spark.range(5000).selectExpr("id doc_id", "cast(id % 10 = 0 as int) label")
+    chosen, sizes = toxicity.sampled(labels, 100)
+    counts = {r["label"]: r["count"] for r in chosen.groupBy("label").count().collect()}
+    assert sizes == {0: 4500, 1: 500}
+    assert counts == {0: 200, 1: 200}

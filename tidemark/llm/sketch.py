@@ -1,17 +1,20 @@
 """Document fingerprints: invertible Bloom lookup sketches of paragraphs. DataFrame functions only.
 
 A text's paragraphs are its lines, each cut every ``WORDS`` words; their digests (XXH64, without
-repeats) are the elements. A sketch has sections; an element belongs to one section and, in it, to one
-cell of each third. A cell holds the number of its elements, the exclusive or of their digests and
-that of their check hashes. Sketches of two versions subtract cell by cell. Peeling then takes cells
-that hold one element of either version, gives its digest out and removes it from its other cells, until
-all cells are empty: the digests are exactly the paragraphs by which the versions differ. A section
-that keeps filled cells is retried with twice the cells and other hashes, up to ``TRIES`` times. One that
-still fails (about one in a hundred million) counts the elements recovered. Sections grow with the
-root of a text's length, and so does the work per paragraph.
+repeats) are the elements. A sketch has three thirds of cells; an element belongs to one cell of each. A
+cell holds the number of its elements, the exclusive or of their digests and that of their check hashes.
+Sketches of two versions subtract cell by cell. Peeling goes through the thirds in turn: a cell that holds
+one element of either version gives its digest out, and it is removed from its three cells, until all are
+empty: the digests are exactly the paragraphs by which the versions differ. Pairs that keep filled
+cells (about one in a thousand) are retried with four times the cells and other hashes, until none is left,
+``ATTEMPTS`` times at most; one that still fails (one in 10 ** 12) counts the elements recovered.
+
+Cells are rows (document, code of pair, size and cell): only filled ones exist, and each step is an
+aggregation by document, whose rows lie together already, so that no step shuffles. The work is
+proportional to the paragraphs, however long a text is.
 
 The likeness of two texts is 1 - d / u for d differing paragraphs and u paragraphs of either (1 if
-neither has any). The fingerprint is the text's sketch of one section, in hex.
+neither has any). The fingerprint is the text's sketch of 3 * ``FINGERPRINT_THIRD`` cells, in hex.
 
 Null texts count as empty. The next document is that with the next larger (doc_id, hash of the text), null
 first; the last one's is the first. A single document is its own next. Equal rows (doc_id and text)
@@ -20,19 +23,22 @@ count as one document there, and give a row each. No rows give no rows. Other co
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import text_of
 from tidemark.session import write_scratch
 
-WORDS = 16
-LOAD = 6  # least elements per section and version
-FINGERPRINT_THIRD = 8  # cells in a third of the fingerprint's one section
-TRIES = 4
-ROUNDS = 40
+WORDS = 24
+LEAST_THIRD = 64
+FINGERPRINT_THIRD = 3
+ATTEMPTS = 5
+STEPS = 8
+KEY = ["_id", "_hash"]
+
+# A cell's code: the pair (two bits), the size of a third (30 bits), the cell (32 bits). The cell after the
+# last counts the elements given out.
+EDITED, NEXT, OWN_PRINT, EDITED_PRINT = range(4)
 
 
 def paragraphs(text: Column, words: int = WORDS) -> Column:
@@ -48,198 +54,194 @@ def paragraphs(text: Column, words: int = WORDS) -> Column:
     return F.array_distinct(F.flatten(F.transform(F.split(text, "\n"), pieces)))
 
 
-# ---- sketches ----------------------------------------------------------------------
+# ---- sketches as rows --------------------------------------------------------------
 
 
-def let(value: Column, body: Callable[[Column], Column]) -> Column:
-    """``body`` of a value that is worked out once, where lambdas would repeat it."""
-    return F.element_at(F.transform(F.array(value), body), 1)
+def code_of(pair: Column | int, third: Column, cell: Column) -> Column:
+    pair = F.lit(pair).cast("long") if isinstance(pair, int) else pair.cast("long")
+    return F.shiftleft(pair, 62).bitwiseOR(F.shiftleft(third.cast("long"), 32)).bitwiseOR(cell.cast("long"))
 
 
-def record(**fields: Column) -> Column:
-    """A struct; inside nested lambdas aliases don't name its fields."""
-    return F.named_struct(*(x for name, value in fields.items() for x in (F.lit(name), value)))
+def pair_in(code: Column) -> Column:
+    return F.shiftrightunsigned(code, 62)
 
 
-def element(digest: Column, third: Column, salt: int) -> Column:
-    """A digest with its check hash and its cell in each third."""
-    return let(
-        F.xxhash64(digest, F.lit(salt)),
-        lambda h: record(
-            key=digest,
-            check=h,
-            c0=F.pmod(F.shiftrightunsigned(h, 40), third).cast("int"),
-            c1=(F.pmod(F.shiftrightunsigned(h, 20).bitwiseAND(F.lit(0xFFFFF)), third) + third).cast("int"),
-            c2=(F.pmod(h.bitwiseAND(F.lit(0xFFFFF)), third) + third * 2).cast("int"),
-        ),
-    )
+def third_in(code: Column) -> Column:
+    return F.shiftrightunsigned(code, 32).bitwiseAND(F.lit((1 << 30) - 1))
 
 
-def lies_in(e: Column, cell: Column) -> Column:
-    return (e["c0"] == cell) | (e["c1"] == cell) | (e["c2"] == cell)
+def cell_in(code: Column) -> Column:
+    return code.bitwiseAND(F.lit((1 << 32) - 1))
 
 
-def xor_all(elements: Column, name: str) -> Column:
-    return F.aggregate(elements, F.lit(0).cast("long"), lambda a, e: a.bitwiseXOR(e[name]))
+def check(key: Column, salt: int) -> Column:
+    return F.xxhash64(key, F.lit(salt))
 
 
-def cells_of(digests: Column, third: Column, salt: int) -> Column:
-    """The cells of a section: arrays of count, key and check."""
+def places(checked: Column, third: Column) -> list[Column]:
+    """An element's cell in each third, from its check hash."""
+    parts = [F.shiftrightunsigned(checked, 43), F.shiftrightunsigned(checked, 22), checked]
+    return [F.pmod(p.bitwiseAND(F.lit((1 << 21) - 1)), third) + third * i for i, p in enumerate(parts)]
 
-    def cells(own: Column) -> Column:
-        def cell(c: Column) -> Column:
-            return let(
-                F.filter(own, lambda e: lies_in(e, c)),
-                lambda inside: record(count=F.size(inside), key=xor_all(inside, "key"), check=xor_all(inside, "check")),
-            )
 
-        return F.transform(F.sequence(F.lit(0), (third * 3 - 1).cast("int")), cell)
+def elements(pair: int, third: Column, mine: str, other: str | None) -> Column:
+    """Array of an element's digest, its sign, and the code of its pair and third."""
+    base = code_of(pair, third, F.lit(0))
 
-    return let(F.transform(digests, lambda d: element(d, third, salt)), cells)
+    def signed(digests: str, sign: int) -> Column:
+        return F.transform(digests, lambda d: F.struct(d.alias("key"), F.lit(sign).alias("n"), base.alias("base")))
 
+    return signed(mine, 1) if other is None else F.concat(signed(mine, 1), signed(other, -1))
 
-def written(cells: Column) -> Column:
-    """A section's cells as hex."""
-    return F.lower(
-        F.array_join(
-            F.transform(
-                cells,
-                lambda c: F.concat(
-                    F.lpad(F.hex(c["count"]), 4, "0"), F.lpad(F.hex(c["key"]), 16, "0"), F.lpad(F.hex(c["check"]), 16, "0")
-                ),
-            ),
-            "",
-        )
-    )
 
+def summed(cells: DataFrame) -> DataFrame:
+    """Cells added up; empty ones go."""
+    sums = cells.groupBy(*KEY, "code").agg(
+        F.sum("n").alias("n"), F.bit_xor("key").alias("key"), F.bit_xor("check").alias("check")
+    )
+    return sums.filter("n != 0 or key != 0")
 
-def peeled(mine: Column, other: Column, third: Column, salt: int) -> Column:
-    """found: the differing elements that peeling recovers; left: cells that stay filled."""
 
-    def minus(x: Column, y: Column) -> Column:
-        return record(
-            count=x["count"] - y["count"], key=x["key"].bitwiseXOR(y["key"]), check=x["check"].bitwiseXOR(y["check"])
-        )
+def sketched(rows: DataFrame, parts: list[Column], salt: int) -> DataFrame:
+    """The cells of the elements in ``parts``, arrays as of :func:`elements`."""
+    each = rows.select(*KEY, F.explode(F.concat(*parts)).alias("e")).select(*KEY, "e.*")
+    each = each.withColumn("check", check(F.col("key"), salt))
+    codes = [F.col("base") + c for c in places(F.col("check"), third_in(F.col("base")))]
+    return summed(each.select(*KEY, F.explode(F.array(*codes)).alias("code"), "n", "key", "check"))
 
-    def pure(cell: Column) -> Column:
-        return (F.abs(cell["count"]) == 1) & (F.xxhash64(cell["key"], F.lit(salt)) == cell["check"])
 
-    def pure_ones(cells: Column) -> Column:
-        # An element may be pure in several cells; it counts once.
-        ones = F.transform(
-            F.filter(cells, pure), lambda c: record(e=element(c["key"], third, salt), sign=c["count"])
-        )
-        return F.array_distinct(ones)
-
-    def step(state: Column, _: Column) -> Column:
-        def without(cell: Column, i: Column) -> Column:
-            return F.aggregate(
-                F.filter(state["gone"], lambda g: lies_in(g["e"], i)),
-                cell,
-                lambda c, g: record(
-                    count=c["count"] - g["sign"],
-                    key=c["key"].bitwiseXOR(g["e"]["key"]),
-                    check=c["check"].bitwiseXOR(g["e"]["check"]),
-                ),
-            )
-
-        def after(cells: Column) -> Column:
-            return let(
-                pure_ones(cells),
-                lambda gone: record(cells=cells, gone=gone, found=state["found"] + F.size(gone)),
-            )
-
-        return F.when(F.size(state["gone"]) == 0, state).otherwise(let(F.transform(state["cells"], without), after))
-
-    def start(cells: Column) -> Column:
-        return let(pure_ones(cells), lambda gone: record(cells=cells, gone=gone, found=F.size(gone)))
-
-    return F.aggregate(
-        F.sequence(F.lit(1), F.lit(ROUNDS)),
-        let(F.zip_with(mine, other, minus), start),
-        step,
-        lambda s: record(
-            found=s["found"], left=F.size(F.filter(s["cells"], lambda c: (c["count"] != 0) | (c["key"] != 0)))
-        ),
-    )
+def peeled(cells: DataFrame, salt: int) -> DataFrame:
+    """The cells after ``STEPS`` steps of peeling. Fingerprints' own cells stay."""
+    for step in range(STEPS):
+        code, key, n = F.col("code"), F.col("key"), F.col("n")
+        third = third_in(code)
+        # In one third an element has one cell, so it is given out once.
+        pure = (F.abs(n) == 1) & (pair_in(code) <= NEXT) & (F.floor(cell_in(code) / third) == step % 3)
+        pure = pure & (check(key, salt) == F.col("check"))
+        base = code - cell_in(code)
 
+        def cell(code: Column, n: Column, key: Column, checked: Column) -> Column:
+            return F.struct(code.alias("code"), n.cast("long").alias("n"), key.alias("key"), checked.alias("check"))
 
-def differing(rows: DataFrame, mine: str, other: str, out: str) -> DataFrame:
-    """Adds ``out``: how many elements of two digest arrays differ, by sections, retried larger on failure."""
-    size = F.greatest(F.size(mine), F.size(other))
-    load = F.greatest(F.lit(float(LOAD)), F.sqrt(size) / 2)
-    rows = rows.withColumn("_sections", F.greatest(F.ceil(size / load), F.lit(1)).cast("long"))
-    rows = rows.withColumn("_third", F.ceil(load * 1.33).cast("long"))
+        zero = F.lit(0).cast("long")
+        own = cell(code, n, key, F.col("check"))
+        gone = [cell(base + c, -n, key, F.col("check")) for c in places(F.col("check"), third)]
+        counted = cell(base + third * 3, F.lit(1), zero, zero)
+        moved = F.when(pure, F.array(own, counted, *gone)).otherwise(F.array(own))
+        cells = summed(cells.select(*KEY, F.explode(moved).alias("c")).select(*KEY, "c.*"))
+    return cells
 
-    def inside(digests: str, s: Column) -> Column:
-        return F.filter(digests, lambda d: F.pmod(d, F.col("_sections")) == s)
 
-    numbers = F.sequence(F.lit(0).cast("long"), F.col("_sections") - 1)
-    rows = rows.withColumn("_parts", F.transform(numbers, lambda s: record(x=inside(mine, s), y=inside(other, s))))
-    def attempt(number: int) -> Callable[[Column], Column]:
-        third, salt = F.col("_third") * (1 << number), number + 1
-        return lambda part: peeled(cells_of(part["x"], third, salt), cells_of(part["y"], third, salt), third, salt)
-
-    def again(number: int) -> Callable[[Column, Column], Column]:
-        return lambda part, r: F.when(r["left"] == 0, r).otherwise(attempt(number)(part))
-
-    # A column per attempt: the analyzer can't take them nested.
-    rows = rows.withColumn("_made", F.transform("_parts", attempt(0)))
-    for number in range(1, TRIES):
-        rows = rows.withColumn("_made", F.zip_with("_parts", "_made", again(number)))
-    found = F.aggregate("_made", F.lit(0), lambda n, r: n + r["found"])
-    return rows.withColumn(out, found).drop("_sections", "_third", "_parts", "_made")
+def written(cells: Column) -> Column:
+    """Cells as hex, in their order."""
+    texts = F.transform(
+        F.array_sort(cells),
+        lambda c: F.concat_ws(
+            ":", F.hex(c["cell"]), F.hex(c["n"]), F.lpad(F.hex(c["key"]), 16, "0")
+        ),
+    )
+    return F.lower(F.array_join(texts, ","))
+
+
+def outcome(cells: DataFrame) -> DataFrame:
+    """Per document and pair: d, the elements given out, and left, the cells still filled; its fingerprints."""
+    pair, cell = pair_in(F.col("code")), cell_in(F.col("code"))
+    given = cell == third_in(F.col("code")) * 3
+    columns = []
+    for name, which in (("edited", EDITED), ("next", NEXT)):
+        columns.append(F.sum(F.when((pair == which) & given, F.col("n"))).alias(f"d_{name}"))
+        columns.append(F.count(F.when((pair == which) & ~given, 1)).alias(f"left_{name}"))
+    shown = F.struct(cell.alias("cell"), "n", "key")
+    for name, which in (("own_print", OWN_PRINT), ("edited_print", EDITED_PRINT)):
+        columns.append(F.collect_list(F.when(pair == which, shown)).alias(name))
+    return cells.groupBy(*KEY).agg(*columns)
+
+
+def compared(rows: DataFrame) -> DataFrame:
+    """keys, d_edited, d_next, own_print, edited_print of rows with keys and digests."""
+
+    def third(other: str, attempt: int) -> Column:
+        return F.greatest((F.size("digests") + F.size(other)) * 2, F.lit(LEAST_THIRD)) * 4**attempt
+
+    def pairs(attempt: int) -> list[Column]:
+        return [
+            elements(pair, third(other, attempt), "digests", other)
+            for pair, other in ((EDITED, "edited_digests"), (NEXT, "next_digests"))
+        ]
+
+    # The documents of a task stay in it through all steps.
+    tasks = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    rows = rows.select(*KEY, "digests", "edited_digests", "next_digests")
+    small = F.lit(FINGERPRINT_THIRD)
+    prints = [elements(OWN_PRINT, small, "digests", None), elements(EDITED_PRINT, small, "edited_digests", None)]
+    cells = sketched(rows.repartition(tasks, *KEY), [*pairs(0), *prints], 1)
+    known = write_scratch(outcome(peeled(cells, 1)), "sketch-outcome")
+    for attempt in range(1, ATTEMPTS):
+        failed = known.filter("left_edited > 0 or left_next > 0").select(*KEY)
+        if failed.isEmpty():
+            break
+        cells = sketched(rows.join(failed, KEY, "left_semi").repartition(tasks, *KEY), pairs(attempt), attempt + 1)
+        new = write_scratch(outcome(peeled(cells, attempt + 1)), "sketch-outcome")
+        new = new.select(*KEY, *(F.col(c).alias(f"new_{c}") for c in ("d_edited", "left_edited", "d_next", "left_next")))
+        known = known.join(new, KEY, "left")
+        for name in ("edited", "next"):
+            redone = F.col(f"left_{name}") > 0
+            changed = {c: F.when(redone, F.col(f"new_{c}")).otherwise(F.col(c)) for c in (f"d_{name}", f"left_{name}")}
+            known = known.withColumns(changed)
+        known = known.drop(*(f"new_{c}_{n}" for c in ("d", "left") for n in ("edited", "next")))
+    return known.select(
+        *KEY, "d_edited", "d_next", written(F.col("own_print")).alias("own_print"), written(F.col("edited_print")).alias("edited_print")
+    )
 
 
 def likeness(differ: Column, mine: Column, other: Column) -> Column:
     """1 - d / u; u is half of both sizes and of what differs."""
-    union = (F.size(mine) + F.size(other) + differ) / F.lit(2.0)
+    union = (mine + other + differ) / F.lit(2.0)
     return F.when(union > 0, 1.0 - differ / union).otherwise(F.lit(1.0))
 
 
 # ---- versions ----------------------------------------------------------------------
 
-KEY = ["_null", "_id", "_hash"]
-
 
 def keyed(docs: DataFrame) -> DataFrame:
     """Key columns without nulls, doc_id and text."""
     text = text_of(docs)
     doc_id = docs["doc_id"].cast("long")
     return docs.select(
-        doc_id.isNull().alias("_null"),
         F.coalesce(doc_id, F.lit(0)).alias("_id"),
-        F.xxhash64(text).alias("_hash"),
+        F.xxhash64(text, doc_id.isNull()).alias("_hash"),
+        doc_id.alias("doc_id"),
         text.alias("text"),
     )
 
 
 def predecessors(docs: DataFrame) -> DataFrame:
-    """Of each document its key, copies, and its predecessor's key and length.
+    """Of each document its key, copies, and its predecessor's key and half length.
 
     Documents are dealt to ranges of keys; only a range's last row goes to the next range's first.
     """
-    ids = keyed(docs).groupBy(*KEY).agg(F.count("*").alias("copies"), F.max(F.length("text")).alias("n"))
-    order = [F.desc("_null"), "_id", "_hash"]
-    dealt = write_scratch(
-        ids.repartitionByRange(*order).withColumn("_range", F.spark_partition_id()), "sketch-order"
+    ids = keyed(docs).groupBy(*KEY).agg(
+        F.count("*").alias("copies"), F.max(F.length("text")).alias("n"), F.max("doc_id").alias("doc_id")
     )
+    order = [F.asc_nulls_first("doc_id"), F.asc("_hash")]
+    dealt = write_scratch(ids.repartitionByRange(*order).withColumn("_range", F.spark_partition_id()), "sketch-order")
     one = F.struct(*KEY, "n")
     inside = Window.partitionBy("_range").orderBy(*order)
-    rank = F.struct((~F.col("_null")).alias("a"), F.col("_id").alias("b"), F.col("_hash").alias("c"), one.alias("one"))
-    lasts = dealt.groupBy("_range").agg(F.max(rank).getField("one").alias("last"))
+    rank = F.struct(F.col("doc_id").isNotNull(), "doc_id", "_hash", one.alias("one"))
     # One row per range.
+    lasts = dealt.groupBy("_range").agg(F.max(rank).getField("one").alias("last"))
+    by_range = Window.orderBy("_range")
+    everywhere = by_range.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     ends = lasts.select(
-        "_range", F.lag("last").over(Window.orderBy("_range")).alias("before"), F.max(F.struct("_range", "last")).over(Window.partitionBy()).getField("last").alias("very_last")
+        "_range", F.coalesce(F.lag("last").over(by_range), F.last("last").over(everywhere)).alias("before")
     )
     return (
         dealt.withColumn("_before", F.lag(one).over(inside))
         .join(F.broadcast(ends), "_range")
-        .withColumn("_before", F.coalesce("_before", "before", "very_last"))
+        .withColumn("_before", F.coalesce("_before", "before"))
         .select(
             *KEY,
             "copies",
-            F.col("_before._null").alias("p_null"),
             F.col("_before._id").alias("p_id"),
             F.col("_before._hash").alias("p_hash"),
             F.floor(F.col("_before.n") / 2).cast("int").alias("p_half"),
@@ -248,18 +250,17 @@ def predecessors(docs: DataFrame) -> DataFrame:
 
 
 def versions(docs: DataFrame) -> DataFrame:
-    """Key, copies, text, edited, and the digests of both and of the next document."""
+    """Key, doc_id, copies, text, edited, and the digests of both and of the next document."""
     one = Window.partitionBy(*KEY).orderBy(*KEY)
     once = keyed(docs).withColumn("_nth", F.row_number().over(one)).filter("_nth = 1").drop("_nth")
     own = once.join(predecessors(docs), KEY)
     given = own.select(
-        F.col("p_null").alias("_null"),
         F.col("p_id").alias("_id"),
         F.col("p_hash").alias("_hash"),
         F.substring("text", F.lit(1), F.col("p_half")).alias("head"),
         paragraphs(F.col("text")).alias("next_digests"),
     )
-    both = own.select(*KEY, "copies", "text").join(given, KEY)
+    both = own.select(*KEY, "doc_id", "copies", "text").join(given, KEY)
     half = F.floor(F.length("text") / 2).cast("int")
     edited = F.concat(F.substring("text", F.lit(1), F.length("text") - half), F.col("head"))
     return both.withColumn("edited", edited).withColumns(
@@ -269,9 +270,9 @@ def versions(docs: DataFrame) -> DataFrame:
 
 def fingerprints(docs: DataFrame) -> DataFrame:
     """doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next."""
-    one = F.lit(1).cast("long")
     rows = versions(docs).select(
         *KEY,
+        "doc_id",
         "copies",
         F.length("text").cast("long").alias("n_chars"),
         F.sha2("edited", 256).alias("edited_sha256"),
@@ -279,17 +280,21 @@ def fingerprints(docs: DataFrame) -> DataFrame:
         "edited_digests",
         "next_digests",
     )
-    rows = differing(rows, "digests", "edited_digests", "d_edited")
-    rows = differing(rows, "digests", "next_digests", "d_next")
-    third = F.lit(FINGERPRINT_THIRD).cast("long")
-    made = rows.select(
-        F.when(~F.col("_null"), F.col("_id")).alias("doc_id"),
+    rows = write_scratch(rows, "sketch-digests")
+    size = {c: F.size(f"{c}digests").alias(f"{c}size") for c in ("", "edited_", "next_")}
+    # Documents without paragraphs have no cells.
+    found = rows.select(*KEY, "doc_id", "copies", "n_chars", "edited_sha256", *size.values()).join(
+        compared(rows), KEY, "left"
+    )
+    zero = F.lit(0).cast("long")
+    d_edited, d_next = F.coalesce("d_edited", zero), F.coalesce("d_next", zero)
+    return found.select(
+        "doc_id",
         "n_chars",
         "edited_sha256",
-        written(cells_of(F.col("digests"), third, 1)).alias("fingerprint"),
-        written(cells_of(F.col("edited_digests"), third, 1)).alias("edited_fingerprint"),
-        likeness(F.col("d_edited"), F.col("digests"), F.col("edited_digests")).alias("near_edited"),
-        likeness(F.col("d_next"), F.col("digests"), F.col("next_digests")).alias("near_next"),
-        F.explode(F.sequence(one, F.col("copies"))).alias("_copy"),
-    )
-    return made.drop("_copy")
+        F.coalesce("own_print", F.lit("")).alias("fingerprint"),
+        F.coalesce("edited_print", F.lit("")).alias("edited_fingerprint"),
+        likeness(d_edited, F.col("size"), F.col("edited_size")).alias("near_edited"),
+        likeness(d_next, F.col("size"), F.col("next_size")).alias("near_next"),
+        F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies"))).alias("_copy"),
+    ).drop("_copy")
