@@ -217,8 +217,8 @@ def read_back(outputs: DataFrame) -> DataFrame:
         return F.struct(restored(role, ROLE_CODES).alias("role"), unescape_text(text).alias("text"))
 
     def learnt(span: Column) -> Column:
-        at = F.col("_split").getItem(span.getField("turn"))
-        offset = span.getField("start") - F.col("turn_starts").getItem(span.getField("turn"))
+        at = F.get("_split", span.getField("turn"))
+        offset = span.getField("start") - F.get("turn_starts", span.getField("turn"))
         part = F.substring(at, (offset + 1).cast("int"), span.getField("length").cast("int"))
         return unescape_text(part)
 

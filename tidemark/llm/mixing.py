@@ -55,7 +55,7 @@ def targets(sizes: list[int], weights: list[float], most: float) -> list[float]:
             for j in order[place:]:
                 result[j] = left / weight * weights[j]
             break
-        result[i] = most * sizes[i]
+        result[i] = float(most * sizes[i])
         left, weight = left - result[i], weight - weights[i]
     return result
 

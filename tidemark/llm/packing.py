@@ -44,7 +44,7 @@ _CUT_ARROW = pa.schema(
     ]
 )
 LONG_WORD = 64
-KNOWN_WORDS = 500_000
+KNOWN_WORDS = 800_000
 # Signs that a split into runs of letters, single digits and runs of other signs parts from a letter.
 TAIL = b".,;:!?|%$#*&"
 
@@ -73,57 +73,77 @@ class WordTokens:
         self.special = [t["content"].lower().encode() for t in given["added_tokens"]]
         normalizers = json.dumps(given["normalizer"])
         pattern = json.dumps(given["pre_tokenizer"])
+        suffix = given["model"].get("end_of_word_suffix")
+        self.ends = None
+        if suffix:
+            self.ends = np.zeros(self.tokenizer.get_vocab_size(), bool)
+            self.ends[[i for token, i in given["model"]["vocab"].items() if token.endswith(suffix)]] = True
         self.shares = '"Lowercase"' in normalizers and json.dumps(r"[^\s\p{L}\p{N}]+")[1:-1] in pattern
 
     def _encoded(self, chunks: list[bytes]) -> dict[bytes, bytes]:
-        found = {}
+        """The ids of chunks. Those of letters alone are encoded many at a time.
+
+        Each is one word there, and the ids say where words end; counted, as lower-casing
+        may add a sign that is no letter.
+        """
         code = "H" if self.kind.itemsize == 2 else "I"
-        for begin in range(0, len(chunks), 5_000):
-            some = chunks[begin : begin + 5_000]
-            made = self.tokenizer.encode_batch_fast([c.decode() for c in some], add_special_tokens=False)
-            found.update(zip(some, (array(code, e.ids).tobytes() for e in made), strict=True))
+        texts = [c.decode() for c in chunks]
+        plain = [i for i, t in enumerate(texts) if self.ends is not None and t.isalpha()]
+        found = {}
+        for begin in range(0, len(plain), 500):
+            some = plain[begin : begin + 500]
+            joined = " ".join([texts[i] for i in some])
+            ids = np.array(self.tokenizer.encode(joined, add_special_tokens=False).ids, self.kind)
+            cuts = np.flatnonzero(self.ends[ids]) + 1
+            if len(cuts) == len(some):
+                width, raw = self.kind.itemsize, ids.tobytes()
+                edges = [0, *(cuts * width).tolist()]
+                found.update((chunks[i], raw[a:b]) for i, a, b in zip(some, edges, edges[1:], strict=False))
+        rest = [i for i, c in enumerate(chunks) if c not in found] if len(found) < len(chunks) else []
+        for begin in range(0, len(rest), 5_000):
+            some = rest[begin : begin + 5_000]
+            made = self.tokenizer.encode_batch_fast([texts[i] for i in some], add_special_tokens=False)
+            found.update((chunks[i], array(code, e.ids).tobytes()) for i, e in zip(some, made, strict=True))
         return found
 
     def _learn(self, chunks: list[bytes], share: bool) -> dict[bytes, bytes]:
         """The ids of new chunks."""
         if not share:
             return self._encoded(chunks)
-        parts = {}
+        known, parts = self.known, []
         for chunk in chunks:
             low = chunk.lower()
             head = low.rstrip(TAIL)
             if head and len(head) < len(low) and 97 <= head[-1] <= 122:
-                parts[chunk] = head, low[len(head) :]
+                parts.append((head, low[len(head) :]))
             else:
-                parts[chunk] = low, b""
-        wanted = {p for pair in parts.values() for p in pair if p and p not in self.known}
-        made = self._encoded(list(wanted))
+                parts.append((low, b""))
+        made = self._encoded([p for p in {p for pair in parts for p in pair} if p and p not in known])
         made[b""] = b""
-        known = self.known
-        return {c: (made[h] if h in made else known[h]) + (made[t] if t in made else known[t]) for c, (h, t) in parts.items()}
+        ids = [(made[h] if h in made else known[h]) + (made[t] if t in made else known[t]) for h, t in parts]
+        del made[b""]
+        return made | dict(zip(chunks, ids, strict=True))
 
     def __call__(self, texts: list[str]) -> Iterator[np.ndarray]:
-        for begin in range(0, len(texts), 250):
-            yield from self._some(texts[begin : begin + 250])
+        for begin in range(0, len(texts), 1000):
+            yield from self._some(texts[begin : begin + 1000])
 
     def _some(self, texts: list[str]) -> Iterator[np.ndarray]:
         raw = [t.encode() for t in texts]
+        known = self.known
         split = [r.split() for r in raw]
-        known, here = self.known, {}
-        new = {w for words in split for w in words if w not in known}
-        plain = self.shares
-        if plain and any(s in r.lower() for r in raw for s in self.special):
-            plain = False
-        if new:
-            here = self._learn(list(new), plain)
+        parts = [list(map(known.get, words)) for words in split]
+        open_ = [i for i, p in enumerate(parts) if None in p]
+        if open_:
+            new = {w for i in open_ for w, ids in zip(split[i], parts[i], strict=True) if ids is None}
+            share = self.shares and not any(s in r.lower() for r in raw for s in self.special)
+            here = self._learn(list(new), share)
             if len(known) < KNOWN_WORDS:
                 known.update((w, ids) for w, ids in here.items() if len(w) <= LONG_WORD)
-        for words in split:
-            if here:
-                parts = [known[w] if w in known else here[w] for w in words]
-            else:
-                parts = map(known.__getitem__, words)
-            yield np.frombuffer(b"".join(parts), self.kind)
+            for i in open_:
+                parts[i] = [here[w] if ids is None else ids for w, ids in zip(split[i], parts[i], strict=True)]
+        for ids in parts:
+            yield np.frombuffer(b"".join(ids), self.kind)
 
 
 def tokenise(docs: DataFrame, tokenizer_json: str, length: int, end_id: int, groups: int) -> DataFrame:
