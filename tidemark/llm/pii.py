@@ -388,8 +388,13 @@ def added_spans(text: str, run: Run, labels: np.ndarray, base: list[Span]) -> li
                 s += 1
             while e > s and text[e - 1] in _TRIM:
                 e -= 1
-            while e > s and text[e - 1] == ")" and "(" not in text[s:e]:
+            # A bracket belongs to the span only with its partner.
+            while s < e and text[s] == "(" and text[s:e].count("(") > text[s:e].count(")"):
+                s += 1
+            while s < e and text[e - 1] == ")" and text[s:e].count(")") > text[s:e].count("("):
                 e -= 1
+            if text[s : s + 2] == "((" and text[s:e].endswith(")"):
+                s, e = s + 1, e - 1
             free = not any(s < be and bs < e for bs, _, be in base)
             if s < e and free and _CHECKS[label - 1](text[s:e]):
                 out.append((s, label - 1, e))
