@@ -11,7 +11,8 @@ feeds AS (
     strftime(mark, '%Y-%m-%d %H:%M:%S') AS ingest_column,
     'o_orderdate' AS source_dt_col,
     CASE WHEN c_nationkey % 5 = 0 THEN 'o_orderkey'
-      WHEN c_nationkey % 5 = 1 THEN ' o_custkey | o_orderkey '
+      WHEN c_nationkey % 5 = 1
+        THEN ' o_custkey |' || chr(9) || ' o_orderkey ' || chr(10) || '| o_custkey'
       WHEN c_nationkey % 5 = 2 THEN ''
       WHEN c_nationkey % 5 = 3 THEN '|o_custkey|| o_orderdate|'
       WHEN c_custkey % 2 = 0 THEN 'None' END AS primary_keys,
@@ -54,7 +55,7 @@ SELECT table_name, pos, key_col FROM (
   SELECT table_name, unnest(ks) AS key_col, CAST(generate_subscripts(ks, 1) AS INTEGER) AS pos
   FROM (
     SELECT table_name, list_filter(
-      list_transform(string_split(primary_keys, '|'), lambda k: trim(k)),
+      list_transform(string_split(primary_keys, '|'), lambda k: trim(k, ' ' || chr(9) || chr(10))),
       lambda k: k <> '') AS ks
     FROM feeds WHERE primary_keys <> 'None') a) b
 """,
@@ -101,8 +102,14 @@ FROM events WHERE CAST(ts AS DATE) = DATE '2024-01-15' AND event_type = 'click'
 SELECT event_id, event_type FROM events WHERE CAST(ts AS DATE) = DATE '2024-01-15'
 """,
     "silver_create": """
-SELECT event_id, event_type, '2024' AS year, '01' AS month, '15' AS day
-FROM events WHERE CAST(ts AS DATE) = DATE '2024-01-15'
+SELECT event_id, event_type, strftime(ts, '%Y') AS year, strftime(ts, '%m') AS month,
+  strftime(ts, '%d') AS day
+FROM events
+""",
+    "silver_create_null_partition": """
+SELECT o_orderkey,
+  CASE o_orderstatus WHEN 'F' THEN true WHEN 'O' THEN false END AS done
+FROM orders
 """,
     "silver_overwrite_partitions": """
 SELECT l_orderkey, l_linenumber, l_shipdate, 'old' AS tag
@@ -129,7 +136,8 @@ UNION ALL SELECT * FROM s
     "silver_upsert_composite": """
 WITH t AS (SELECT conv_id, turn, role, text FROM conversations WHERE conv_id % 3 <> 0),
 s AS (
-  SELECT conv_id, turn, 'updated' AS role, text FROM conversations WHERE conv_id % 2 = 0)
+  SELECT conv_id, turn, 'updated' AS role, text FROM conversations
+  WHERE conv_id % 2 = 0 OR conv_id % 3 = 0)
 SELECT * FROM t
 WHERE NOT EXISTS (SELECT 1 FROM s WHERE s.conv_id = t.conv_id AND s.turn = t.turn)
 UNION ALL SELECT * FROM s
@@ -143,6 +151,18 @@ s AS (
   FROM customer WHERE c_custkey % 4 = 0)
 SELECT * FROM t WHERE NOT EXISTS (SELECT 1 FROM s WHERE s.k = t.k)
 UNION ALL SELECT * FROM s
+""",
+    "silver_merge_null_keys": """
+WITH t AS (
+  SELECT CASE WHEN c_custkey % 10 = 0 THEN NULL ELSE c_custkey END AS k, c_name, c_nationkey,
+    't' AS tag
+  FROM customer),
+s AS (
+  SELECT CASE WHEN c_custkey % 20 = 0 THEN NULL ELSE c_custkey END AS k, c_name, c_nationkey,
+    's' AS tag
+  FROM customer WHERE c_custkey % 4 = 0)
+SELECT * FROM t WHERE NOT EXISTS (SELECT 1 FROM s WHERE s.k = t.k)
+UNION ALL SELECT * FROM s
 """,
     "silver_upsert_repeated_target": """
 WITH t AS (
@@ -170,6 +190,18 @@ FROM customer
 UNION ALL
 SELECT c_custkey, c_name, 0.0::DOUBLE AS c_acctbal, '2026' AS year, '01' AS month, '02' AS day
 FROM customer WHERE c_acctbal < 0
+""",
+    "ingest_curate_orders_three_runs": """
+SELECT o_orderkey, o_custkey, o_orderdate,
+  CASE WHEN o_orderdate > TIMESTAMP '2000-01-01 00:00:00' THEN '3'
+    WHEN o_orderdate > TIMESTAMP '1996-01-01 00:00:00' THEN '2' ELSE o_orderstatus
+    END AS o_orderstatus,
+  CASE WHEN o_orderdate > TIMESTAMP '2000-01-01 00:00:00' THEN '03'
+    WHEN o_orderdate > TIMESTAMP '1996-01-01 00:00:00' THEN '02' ELSE '01' END AS day
+FROM orders
+""",
+    "ingest_curate_customer_replace": """
+SELECT c_custkey, c_name, c_acctbal, '02' AS day FROM customer
 """,
     "ingest_curate_events_no_key": """
 SELECT event_id, event_type, '01' AS day FROM events

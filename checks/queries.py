@@ -24,6 +24,7 @@ from tidemark.sinks.bronze import write_bronze
 from tidemark.sinks.silver import (
     append_silver,
     create_silver,
+    merge_silver,
     overwrite_partitions,
 )
 from tidemark.sinks.versions import read_snapshot
@@ -37,6 +38,7 @@ QUERIES: dict[str, Query] = {}
 
 DAY_1 = datetime(2026, 1, 1, 3)
 DAY_2 = datetime(2026, 1, 2, 3)
+DAY_3 = datetime(2026, 1, 3, 3)
 
 
 def query(function: Query) -> Query:
@@ -75,7 +77,7 @@ def feeds(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.date_format("mark", "yyyy-MM-dd HH:mm:ss").alias("ingest_column"),
         F.lit("o_orderdate").alias("source_dt_col"),
         F.when(kind == 0, "o_orderkey")
-        .when(kind == 1, " o_custkey | o_orderkey ")
+        .when(kind == 1, " o_custkey |\t o_orderkey \n| o_custkey")
         .when(kind == 2, "")
         .when(kind == 3, "|o_custkey|| o_orderdate|")
         .when(F.col("c_custkey") % 2 == 0, "None")
@@ -194,12 +196,22 @@ def bronze_day_slice(spark, sf_dir):
 def silver_create(spark, sf_dir):
     events = enrich(load(spark, sf_dir, "events"), F.col("ts"))
     root = scratch_path(spark, "silver")
-    table = create_silver(day_slice(events, datetime(2024, 1, 15)), root)
+    table = create_silver(events, root)
     return read_snapshot(spark, root, table).select(
         "event_id", "event_type", "year", "month", "day"
     )
 
 
+@query
+def silver_create_null_partition(spark, sf_dir):
+    """Partition values that are boolean or NULL."""
+    status = F.col("o_orderstatus")
+    done = F.when(status == "F", True).when(status == "O", False)
+    orders = load(spark, sf_dir, "orders").select("o_orderkey", done.alias("done"))
+    root = scratch_path(spark, "silver")
+    return read_snapshot(spark, root, create_silver(orders, root, ["done"]))
+
+
 @query
 def silver_overwrite_partitions(spark, sf_dir):
     lines = load(spark, sf_dir, "lineitem").select(
@@ -239,7 +251,8 @@ def silver_upsert_single(spark, sf_dir):
 def silver_upsert_composite(spark, sf_dir):
     turns = load(spark, sf_dir, "conversations")
     target = turns.filter(F.col("conv_id") % 3 != 0)
-    source = turns.filter(F.col("conv_id") % 2 == 0).withColumn("role", F.lit("updated"))
+    changed = (F.col("conv_id") % 2 == 0) | (F.col("conv_id") % 3 == 0)
+    source = turns.filter(changed).withColumn("role", F.lit("updated"))
     return upsert(target, source, ["conv_id", "turn"])
 
 
@@ -256,6 +269,22 @@ def silver_upsert_null_keys(spark, sf_dir):
     return upsert(target, source, ["k"])
 
 
+@query
+def silver_merge_null_keys(spark, sf_dir):
+    """The same through files: rows with a NULL key match nothing and are kept."""
+    customer = load(spark, sf_dir, "customer")
+    number, nation = F.col("c_custkey"), F.col("c_nationkey")
+    target = customer.select(
+        F.when(number % 10 != 0, number).alias("k"), "c_name", nation, F.lit("t").alias("tag")
+    )
+    source = customer.filter(number % 4 == 0).select(
+        F.when(number % 20 != 0, number).alias("k"), "c_name", nation, F.lit("s").alias("tag")
+    )
+    root = scratch_path(spark, "silver")
+    table = create_silver(target, root, ["c_nationkey"])
+    return read_snapshot(spark, root, merge_silver(table, source, root, ["k"]))
+
+
 @query
 def silver_upsert_repeated_target(spark, sf_dir):
     target = load(spark, sf_dir, "lineitem").select(
@@ -349,6 +378,31 @@ def ingest_curate_customer_full(spark, sf_dir):
     )
 
 
+@query
+def ingest_curate_orders_three_runs(spark, sf_dir):
+    """Merge after merge: files keep unmatched rows next to rows that moved to a later day."""
+    orders = load(spark, sf_dir, "orders")
+    cfg = lake(spark, ("orders", "INCREMENTAL", None, "o_orderdate", "o_orderkey", "00"))
+    run_day(spark, cfg, "orders", orders, DAY_1)
+    for run_ts, mark, tag in ((DAY_2, "1996-01-01", "2"), (DAY_3, "2000-01-01", "3")):
+        set_control(spark, cfg, "orders", ingest_column=f"{mark} 00:00:00", process_number="00")
+        changed = orders.withColumn("o_orderstatus", F.lit(tag))
+        run_day(spark, cfg, "orders", changed, run_ts)
+    return read_silver(spark, cfg, "orders").select(
+        "o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate", "day"
+    )
+
+
+@query
+def ingest_curate_customer_replace(spark, sf_dir):
+    """``full_mode="replace"``: the last run day alone is the table."""
+    customer = load(spark, sf_dir, "customer")
+    cfg = lake(spark, ("customer", "FULL", None, None, None, "00"))
+    run_day(spark, cfg, "customer", customer.withColumn("c_acctbal", F.lit(0.0)), DAY_1)
+    run_day(spark, cfg, "customer", customer, DAY_2, full_mode="replace")
+    return read_silver(spark, cfg, "customer").select("c_custkey", "c_name", "c_acctbal", "day")
+
+
 @query
 def ingest_curate_events_no_key(spark, sf_dir):
     """Incremental without a key appends, so rows above an old mark come twice."""

@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 from tests.conftest import DAY_1, DAY_2, data_files, plan, rows
 from tidemark.operators.rows import day_slice, enrich
 from tidemark.sinks.bronze import write_bronze
-from tidemark.sources.bronze import landed_days, of_days, read_bronze
+from tidemark.sources.bronze import landed_days, read_bronze
+from tidemark.sources.files import list_files
 
 
 def test_envelope_is_one_utc_time(spark):
@@ -107,11 +108,36 @@ def test_landed_days_change_with_their_files(spark, tmp_path):
     write_bronze(enrich(spark.range(1), DAY_1), path, "append")
     assert landed_days(spark, path)[first] != after[first]
 
-    some = of_days(read_bronze(spark, path), [second])
+    some = read_bronze(spark, path, days=[second])
     assert some.count() == 5
-    text = plan(some)
-    assert "PartitionFilters: [concat(year=" in text or "PartitionFilters: [(concat(year=" in text
-    assert of_days(read_bronze(spark, path), []).isEmpty()
+    assert all("day=02" in f for f in some.inputFiles())
+    none = read_bronze(spark, path, days=[])
+    assert none.isEmpty() and none.schema == some.schema
+
+
+def test_listings_open_no_file(spark, tmp_path):
+    path = str(tmp_path / "t")
+    write_bronze(enrich(spark.range(0, 40, 1, 4), DAY_1), path, "append")
+    for file in data_files(path):
+        (tmp_path / "t" / file).write_bytes(b"not parquet any more")
+    assert list(landed_days(spark, path)) == ["year=2026/month=01/day=01"]
+    text = plan(list_files(spark, [path]))
+    assert "Scan binaryFile" in text and "content" not in text and "Aggregate" not in text
+
+
+@pytest.mark.parametrize("attempt", range(10))
+def test_a_column_that_only_some_files_have_is_never_lost(spark, tmp_path, attempt):
+    """File names decide which file a reader samples first, and they are random."""
+    path = str(tmp_path / "t")
+    wider = spark.range(3, 5).withColumn("extra", F.lit("x"))
+    first, second = (spark.range(3), wider) if attempt % 2 else (wider, spark.range(3))
+    write_bronze(enrich(first, DAY_1), path, "append")
+    write_bronze(enrich(second, DAY_1), path, "append")
+    write_bronze(enrich(spark.range(1), DAY_2), path, "append")
+    for df in (read_bronze(spark, path), read_bronze(spark, path, run_ts=DAY_1)):
+        assert "extra" in df.columns
+        assert df.filter("extra = 'x'").count() == 2
+    assert "extra" not in read_bronze(spark, path, run_ts=DAY_2).columns
 
 
 def test_a_day_without_data_is_empty(spark, tmp_path):

@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tests.conftest import rows
+from tidemark import publish_ready
 from tidemark.operators import control as ctl
 from tidemark.sources.extract import checked_load_type, extract, is_unset
 from tidemark.state import StateLog
@@ -174,3 +175,56 @@ def test_superseded_files(state):
     state.commit(["events"])
     state.commit(["orders"])
     assert state.superseded_files().count() == 2
+
+
+def collided(spark, lake):
+    """Two commits of one table that did not see each other."""
+    lake.create(("a", "FULL", None, None, None, "02"), ("b", "FULL", None, None, None, "02"))
+    first = lake.state.current().filter("table_name = 'a'")
+    for status in ("01", "02"):
+        lake.state._write(first.withColumn("process_number", F.lit(status)), "append")
+    return lake.state
+
+
+def test_collisions_are_refused_and_can_be_settled(spark, lake):
+    state = collided(spark, lake)
+    control = spark.createDataFrame([("a", "FULL", None, None, None, "00")], ctl.CONTROL_SCHEMA)
+    for step in (
+        lambda: state.lookup("a"),
+        lambda: state.ready(),
+        lambda: state.commit(["a", "b"]),
+        lambda: state.register(control),
+        lambda: publish_ready(spark, lake.cfg),
+    ):
+        with pytest.raises(ctl.ControlError):
+            step()
+    assert state.commit(["b"]) == 0
+    rows = state.current().filter("table_name = 'a'").collect()
+    assert len(rows) == 2
+    with pytest.raises(ctl.ControlError):
+        state.settle("a", "no such commit")
+    chosen = next(r for r in rows if r["process_number"] == "02")
+    state.settle("a", chosen["commit_id"])
+    assert state.lookup("a")["process_number"] == "02"
+    assert state.ready() == ["a", "b"]
+    assert state.commit(["a"]) == 0
+
+
+def test_compaction_keeps_the_state_and_its_size(spark, lake):
+    state = collided(spark, lake)
+    files = lambda: len(state._log().select("_file").distinct().collect())
+    for i in range(12):
+        state.commit(["b"], ingest_column={"b": str(i)})
+    before = sorted(map(str, state.current().collect()))
+    assert state.compact() >= 15
+    assert files() == 1
+    assert sorted(map(str, state.current().collect())) == before
+    assert state.superseded_files().count() == 0
+    assert state.lookup("b")["ingest_column"] == "11"
+    with pytest.raises(ctl.ControlError):
+        state.lookup("a")
+
+
+def test_keys_lose_all_white_space(spark):
+    control = spark.createDataFrame([("t", "FULL", None, None, "a |\tb\n|\u00a0 c\r|\t| a", "00")], ctl.CONTROL_SCHEMA)
+    assert [(r["pos"], r["key_col"]) for r in ctl.key_list(control).collect()] == [(1, "a"), (2, "b"), (3, "c"), (4, "a")]

@@ -1,7 +1,10 @@
 from __future__ import annotations
 
+import math
+from collections import Counter
 from datetime import date, datetime
 from decimal import Decimal
+from random import Random
 
 import pytest
 from hypothesis import given, settings
@@ -17,10 +20,12 @@ from tidemark.sources.extract import (
     next_watermark,
 )
 from tidemark.sources.tables import (
+    BINS,
     FrameSource,
     JdbcSource,
     ParquetSource,
     bounds_query,
+    counts_query,
     quoted,
     range_predicates,
 )
@@ -157,6 +162,8 @@ def jdbc_calls(spark, monkeypatch):
     def fake(reader, url, table, **options):
         calls.append((url, table, options))
         frame = spark.createDataFrame([(0, 100)], "lo long, hi long")
+        if ") counts" in table:
+            return spark.createDataFrame([(b, 5) for b in range(128)], "b long, n long")
         return frame if "bounds" in table else frame.withColumn("ts", F.lit("2"))
 
     monkeypatch.setattr(DataFrameReader, "jdbc", fake)
@@ -166,7 +173,11 @@ def jdbc_calls(spark, monkeypatch):
 def test_jdbc_reads_ranges_with_a_fetch_size(spark, jdbc_calls):
     source = JdbcSource("jdbc:x", {"user": "u"}, {"t": ("id", 4)})
     extract_incremental(spark, source, "t", "ts", "1").collect()
-    (_, bounds, _), (_, table, options) = jdbc_calls
+    (_, bounds, _), (_, counts, _), (_, table, options) = jdbc_calls
+    assert counts == (
+        '(SELECT FLOOR(("id" - 0) / 0.78125) AS b, COUNT(*) AS n FROM "t" WHERE "id" IS NOT NULL'
+        ' AND "ts" > \'1\' GROUP BY FLOOR(("id" - 0) / 0.78125)) counts'
+    )
     assert bounds.endswith('FROM "t" WHERE "ts" > \'1\') bounds')
     assert table == '"t"'
     assert options["properties"] == {"fetchsize": "10000", "user": "u"}
@@ -181,10 +192,44 @@ def test_jdbc_reads_ranges_with_a_fetch_size(spark, jdbc_calls):
 
 def test_jdbc_split_on_the_mark_column_leaves_null_out(spark, jdbc_calls):
     JdbcSource("jdbc:x", {}, {"t": ("ts", 2)}).read(spark, "t", ("ts", "1"))
-    assert jdbc_calls[1][2]["predicates"] == ['"ts" < 50', '"ts" >= 50']
+    assert len(jdbc_calls[2][2]["predicates"]) == 2
+    assert not any("NULL" in p for p in jdbc_calls[2][2]["predicates"])
+
+
+def test_jdbc_increments_are_split_on_their_mark_column(spark, jdbc_calls):
+    JdbcSource("jdbc:x", pieces=4).read(spark, "t", ("ts", "1"))
+    assert len(jdbc_calls[2][2]["predicates"]) == 4
+    assert all(p.startswith('"ts" ') for p in jdbc_calls[2][2]["predicates"])
+
+
+@settings(max_examples=12, deadline=None)
+@given(st.integers(0, 10_000), st.integers(2, 9))
+def test_skewed_ranges_hold_alike_many_rows_and_each_row_once(spark, seed, pieces):
+    rng = Random(seed)
+    values = [int(1000 ** (3 * rng.random())) for _ in range(3000)]
+    low, high = min(values), max(values)
+    width = (high - low) / (pieces * BINS)
+    counts = Counter(math.floor((v - low) / width) for v in values)
+    predicates = range_predicates("n", low, high, pieces, counts=counts)
+    frame = spark.createDataFrame([(v,) for v in values], "n long")
+    assert set(hits_per_row(frame, predicates)) == {1}
+    assert len(predicates) <= pieces + 1
+    # Only a bin that is itself large may make a range large.
+    sizes = [frame.filter(p.replace('"', "`")).count() for p in predicates]
+    assert max(sizes) <= 2 * len(values) / pieces + max(counts.values())
+
+
+def test_time_counts_are_asked_by_the_second():
+    low, high = datetime(2024, 1, 1), datetime(2024, 1, 2)
+    assert counts_query("t", "ts", low, high, 24) == (
+        "(SELECT FLOOR(EXTRACT(EPOCH FROM CAST(\"ts\" AS TIMESTAMP) - TIMESTAMP '2024-01-01 00:00:00')"
+        ' / 3600.0) AS b, COUNT(*) AS n FROM "t" WHERE "ts" IS NOT NULL GROUP BY '
+        "FLOOR(EXTRACT(EPOCH FROM CAST(\"ts\" AS TIMESTAMP) - TIMESTAMP '2024-01-01 00:00:00') / 3600.0)) counts"
+    )
 
 
 def test_jdbc_without_split_is_one_plain_read(spark, jdbc_calls):
-    JdbcSource("jdbc:x").read(spark, "s.t")
+    with pytest.warns(UserWarning, match="one connection"):
+        JdbcSource("jdbc:x").read(spark, "s.t")
     assert [c[1] for c in jdbc_calls] == ['"s"."t"']
     assert "predicates" not in jdbc_calls[0][2]

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 from dataclasses import replace
 from datetime import datetime
 
@@ -15,8 +16,9 @@ from tidemark.operators.merge import MergeConflict
 from tidemark.operators.rows import enrich
 from tidemark.plans import publish as publish_module
 from tidemark.plans.results import DONE, EMPTY
+from tidemark.session import shared_root
 from tidemark.sinks.bronze import write_bronze
-from tidemark.sinks.versions import Snapshot
+from tidemark.sinks.versions import load_snapshot
 from tidemark.sources.bronze import read_bronze
 
 EVENTS = ("events", "INCREMENTAL", None, "ts", "event_id", "00")
@@ -172,7 +174,7 @@ def test_full_load_folds_changed_days_only(spark, lake, load):
     run(lake, "customer", customer, DAY_2)
 
     def folders():
-        snapshot = Snapshot.from_json(lake.state.lookup("customer")["silver"])
+        snapshot = load_snapshot(spark, lake.state.lookup("customer")["silver"])
         return {f.path for f in snapshot.folders}
 
     two_days = folders()
@@ -341,3 +343,35 @@ def test_a_ready_table_without_silver_data_fails(spark, lake):
     lake.create(("nation", "FULL", None, None, None, "02"))
     with pytest.raises(ValueError, match="no Silver data"):
         publish_ready(spark, lake.cfg)
+
+
+def test_a_new_column_is_refused_not_lost(spark, lake):
+    lake.create(("squares", "INCREMENTAL", None, None, "id", "00"))
+    run(lake, "squares", spark.range(4), DAY_1)
+    lake.set("squares", process_number="00")
+    wider = spark.range(2).withColumn("extra", F.lit(1))
+    ingest(spark, lake.showing(squares=spark.range(9, 10)), "squares", DAY_2)
+    lake.set("squares", process_number="00")
+    ingest(spark, lake.showing(squares=wider), "squares", DAY_2)
+    with pytest.raises(ValueError, match="unknown .*extra"):
+        curate(spark, lake.cfg, "squares", DAY_2)
+
+
+def test_a_source_may_change_the_case_of_its_columns(spark, lake):
+    lake.create(("squares", "INCREMENTAL", None, None, " id|\tID\n", "00"))
+    run(lake, "squares", spark.range(4).withColumn("v", F.lit(1)), DAY_1)
+    lake.set("squares", process_number="00")
+    changed = spark.range(2, 5).select(F.col("id").alias("ID"), F.lit(2).alias("V"))
+    run(lake, "squares", changed, DAY_2)
+    silver = read_silver(spark, lake.cfg, "squares")
+    assert rows(silver, "id", "v") == [(0, 1), (1, 1), (2, 2), (3, 2), (4, 2)]
+
+
+def test_jobs_leave_no_scratch_files(spark, lake):
+    root = shared_root(spark).removeprefix("file:")
+    lake.create(("squares", "INCREMENTAL", None, None, "id", "00"))
+    run(lake, "squares", spark.range(4), DAY_1)
+    before = set(os.listdir(root))
+    lake.set("squares", process_number="00")
+    run(lake, "squares", spark.range(2, 8), DAY_2, dedupe_order=["id"])
+    assert set(os.listdir(root)) == before

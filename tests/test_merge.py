@@ -8,7 +8,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from tests.conftest import DAY_1, DAY_2, data_files, plan, rows
-from tidemark.functions.scalars import is_among
+from tidemark.sinks import silver
 from tidemark.operators.merge import (
     MergeConflict,
     check_single_match,
@@ -19,9 +19,14 @@ from tidemark.operators.merge import (
     upsert,
 )
 from tidemark.operators.rows import dedupe_latest, enrich
-from tidemark.sinks import versions
-from tidemark.sinks.silver import append_silver, create_silver, merge_silver
-from tidemark.sinks.versions import Snapshot, copy_snapshot, read_snapshot
+from tidemark.sinks.silver import append_silver, create_silver, merge_silver, overwrite_partitions
+from tidemark.sinks.versions import (
+    Snapshot,
+    copy_snapshot,
+    load_snapshot,
+    read_snapshot,
+    save_snapshot,
+)
 
 SCHEMA = "a int, b string, v int"
 maybe_int = st.none() | st.integers(0, 4)
@@ -179,9 +184,9 @@ def test_merge_rewrites_only_files_with_a_match(spark, tmp_path):
     merged = merge_silver(table, batch, root, ["id"])
 
     kept = [f for f in merged.folders if f.path in {g.path for g in table.folders}]
-    assert [(f.partition, f.live, len(f.dropped)) for f in kept] == [
+    assert [(f.partition, f.live, len(f.files)) for f in kept] == [
         ("day=0", 4, 0),
-        ("day=1", 3, 1),
+        ("day=1", 3, 3),
     ]
     rewritten = [f for f in merged.folders if f not in kept]
     assert [(f.partition, f.live) for f in rewritten] == [("day=1", 1), ("day=9", 1)]
@@ -196,29 +201,26 @@ def test_dropped_files_are_pruned_and_not_opened(spark, tmp_path):
     root = str(tmp_path)
     table = create_silver(enrich(spark.range(0, 40, 1, 4), DAY_1), root)
     table = merge_silver(table, enrich(spark.range(5), DAY_2), root, ["id"])
-    (old,) = [f for f in table.folders if f.dropped]
-    gone = tmp_path / old.path / old.dropped[0]
+    (old,) = [f for f in table.folders if f.files]
+    (gone,) = [f for f in (tmp_path / old.path).glob("*.parquet") if f.name not in old.files]
     gone.write_bytes(b"not parquet any more")
     assert rows(read_snapshot(spark, root, table), "id") == [(i,) for i in range(40)]
 
 
-def test_is_among(spark):
-    texts = ["a", "it's", "b\\c", '"', "%"]
-    frame = spark.createDataFrame([(t,) for t in [*texts, "z"]], "t string")
-    assert rows(frame.filter(is_among("t", texts))) == sorted((t,) for t in texts)
-    assert spark.range(9).filter(is_among("id", [3, -1, 5])).count() == 2
-    assert spark.range(9).filter(is_among("id", [])).isEmpty()
-
-
 def test_colliding_file_ids_only_add_to_the_rewrite(spark, tmp_path, monkeypatch):
     root = str(tmp_path)
     table = create_silver(enrich(spark.range(0, 40, 1, 4), DAY_1), root)
     table = merge_silver(table, enrich(spark.range(5), DAY_2), root, ["id"])
-    real = versions.is_among
+    real = silver.snapshot_files
+    same = lambda *args: real(*args).withColumn("file_id", F.lit(0).cast("long"))
+    monkeypatch.setattr(silver, "snapshot_files", same)
+    reads = silver.read_snapshot
     monkeypatch.setattr(
-        versions,
-        "is_among",
-        lambda text, values: F.lit(True) if "hash" in text else real(text, values),
+        silver,
+        "read_snapshot",
+        lambda *a, **k: reads(*a, **k).withColumn("_file_id", F.lit(0).cast("long"))
+        if "extra" in k
+        else reads(*a, **k),
     )
     merged = merge_silver(table, enrich(spark.range(30, 31), DAY_2), root, ["id"])
     got = read_snapshot(spark, root, merged)
@@ -303,9 +305,86 @@ def test_snapshot_reads_prune_and_round_trip(spark, tmp_path):
 
 def test_reserved_column_names(spark, tmp_path):
     with pytest.raises(ValueError, match="reserved"):
-        create_silver(enrich(spark.range(1).withColumn("_file", F.lit(1)), DAY_1), str(tmp_path))
+        create_silver(enrich(spark.range(1).withColumn("_file_id", F.lit(1)), DAY_1), str(tmp_path))
+
+
+@pytest.mark.parametrize(
+    ("kind", "values"),
+    [
+        ("string", ["a b", "x/y", "p=q", "%", "[z]", "ü", None]),
+        ("boolean", [True, False, None]),
+        ("double", [1e10, 0.5, -3.0, None]),
+        ("date", ["2024-01-31", None]),
+        ("int", [0, -7, None]),
+    ],
+)
+def test_partition_values_of_any_kind(spark, tmp_path, kind, values):
+    """Folders are taken as Spark named them, for all writes and for a copy."""
+    root = str(tmp_path / "silver")
+
+    def frame(first, tag):
+        data = [(first + i, v if v is None else str(v), tag) for i, v in enumerate(values)]
+        df = spark.createDataFrame(data, "id int, p string, tag string")
+        return df.withColumn("p", F.col("p").cast(kind))
+
+    def shown(table, at=root):
+        return {(r["id"], str(r["p"]), r["tag"]) for r in read_snapshot(spark, at, table).collect()}
+
+    def expected(first, tag):
+        return {(r["id"], str(r["p"]), r["tag"]) for r in frame(first, tag).collect()}
+
+    table = create_silver(frame(0, "a"), root, ["p"])
+    assert shown(table) == expected(0, "a")
+    table = append_silver(table, frame(100, "b"), root)
+    table = merge_silver(table, frame(0, "c").limit(1), root, ["id"])
+    one = {x for x in expected(0, "c") if x[0] == 0}
+    rest = {x for x in expected(0, "a") if x[0] != 0}
+    assert shown(table) == one | rest | expected(100, "b")
+    copy = copy_snapshot(spark, root, str(tmp_path / "gold"), table)
+    assert shown(copy, str(tmp_path / "gold")) == shown(table)
+    table = overwrite_partitions(table, frame(200, "d"), root)
+    assert shown(table) == expected(200, "d")
+
+
+def test_upsert_fails_on_a_key_that_matches_twice(spark):
+    old = spark.createDataFrame([(1, "x", 0)], SCHEMA)
+    new = spark.createDataFrame([(1, "x", 1), (1, "x", 2)], SCHEMA)
+    with pytest.raises(Exception, match="several source rows match one target row"):
+        upsert(old, new, ["a"]).collect()
+
+
+def test_keys_may_be_repeated_and_in_any_case(spark, tmp_path):
+    old = spark.createDataFrame([(1, "x", 0), (2, "y", 0)], SCHEMA)
+    new = spark.createDataFrame([(2, "z", 1)], "A int, B string, V int")
+    assert rows(upsert(old, new, ["a", "A", "a"])) == [(1, "x", 0), (2, "z", 1)]
+    part = F.lit("1").alias("p")
+    table = create_silver(old.select("*", part), str(tmp_path), ["p"])
+    merged = merge_silver(table, new.select("*", part), str(tmp_path), ["A", "a"])
+    assert rows(read_snapshot(spark, str(tmp_path), merged), "a", "b", "v") == [(1, "x", 0), (2, "z", 1)]
+    with pytest.raises(ValueError, match="does not have"):
+        merge_silver(table, new.select("*", part), str(tmp_path), ["nope"])
 
 
-def test_partition_values_must_fit_a_folder_name(spark, tmp_path):
-    with pytest.raises(ValueError, match="not usable"):
-        create_silver(spark.range(1).withColumn("p", F.lit("a b")), str(tmp_path), ["p"])
+def test_a_merge_reads_its_batch_four_times_at_most(spark, tmp_path, monkeypatch):
+    root, source = str(tmp_path / "t"), str(tmp_path / "batch")
+    table = create_silver(enrich(spark.range(0, 40, 1, 4), DAY_1), root)
+    enrich(spark.range(30, 50), DAY_2).write.parquet(source)
+    scans = []
+    for name in ("write_scratch", "write_version"):
+        real = getattr(silver, name)
+
+        def counted(df, *args, real=real):
+            scans.append(plan(df).count(f"Location: InMemoryFileIndex [file:{source}"))
+            return real(df, *args)
+
+        monkeypatch.setattr(silver, name, counted)
+    merge_silver(table, spark.read.parquet(source), root, ["id"])
+    assert 1 <= sum(scans) <= 4
+
+
+def test_snapshots_are_files_of_their_own(spark, tmp_path):
+    root = str(tmp_path)
+    table = create_silver(enrich(spark.range(3), DAY_1), root)
+    path = save_snapshot(spark, root, table)
+    assert load_snapshot(spark, path) == table
+    assert load_snapshot(spark, None) is None

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
 from dataclasses import dataclass, field
 from typing import Any
 
@@ -15,8 +16,10 @@ class LakeConfig:
     """Roots of the three layers and of the state log, plus the table source.
 
     Without a ``gold_root``, publishing makes Silver's own files visible and copies
-    nothing; they never change once written. ``silver_catalog`` (for example ``"lake.sales"``) puts Silver into tables of a
-    Spark catalog with row-level writes instead of versioned Parquet directories.
+    nothing; they never change once written. ``silver_catalog`` (for example ``"lake.sales"``)
+    puts Silver into tables of a Spark catalog with row-level writes instead of versioned
+    Parquet directories, created with ``table_properties`` (for example
+    ``{"format-version": "2"}``).
     """
 
     bronze_root: str
@@ -25,6 +28,7 @@ class LakeConfig:
     state_root: str
     source: Any = field(default=None, repr=False)
     silver_catalog: str | None = None
+    table_properties: Mapping[str, str] = field(default_factory=dict)
 
     @classmethod
     def under(cls, root: str, source: Any = None) -> LakeConfig:
@@ -48,3 +52,7 @@ class LakeConfig:
     @property
     def state_path(self) -> str:
         return f"{_folder(self.state_root)}/log"
+
+    @property
+    def snapshot_root(self) -> str:
+        return f"{_folder(self.state_root)}/snapshots"

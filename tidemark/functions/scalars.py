@@ -11,6 +11,8 @@ from pyspark.sql import types as T
 
 # Texts of a control value that mean "nothing set".
 UNSET = ("", "None")
+# All white space, not just blanks: tabs and line ends come with hand-edited control rows.
+WHITE_SPACE = "".join(chr(i) for i in range(0x3001) if chr(i).isspace())
 
 
 def name(column: str) -> Column:
@@ -29,10 +31,18 @@ def resolve(column: str, columns: Sequence[str]) -> str | None:
     return next((c for c in columns if c.lower() == column.lower()), None)
 
 
+def resolve_keys(keys: Sequence[str], columns: Sequence[str]) -> list[str]:
+    """Key columns in the spelling of ``columns``, each once; a missing one is an error."""
+    missing = [k for k in keys if resolve(k, columns) is None]
+    if missing:
+        raise ValueError(f"key columns that the table does not have: {missing}")
+    return list(dict.fromkeys(resolve(k, columns) for k in keys))
+
+
 def split_keys(text: Column) -> Column:
     """``'a | b'`` to ``['a', 'b']``: trimmed, blanks dropped; unset gives no keys."""
     parts = F.filter(
-        F.transform(F.split(text, r"\|"), lambda part: F.trim(part)),
+        F.transform(F.split(text, r"\|"), lambda part: F.btrim(part, F.lit(WHITE_SPACE))),
         lambda part: part != "",
     )
     nothing = F.array().cast("array<string>")
@@ -48,15 +58,6 @@ def strict_literal(value: str, dtype: T.DataType, what: str) -> Column:
     return F.coalesce(F.lit(value).try_cast(dtype), F.raise_error(F.lit(message)))
 
 
-def is_among(expression: str, values: Sequence[str] | Sequence[int]) -> Column:
-    """``expression IN (values)``. One SQL text, as literal columns add up in long lists."""
-    texts = [
-        str(v) if isinstance(v, int) else "'" + v.replace("\\", "\\\\").replace("'", "\\'") + "'"
-        for v in values
-    ]
-    return F.expr(f"{expression} IN ({', '.join(texts)})") if texts else F.lit(False)
-
-
 def all_set(columns: Sequence[str]) -> Column:
     """True where every one of the columns has a value."""
     return reduce(lambda a, b: a & b, [name(c).isNotNull() for c in columns])

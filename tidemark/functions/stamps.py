@@ -11,9 +11,6 @@ from pyspark.sql import functions as F
 INGESTION_TIME = "_ingestion_time"
 DAY_COLUMNS = ("year", "month", "day")
 
-# The folder of a row's ingest day, as an expression.
-DAY_FOLDER = "concat('year=', year, '/month=', month, '/day=', day)"
-
 RunTime = datetime | Column
 
 

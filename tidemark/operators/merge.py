@@ -8,8 +8,17 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.functions.scalars import all_set, name, names, split_by_null_key
+from tidemark.functions.scalars import (
+    all_set,
+    name,
+    names,
+    resolve,
+    resolve_keys,
+    split_by_null_key,
+)
 
+# How often a key occurs in the source.
+N = "_n"
 
 # Types that come back unchanged from their text form.
 EXACT_AS_TEXT = (
@@ -39,14 +48,14 @@ def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
     return df.to(schema)
 
 
+def key_counts(source: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Complete keys, each once, with how often they occur as ``_n``. NULL equals nothing."""
+    return source.filter(all_set(keys)).groupBy(*names(keys)).agg(F.count(F.lit(1)).alias(N))
+
+
 def duplicate_keys(source: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Keys that occur more than once, with their count ``n``. NULL equals nothing."""
-    return (
-        source.filter(all_set(keys))
-        .groupBy(*names(keys))
-        .agg(F.count(F.lit(1)).alias("n"))
-        .filter(F.col("n") > 1)
-    )
+    return key_counts(source, keys).filter(name(N) > 1).withColumnRenamed(N, "n")
 
 
 def matched_keys(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -77,17 +86,24 @@ def key_range(source: DataFrame, keys: Sequence[str]) -> Column:
     return inside
 
 
+def counted_hits(target: DataFrame, counts: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Target rows whose key is among ``counts``, with the source's count ``_n`` of it."""
+    return target.filter(all_set(keys)).join(counts, list(keys))
+
+
+def check_hits(hits: DataFrame, keys: Sequence[str]) -> None:
+    """Raise if a hit's key comes more than once in the source."""
+    found = hits.filter(name(N) > 1).select(*names(keys), F.col(N).alias("n")).head()
+    if found is not None:
+        raise MergeConflict(f"several source rows match one target row: {found}")
+
+
 def check_single_match(source: DataFrame, hits: DataFrame, keys: Sequence[str]) -> None:
     """Raise if a key that exists in the target comes more than once in the source.
 
     Repeated keys that match nothing are plain inserts and pass.
     """
-    clash = duplicate_keys(source, keys).join(
-        _distinct_keys(hits, keys), list(keys), "left_semi"
-    )
-    found = clash.head()
-    if found is not None:
-        raise MergeConflict(f"several source rows match one target row: {found}")
+    check_hits(counted_hits(hits.select(*names(keys)), key_counts(source, keys), keys), keys)
 
 
 def upsert(
@@ -98,20 +114,25 @@ def upsert(
 ) -> DataFrame:
     """Matched target rows take all values of their source row; the rest is inserted.
 
-    A key that occurs several times in the target is updated each time. ``hits`` are the
-    target keys found in the source, if the caller has them already. Source keys that
-    match must be unique, see :func:`check_single_match`.
+    A key that occurs several times in the target is updated each time. Several source rows
+    for one matched key fail the query. ``hits`` are the target's keys found in the source with
+    their counts, see :func:`counted_hits`, if the caller has them already. A key column may be
+    given twice and in any case.
 
     The right side of every join has one row per key, so a hot key is only ever on the
     left, where Spark can split it.
     """
+    keys = resolve_keys(keys, target.columns)
+    source = source.select(*[name(resolve(c, source.columns)).alias(c) for c in target.columns])
     old, old_unkeyed = split_by_null_key(target, keys)
     new, new_unkeyed = split_by_null_key(source, keys)
     if hits is None:
-        hits = matched_keys(target.select(*names(keys)), source, keys)
-    known = _distinct_keys(hits, keys)
+        hits = counted_hits(target.select(*names(keys)), key_counts(source, keys), keys)
+    known = hits.groupBy(*names(keys)).agg(F.max(name(N)).alias(N))
+    clash = F.raise_error(F.lit("several source rows match one target row")).cast("boolean")
+    single = known.filter(F.when(name(N) == 1, F.lit(True)).otherwise(clash))
     values = [name(c) for c in target.columns if c not in keys]
-    change = new.join(known, list(keys), "left_semi").select(
+    change = new.join(single, list(keys)).select(
         *names(keys), F.struct(F.lit(True).alias("_"), *values).alias("_new")
     )
     updated = old.join(change, list(keys), "left").select(
@@ -124,7 +145,7 @@ def upsert(
             for c in target.columns
         ]
     )
-    inserted = new.join(known, list(keys), "left_anti")
+    inserted = new.join(known.select(*names(keys)), list(keys), "left_anti")
     return (
         updated.unionByName(inserted).unionByName(old_unkeyed).unionByName(new_unkeyed)
     )

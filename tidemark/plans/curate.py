@@ -8,12 +8,12 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame, SparkSession
 
 from tidemark.config import LakeConfig
-from tidemark.functions.scalars import resolve
+from tidemark.functions.scalars import resolve_keys
 from tidemark.operators.control import CURATED, LANDED, advance_status
 from tidemark.operators.merge import conform
 from tidemark.operators.rows import dedupe_latest
 from tidemark.plans.results import DONE, RunResult
-from tidemark.session import write_scratch
+from tidemark.session import remove_scratch, write_scratch
 from tidemark.sinks.catalog import CatalogTable
 from tidemark.sinks.silver import (
     append_silver,
@@ -21,8 +21,8 @@ from tidemark.sinks.silver import (
     merge_silver,
     overwrite_partitions,
 )
-from tidemark.sinks.versions import Snapshot
-from tidemark.sources.bronze import landed_days, of_days, read_bronze
+from tidemark.sinks.versions import Snapshot, load_snapshot, save_snapshot
+from tidemark.sources.bronze import landed_days, read_bronze
 from tidemark.sources.extract import FULL, checked_load_type
 from tidemark.state import StateLog
 
@@ -52,20 +52,19 @@ def curate(
 
     every_day = full and full_mode == "partitions"
     bronze_path = cfg.bronze_path(table)
-    present = Snapshot.from_json(control["silver"])
-    batch = read_bronze(spark, bronze_path, run_ts=None if every_day else run_ts)
-    landed = {}
+    present = load_snapshot(spark, control["silver"])
+    landed, days = {}, None
     if every_day and not cfg.silver_catalog:
         landed = landed_days(spark, bronze_path)
         folded = present.sources() if present else {}
-        batch = of_days(batch, [day for day in landed if folded.get(day) != landed[day]])
-    missing = [k for k in keys if resolve(k, batch.columns) is None]
-    if missing:
-        raise ValueError(f"primary_keys of {table} that it does not have: {missing}")
-    keys = [resolve(k, batch.columns) for k in keys]
+        days = [day for day in landed if folded.get(day) != landed[day]]
+    batch = read_bronze(spark, bronze_path, run_ts=None if every_day else run_ts, days=days)
+    keys = resolve_keys(keys, batch.columns)
+    scratch: list[DataFrame] = []
     if keys and dedupe_order:
         # Written once, because a merge looks at its batch several times.
         batch = write_scratch(dedupe_latest(batch, keys, dedupe_order), "deduped")
+        scratch.append(batch)
 
     replace = full and full_mode == "replace"
     if cfg.silver_catalog:
@@ -74,8 +73,9 @@ def curate(
     else:
         root = cfg.silver_path(table)
         new = _fold(present, batch, root, keys, full, replace, landed)
-        changes = {"silver": {table: new.to_json()}}
+        changes = {"silver": {table: save_snapshot(spark, cfg.snapshot_root, new)}}
 
+    remove_scratch(*scratch)
     moved = state.commit(
         [table], lambda df: advance_status(df, table, LANDED, CURATED), **changes
     )
@@ -111,7 +111,7 @@ def _fold_into_catalog(
     full: bool,
     replace: bool,
 ) -> None:
-    silver = CatalogTable(spark, cfg.silver_catalog, table)
+    silver = CatalogTable(spark, cfg.silver_catalog, table, cfg.table_properties)
     if not silver.exists():
         silver.create(batch)
     elif replace:

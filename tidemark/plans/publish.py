@@ -7,14 +7,20 @@ from concurrent.futures import ThreadPoolExecutor
 
 from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from tidemark.config import LakeConfig
 from tidemark.operators.control import reset_status
 from tidemark.plans.results import DONE, EMPTY, RunResult
 from tidemark.sinks.catalog import CatalogTable
 from tidemark.sinks.jdbc import stage_jdbc
-from tidemark.sinks.versions import Snapshot, copy_snapshot, read_snapshot, write_version
+from tidemark.sinks.versions import (
+    Snapshot,
+    copy_snapshot,
+    load_snapshot,
+    read_snapshot,
+    save_snapshot,
+    write_version,
+)
 from tidemark.state import StateLog
 
 
@@ -32,8 +38,8 @@ def read_gold(spark: SparkSession, cfg: LakeConfig, table: str) -> DataFrame:
     return _read(spark, cfg.gold_path(table), table, row["gold"])
 
 
-def _read(spark: SparkSession, root: str, table: str, text: str | None) -> DataFrame:
-    snapshot = Snapshot.from_json(text)
+def _read(spark: SparkSession, root: str, table: str, path: str | None) -> DataFrame:
+    snapshot = load_snapshot(spark, path)
     if snapshot is None:
         raise ValueError(f"table {table!r} has no data in this layer yet")
     return read_snapshot(spark, root, snapshot)
@@ -49,13 +55,13 @@ def stage_gold(spark: SparkSession, cfg: LakeConfig, row: dict) -> Snapshot:
     root = cfg.gold_path(table)
     if cfg.silver_catalog:
         return write_version(read_silver(spark, cfg, table), root)
-    snapshot = Snapshot.from_json(row["silver"])
+    snapshot = load_snapshot(spark, row["silver"])
     if snapshot is None:
         raise ValueError(f"table {table!r} has no Silver data to publish")
     if cfg.gold_root is None:
         return snapshot
     return copy_snapshot(
-        spark, cfg.silver_path(table), root, snapshot, Snapshot.from_json(row["gold"])
+        spark, cfg.silver_path(table), root, snapshot, load_snapshot(spark, row["gold"])
     )
 
 
@@ -70,14 +76,15 @@ def publish_ready(spark: SparkSession, cfg: LakeConfig, parallel: int = 4) -> Ru
     if not tables:
         return RunResult(EMPTY, ())
 
-    found = state.current().filter(F.col("table_name").isin(tables)).collect()
+    found = state.rows(tables).collect()
     stage = inheritable_thread_target(spark)(
         lambda row: stage_gold(spark, cfg, row.asDict())
     )
     with ThreadPoolExecutor(max_workers=parallel) as pool:
         copies = list(pool.map(stage, found))
 
-    gold = {row.table_name: copy.to_json() for row, copy in zip(found, copies)}
+    root = cfg.snapshot_root
+    gold = {row.table_name: save_snapshot(spark, root, c) for row, c in zip(found, copies)}
     moved = state.commit(tables, lambda df: reset_status(df, tables), gold=gold)
     return RunResult(DONE, tuple(tables), moved)
 

@@ -11,10 +11,10 @@ from pyspark.sql import DataFrame, SparkSession
 
 def shared_root(spark: SparkSession) -> str:
     """The cluster's shared scratch folder; a temporary one on local masters only."""
-    configured = spark.conf.get("spark.checkpoint.dir", None)
+    context = spark.sparkContext
+    configured = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if configured:
         return configured.rstrip("/")
-    context = spark.sparkContext
     if context.master.startswith("local") and "cluster" not in context.master:
         return _local_root(context.applicationId)
     raise RuntimeError(
@@ -39,6 +39,20 @@ def write_scratch(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def remove_scratch(*written: DataFrame) -> None:
+    """Delete what :func:`write_scratch` wrote, once nothing reads it any more."""
+    for df in written:
+        for folder in {file.rsplit("/", 1)[0] for file in df.inputFiles()}:
+            delete(df.sparkSession, folder)
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    """Delete a file or folder, by the path that Spark gives for it."""
+    jvm = spark.sparkContext._jvm
+    place = jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(path))
+    place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
+
+
 def local_session(
     cpus: int | str = "*", name: str = "tidemark", conf: dict[str, str] | None = None
 ) -> SparkSession:

@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from functools import reduce
+from types import MappingProxyType
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,8 +16,15 @@ from tidemark.functions.stamps import DAY_COLUMNS
 class CatalogTable:
     """Create, overwrite partitions, append and merge through the DataFrame writer."""
 
-    def __init__(self, spark: SparkSession, namespace: str, table: str):
+    def __init__(
+        self,
+        spark: SparkSession,
+        namespace: str,
+        table: str,
+        properties: Mapping[str, str] = MappingProxyType({}),
+    ):
         self.spark = spark
+        self.properties = properties
         self.namespace = namespace
         self.full_name = f"{namespace}.`{table.replace('`', '``')}`"
 
@@ -28,7 +36,10 @@ class CatalogTable:
 
     def create(self, batch: DataFrame, partition_by: Sequence[str] = DAY_COLUMNS) -> None:
         self.spark.sql(f"CREATE DATABASE IF NOT EXISTS {self.namespace}")
-        batch.writeTo(self.full_name).partitionedBy(*names(partition_by)).create()
+        writer = batch.writeTo(self.full_name).partitionedBy(*names(partition_by))
+        for key, value in self.properties.items():
+            writer = writer.tableProperty(key, value)
+        writer.create()
 
     def append(self, batch: DataFrame) -> None:
         batch.writeTo(self.full_name).append()

@@ -6,18 +6,27 @@ from collections.abc import Mapping, Sequence
 from types import MappingProxyType
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
-from tidemark.functions.scalars import names
+from tidemark.functions.scalars import names, resolve_keys
 from tidemark.functions.stamps import DAY_COLUMNS
 from tidemark.operators.merge import (
-    check_single_match,
+    check_hits,
     conform,
+    counted_hits,
+    key_counts,
     key_range,
-    matched_keys,
     upsert,
 )
-from tidemark.session import write_scratch
-from tidemark.sinks.versions import FILE, FILE_ID, Snapshot, read_snapshot, write_version
+from tidemark.session import remove_scratch, write_scratch
+from tidemark.sinks.versions import (
+    FILE_ID,
+    Snapshot,
+    read_snapshot,
+    snapshot_files,
+    write_version,
+)
+from tidemark.sources.files import list_files
 
 
 def create_silver(
@@ -55,28 +64,39 @@ def merge_silver(
 ) -> Snapshot:
     """Upsert the batch by key, rewriting only files that hold a matched row.
 
-    One pass over the target reads key columns alone, in the batch's key range. Its hits
-    tell which files are to be rewritten, whether a key matches twice, and which batch
-    rows are inserts; all three need them, so they are written to the shared scratch
-    folder. Updated rows move to the partition of their new values.
+    The batch's keys are counted once, into the shared scratch folder. One pass over the target
+    reads key columns alone, in those keys' range. Its hits, with the counts, tell which
+    files are to be rewritten, whether a key matches twice, and which batch rows are
+    inserts; all three need them, so they are written too. Updated rows move to the
+    partition of their new values. Keys are found in the table's spelling, each once.
     """
     spark = batch.sparkSession
     batch = conform(batch, table.schema)
+    keys = resolve_keys(keys, table.schema.names)
+    counts = write_scratch(key_counts(batch, keys), "merge-keys")
     target = read_snapshot(spark, root, table, extra=[FILE_ID])
-    target = target.select(*names([*keys, FILE_ID])).filter(key_range(batch, keys))
+    target = target.select(*names([*keys, FILE_ID])).filter(key_range(counts, keys))
     # Hits are few and come from all tasks of the scan: gather them into few files.
-    hits = matched_keys(target, batch, keys).hint("rebalance", *names(keys))
+    hits = counted_hits(target, counts, keys).hint("rebalance", *names(keys))
     hits = write_scratch(hits, "merge-hits")
-    check_single_match(batch, hits, keys)
+    check_hits(hits, keys)
     # Ids might collide: that adds a file to the rewrite and changes nothing else.
-    ids = [row[FILE_ID] for row in hits.select(FILE_ID).distinct().collect()]
-    old = read_snapshot(spark, root, table, file_ids=ids, extra=[FILE])
-    touched = [row[FILE] for row in old.select(FILE).distinct().collect()]
-    rows = upsert(old.drop(FILE), batch, keys, hits)
+    ids = hits.select(F.col(FILE_ID).alias("file_id")).distinct()
+    files = snapshot_files(spark, root, table)
+    touched = [r["path"] for r in files.join(ids, "file_id", "left_semi").select("path").collect()]
+    # Of folders that lose files, the names of the others.
+    hit = {table.tail(path)[0] for path in touched}
+    present = [f"{root}/{p}" for f in table.folders if f.path in hit for p in f.paths]
+    beside = [r["path"] for r in list_files(spark, present).select("path").collect()]
+    old = read_snapshot(spark, root, table, only=touched)
+    rows = upsert(old, batch, keys, hits)
     # Cluster by partition to avoid a file per task and day; hot days are split by size.
+    # (Without adaptive execution Spark ignores the hint: then there is a file per task and day.)
     # The writer sorts by partition anyway; keys next make row groups skippable by key.
     rows = rows.hint("rebalance", *names(table.partition_by)).sortWithinPartitions(
         *names([*table.partition_by, *keys])
     )
     new = write_version(rows, root, table.partition_by)
-    return table.with_folders([*table.without_files(touched).folders, *new.folders])
+    remove_scratch(counts, hits)
+    kept = table.without_files(touched, beside)
+    return table.with_folders([*kept.folders, *new.folders])

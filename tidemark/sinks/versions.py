@@ -1,15 +1,14 @@
 """Immutable version folders: how one plain Parquet table takes changes safely.
 
 Every write goes to a new folder ``_version=<id>/<partitions>``. A :class:`Snapshot`
-names the partition folders that make up the table, and the files in them that a merge
-has replaced. Files are never changed in place, so a snapshot stays readable while the
-next one is built, and a failed write is not seen.
+names the partition folders that make up the table, and where a merge has replaced
+files of a folder, the files of it that still count. Files are never changed in place, so
+a snapshot stays readable while the next one is built, and a failed write is not seen.
 """
 
 from __future__ import annotations
 
 import json
-import re
 import uuid
 from collections import Counter, defaultdict
 from collections.abc import Iterable, Mapping, Sequence
@@ -19,20 +18,20 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.functions.scalars import all_nullable, is_among, name, names
+from tidemark.functions.scalars import all_nullable, name, names
 from tidemark.functions.stamps import DAY_COLUMNS
+from tidemark.sources.files import FILE_ID_OF, list_files
 
-# The two folder levels above the partitions, and columns for a row's file.
+# The two folder levels above the partitions, and the column for a row's file.
 VERSION = "_version"
 COPY = "_copy"
-FILE = "_file"
 FILE_ID = "_file_id"
-RESERVED = {VERSION, COPY, FILE, FILE_ID, "_metadata"}
+RESERVED = {VERSION, COPY, FILE_ID, "_metadata"}
 
 
 @dataclass(frozen=True)
 class Folder:
-    """A partition folder: how many of its files count, and the names of those that don't.
+    """A partition folder: how many of its files count, and which if not all.
 
     Files only ever drop out, so path and ``live`` together identify the content.
     ``source`` tells what the folder is a whole and unchanged copy of, if known.
@@ -40,7 +39,7 @@ class Folder:
 
     path: str
     live: int
-    dropped: tuple[str, ...] = ()
+    files: tuple[str, ...] = ()
     source: str = ""
 
     @property
@@ -48,9 +47,10 @@ class Folder:
         """The partition part of the path, without the version."""
         return self.path.split("/", 1)[1]
 
-    def without(self, files: Iterable[str]) -> Folder:
-        gone = sorted(files)
-        return Folder(self.path, self.live - len(gone), (*self.dropped, *gone))
+    @property
+    def paths(self) -> list[str]:
+        """What is to be opened: the folder, or its files that count."""
+        return [f"{self.path}/{f}" for f in self.files] or [self.path]
 
 
 @dataclass(frozen=True)
@@ -66,7 +66,7 @@ class Snapshot:
             {
                 "schema": self.schema.jsonValue(),
                 "partition_by": self.partition_by,
-                "folders": [[f.path, f.live, f.dropped, f.source] for f in self.folders],
+                "folders": [[f.path, f.live, f.files, f.source] for f in self.folders],
             }
         )
 
@@ -78,7 +78,7 @@ class Snapshot:
         return cls(
             T.StructType.fromJson(value["schema"]),
             tuple(value["partition_by"]),
-            tuple(Folder(p, live, tuple(gone), src) for p, live, gone, src in value["folders"]),
+            tuple(Folder(p, live, tuple(some), src) for p, live, some, src in value["folders"]),
         )
 
     def with_folders(self, folders: Iterable[Folder]) -> Snapshot:
@@ -101,52 +101,55 @@ class Snapshot:
         """Trailing parts of a file path: version, partitions, file name."""
         return 2 + len(self.partition_by)
 
-    def without_files(self, files: Iterable[str]) -> Snapshot:
-        """The snapshot without some files, given by their paths."""
-        gone = defaultdict(list)
-        for file in files:
-            *folder, file_name = file.split("/")[-self.file_levels :]
-            gone["/".join(folder)].append(file_name)
-        left = [f.without(gone[f.path]) if f.path in gone else f for f in self.folders]
-        return self.with_folders(f for f in left if f.live)
+    def tail(self, file: str) -> tuple[str, str]:
+        """Folder below the root, and name, of a file."""
+        *folder, file_name = file.split("/")[-self.file_levels :]
+        return "/".join(folder), file_name
+
+    def without_files(self, gone: Iterable[str], present: Iterable[str]) -> Snapshot:
+        """The snapshot without some files; ``present`` are all files of their folders that count."""
+        out, left = {self.tail(f) for f in gone}, defaultdict(list)
+        for folder, file_name in map(self.tail, present):
+            if (folder, file_name) not in out:
+                left[folder].append(file_name)
+        hit = {folder for folder, _ in out}
+        folders = []
+        for f in self.folders:
+            if f.path not in hit:
+                folders.append(f)
+            elif left[f.path]:
+                folders.append(Folder(f.path, len(left[f.path]), tuple(sorted(left[f.path]))))
+        return self.with_folders(folders)
+
+
+def snapshot_files(spark: SparkSession, root: str, snapshot: Snapshot) -> DataFrame:
+    """The files of a snapshot, a row each; see :func:`list_files`."""
+    return list_files(spark, [f"{root}/{p}" for f in snapshot.folders for p in f.paths])
 
 
 def read_snapshot(
     spark: SparkSession,
     root: str,
     snapshot: Snapshot,
-    file_ids: Sequence[int] | None = None,
+    only: Sequence[str] | None = None,
     extra: Sequence[str] = (),
 ) -> DataFrame:
-    """The rows of a snapshot, or of some of its files.
+    """The rows of a snapshot, or of ``only`` some of its files, given by their paths.
 
-    Partition filters prune folders, and the conditions on files prune files, both before
-    anything is opened. ``extra`` may ask for ``_version``, the path of a row's ``_file``,
-    or its ``_file_id``, a number that is cheaper to shuffle.
+    Partition filters prune folders, and files that do not count are not listed.
+    ``extra`` may ask for ``_version``, or for a row's ``_file_id``, a number that stands for
+    its file.
     """
-    if not snapshot.folders:
-        types = {VERSION: "string", FILE: "string", FILE_ID: "long"}
+    paths = only
+    if paths is None:
+        paths = [f"{root}/{p}" for f in snapshot.folders for p in f.paths]
+    if not paths:
+        types = {VERSION: "string", FILE_ID: "long"}
         empty = spark.createDataFrame([], snapshot.schema)
         return empty.withColumns({c: F.lit(None).cast(types[c]) for c in extra})
     schema = T.StructType([*snapshot.schema.fields, T.StructField(VERSION, T.StringType())])
-    df = (
-        spark.read.schema(schema)
-        .option("basePath", root)
-        .parquet(*[f"{root}/{folder.path}" for folder in snapshot.folders])
-    )
-    file = "_metadata.file_path"
-    file_id = f"xxhash64({file})"
-    dropped = [f"{folder.path}/{gone}" for folder in snapshot.folders for gone in folder.dropped]
-    if dropped:
-        tail = f"substring_index({file}, '/', {-snapshot.file_levels})"
-        df = df.filter(~is_among(tail, dropped))
-    if file_ids is not None:
-        df = df.filter(is_among(file_id, file_ids))
-    columns = {
-        VERSION: name(VERSION),
-        FILE: F.expr(file).alias(FILE),
-        FILE_ID: F.expr(file_id).alias(FILE_ID),
-    }
+    df = spark.read.schema(schema).option("basePath", root).parquet(*paths)
+    columns = {VERSION: name(VERSION), FILE_ID: F.expr(FILE_ID_OF).alias(FILE_ID)}
     return df.select(*names(snapshot.schema.names), *[columns[c] for c in extra])
 
 
@@ -155,35 +158,17 @@ def write_version(
 ) -> Snapshot:
     """Write ``df`` as a new version, and return that version alone as a snapshot.
 
-    Which folders came about is read back from the file footers, not by running ``df``
-    a second time.
+    Which folders came about is taken from a listing of the new files, as Spark named them.
     """
     taken = RESERVED & set(df.columns)
     if taken:
         raise ValueError(f"reserved column names: {sorted(taken)}")
-    schema = all_nullable(df.schema)
     version = f"{VERSION}={uuid.uuid4().hex[:16]}"
     df.write.partitionBy(*partition_by).parquet(f"{root}/{version}")
-    written = df.sparkSession.read.schema(schema).parquet(f"{root}/{version}")
-    found = (
-        written.groupBy(*names(partition_by))
-        .agg(F.count_distinct("_metadata.file_path").alias("_live"))
-        .collect()
-    )
-    folders = [
-        Folder("/".join([version, *_partition(row, partition_by)]), row["_live"])
-        for row in found
-    ]
-    return Snapshot(schema, tuple(partition_by), ()).with_folders(folders)
-
-
-def _partition(row, partition_by: Sequence[str]) -> list[str]:
-    """Folder names of one row's partition values."""
-    parts = [f"{column}={row[column]}" for column in partition_by]
-    for part in parts:
-        if not re.fullmatch(r"\w+=[\w.\-]+", part):
-            raise ValueError(f"not usable as a partition folder: {part!r}")
-    return parts
+    nothing = Snapshot(all_nullable(df.schema), tuple(partition_by), ())
+    files = list_files(df.sparkSession, [f"{root}/{version}"])
+    found = Counter(nothing.tail(row["path"])[0] for row in files.collect())
+    return nothing.with_folders(Folder(path, live) for path, live in found.items())
 
 
 def copy_snapshot(
@@ -208,9 +193,25 @@ def copy_snapshot(
         rows = read_snapshot(
             spark, source_root, snapshot.with_folders(missing), extra=[VERSION]
         )
+        # Without adaptive execution Spark ignores the hint: a file per task and folder.
+        rows = rows.hint("rebalance", *names([VERSION, *snapshot.partition_by]))
         writer = rows.write.partitionBy(VERSION, *snapshot.partition_by)
         writer.parquet(f"{target_root}/{new}")
     return snapshot.with_folders(
         done.get((f.path, f.live), Folder(f"{new}/{f.path}", f.live))
         for f in snapshot.folders
     )
+
+
+def save_snapshot(spark: SparkSession, root: str, snapshot: Snapshot) -> str:
+    """Write the text of a snapshot as an immutable file of its own; returns its path."""
+    path = f"{root}/snapshot-{uuid.uuid4().hex[:16]}"
+    spark.range(1).select(F.lit(snapshot.to_json()).alias("value")).coalesce(1).write.text(path)
+    return path
+
+
+def load_snapshot(spark: SparkSession, path: str | None) -> Snapshot | None:
+    """The snapshot that :func:`save_snapshot` wrote; None for None."""
+    if path is None:
+        return None
+    return Snapshot.from_json(spark.read.text(path, wholetext=True).first()["value"])

@@ -10,9 +10,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.functions.scalars import is_among
-from tidemark.functions.stamps import DAY_COLUMNS, DAY_FOLDER, day_folder, day_parts
+from tidemark.functions.stamps import DAY_COLUMNS, day_folder, day_parts
 from tidemark.operators.rows import day_slice
+from tidemark.sources.files import list_files
 
 
 def text_partitions(
@@ -27,49 +27,59 @@ def text_partitions(
     )
 
 
+def landed_schema(spark: SparkSession, path: str, paths: Sequence[str]) -> T.StructType:
+    """The schema of all files below ``paths``, not of a sampled one.
+
+    A column that only some files have is part of it, so that it can't get lost.
+    """
+    return _reader(spark, path).option("mergeSchema", "true").parquet(*paths).schema
+
+
+def _reader(spark: SparkSession, path: str):
+    return spark.read.option("basePath", path)
+
+
 def read_bronze(
     spark: SparkSession,
     path: str,
     schema: T.StructType | None = None,
     run_ts: datetime | None = None,
+    days: Sequence[str] | None = None,
 ) -> DataFrame:
-    """Every landed day, or only the day of ``run_ts``.
+    """Every landed day, the day of ``run_ts``, or some ``days`` given by folder.
 
-    A single day is opened by its own folder, so that the file listing does not grow
+    Days are opened by their own folders, so that the file listing does not grow
     with the age of the table. A day without data gives an empty result.
     """
     if run_ts is not None:
-        reader = spark.read.option("basePath", path)
         folder = f"{path}/{day_folder(run_ts)}"
         try:
             if schema is None:
-                schema = reader.parquet(folder).schema
-            day = reader.schema(text_partitions(schema)).parquet(folder)
+                schema = landed_schema(spark, path, [folder])
+            day = _reader(spark, path).schema(text_partitions(schema)).parquet(folder)
             # As literals, the day parts need no sort when the slice is written again.
             return day_slice(day, run_ts).withColumns(day_parts(run_ts))
         except AnalysisException as error:
             if error.getCondition() != "PATH_NOT_FOUND":
                 raise
             return day_slice(read_bronze(spark, path, schema), run_ts)
+    paths = [path] if days is None else [f"{path}/{day}" for day in days]
     if schema is None:
-        schema = spark.read.parquet(path).schema
-    return spark.read.schema(text_partitions(schema)).parquet(path)
+        schema = landed_schema(spark, path, paths or [path])
+    schema = text_partitions(schema)
+    if not paths:
+        return spark.createDataFrame([], schema)
+    return _reader(spark, path).schema(schema).parquet(*paths)
 
 
 def landed_days(spark: SparkSession, path: str) -> dict[str, str]:
     """Every landed day by its folder, with a mark that changes when its files change.
 
-    Reads file names and row counts, no columns. Names are unique to the job that wrote
+    From a listing; no file is opened. Names are unique to the job that wrote
     the file, so the same names are the same files.
     """
-    files = read_bronze(spark, path).select(*DAY_COLUMNS, "_metadata.file_name").distinct()
-    names = F.concat_ws(
-        "-", F.count(F.lit(1)), F.bit_xor(F.xxhash64("file_name"))
-    ).alias("mark")
-    days = files.groupBy(F.expr(DAY_FOLDER).alias("folder")).agg(names).collect()
-    return {row.folder: row.mark for row in days}
-
-
-def of_days(bronze: DataFrame, folders: Sequence[str]) -> DataFrame:
-    """Rows of some days, given by folder; other folders are pruned."""
-    return bronze.filter(is_among(DAY_FOLDER, folders))
+    levels = -1 - len(DAY_COLUMNS)
+    folder = F.substring_index(F.substring_index("path", "/", levels), "/", len(DAY_COLUMNS))
+    mark = F.concat_ws("-", F.count(F.lit(1)), F.sum("length"), F.bit_xor(F.xxhash64("name")))
+    days = list_files(spark, [path]).groupBy(folder.alias("folder")).agg(mark.alias("mark"))
+    return {row.folder: row.mark for row in days.collect()}

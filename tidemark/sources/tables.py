@@ -6,15 +6,20 @@ its scan plan; the row filter itself is applied by :mod:`tidemark.sources.extrac
 
 from __future__ import annotations
 
+import warnings
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 from datetime import date, datetime
+from types import MappingProxyType
 from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
 
 After = tuple[str, str] | None
 
+# Equal ranges that are counted for each range that is read.
+BINS = 32
+
 
 @dataclass(frozen=True)
 class FrameSource:
@@ -41,27 +46,41 @@ class ParquetSource:
 class JdbcSource:
     """Tables of a database, read over several connections at once.
 
-    ``splits`` maps a table to ``(column, pieces)``. Without an entry the table comes
-    over one connection in one task, which suits small tables only.
+    ``splits`` maps a table to ``(column, pieces)``. Without an entry an incremental read is
+    split on its mark's column into ``pieces``; a full read comes over one connection in one task,
+    with a warning. Ranges are cut so that they hold about as many rows each: the source counts the rows
+    of ``pieces * BINS`` equal ranges in one grouped query. One value's rows stay together.
     """
 
     url: str
     properties: Mapping[str, str] = field(default_factory=dict, repr=False)
     splits: Mapping[str, tuple[str, int]] = field(default_factory=dict)
     fetch_size: int = 10_000
+    pieces: int = 16
 
     def read(self, spark: SparkSession, table: str, after: After = None) -> DataFrame:
         options = {"fetchsize": str(self.fetch_size), **self.properties}
         relation = quoted(table)
-        if table not in self.splits:
+        split = self.splits.get(table) or (after and (after[0], self.pieces))
+        if not split:
+            warnings.warn(
+                f"{table} has no split column: it is read over one connection, in one task",
+                stacklevel=2,
+            )
             return spark.read.jdbc(self.url, relation, properties=options)
-        column, pieces = self.splits[table]
-        bounds = spark.read.jdbc(
-            self.url, bounds_query(table, column, after), properties=options
-        ).first()
+        column, pieces = split
+
+        def ask(query: str) -> list:
+            return spark.read.jdbc(self.url, query, properties=options).collect()
+
+        ((low, high),) = ask(bounds_query(table, column, after))
+        counts = {}
+        if pieces > 1 and low is not None and low < high:
+            found = ask(counts_query(table, column, low, high, pieces * BINS, after))
+            counts = {int(b): int(n) for b, n in found if b is not None}
         skips_null = after is not None and after[0] == column
         predicates = range_predicates(
-            column, bounds[0], bounds[1], pieces, with_null=not skips_null
+            column, low, high, pieces, with_null=not skips_null, counts=counts
         )
         return spark.read.jdbc(
             self.url, relation, predicates=predicates, properties=options
@@ -88,32 +107,72 @@ def bounds_query(table: str, column: str, after: After = None) -> str:
     return f"(SELECT MIN({c}) AS lo, MAX({c}) AS hi FROM {quoted(table)}{where}) bounds"
 
 
+def counts_query(
+    table: str, column: str, low: Any, high: Any, bins: int, after: After = None
+) -> str:
+    """Subquery for the rows in each of ``bins`` equal ranges, grouped by the source."""
+    c = quoted(column)
+    if isinstance(low, (date, datetime)):
+        width = (high - low).total_seconds() / bins
+        at = f"EXTRACT(EPOCH FROM CAST({c} AS TIMESTAMP) - TIMESTAMP {text_literal(low)})"
+    else:
+        width = float(high - low) / bins
+        at = f"({c} - {low})"
+    where = f" WHERE {c} IS NOT NULL"
+    if after is not None:
+        where += f" AND {quoted(after[0])} > {text_literal(after[1])}"
+    group = f"FLOOR({at} / {width!r})"
+    return f"(SELECT {group} AS b, COUNT(*) AS n FROM {quoted(table)}{where} GROUP BY {group}) counts"
+
+
 def range_predicates(
-    column: str, low: Any, high: Any, pieces: int, with_null: bool = True
+    column: str,
+    low: Any,
+    high: Any,
+    pieces: int,
+    with_null: bool = True,
+    counts: Mapping[int, int] = MappingProxyType({}),
 ) -> list[str]:
     """Half-open ranges over a number or time column that together cover every row once.
 
     The first and last range are open-ended, so rows that arrive or change outside the
-    measured bounds are still read, and NULL gets a range of its own.
+    measured bounds are still read, and NULL gets a range of its own. ``counts`` are rows
+    by bin, of ``pieces * BINS``; without them the ranges are equally wide.
     """
     c = quoted(column)
     null_range = [f"{c} IS NULL"] if with_null else []
-    cuts = _cuts(low, high, pieces)
+    cuts = _cuts(low, high, pieces, counts)
     if not cuts:
         return [f"{c} IS NOT NULL", *null_range]
     inner = [f"{c} >= {a} AND {c} < {b}" for a, b in zip(cuts, cuts[1:])]
     return [f"{c} < {cuts[0]}", *inner, f"{c} >= {cuts[-1]}", *null_range]
 
 
-def _cuts(low: Any, high: Any, pieces: int) -> Sequence[str]:
+def _cuts(low: Any, high: Any, pieces: int, counts: Mapping[int, int]) -> Sequence[str]:
     if low is None or high is None or pieces < 2:
         return []
+    parts = pieces * BINS if counts else pieces
+    edges = balanced_edges(counts, pieces) if counts else range(1, pieces)
     span = high - low
     if isinstance(low, int):
-        points = [low + span * i // pieces for i in range(1, pieces)]
+        points = [low + span * i // parts for i in edges]
     else:
-        points = [low + span * i / pieces for i in range(1, pieces)]
+        points = [low + span * i / parts for i in edges]
     distinct = sorted({p for p in points if p > low})
     if isinstance(low, (date, datetime)):
         return [text_literal(p) for p in distinct]
     return [str(p) for p in distinct]
+
+
+def balanced_edges(counts: Mapping[int, int], pieces: int) -> list[int]:
+    """Bins at which a new range begins, so that ranges hold about as many rows each."""
+    share, seen, edges = sum(counts.values()) / pieces, 0, []
+    for b in sorted(counts):
+        # A bin that would overfill the range begins a new one, if that is nearer.
+        over = seen + counts[b] - share * (len(edges) + 1)
+        if seen and over > 0 and over > share * (len(edges) + 1) - seen:
+            edges.append(b)
+        seen += counts[b]
+        if seen >= share * (len(edges) + 1):
+            edges.append(b + 1)
+    return sorted(set(edges))[: pieces - 1]

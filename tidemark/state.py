@@ -4,10 +4,11 @@ Each commit appends a single file with the new rows of the tables it changes; th
 with the highest ``seq`` is the state of a table. A file appears whole or not at all,
 and so does a commit, however many tables it covers. Runs on different tables may
 commit at the same time. Two commits on one table at once leave two rows with the same
-``seq``, which the next lookup reports as an error.
+``seq``: every later read or commit of that table is refused until :meth:`StateLog.settle`
+chooses one of them.
 
-The log holds one small row per table and commit. It is metadata: its size depends on the
-number of tables and folders, not on their rows.
+The log holds one small row per table and commit, with the paths of its snapshots, not their
+texts. :meth:`StateLog.compact` keeps the latest rows alone.
 """
 
 from __future__ import annotations
@@ -15,7 +16,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable, Mapping, Sequence
 
-from pyspark.sql import DataFrame, Observation, SparkSession, Window
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -23,12 +24,14 @@ from tidemark.functions.scalars import split_keys
 from tidemark.operators.control import (
     CONTROL_SCHEMA,
     CURATED,
+    ControlError,
     control_lookup,
     control_ready,
     only_row,
 )
+from tidemark.session import delete
 
-# The snapshots are JSON texts, see tidemark.sinks.versions.Snapshot.
+# The snapshots are paths, see tidemark.sinks.versions.save_snapshot.
 STATE_SCHEMA = T.StructType(
     [
         *CONTROL_SCHEMA.fields,
@@ -48,18 +51,25 @@ class StateLog:
         self.path = path
 
     def current(self) -> DataFrame:
-        """The latest row of every table."""
-        return self._ranked().filter("_is_latest").select(*STATE_SCHEMA.names)
+        """The latest row of every table; several of one table if runs have collided."""
+        return self._latest().select(*STATE_SCHEMA.names)
+
+    def rows(self, tables: Sequence[str] | None = None) -> DataFrame:
+        """The latest rows of some tables, or of all; refused if one has collided."""
+        found = self.current()
+        if tables is not None:
+            found = found.filter(F.col("table_name").isin(list(tables)))
+        names = found.groupBy("table_name").count().filter("count > 1").orderBy("table_name")
+        clash = [r.table_name for r in names.limit(5).collect()]
+        if clash:
+            raise ControlError(f"tables with colliding commits, see StateLog.settle: {clash}")
+        return found
 
     def superseded_files(self) -> DataFrame:
         """Log files without any latest row. They may be deleted at any time."""
-        return (
-            self._ranked()
-            .groupBy("_file")
-            .agg(F.max("_is_latest").alias("in_use"))
-            .filter(~F.col("in_use"))
-            .select(F.col("_file").alias("file"))
-        )
+        kept = self._latest().select("_file").distinct()
+        files = self._log().select("_file").distinct().join(kept, "_file", "left_anti")
+        return files.select(F.col("_file").alias("file"))
 
     def lookup(self, table: str) -> dict:
         """State of one table with its key columns as ``keys``; it must have one row."""
@@ -67,8 +77,11 @@ class StateLog:
         return only_row(found.withColumn("keys", split_keys(F.col("primary_keys"))), table)
 
     def ready(self, status: str = CURATED) -> list[str]:
-        """Names of the tables at a status, in alphabetical order."""
-        return sorted(r.table_name for r in control_ready(self.current(), status).collect())
+        """Names of the tables at a status, in alphabetical order; none may have collided."""
+        found = control_ready(self.current(), status).distinct().collect()
+        tables = sorted(r.table_name for r in found)
+        self.rows(tables)
+        return tables
 
     def create(self, control: DataFrame) -> None:
         """Start the log of a new lake with its control rows."""
@@ -77,7 +90,8 @@ class StateLog:
 
     def register(self, control: DataFrame) -> None:
         """Add control rows, or replace those of known tables; snapshots are kept."""
-        self._write(self._registered(control, self.current()), "append")
+        tables = [r.table_name for r in control.select("table_name").collect()]
+        self._write(self._registered(control, self.rows(tables)), "append")
 
     def commit(
         self,
@@ -90,7 +104,7 @@ class StateLog:
         ``changes`` gives new values by table for any state column, and ``move`` is the
         status transition, applied to the state as it is at this moment.
         """
-        rows = self.current().filter(F.col("table_name").isin(list(tables)))
+        rows = self.rows(tables)
         for column, values in changes.items():
             pairs = [F.lit(x).cast("string") for pair in values.items() for x in pair]
             rows = rows.withColumn(column, F.create_map(*pairs)[F.col("table_name")])
@@ -101,12 +115,39 @@ class StateLog:
         self._write(after.observe(seen, F.count_if(moved).alias("moved")), "append")
         return seen.get["moved"]
 
-    def _ranked(self) -> DataFrame:
+    def settle(self, table: str, commit_id: str) -> None:
+        """End a collision: the row of ``commit_id`` becomes the state of the table.
+
+        ``current()`` shows the colliding rows with their ``commit_id``.
+        """
+        mine = (F.col("table_name") == table) & (F.col("commit_id") == commit_id)
+        chosen = self.current().filter(mine)
+        if chosen.count() != 1:
+            raise ControlError(f"no single latest row of {table!r} has commit {commit_id!r}")
+        self._write(chosen, "append")
+
+    def compact(self) -> int:
+        """Write the latest rows as one file and delete the files before it; returns how many.
+
+        Commits made meanwhile stay, as only files seen at the start are deleted. Until they
+        are, rows occur twice with one ``commit_id``, which counts as one row.
+        """
+        before = [r["_file"] for r in self._log().select("_file").distinct().collect()]
+        self.current().coalesce(1).write.mode("append").parquet(self.path)
+        for file in before:
+            delete(self.spark, file)
+        return len(before)
+
+    def _log(self) -> DataFrame:
         log = self.spark.read.schema(STATE_SCHEMA).parquet(self.path)
-        latest = F.max("seq").over(Window.partitionBy("table_name"))
-        return log.select("*", F.col("_metadata.file_path").alias("_file")).withColumn(
-            "_is_latest", F.col("seq") == latest
-        )
+        return log.select("*", F.col("_metadata.file_path").alias("_file"))
+
+    def _latest(self) -> DataFrame:
+        """The rows with the highest ``seq`` of their table, with one of their files."""
+        log = self._log()
+        top = log.groupBy("table_name").agg(F.max("seq").alias("seq"))
+        latest = log.join(top, ["table_name", "seq"], "left_semi")
+        return latest.dropDuplicates(["table_name", "seq", "commit_id"])
 
     @staticmethod
     def _registered(control: DataFrame, current: DataFrame) -> DataFrame:
