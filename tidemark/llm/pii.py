@@ -140,11 +140,6 @@ def features(before: str, here: str, after: str) -> list[str]:
     ]
 
 
-def neighbour(word: str) -> str:
-    """A neighbour's shape; words without digits are all alike."""
-    return shape(word) if _HOT.search(word) else "a"
-
-
 @dataclass
 class Run:
     """Consecutive words that may be personal data, with their neighbours' shapes."""
