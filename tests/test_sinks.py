@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections import namedtuple
+from dataclasses import replace
 
 import pytest
 from pyspark.sql import DataFrameWriter
@@ -36,11 +37,16 @@ def test_scratch_is_below_the_configured_folder(spark):
 
 Fake = namedtuple("Fake", "conf sparkContext")
 Conf = namedtuple("Conf", "get")
-Context = namedtuple("Context", "master applicationId")
+Context = namedtuple("Context", "master applicationId getCheckpointDir")
 
 
-def without_setting(master):
-    return Fake(Conf(lambda key, default=None: default), Context(master, "app-1"))
+def without_setting(master, folder=None):
+    context = Context(master, "app-1", lambda: folder)
+    return Fake(Conf(lambda key, default=None: default), context)
+
+
+def test_a_checkpoint_folder_set_in_the_program_counts():
+    assert shared_root(without_setting("yarn", "hdfs://x/y/")) == "hdfs://x/y"
 
 
 @pytest.mark.parametrize("master", ["spark://host:1", "yarn", "local-cluster[2,1,1024]"])
@@ -64,6 +70,14 @@ def test_catalog_table_is_created_partitioned(spark):
     assert [c.name for c in columns if c.isPartition] == ["year", "month", "day"]
 
 
+def test_catalog_tables_get_their_properties(spark, lake):
+    cfg = replace(lake.cfg, silver_catalog="spark_catalog.kept", table_properties={"owner": "me"})
+    table = CatalogTable(spark, cfg.silver_catalog, "n", cfg.table_properties)
+    table.create(enrich(spark.range(3), DAY_1))
+    found = spark.sql(f"SHOW TBLPROPERTIES {table.full_name}").collect()
+    assert ("owner", "me") in {tuple(r) for r in found}
+
+
 def test_first_run_through_a_catalog(spark, lake):
     lake.create(("squares", "INCREMENTAL", None, None, "id", "00"))
     cfg = lake.cfg
