@@ -69,6 +69,12 @@ def test_query(spark, sf_dir, documents):
     assert sorted(map(tuple, rows)) == sorted(map(tuple, op5_mix(spark, sf_dir).collect()))
 
 
+def test_many_sources_are_joined_without_broadcast(documents, monkeypatch):
+    small = sorted(map(tuple, mixing.mix(documents).collect()))
+    monkeypatch.setattr(mixing, "BROADCAST_SOURCES", 0)
+    assert sorted(map(tuple, mixing.mix(documents).collect())) == small
+
+
 def test_no_block_repeats_within_an_epoch(documents):
     m = mixing.Mix(documents, block_words=32, shard_slots=100)
     slots = m.slots().toPandas()

@@ -26,15 +26,16 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import DOCUMENT_COLUMNS, WORD, batch, distinct_documents, root_buckets, text_of
+from tidemark.llm.common import DOCUMENT_COLUMNS, WORD, batch, distinct_documents, given_back, root_buckets, text_of
 from tidemark.session import write_scratch
 
 SLOTS = "shard long, slot long, source_ix int, epoch int, block long"
 
 TASK_SLOTS = 500_000
+BROADCAST_SOURCES = 100_000
 
 
 @dataclass
@@ -125,6 +126,14 @@ class Mix:
         rows = [(i, s.name, s.size, s.target) for i, s in enumerate(self.sources)]
         return self.spark.createDataFrame(rows, "source_ix int, source string, source_size long, target double")
 
+    def with_sources(self, rows: DataFrame, *keys: str) -> DataFrame:
+        """``rows`` joined with columns of the source table: broadcast if it is small, else shuffled."""
+        table = self.source_table()
+        small = F.broadcast(table) if len(self.sources) <= BROADCAST_SOURCES else table
+        return rows.join(small, list(keys)) if keys else rows.join(
+            small.withColumnRenamed("source", "name"), F.col("source").eqNullSafe(F.col("name"))
+        )
+
     def slots(self) -> DataFrame:
         """Rows of ``SLOTS``: which block each slot of each shard takes."""
         per, most, seed = self.shard_slots, self.most, self.seed
@@ -174,15 +183,28 @@ class Mix:
 
         shards = math.ceil(total / per)
         counts = self.spark.range(shards).mapInPandas(draw, "shard long, source_ix int, n long")
-        before = Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
-        inside = Window.partitionBy("shard").orderBy("source_ix").rowsBetween(Window.unboundedPreceding, -1)
-        numbered = counts.select(
-            "*",
-            F.coalesce(F.sum("n").over(before.partitionBy("source_ix")), F.lit(0)).alias("first"),
-        ).withColumn("slot", F.coalesce(F.sum("n").over(inside), F.lit(0)))
+        # Slot numbers by running sums, within groups of shards and over the groups.
+        group = math.isqrt(shards) + 1
+        grouped = counts.withColumn("g", F.expr(f"shard div {group}"))
+        upto = (Window.unboundedPreceding, -1)
+        over_groups = Window.partitionBy("source_ix").orderBy("g").rowsBetween(*upto)
+        in_group = Window.partitionBy("source_ix", "g").orderBy("shard").rowsBetween(*upto)
+        in_shard = Window.partitionBy("shard").orderBy("source_ix").rowsBetween(*upto)
+
+        def running(window) -> Column:
+            return F.coalesce(F.sum("n").over(window), F.lit(0))
+
+        starts = grouped.groupBy("source_ix", "g").agg(F.sum("n").alias("n"))
+        starts = starts.select("source_ix", "g", running(over_groups).alias("start"))
+        numbered = (
+            grouped.withColumn("inside", running(in_group))
+            .join(starts, ["source_ix", "g"])
+            .withColumn("first", F.col("start") + F.col("inside"))
+            .withColumn("slot", running(in_shard))
+        )
         tasks = max(int(self.spark.conf.get("spark.sql.shuffle.partitions")), math.ceil(total / TASK_SLOTS))
         # Written: the plan can't know how many rows the draws give, and would broadcast them.
-        return write_scratch(numbered.repartition(tasks, "shard").mapInPandas(place, SLOTS), "mix-slots")
+        return write_scratch(numbered.repartition(tasks, "shard", "source_ix").mapInPandas(place, SLOTS), "mix-slots")
 
     def spans(self) -> DataFrame:
         """Each document with words: its place in the stream of its source."""
@@ -200,10 +222,8 @@ class Mix:
         joined = placed.join(
             starts, F.col("source").eqNullSafe(F.col("s")) & (F.col("bucket") == F.col("b"))
         )
-        names = self.source_table().select("source_ix", F.col("source").alias("name"))
         return (
-            joined.join(F.broadcast(names), F.col("source").eqNullSafe(F.col("name")))
-            .filter("size > 0")
+            self.with_sources(joined.filter("size > 0"))
             .select("doc_id", "text_hash", "size", "source_ix", (F.col("bucket_start") + F.col("inside")).alias("start"))
         )
 
@@ -231,16 +251,10 @@ def mix(docs: DataFrame, **options) -> DataFrame:
         .agg(F.sum(F.col("words") * F.coalesce("times", F.lit(0))).alias("taken"))
         .select("doc_id", "size", "source_ix", "taken")
     )
-    table = m.source_table()
-    empty = (
-        m.sizes.filter("size = 0")
-        .join(F.broadcast(table.select("source_ix", F.col("source").alias("name"))), F.col("source").eqNullSafe(F.col("name")))
-        .select("doc_id", "size", "source_ix", F.lit(0).cast("long").alias("taken"))
-    )
-    return (
-        taken.unionByName(empty)
-        .join(F.broadcast(table.drop("source")), "source_ix")
-        .select("doc_id", "size", "source_size", "target", "taken")
+    empty = m.with_sources(m.sizes.filter("size = 0"))
+    empty = empty.select("doc_id", "size", "source_ix", F.lit(0).cast("long").alias("taken"))
+    return m.with_sources(taken.unionByName(empty), "source_ix").select(
+        "doc_id", "size", "source_size", "target", "taken"
     )
 
 
@@ -291,4 +305,4 @@ def mixed_documents(docs: DataFrame, **options) -> DataFrame:
                         out[c].append({"text": text, "n_chars": len(text)}.get(c, row[c]))
             yield batch(kinds, **out)
 
-    return joined.mapInArrow(cut, schema)
+    return joined.mapInArrow(given_back(cut), schema)
