@@ -213,14 +213,19 @@ def test_collisions_are_refused_and_can_be_settled(spark, lake):
 def test_compaction_keeps_the_state_and_its_size(spark, lake):
     state = collided(spark, lake)
     files = lambda: len(state._log().select("_file").distinct().collect())
-    for i in range(12):
-        state.commit(["b"], ingest_column={"b": str(i)})
+    widths = set()
+    for i in range(10, 60):
+        state.commit(["b"], ingest_column={"b": str(i)}, silver={"b": f"lake/snapshot-{i}"})
+        if i % 10 == 0:
+            latest = state.current().filter("table_name = 'b'").first()
+            widths.add(sum(len(str(v)) for k, v in latest.asDict().items() if k != "seq"))
+    assert len(widths) == 1
     before = sorted(map(str, state.current().collect()))
-    assert state.compact() >= 15
-    assert files() == 1
+    assert state.compact() >= 53
+    assert files() == 1 and len(state.current().inputFiles()) == 1
     assert sorted(map(str, state.current().collect())) == before
     assert state.superseded_files().count() == 0
-    assert state.lookup("b")["ingest_column"] == "11"
+    assert state.lookup("b")["ingest_column"] == "59"
     with pytest.raises(ctl.ControlError):
         state.lookup("a")
 
