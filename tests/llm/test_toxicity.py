@@ -1,6 +1,7 @@
 import zlib
 
 import numpy as np
+from pyspark.sql import functions as F
 
 from tidemark.llm import toxicity
 from tidemark.llm.queries import op7_toxicity
@@ -41,32 +42,26 @@ def test_query_holds_out_and_separates(spark, sf_dir, load):
     assert all(0 <= r["score"] <= 1 and r["predicted"] == (r["score"] >= 0.3) for r in rows)
 
 
-def test_accuracy_on_held_out_documents(spark, load):
-    """Planted words make texts toxic; half of them is learned from."""
+def test_accuracy_on_held_out_documents(spark):
+    """Planted words make texts toxic; half of the texts is learned from."""
     rng = np.random.default_rng(4)
-    clean = [r["text"] for r in load("documents").filter("length(text) between 200 and 4000").collect()]
+    vocabulary = ["".join(rng.choice(list("abcdefghij"), 5)) for _ in range(400)]
     rows = []
     for i in range(600):
-        words = clean[i % len(clean)].split()
+        words = rng.choice(vocabulary, int(rng.integers(40, 400))).tolist()
         bad = i % 3 == 0
         if bad:
             for w in rng.choice(["idiot", "scum", "moron"], 4):
                 words.insert(int(rng.integers(len(words))), str(w))
         rows.append((i, " ".join(words), int(bad)))
     docs = spark.createDataFrame(rows, "doc_id long, text string, label int")
-    half = docs.filter("doc_id % 2 = 0")
-    scorer = toxicity.learn(docs, half.select("doc_id", "label"), sample=150)
-    held = docs.filter("doc_id % 2 = 1")
-    from pyspark.sql import functions as F
-
-    got = toxicity.score(held.withColumn("held_out", F.lit(True)), scorer).join(held.select("doc_id", "label"), "doc_id")
-    right = [r["predicted"] == r["label"] for r in got.collect()]
-    assert np.mean(right) > 0.95
+    scorer = toxicity.learn(docs, docs.filter("doc_id % 4 < 2").select("doc_id", "label"), sample=150)
+    held = docs.filter("doc_id % 4 >= 2").withColumn("held_out", F.lit(True))
+    got = toxicity.score(held, scorer).join(held.select("doc_id", "label"), "doc_id")
+    assert np.mean([r["predicted"] == r["label"] for r in got.collect()]) > 0.95
 
 
 def test_messy_and_missing_labels(spark, messy, nothing, documents, load):
-    from pyspark.sql import functions as F
-
     asked = messy.withColumn("held_out", F.lit(None).cast("boolean"))
     schema = "doc_id long, label int"
     few = spark.createDataFrame([(2, 1), (4, 0), (6, 1), (6, 0), (9, None), (None, 1), (5, 7)], schema)

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import ctypes
 import math
 import sys
 import types
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -42,7 +44,7 @@ def root_buckets(rows: int) -> int:
     return max(1, math.isqrt(max(rows, 1)))
 
 
-def runs(texts: list[str], budget: int) -> Iterator[tuple[int, int]]:
+def runs(texts: list, budget: int) -> Iterator[tuple[int, int]]:
     """Index ranges of at most ``budget`` characters each; a longer text is alone."""
     begin = total = 0
     for i, text in enumerate(texts):
@@ -54,6 +56,30 @@ def runs(texts: list[str], budget: int) -> Iterator[tuple[int, int]]:
         yield begin, len(texts)
 
 
+def slices(texts: pa.Array, budget: int) -> Iterator[tuple[int, int]]:
+    """Index ranges of an Arrow array of at most ``budget`` bytes each; a longer text is alone."""
+    sizes = pc.binary_length(texts).to_numpy(zero_copy_only=False)
+    return runs([range(n) for n in sizes.tolist()], budget)
+
+
+def given_back(work: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
+    """``work`` of a task, after which freed memory goes back to the system.
+
+    Python workers live on between tasks, and their allocators keep what they once took.
+    """
+
+    def run(batches: Iterator) -> Iterator:
+        try:
+            yield from work(batches)
+        finally:
+            pa.default_memory_pool().release_unused()
+            trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+            if trim:
+                trim(0)
+
+    return run
+
+
 def per_worker(name: object, make: Callable):
     """What ``make`` gives, made once per Python worker and kept between its tasks."""
     kept = sys.modules.setdefault("_tidemark_worker", types.ModuleType("_tidemark_worker")).__dict__

@@ -23,10 +23,10 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import DOCUMENT_COLUMNS, batch, runs, text_of
+from tidemark.llm.common import DOCUMENT_COLUMNS, batch, given_back, runs, text_of
 
 UNKNOWN = "und"
-RUN_CHARS = 3_000_000
+RUN_CHARS = 1_000_000
 
 # First code points of Unicode ranges, with the script that begins there.
 SCRIPT_RANGES = [
@@ -185,7 +185,7 @@ def learn(docs: DataFrame, label: Column, *, buckets: int = 1 << 16, penalty: fl
 
     given = docs.select(label.alias("label"), docs["text"].alias("text"))
     given = given.filter(F.col("label").isNotNull() & F.col("text").isNotNull())
-    rows = given.mapInArrow(count, "label string, cell int, n long").groupBy("label", "cell").agg(F.sum("n").alias("n")).toPandas()
+    rows = given.mapInArrow(given_back(count), "label string, cell int, n long").groupBy("label", "cell").agg(F.sum("n").alias("n")).toPandas()
     languages = sorted(rows["label"].unique(), key=str.encode)
     counts = np.zeros((len(languages), size))
     place = {name: i for i, name in enumerate(languages)}
@@ -240,7 +240,7 @@ def predict(docs: DataFrame, model: Model, keep: list[str]) -> DataFrame:
                 names=[*kept.schema.names, "lang_pred", "score"],
             )
 
-    return frame.mapInArrow(score, schema)
+    return frame.mapInArrow(given_back(score), schema)
 
 
 def spans(docs: DataFrame, model: Model) -> DataFrame:
@@ -267,7 +267,7 @@ def spans(docs: DataFrame, model: Model) -> DataFrame:
                 )
 
     frame = docs.select(docs["doc_id"].cast("long").alias("doc_id"), text_of(docs).alias("text"))
-    return frame.mapInArrow(cut, "doc_id long, start long, end long, lang string")
+    return frame.mapInArrow(given_back(cut), "doc_id long, start long, end long, lang string")
 
 
 def identified(docs: DataFrame, model: Model, least_score: float = 0.5) -> DataFrame:

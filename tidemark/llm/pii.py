@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import DOCUMENT_COLUMNS, WORD, batch, runs, text_of
+from tidemark.llm.common import DOCUMENT_COLUMNS, WORD, batch, given_back, runs, text_of
 
 KINDS = ["email", "ip", "card", "phone"]
 OTHER = 0  # the label; kinds follow in their order
@@ -420,7 +420,7 @@ FOUND = "doc_id long, n_email long, n_ip long, n_card long, n_phone long, base_s
 _FOUND_ARROW = pa.schema(
     [("doc_id", pa.int64()), *((f"n_{k}", pa.int64()) for k in KINDS), ("base_sha256", pa.string()), ("spans", pa.string())]
 )
-RUN_CHARS = 4_000_000
+RUN_CHARS = 2_000_000
 
 
 def find(docs: DataFrame, labelled: DataFrame | None = None) -> DataFrame:
@@ -444,7 +444,7 @@ def find(docs: DataFrame, labelled: DataFrame | None = None) -> DataFrame:
                     **counts,
                 )
 
-    return docs.select(docs["doc_id"].cast("long").alias("doc_id"), text_of(docs).alias("text")).mapInArrow(search, FOUND)
+    return docs.select(docs["doc_id"].cast("long").alias("doc_id"), text_of(docs).alias("text")).mapInArrow(given_back(search), FOUND)
 
 
 def redacted(text: str, spans: list[Span]) -> str:
@@ -480,4 +480,4 @@ def redact(docs: DataFrame, labelled: DataFrame | None = None) -> DataFrame:
             out = got.set_column(n[0], "text", pa.array(texts, got.schema.field("text").type))
             yield out.set_column(n[1], "n_chars", pa.array(sizes, got.schema.field("n_chars").type))
 
-    return frame.mapInArrow(replace, frame.schema)
+    return frame.mapInArrow(given_back(replace), frame.schema)

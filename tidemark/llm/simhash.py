@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import DOCUMENT_COLUMNS, batch, distinct_documents, text_of
+from tidemark.llm.common import DOCUMENT_COLUMNS, batch, distinct_documents, given_back, text_of
 from tidemark.session import write_scratch
 
 BITS = 64
@@ -75,7 +75,7 @@ def fingerprints(docs: DataFrame, words: int = 3, seed: int = 42) -> DataFrame:
     frame = docs.select(
         docs["doc_id"].cast("long").alias("doc_id"), F.xxhash64(text).alias("text_hash"), text.alias("text")
     )
-    return frame.mapInArrow(print_, "doc_id long, text_hash long, fp long")
+    return frame.mapInArrow(given_back(print_), "doc_id long, text_hash long, fp long")
 
 
 # ---- the trie self-join of a task's buckets ----------------------------------------
@@ -247,7 +247,7 @@ def edges(prints: DataFrame, distance: int, hot: int = 4096) -> DataFrame:
     found = []
     for part in done:
         tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), math.ceil(part.count() / TASK_ROWS))
-        found.append(part.select("key", "fp").repartition(tasks, "key").mapInArrow(join, "a long, b long"))
+        found.append(part.select("key", "fp").repartition(tasks, "key").mapInArrow(given_back(join), "a long, b long"))
     result = found[0]
     for more in found[1:]:
         result = result.unionAll(more)

@@ -27,11 +27,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import batch, runs, text_of
+from tidemark.llm.common import batch, given_back, runs, text_of
 from tidemark.session import write_scratch
 
 _WORD = re.compile(r"[^\W\d_]+")
-RUN_CHARS = 3_000_000
+RUN_CHARS = 1_500_000
 DISCOUNT = 0.75
 FLUSH = 400_000
 
@@ -210,7 +210,7 @@ def learn(docs: DataFrame, labels: DataFrame, *, sample: int = 2500, least: int
     counted = (
         picked.filter("fits_words")
         .select("label", "text")
-        .mapInArrow(count, "context string, word string, n0 long, n1 long, texts long")
+        .mapInArrow(given_back(count), "context string, word string, n0 long, n1 long, texts long")
         .groupBy("context", "word")
         .agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1"), F.sum("texts").alias("texts"))
     )
@@ -239,7 +239,7 @@ def learn(docs: DataFrame, labels: DataFrame, *, sample: int = 2500, least: int
                 x = model.features(texts[begin:end])
                 yield batch(schema, label=got["label"].slice(begin, end - begin), x=list(x))
 
-    fitted = picked.filter("not fits_words").select("label", "text").mapInArrow(measure, "label int, x array<double>").collect()
+    fitted = picked.filter("not fits_words").select("label", "text").mapInArrow(given_back(measure), "label int, x array<double>").collect()
     y = np.array([r["label"] for r in fitted], float)
     if len(np.unique(y)) < 2:
         return constant
@@ -272,4 +272,4 @@ def score(docs: DataFrame, scorer: Scorer, threshold: float = 0.3) -> DataFrame:
                 )
 
     frame = docs.select(docs["doc_id"].cast("long").alias("doc_id"), "held_out", text_of(docs).alias("text"))
-    return frame.mapInArrow(rate, "doc_id long, held_out boolean, score double, predicted int")
+    return frame.mapInArrow(given_back(rate), "doc_id long, held_out boolean, score double, predicted int")
