@@ -5,16 +5,24 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidemark.llm import sketch
-from tidemark.llm.common import WORD
 from tidemark.llm.queries import op6_sketch
 
 
 def paragraphs(text):
-    found = set()
-    for line in text.split("\n"):
-        words = re.findall(WORD, line)
-        found |= {" ".join(words[i : i + sketch.WORDS]) for i in range(0, len(words), sketch.WORDS)}
-    return found
+    pieces = re.findall(r"(?:[^\x20\x09-\x0D]+[\x20\x09\x0B-\x0D]*){1,%d}" % sketch.WORDS, text)
+    return {p.rstrip(" \t\x0b\x0c\r") for p in pieces}
+
+
+def test_paragraphs_are_cut_lines(spark):
+    words = [f"w{i}" for i in range(60)]
+    text = " ".join(words) + "\n\none  line \r\n" + "x" * 100_000
+    df = spark.createDataFrame([(text,)], "text string")
+    want = [" ".join(words[i : i + sketch.WORDS]) for i in range(0, 60, sketch.WORDS)] + ["one  line", "x" * 100_000]
+    got = df.select(
+        sketch.paragraphs(F.col("text")).alias("got"), F.array(*(F.xxhash64(F.lit(w)) for w in want)).alias("want")
+    ).first()
+    assert got["got"] == got["want"]
+    assert paragraphs(text) == set(want)
 
 
 def like(a, b):

@@ -1,6 +1,6 @@
 """Document fingerprints: invertible Bloom lookup sketches of paragraphs. DataFrame functions only.
 
-A text's paragraphs are its lines, each cut every ``WORDS`` words; their digests (XXH64, without
+A text's paragraphs are its lines, each cut every ``WORDS`` words, white space between words as it is; their digests (XXH64, without
 repeats) are the elements. A sketch has three thirds of cells; an element belongs to one cell of each. A
 cell holds the number of its elements, the exclusive or of their digests and that of their check hashes.
 Sketches of two versions subtract cell by cell. Peeling goes through the thirds in turn: a cell that holds
@@ -41,17 +41,11 @@ KEY = ["_id", "_hash"]
 EDITED, NEXT, OWN_PRINT, EDITED_PRINT = range(4)
 
 
-def paragraphs(text: Column, words: int = WORDS) -> Column:
+def paragraphs(text: Column) -> Column:
     """Digests of a text's paragraphs, without repeats."""
-
-    def pieces(line: Column) -> Column:
-        split = F.filter(F.split(line, r"[\x20\x09-\x0D]+"), lambda w: w != "")
-        starts = F.when(
-            F.size(split) > 0, F.sequence(F.lit(1), F.size(split), F.lit(words))
-        ).otherwise(F.array().cast("array<int>"))
-        return F.transform(starts, lambda s: F.xxhash64(F.array_join(F.slice(split, s, words), " ")))
-
-    return F.array_distinct(F.flatten(F.transform(F.split(text, "\n"), pieces)))
+    piece = r"(?:[^\x20\x09-\x0D]++[\x20\x09\x0B-\x0D]*+){1,%d}+" % WORDS
+    found = F.regexp_extract_all(text, F.lit(piece), F.lit(0))
+    return F.array_distinct(F.transform(found, lambda p: F.xxhash64(F.rtrim(p, F.lit(" \t\x0b\x0c\r")))))
 
 
 # ---- sketches as rows --------------------------------------------------------------
@@ -204,19 +198,19 @@ def likeness(differ: Column, mine: Column, other: Column) -> Column:
 
 
 def keyed(docs: DataFrame) -> DataFrame:
-    """Key columns without nulls, doc_id and text."""
+    """Key columns without nulls, and text."""
     text = text_of(docs)
     doc_id = docs["doc_id"].cast("long")
     return docs.select(
         F.coalesce(doc_id, F.lit(0)).alias("_id"),
         F.xxhash64(text, doc_id.isNull()).alias("_hash"),
-        doc_id.alias("doc_id"),
         text.alias("text"),
+        doc_id.alias("doc_id"),
     )
 
 
 def predecessors(docs: DataFrame) -> DataFrame:
-    """Of each document its key, copies, and its predecessor's key and half length.
+    """Of each document its key, doc_id, copies, and its predecessor's key and half length.
 
     Documents are dealt to ranges of keys; only a range's last row goes to the next range's first.
     """
@@ -241,6 +235,7 @@ def predecessors(docs: DataFrame) -> DataFrame:
         .withColumn("_before", F.coalesce("_before", "before"))
         .select(
             *KEY,
+            "doc_id",
             "copies",
             F.col("_before._id").alias("p_id"),
             F.col("_before._hash").alias("p_hash"),
@@ -252,20 +247,20 @@ def predecessors(docs: DataFrame) -> DataFrame:
 def versions(docs: DataFrame) -> DataFrame:
     """Key, doc_id, copies, text, edited, and the digests of both and of the next document."""
     one = Window.partitionBy(*KEY).orderBy(*KEY)
-    once = keyed(docs).withColumn("_nth", F.row_number().over(one)).filter("_nth = 1").drop("_nth")
-    own = once.join(predecessors(docs), KEY)
-    given = own.select(
+    # Both uses below take the same columns of this, so that texts are shuffled once.
+    texts = keyed(docs).select(*KEY, "text", paragraphs(F.col("text")).alias("digests"))
+    once = texts.withColumn("_nth", F.row_number().over(one)).filter("_nth = 1").drop("_nth")
+    before = predecessors(docs)
+    given = once.join(before.select(*KEY, "p_id", "p_hash", "p_half"), KEY).select(
         F.col("p_id").alias("_id"),
         F.col("p_hash").alias("_hash"),
         F.substring("text", F.lit(1), F.col("p_half")).alias("head"),
-        paragraphs(F.col("text")).alias("next_digests"),
+        F.col("digests").alias("next_digests"),
     )
-    both = own.select(*KEY, "doc_id", "copies", "text").join(given, KEY)
+    both = once.join(before.select(*KEY, "doc_id", "copies"), KEY).join(given, KEY)
     half = F.floor(F.length("text") / 2).cast("int")
     edited = F.concat(F.substring("text", F.lit(1), F.length("text") - half), F.col("head"))
-    return both.withColumn("edited", edited).withColumns(
-        {"digests": paragraphs(F.col("text")), "edited_digests": paragraphs(F.col("edited"))}
-    )
+    return both.withColumn("edited", edited).withColumn("edited_digests", paragraphs(F.col("edited")))
 
 
 def fingerprints(docs: DataFrame) -> DataFrame:
