@@ -25,6 +25,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark.session import write_scratch
 
@@ -93,10 +94,12 @@ class Index:
 
 
 def usable(vectors: DataFrame, id_column: str, vector_column: str) -> tuple[DataFrame, int]:
-    """id, vector (doubles) of the rows that take part, one per id, and the vectors' length."""
+    """id, vector of the rows that take part, one per id, and the vectors' length."""
     bad = F.exists("vector", lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))
+    kind = vectors.schema[vector_column].dataType.elementType
+    kept_kind = "array<float>" if isinstance(kind, T.FloatType) else "array<double>"
     rows = vectors.select(
-        vectors[id_column].cast("long").alias("id"), vectors[vector_column].cast("array<double>").alias("vector")
+        vectors[id_column].cast("long").alias("id"), vectors[vector_column].cast(kept_kind).alias("vector")
     ).filter("id is not null and vector is not null and size(vector) > 0")
     rows = rows.filter(~bad & F.exists("vector", lambda x: x != 0))
     lengths = rows.groupBy(F.size("vector").alias("d")).agg(F.count("*").alias("n"))
@@ -110,7 +113,7 @@ def usable(vectors: DataFrame, id_column: str, vector_column: str) -> tuple[Data
 def matrix(column: pa.ChunkedArray, d: int) -> np.ndarray:
     flat = column.combine_chunks()
     values = flat.flatten() if isinstance(flat, pa.Array) else pa.concat_arrays([c.flatten() for c in flat.chunks])
-    return values.to_numpy(zero_copy_only=False).reshape(-1, d)
+    return values.to_numpy(zero_copy_only=False).astype(np.float64).reshape(-1, d)
 
 
 def search(
@@ -123,12 +126,15 @@ def search(
     id_column: str = "vec_id",
     vector_column: str = "embedding",
     sample: int = 4096,
-    block_rows: int = 16_384,
-    block_queries: int = 512,
+    block_rows: int = 65_536,
+    block_queries: int = 16_384,
+    least_blocks: int = 16,
 ) -> DataFrame:
     """query_id, rank, vec_id, score. ``is_query``: a condition on the column ``id``.
 
     The rotation is learned from the ``sample`` rows with the smallest hashes of their id.
+    Each pair of a row block and a query block is one task; rows are copied for each query block,
+    and queries for each row block. Small tables have ``least_blocks`` row blocks.
     """
     if bits % PART_BITS:
         raise ValueError(f"bits must be a multiple of {PART_BITS}")
@@ -140,7 +146,7 @@ def search(
     total, asked = rows.agg(F.count("*"), F.count(F.when(is_query, 1))).first()
     least = rows.select("id", "vector", F.xxhash64("id").alias("h")).orderBy("h", "id").limit(sample)
     rotation = Rotation.learn(np.array([r["vector"] for r in least.collect()]), bits)
-    row_blocks = max(1, math.ceil(total / block_rows))
+    row_blocks = max(math.ceil(total / block_rows), min(least_blocks, math.ceil(total / 1000)))
     query_blocks = max(1, math.ceil(asked / block_queries))
 
     def spread(blocks: int, other: str):
