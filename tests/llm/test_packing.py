@@ -2,6 +2,7 @@ import zlib
 from collections import defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer
 
@@ -43,8 +44,9 @@ def test_word_tokens_equal_the_tokenizer(tokenizer, tokenizer_json, documents, m
         monkeypatch.setattr(packing, "KNOWN_WORDS", known)
         tokens = packing.WordTokens(tokenizer_json)
         assert tokens.shares
+        assert list(tokens(pa.array([], pa.string()))) == []
         for group in (texts, texts[::-1], *([t] for t in HARD)):
-            for text, ids in zip(group, tokens(group), strict=True):
+            for text, ids in zip(group, tokens(pa.array(group, pa.string())), strict=True):
                 assert ids.tolist() == tokenizer.encode(text, add_special_tokens=False).ids, text[:50]
 
 

@@ -28,7 +28,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import batch, per_worker, text_of
+from tidemark.llm.common import batch, given_back, per_worker, slices, text_of
 
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
 _CUT = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, group long, ids binary"
@@ -44,9 +44,10 @@ _CUT_ARROW = pa.schema(
     ]
 )
 LONG_WORD = 64
-KNOWN_WORDS = 800_000
+KNOWN_WORDS = 500_000
+RUN_BYTES = 8_000_000
 # Signs that a split into runs of letters, single digits and runs of other signs parts from a letter.
-TAIL = b".,;:!?|%$#*&"
+TAIL = ".,;:!?|%$#*&"
 
 
 def crc(ids: np.ndarray) -> int:
@@ -54,7 +55,7 @@ def crc(ids: np.ndarray) -> int:
 
 
 class WordTokens:
-    """Ids of texts as bytes, tokenising each distinct chunk between white space once.
+    """Ids of texts, tokenising each distinct chunk between white space once.
 
     Holds for tokenizers that normalise and split chunks between ASCII white space independently
     of each other and drop white space. If the tokenizer lower-cases and parts letters from other signs,
@@ -68,9 +69,9 @@ class WordTokens:
 
         self.tokenizer = Tokenizer.from_str(tokenizer_json)
         self.kind = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 65536 else "<u4")
-        self.known: dict[bytes, bytes] = {}
+        self.known: dict[str, bytes] = {}
         given = json.loads(tokenizer_json)
-        self.special = [t["content"].lower().encode() for t in given["added_tokens"]]
+        self.special = [t["content"].lower() for t in given["added_tokens"]]
         normalizers = json.dumps(given["normalizer"])
         pattern = json.dumps(given["pre_tokenizer"])
         suffix = given["model"].get("end_of_word_suffix")
@@ -80,70 +81,70 @@ class WordTokens:
             self.ends[[i for token, i in given["model"]["vocab"].items() if token.endswith(suffix)]] = True
         self.shares = '"Lowercase"' in normalizers and json.dumps(r"[^\s\p{L}\p{N}]+")[1:-1] in pattern
 
-    def _encoded(self, chunks: list[bytes]) -> dict[bytes, bytes]:
+    def _encoded(self, chunks: list[str]) -> dict[str, bytes]:
         """The ids of chunks. Those of letters alone are encoded many at a time.
 
         Each is one word there, and the ids say where words end; counted, as lower-casing
         may add a sign that is no letter.
         """
         code = "H" if self.kind.itemsize == 2 else "I"
-        texts = [c.decode() for c in chunks]
-        plain = [i for i, t in enumerate(texts) if self.ends is not None and t.isalpha()]
+        plain = [c for c in chunks if c.isalpha()] if self.ends is not None else []
         found = {}
         for begin in range(0, len(plain), 500):
             some = plain[begin : begin + 500]
-            joined = " ".join([texts[i] for i in some])
-            ids = np.array(self.tokenizer.encode(joined, add_special_tokens=False).ids, self.kind)
+            encoding = self.tokenizer.encode(" ".join(some), add_special_tokens=False)
+            ids = np.array(encoding.ids, self.kind)
             cuts = np.flatnonzero(self.ends[ids]) + 1
             if len(cuts) == len(some):
-                width, raw = self.kind.itemsize, ids.tobytes()
-                edges = [0, *(cuts * width).tolist()]
-                found.update((chunks[i], raw[a:b]) for i, a, b in zip(some, edges, edges[1:], strict=False))
-        rest = [i for i, c in enumerate(chunks) if c not in found] if len(found) < len(chunks) else []
+                raw, edges = ids.tobytes(), [0, *(cuts * self.kind.itemsize).tolist()]
+                found.update((c, raw[a:b]) for c, a, b in zip(some, edges, edges[1:], strict=False))
+        rest = [c for c in chunks if c not in found]
         for begin in range(0, len(rest), 5_000):
             some = rest[begin : begin + 5_000]
-            made = self.tokenizer.encode_batch_fast([texts[i] for i in some], add_special_tokens=False)
-            found.update((chunks[i], array(code, e.ids).tobytes()) for i, e in zip(some, made, strict=True))
+            made = self.tokenizer.encode_batch_fast(some, add_special_tokens=False)
+            found.update((c, array(code, e.ids).tobytes()) for c, e in zip(some, made, strict=True))
         return found
 
-    def _learn(self, chunks: list[bytes], share: bool) -> dict[bytes, bytes]:
-        """The ids of new chunks."""
+    def _learn(self, chunks: list[str], share: bool) -> dict[str, bytes]:
+        """The ids of new chunks; in lower case if ``share``."""
         if not share:
             return self._encoded(chunks)
         known, parts = self.known, []
         for chunk in chunks:
-            low = chunk.lower()
-            head = low.rstrip(TAIL)
-            if head and len(head) < len(low) and 97 <= head[-1] <= 122:
-                parts.append((head, low[len(head) :]))
-            else:
-                parts.append((low, b""))
+            head = chunk.rstrip(TAIL)
+            cut = len(head) if head and "a" <= head[-1] <= "z" else len(chunk)
+            parts.append((chunk[:cut], chunk[cut:]))
         made = self._encoded([p for p in {p for pair in parts for p in pair} if p and p not in known])
-        made[b""] = b""
+        made[""] = b""
         ids = [(made[h] if h in made else known[h]) + (made[t] if t in made else known[t]) for h, t in parts]
-        del made[b""]
         return made | dict(zip(chunks, ids, strict=True))
 
-    def __call__(self, texts: list[str]) -> Iterator[np.ndarray]:
-        for begin in range(0, len(texts), 1000):
-            yield from self._some(texts[begin : begin + 1000])
-
-    def _some(self, texts: list[str]) -> Iterator[np.ndarray]:
-        raw = [t.encode() for t in texts]
+    def __call__(self, texts: pa.Array) -> Iterator[np.ndarray]:
+        """The ids of each text."""
+        low = pc.ascii_lower(texts)
+        share = self.shares and not any(pc.any(pc.match_substring(low, s)).as_py() for s in self.special)
+        split = pc.ascii_split_whitespace(low if share else texts)
+        chunks = split.flatten().dictionary_encode()
+        distinct, which = chunks.dictionary.to_pylist(), chunks.indices.to_numpy()
         known = self.known
-        split = [r.split() for r in raw]
-        parts = [list(map(known.get, words)) for words in split]
-        open_ = [i for i, p in enumerate(parts) if None in p]
-        if open_:
-            new = {w for i in open_ for w, ids in zip(split[i], parts[i], strict=True) if ids is None}
-            share = self.shares and not any(s in r.lower() for r in raw for s in self.special)
-            here = self._learn(list(new), share)
+        ids = [known.get(c) for c in distinct]
+        new = [i for i, found in enumerate(ids) if found is None]
+        if new:
+            here = self._learn([distinct[i] for i in new], share)
+            for i in new:
+                ids[i] = here[distinct[i]]
             if len(known) < KNOWN_WORDS:
-                known.update((w, ids) for w, ids in here.items() if len(w) <= LONG_WORD)
-            for i in open_:
-                parts[i] = [here[w] if ids is None else ids for w, ids in zip(split[i], parts[i], strict=True)]
-        for ids in parts:
-            yield np.frombuffer(b"".join(ids), self.kind)
+                known.update((c, found) for c, found in here.items() if len(c) <= LONG_WORD)
+        # All ids in the order of the texts: each chunk's run of ids is copied to its place.
+        sizes = np.fromiter(map(len, ids), np.int64, len(ids)) // self.kind.itemsize
+        pool = np.frombuffer(b"".join(ids), self.kind)
+        begins = np.cumsum(sizes) - sizes
+        width = sizes[which]
+        ends = np.concatenate([[0], np.cumsum(width)])
+        out = pool[np.repeat(begins[which] - ends[:-1], width) + np.arange(ends[-1])]
+        bounds = ends[split.offsets.to_numpy() - split.offsets[0].as_py()]
+        for a, b in zip(bounds, bounds[1:], strict=False):
+            yield out[a:b]
 
 
 def tokenise(docs: DataFrame, tokenizer_json: str, length: int, end_id: int, groups: int) -> DataFrame:
@@ -152,11 +153,11 @@ def tokenise(docs: DataFrame, tokenizer_json: str, length: int, end_id: int, gro
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokens = per_worker(("tokens", tokenizer_json), lambda: WordTokens(tokenizer_json))
         for got in batches:
-            for begin in range(0, got.num_rows, 1000):
-                some = got.slice(begin, 1000)
+            for begin, end in slices(got["text"], RUN_BYTES):
+                some = got.slice(begin, end - begin)
                 keys, deal = some["doc_id"].to_pylist(), some["group"].to_pylist()
                 out: dict[str, list] = {f.name: [] for f in _CUT_ARROW}
-                texts = tokens(some["text"].to_pylist())
+                texts = tokens(some["text"])
                 for doc_id, group, ids in zip(keys, deal, texts, strict=True):
                     ids = np.append(ids, np.array(end_id, ids.dtype))
                     for start in range(0, len(ids), length):
@@ -178,7 +179,7 @@ def tokenise(docs: DataFrame, tokenizer_json: str, length: int, end_id: int, gro
     deal = F.pmod(F.xxhash64(docs["doc_id"], text), F.lit(groups))
     return docs.select(
         docs["doc_id"].cast("long").alias("doc_id"), text.alias("text"), deal.alias("group")
-    ).mapInArrow(cut, _CUT)
+    ).mapInArrow(given_back(cut), _CUT)
 
 
 def capacities(ids: int, length: int) -> list[int]:
