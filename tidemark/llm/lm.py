@@ -14,7 +14,7 @@ about ``tuning_texts`` texts (the smallest hashes) decide. A filter has ``bits_p
 ``max_bits``; beyond that only higher counts are held (the least level rises), so what is broadcast
 has a bound.
 
-The base score needs exact counts. Words with at least N / 2**18 occurrences, at most 2**18 of them, are
+The base score needs exact counts. Words with at least N / 2**19 occurrences, at most 2**19 of them, are
 broadcast; the other words of each text are joined with the counts. Words are identified by
 XXH64; at a billion distinct words the chance that any two meet is about 3 %.
 
@@ -26,29 +26,29 @@ columns are ignored.
 from __future__ import annotations
 
 import math
-from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import batch, runs, text_of
+from tidemark.llm.common import batch, given_back, slices, text_of
 from tidemark.session import write_scratch
 
-END = b" "  # no word has white space
+END = " "  # no word has white space
 SEED = 42
-RUN_CHARS = 4_000_000
-FLUSH = 600_000
-HASHES = 4
+RUN_BYTES = 3_000_000
+HELD_PAIRS = 1_200_000
+HASHES = 3
 SEGMENT_BITS = 1 << 15
-HEAVY = 1 << 18
+HEAVY = 1 << 19
 
 
-def hashed(words: list[bytes]) -> np.ndarray:
+def hashed(words: list[str]) -> np.ndarray:
     import xxhash
 
     return np.fromiter(map(xxhash.xxh64_intdigest, words, repeat(SEED)), np.uint64, len(words))
@@ -65,19 +65,26 @@ def bigram(first: np.ndarray, second: np.ndarray) -> np.ndarray:
     return mixed(first, 1) ^ (second * np.uint64(0xC2B2AE3D27D4EB4F))
 
 
-def tokens(texts: list[str]) -> tuple[np.ndarray, list[bytes], np.ndarray]:
+def split(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """All words of texts, A-Z lower-cased, one after another, and words per text."""
+    trimmed = pc.ascii_trim_whitespace(pc.ascii_lower(texts))
+    lists = pc.ascii_split_whitespace(trimmed)
+    sizes = np.diff(lists.offsets.to_numpy())
+    empty = pc.equal(pc.binary_length(trimmed), 0).to_numpy(zero_copy_only=False)
+    words = lists.flatten()
+    if empty.any():  # the empty text is one empty word
+        words = words.filter(pc.greater(pc.binary_length(words), 0))
+        sizes = np.where(empty, 0, sizes)
+    return words, sizes.astype(np.int64)
+
+
+def tokens(texts: pa.Array) -> tuple[np.ndarray, list[str], np.ndarray]:
     """Index of each token (END closes a text) into the distinct words, these, and tokens per text."""
-    index: dict[bytes, int] = {END: 0}
-    ids, sizes = [], []
-    for text in texts:
-        words = text.encode().lower().split()
-        for w in words:
-            if w not in index:
-                index[w] = len(index)
-        ids.append(np.fromiter(map(index.__getitem__, words), np.int64, len(words)))
-        ids.append(np.zeros(1, np.int64))
-        sizes.append(len(words) + 1)
-    return (np.concatenate(ids) if ids else np.zeros(0, np.int64)), list(index), np.array(sizes, np.int64)
+    words, sizes = split(texts)
+    encoded = words.dictionary_encode()
+    ids = np.zeros(len(words) + len(sizes), np.int64)
+    ids[np.arange(len(words)) + np.repeat(np.arange(len(sizes)), sizes)] = encoded.indices.to_numpy() + 1
+    return ids, [END, *encoded.dictionary.to_pylist()], sizes + 1
 
 
 # ---- the filter --------------------------------------------------------------------
@@ -100,11 +107,14 @@ def levels(counts: np.ndarray) -> np.ndarray:
     return np.searchsorted(STEPS, counts, "right")
 
 
-def _positions(keys: np.ndarray, level: int) -> Iterator[np.ndarray]:
+def _item(keys: np.ndarray, level: int) -> tuple[np.ndarray, np.ndarray]:
+    """Of each n-gram's item for a level its first place in the segment, and the step to the next."""
     item = mixed(keys, 100 + level)
-    step = (item >> np.uint64(40)) | np.uint64(1)
-    for i in range(HASHES):
-        yield ((item + np.uint64(i) * step) % np.uint64(SEGMENT_BITS)).astype(np.int64)
+    return item, (item >> np.uint64(40)) | np.uint64(1)
+
+
+def _place(item: np.ndarray) -> np.ndarray:
+    return (item & np.uint64(SEGMENT_BITS - 1)).astype(np.int64)
 
 
 @dataclass
@@ -120,14 +130,15 @@ class LogFilter:
         out = np.zeros(len(keys), np.int64)
         if not len(self.segments):
             return out
+        flat = self.segments.reshape(-1)
+        start = (mixed(keys, 7) % np.uint64(len(self.segments))).astype(np.int64) * (SEGMENT_BITS // 8)
         alive = np.arange(len(keys))
         for level in range(self.least, self.most + 1):
-            some = keys[alive]
-            segment = (mixed(some, 7) % np.uint64(len(self.segments))).astype(np.int64)
-            hit = np.ones(len(alive), bool)
-            for at in _positions(some, level):
-                hit &= (self.segments[segment, at >> 3] >> (at & 7).astype(np.uint8)) & 1 == 1
-            alive = alive[hit]
+            item, step = _item(keys[alive], level)
+            for _ in range(HASHES):
+                at = _place(item)
+                hit = np.flatnonzero(flat[start[alive] + (at >> 3)] >> (at & 7).astype(np.uint8) & 1)
+                alive, item, step = alive[hit], item[hit] + step[hit], step[hit]
             if not len(alive):
                 break
             out[alive] = level
@@ -145,7 +156,7 @@ def build_filter(counts: DataFrame, bits_per_item: int, max_bits: int) -> tuple[
         for got in batches:
             yield batch(_LEVELS, key=got["key"], level=levels(got["n"].to_numpy()).astype(np.int32))
 
-    held = counts.select("key", "n").mapInArrow(quantise, "key long, level int")
+    held = counts.select("key", "n").mapInArrow(given_back(quantise), "key long, level int")
     sizes = {r["level"]: r["n"] for r in held.groupBy("level").agg(F.count("*").alias("n")).collect()}
     if not sizes:
         return LogFilter(np.zeros((0, SEGMENT_BITS // 8), np.uint8), 1, 0), 0.0
@@ -170,16 +181,20 @@ def build_filter(counts: DataFrame, bits_per_item: int, max_bits: int) -> tuple[
         top = table["level"].to_numpy()
         bits = np.zeros(SEGMENT_BITS, np.uint8)
         for k in range(least, int(top.max()) + 1):
-            for at in _positions(keys[top >= k], k):
-                bits[at] = 1
+            item, step = _item(keys[top >= k], k)
+            for _ in range(HASHES):
+                bits[_place(item)] = 1
+                item = item + step
         made = np.packbits(bits, bitorder="little").tobytes()
         return pa.table({"segment": table["segment"].slice(0, 1), "bits": pa.array([made], pa.binary())})
 
-    placed = held.filter(F.col("level") >= least).mapInArrow(place, "key long, level int, segment long")
+    placed = held.filter(F.col("level") >= least).mapInArrow(given_back(place), "key long, level int, segment long")
     made = placed.groupBy("segment").applyInArrow(fill, "segment long, bits binary")
     out = np.zeros((segments, SEGMENT_BITS // 8), np.uint8)
-    for row in made.toLocalIterator():
-        out[row["segment"]] = np.frombuffer(row["bits"], np.uint8)
+    # At most max_bits, see above.
+    found = made.toArrow()
+    for segment, raw in zip(found["segment"].to_pylist(), found["bits"].to_pylist(), strict=True):
+        out[segment] = np.frombuffer(raw, np.uint8)
     return LogFilter(out, least, most), total
 
 
@@ -190,26 +205,17 @@ _LEVELS = pa.schema([("key", pa.int64()), ("level", pa.int32())])
 
 
 def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    seen: Counter = Counter()
-
-    def flush() -> pa.RecordBatch:
-        words = list(seen)
-        out = batch(_COUNTS, key=hashed(words).view(np.int64), n=list(seen.values()))
-        seen.clear()
-        return out
-
     for got in batches:
-        for text in got["text"].to_pylist():
-            seen.update(text.encode().lower().split())
-            seen[END] += 1
-            if len(seen) > FLUSH:
-                yield flush()
-    yield flush()
+        for begin, end in slices(got["text"], 2 * RUN_BYTES):
+            words, sizes = split(got["text"].slice(begin, end - begin))
+            counted = words.value_counts()
+            key = hashed([END, *counted.field("values").to_pylist()])
+            yield batch(_COUNTS, key=key.view(np.int64), n=[len(sizes), *counted.field("counts").to_pylist()])
 
 
 def word_counts(docs: DataFrame) -> DataFrame:
     """key, n of every word of a column ``text``, and of the end."""
-    partial = docs.select(text_of(docs).alias("text")).mapInArrow(_count_words, "key long, n long")
+    partial = docs.select(text_of(docs).alias("text")).mapInArrow(given_back(_count_words), "key long, n long")
     return partial.groupBy("key").agg(F.sum("n").alias("n"))
 
 
@@ -226,7 +232,7 @@ class Model:
     weight: float = 0.0
 
 
-def _pairs(words: LogFilter, often: int, texts: list[str]) -> tuple:
+def _pairs(words: LogFilter, often: int, texts: pa.Array) -> tuple:
     """Tokens, distinct keys and levels, sizes, the token before each, and which tokens end a bigram."""
     ids, distinct, sizes = tokens(texts)
     keys = hashed(distinct)
@@ -246,7 +252,7 @@ def _bigram_shares(pairs: LogFilter, keys: np.ndarray, count: np.ndarray, first:
     return (np.maximum(joint - less, 0) / np.maximum(count[v] - less, 1))[at]
 
 
-def learn(docs: DataFrame, *, bits_per_item: int = 10, max_bits: int = 1 << 30, often: int = 128, tuning_texts: int = 2000) -> Model:
+def learn(docs: DataFrame, *, bits_per_item: int = 12, max_bits: int = 1 << 30, often: int = 1024, tuning_texts: int = 2000) -> Model:
     """A model of all texts of ``docs`` (doc_id, text)."""
     context = docs.sparkSession.sparkContext
     counts = write_scratch(word_counts(docs), "lm-words")
@@ -271,19 +277,18 @@ def learn(docs: DataFrame, *, bits_per_item: int = 10, max_bits: int = 1 << 30,
             return batch(_COUNTS, key=key.view(np.int64), n=n)
 
         for got in batches:
-            texts = got["text"].to_pylist()
-            for begin, end in runs(texts, RUN_CHARS):
-                ids, keys, _, _, before, on = _pairs(words.value, least, texts[begin:end])
+            for begin, end in slices(got["text"], RUN_BYTES):
+                ids, keys, _, _, before, on = _pairs(words.value, least, got["text"].slice(begin, end - begin))
                 code, n = np.unique(before[on] * len(keys) + ids[on], return_counts=True)
                 seen["key"].append(bigram(keys[code // len(keys)], keys[code % len(keys)]))
                 seen["n"].append(n)
                 held += len(code)
-                if held > 4 * FLUSH:
+                if held > HELD_PAIRS:
                     yield flush()
                     held = 0
         yield flush()
 
-    partial = docs.select(text_of(docs).alias("text")).mapInArrow(count_pairs, "key long, n long")
+    partial = docs.select(text_of(docs).alias("text")).mapInArrow(given_back(count_pairs), "key long, n long")
     bigrams = partial.groupBy("key").agg(F.sum("n").alias("n")).filter("n >= 2")
     pairs = context.broadcast(build_filter(write_scratch(bigrams, "lm-bigrams"), bits_per_item, max_bits)[0])
     norm = mass + 0.5 * (types + 1)
@@ -302,9 +307,8 @@ def _tuned(docs: DataFrame, model: Model, texts: int) -> float:
     def try_all(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         schema = pa.schema([("which", pa.int32()), ("total", pa.float64())])
         for got in batches:
-            some = got["text"].to_pylist()
-            for begin, end in runs(some, RUN_CHARS):
-                ids, keys, level, _, before, on = _pairs(words.value, often, some[begin:end])
+            for begin, end in slices(got["text"], RUN_BYTES):
+                ids, keys, level, _, before, on = _pairs(words.value, often, got["text"].slice(begin, end - begin))
                 count = MIDDLES[level]
                 share = _bigram_shares(pairs.value, keys, count, before[on], ids[on], 1.0)
                 alone = (np.maximum(count - 1, 0) + 0.5)[ids[on]] / norm
@@ -315,7 +319,7 @@ def _tuned(docs: DataFrame, model: Model, texts: int) -> float:
     cut = docs.select(h.alias("h")).orderBy("h").limit(texts).agg(F.max("h")).first()[0]
     if cut is None:
         return 0.0
-    sums = docs.filter(h <= cut).select(text_of(docs).alias("text")).mapInArrow(try_all, "which int, total double")
+    sums = docs.filter(h <= cut).select(text_of(docs).alias("text")).mapInArrow(given_back(try_all), "which int, total double")
     best = sums.groupBy("which").agg(F.sum("total").alias("total")).orderBy(F.desc("total"), "which").first()
     return WEIGHTS[best["which"]]
 
@@ -323,7 +327,7 @@ def _tuned(docs: DataFrame, model: Model, texts: int) -> float:
 # ---- scoring -----------------------------------------------------------------------
 
 
-def _log_probabilities(texts: list[str], words: LogFilter, pairs: LogFilter, often: int, norm: float, weight: float) -> tuple:
+def _log_probabilities(texts: pa.Array, words: LogFilter, pairs: LogFilter, often: int, norm: float, weight: float) -> tuple:
     """Tokens, distinct keys, sizes, each token's text, and log10 probabilities by text."""
     ids, keys, level, sizes, before, on = _pairs(words, often, texts)
     count = MIDDLES[level]
@@ -357,9 +361,8 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
     def rate(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         heavy_keys, heavy_counts = heavy.value
         for got in batches:
-            texts = got["text"].to_pylist()
-            for begin, end in runs(texts, RUN_CHARS):
-                some = texts[begin:end]
+            for begin, end in slices(got["text"], RUN_BYTES):
+                some = got["text"].slice(begin, end - begin)
                 ids, keys, sizes, doc, found = _log_probabilities(some, words.value, pairs.value, often, own_norm, weight)
                 signed = keys.view(np.int64)
                 exact = np.zeros(len(keys), np.int64)
@@ -387,7 +390,7 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
     frame = docs.select(
         docs["doc_id"].cast("long").alias("doc_id"), "held_out", text.alias("text"), F.xxhash64(text).alias("text_hash")
     )
-    scored = write_scratch(frame.mapInArrow(rate, _SCORED_SQL), "lm-scored")
+    scored = write_scratch(frame.mapInArrow(given_back(rate), _SCORED_SQL), "lm-scored")
     key = ["doc_id", "text_hash"]
     single = scored.select(*key, F.explode("rare").alias("key"))
     looked = single.join(model.counts, "key", "left")
