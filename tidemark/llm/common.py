@@ -62,20 +62,22 @@ def slices(texts: pa.Array, budget: int) -> Iterator[tuple[int, int]]:
     return runs([range(n) for n in sizes.tolist()], budget)
 
 
-def given_back(work: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
-    """``work`` of a task, after which freed memory goes back to the system.
+def give_back() -> None:
+    """Hands freed memory to the system; allocators otherwise keep what they once took."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
+
 
-    Python workers live on between tasks, and their allocators keep what they once took.
-    """
+def given_back(work: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
+    """``work`` of a task, which gives freed memory back at its end: Python workers live on."""
 
     def run(batches: Iterator) -> Iterator:
         try:
             yield from work(batches)
         finally:
-            pa.default_memory_pool().release_unused()
-            trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
-            if trim:
-                trim(0)
+            give_back()
 
     return run
 

@@ -36,13 +36,13 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import batch, given_back, slices, text_of
+from tidemark.llm.common import batch, give_back, given_back, slices, text_of
 from tidemark.session import write_scratch
 
 END = " "  # no word has white space
 SEED = 42
-RUN_BYTES = 3_000_000
-HELD_PAIRS = 1_200_000
+RUN_BYTES = 2_000_000
+HELD_PAIRS = 600_000
 HASHES = 3
 SEGMENT_BITS = 1 << 15
 HEAVY = 1 << 19
@@ -286,6 +286,7 @@ def learn(docs: DataFrame, *, bits_per_item: int = 12, max_bits: int = 1 << 30,
                 if held > HELD_PAIRS:
                     yield flush()
                     held = 0
+                    give_back()
         yield flush()
 
     partial = docs.select(text_of(docs).alias("text")).mapInArrow(given_back(count_pairs), "key long, n long")
@@ -385,6 +386,7 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
                     score=found,
                     rare=rare,
                 )
+            give_back()
 
     text = text_of(docs)
     frame = docs.select(
