@@ -104,6 +104,18 @@ def test_bigrams_help_where_words_depend_on_each_other(spark):
     assert got[0] > 0.8 * got[1] + 1
 
 
+def test_all_bigrams_seen_twice_are_held(spark):
+    rows = [(i, f"seldom{i // 2} pair{i // 2} often filler{i}") for i in range(60)]
+    model = lm.learn(spark.createDataFrame(rows, "doc_id long, text string"))
+
+    def level(v, w):
+        first, second = lm.hashed([v]), lm.hashed([w])
+        return model.pairs.value.level(lm.bigram(first, second))[0]
+
+    assert all(level(f"seldom{i}", f"pair{i}") == 2 for i in range(30))
+    assert all(level(f"pair{i}", "often") == 2 for i in range(30))
+
+
 def test_messy_and_empty_tables(spark, messy, nothing):
     asked = messy.withColumn("held_out", F.lit(None).cast("boolean"))
     key = lambda t: (t[0] is None, t[0] or 0, t[1])

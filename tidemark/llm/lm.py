@@ -3,12 +3,13 @@
 Training texts' words (A-Z lower-cased, white-space separated) and one end per text are counted, all of
 them. Counts are quantised to levels that grow as the logarithm. A filter holds, for an n-gram of level
 q, one item for each level 1 to q, so membership probes for level 1, 2, ... until the first miss read the
-level back. One filter holds words, another bigrams seen twice or more of words both seen ``often`` times or
-more. They are broadcast and probed by the scoring tasks:
+level back. One filter holds words, another all bigrams seen twice or more. They are broadcast and probed by the
+scoring tasks:
 
     P(w) = (c(w) + 0.5) / (N + 0.5 (V + 1)),  P(w | v) = a c(v w) / c(v) + (1 - a) P(w)
 
-with quantised counts, N their sum, and P(w) alone where v or w is rarer. The weight a is, of ``WEIGHTS``, the one
+with quantised counts, N their sum, and P(w) alone where v or w is seen less than twice, so that no bigram of
+theirs can be seen twice. The weight a is, of ``WEIGHTS``, the one
 that makes the training texts likeliest when each token's own occurrence is left out of the counts;
 about ``tuning_texts`` texts (the smallest hashes) decide. A filter has ``bits_per_item`` bits per item up to
 ``max_bits``; beyond that only higher counts are held (the least level rises), so what is broadcast
@@ -227,21 +228,23 @@ class Model:
     counts: DataFrame  # key, n of every word
     train_tokens: int
     types: int
-    often: int  # the level from which words form bigrams
     norm: float
     weight: float = 0.0
 
 
-def _pairs(words: LogFilter, often: int, texts: pa.Array) -> tuple:
-    """Tokens, distinct keys and levels, sizes, the token before each, and which tokens end a bigram."""
+def _pairs(words: LogFilter, texts: pa.Array) -> tuple:
+    """Tokens, distinct keys and levels, sizes, the token before each, and which tokens end a bigram.
+
+    A word seen once is in no bigram seen twice; one that a full filter doesn't hold may be.
+    """
     ids, distinct, sizes = tokens(texts)
     keys = hashed(distinct)
     level = words.level(keys)
     follows = np.ones(len(ids), bool)
     follows[np.concatenate([[0], np.cumsum(sizes)[:-1]]).astype(np.int64)] = False
     before = np.concatenate([[0], ids[:-1]])
-    common = level >= often
-    return ids, keys, level, sizes, before, follows & common[before] & common[ids]
+    again = (level >= 2) | ((level == 0) & (words.least > 2))
+    return ids, keys, level, sizes, before, follows & again[before] & again[ids]
 
 
 def _bigram_shares(pairs: LogFilter, keys: np.ndarray, count: np.ndarray, first: np.ndarray, second: np.ndarray, less: float) -> np.ndarray:
@@ -252,7 +255,7 @@ def _bigram_shares(pairs: LogFilter, keys: np.ndarray, count: np.ndarray, first:
     return (np.maximum(joint - less, 0) / np.maximum(count[v] - less, 1))[at]
 
 
-def learn(docs: DataFrame, *, bits_per_item: int = 12, max_bits: int = 1 << 30, often: int = 1024, tuning_texts: int = 2000) -> Model:
+def learn(docs: DataFrame, *, bits_per_item: int = 12, max_bits: int = 1 << 30, tuning_texts: int = 2000) -> Model:
     """A model of all texts of ``docs`` (doc_id, text)."""
     context = docs.sparkSession.sparkContext
     counts = write_scratch(word_counts(docs), "lm-words")
@@ -262,7 +265,6 @@ def learn(docs: DataFrame, *, bits_per_item: int = 12, max_bits: int = 1 << 30,
     words = context.broadcast(made)
     heavy = counts.filter(F.col("n") >= max(1, -(-total // HEAVY))).toPandas().sort_values("key")
     exact = (heavy["key"].to_numpy(np.int64), heavy["n"].to_numpy(np.int64))
-    least = int(levels(np.array([often]))[0])
 
     def count_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: dict[str, list] = {"key": [], "n": []}
@@ -278,7 +280,7 @@ def learn(docs: DataFrame, *, bits_per_item: int = 12, max_bits: int = 1 << 30,
 
         for got in batches:
             for begin, end in slices(got["text"], RUN_BYTES):
-                ids, keys, _, _, before, on = _pairs(words.value, least, got["text"].slice(begin, end - begin))
+                ids, keys, _, _, before, on = _pairs(words.value, got["text"].slice(begin, end - begin))
                 code, n = np.unique(before[on] * len(keys) + ids[on], return_counts=True)
                 seen["key"].append(bigram(keys[code // len(keys)], keys[code % len(keys)]))
                 seen["n"].append(n)
@@ -293,7 +295,7 @@ def learn(docs: DataFrame, *, bits_per_item: int = 12, max_bits: int = 1 << 30,
     bigrams = partial.groupBy("key").agg(F.sum("n").alias("n")).filter("n >= 2")
     pairs = context.broadcast(build_filter(write_scratch(bigrams, "lm-bigrams"), bits_per_item, max_bits)[0])
     norm = mass + 0.5 * (types + 1)
-    model = Model(words, pairs, context.broadcast(exact), counts, total, types, least, norm)
+    model = Model(words, pairs, context.broadcast(exact), counts, total, types, norm)
     model.weight = _tuned(docs, model, tuning_texts)
     return model
 
@@ -303,13 +305,13 @@ WEIGHTS = [0.0, 0.01, 0.02, 0.05, 0.1, 0.15, 0.2, 0.3, 0.4, 0.5, 0.6, 0.7]
 
 def _tuned(docs: DataFrame, model: Model, texts: int) -> float:
     """The bigram weight that makes a sample of training texts likeliest, leaving each token out."""
-    words, pairs, often, norm = model.words, model.pairs, model.often, model.norm
+    words, pairs, norm = model.words, model.pairs, model.norm
 
     def try_all(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         schema = pa.schema([("which", pa.int32()), ("total", pa.float64())])
         for got in batches:
             for begin, end in slices(got["text"], RUN_BYTES):
-                ids, keys, level, _, before, on = _pairs(words.value, often, got["text"].slice(begin, end - begin))
+                ids, keys, level, _, before, on = _pairs(words.value, got["text"].slice(begin, end - begin))
                 count = MIDDLES[level]
                 share = _bigram_shares(pairs.value, keys, count, before[on], ids[on], 1.0)
                 alone = (np.maximum(count - 1, 0) + 0.5)[ids[on]] / norm
@@ -328,9 +330,9 @@ def _tuned(docs: DataFrame, model: Model, texts: int) -> float:
 # ---- scoring -----------------------------------------------------------------------
 
 
-def _log_probabilities(texts: pa.Array, words: LogFilter, pairs: LogFilter, often: int, norm: float, weight: float) -> tuple:
+def _log_probabilities(texts: pa.Array, words: LogFilter, pairs: LogFilter, norm: float, weight: float) -> tuple:
     """Tokens, distinct keys, sizes, each token's text, and log10 probabilities by text."""
-    ids, keys, level, sizes, before, on = _pairs(words, often, texts)
+    ids, keys, level, sizes, before, on = _pairs(words, texts)
     count = MIDDLES[level]
     p = ((count + 0.5) / norm)[ids]
     if weight > 0 and on.any():
@@ -357,14 +359,14 @@ _SCORED_SQL = "doc_id long, held_out boolean, text_hash long, n_tokens long, kno
 def score(docs: DataFrame, model: Model) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score of rows with doc_id, held_out, text."""
     words, pairs, heavy = model.words, model.pairs, model.heavy
-    often, own_norm, weight = model.often, model.norm, model.weight
+    own_norm, weight = model.norm, model.weight
 
     def rate(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         heavy_keys, heavy_counts = heavy.value
         for got in batches:
             for begin, end in slices(got["text"], RUN_BYTES):
                 some = got["text"].slice(begin, end - begin)
-                ids, keys, sizes, doc, found = _log_probabilities(some, words.value, pairs.value, often, own_norm, weight)
+                ids, keys, sizes, doc, found = _log_probabilities(some, words.value, pairs.value, own_norm, weight)
                 signed = keys.view(np.int64)
                 exact = np.zeros(len(keys), np.int64)
                 if len(heavy_keys):
