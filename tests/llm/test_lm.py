@@ -116,6 +116,26 @@ def test_all_bigrams_seen_twice_are_held(spark):
     assert all(level(f"pair{i}", "often") == 2 for i in range(30))
 
 
+def test_what_a_full_filter_does_not_hold_is_joined(spark, messy, documents):
+    # At 400 bits an item nothing is taken for held that isn't, so both ways give the same.
+    docs = documents.filter("length(text) < 3000").select("doc_id", "text").limit(300).union(messy.select("doc_id", "text"))
+    asked = docs.withColumn("held_out", F.lit(False))
+
+    def scores(max_bits):
+        model = lm.learn(docs, bits_per_item=400, max_bits=max_bits)
+        got = [(r["doc_id"] or -1, r["n_tokens"], round(r["base_score"], 6), r["score"]) for r in lm.score(asked, model).collect()]
+        return model, sorted(got)
+
+    model, want = scores(1 << 30)
+    assert model.words.value.whole and model.pairs.value.whole and model.weight > 0
+    for max_bits in (1 << 20, 0):
+        full, got = scores(max_bits)
+        assert not full.words.value.whole and not full.pairs.value.whole
+        assert full.weight == model.weight and (max_bits == 0 or (full.words.value.segments > 0).any())
+        assert [g[:3] for g in got] == [w[:3] for w in want]
+        assert [g[3] for g in got] == pytest.approx([w[3] for w in want], rel=1e-9)
+
+
 def test_messy_and_empty_tables(spark, messy, nothing):
     asked = messy.withColumn("held_out", F.lit(None).cast("boolean"))
     key = lambda t: (t[0] is None, t[0] or 0, t[1])

@@ -12,8 +12,9 @@ with quantised counts, N their sum, and P(w) alone where v or w is seen less tha
 theirs can be seen twice. The weight a is, of ``WEIGHTS``, the one
 that makes the training texts likeliest when each token's own occurrence is left out of the counts;
 about ``tuning_texts`` texts (the smallest hashes) decide. A filter has ``bits_per_item`` bits per item up to
-``max_bits``; beyond that only higher counts are held (the least level rises), so what is broadcast
-has a bound.
+``max_bits``, so what is broadcast has a bound; beyond that it holds only higher counts (the least level rises).
+Tokens that need a count it doesn't hold are joined with the lower counts, quantised alike, so no count is
+dropped at any size.
 
 The base score needs exact counts. Words with at least N / 2**19 occurrences, at most 2**19 of them, are
 broadcast; the other words of each text are joined with the counts. Words are identified by
@@ -125,6 +126,7 @@ class LogFilter:
     segments: np.ndarray  # segment x byte
     least: int  # the lowest level held
     most: int
+    whole: bool = True  # no count is below least
 
     def level(self, keys: np.ndarray) -> np.ndarray:
         """The level of each n-gram: probes from the lowest until the first miss."""
@@ -167,8 +169,10 @@ def build_filter(counts: DataFrame, bits_per_item: int, max_bits: int) -> tuple[
     def items() -> int:
         return sum(n * (k - least + 1) for k, n in sizes.items() if k >= least)
 
-    while items() * bits_per_item > max_bits and least < most:
+    while items() * bits_per_item > max_bits:
         least += 1
+    if least > most:
+        return LogFilter(np.zeros((0, SEGMENT_BITS // 8), np.uint8), least, most, False), total
     segments = max(1, math.ceil(items() * bits_per_item / SEGMENT_BITS))
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -196,13 +200,14 @@ def build_filter(counts: DataFrame, bits_per_item: int, max_bits: int) -> tuple[
     found = made.toArrow()
     for segment, raw in zip(found["segment"].to_pylist(), found["bits"].to_pylist(), strict=True):
         out[segment] = np.frombuffer(raw, np.uint8)
-    return LogFilter(out, least, most), total
+    return LogFilter(out, least, most, least <= min(sizes)), total
 
 
 # ---- counting ----------------------------------------------------------------------
 
 _COUNTS = pa.schema([("key", pa.int64()), ("n", pa.int64())])
 _LEVELS = pa.schema([("key", pa.int64()), ("level", pa.int32())])
+_MIDDLES = pa.schema([("key", pa.int64()), ("n", pa.float64())])
 
 
 def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -226,6 +231,7 @@ class Model:
     pairs: object  # broadcast LogFilter
     heavy: object  # broadcast (sorted keys, counts) of the most frequent words, exact
     counts: DataFrame  # key, n of every word
+    bigrams: DataFrame  # key, n of every bigram seen twice or more
     train_tokens: int
     types: int
     norm: float
@@ -233,26 +239,100 @@ class Model:
 
 
 def _pairs(words: LogFilter, texts: pa.Array) -> tuple:
-    """Tokens, distinct keys and levels, sizes, the token before each, and which tokens end a bigram.
+    """Tokens, distinct keys and counts, sizes, the token before each, and which tokens may end a bigram seen twice.
 
-    A word seen once is in no bigram seen twice; one that a full filter doesn't hold may be.
+    Counts are quantised; ``OPEN`` where the filter doesn't tell. A word seen once is in no bigram seen twice.
     """
     ids, distinct, sizes = tokens(texts)
     keys = hashed(distinct)
-    level = words.level(keys)
+    count = _counts(words, keys)
     follows = np.ones(len(ids), bool)
     follows[np.concatenate([[0], np.cumsum(sizes)[:-1]]).astype(np.int64)] = False
     before = np.concatenate([[0], ids[:-1]])
-    again = (level >= 2) | ((level == 0) & (words.least > 2))
-    return ids, keys, level, sizes, before, follows & again[before] & again[ids]
+    again = (count >= 2) | (count == OPEN)
+    return ids, keys, count, sizes, before, follows & again[before] & again[ids]
 
 
-def _bigram_shares(pairs: LogFilter, keys: np.ndarray, count: np.ndarray, first: np.ndarray, second: np.ndarray, less: float) -> np.ndarray:
-    """c(v w) / c(v) of each token, with ``less`` taken off both counts."""
-    code, at = np.unique(first * len(keys) + second, return_inverse=True)
-    v, w = code // len(keys), code % len(keys)
-    joint = np.minimum(pairs.count(bigram(keys[v], keys[w])), count[v])
-    return (np.maximum(joint - less, 0) / np.maximum(count[v] - less, 1))[at]
+OPEN = -1.0
+
+
+def _counts(held: LogFilter, keys: np.ndarray) -> np.ndarray:
+    """Quantised counts. Of a full filter only levels above the least tell, as one probe hits by chance too often."""
+    level = held.level(keys)
+    return np.where(held.whole | (level > held.least), MIDDLES[level], OPEN)
+
+
+_OPEN = pa.list_(
+    pa.struct([*((k, pa.int64()) for k in ("w", "v", "vw")), *((c, pa.float64()) for c in ("cw", "cv", "cvw")), ("after", pa.bool_())])
+)
+_OPEN_SQL = "array<struct<w: long, v: long, vw: long, cw: double, cv: double, cvw: double, after: boolean>>"
+
+
+@dataclass
+class Read:
+    """Tokens and the counts that the filters give for them."""
+
+    ids: np.ndarray  # of each token among keys
+    keys: np.ndarray
+    sizes: np.ndarray  # tokens per text
+    before: np.ndarray  # the token before each
+    on: np.ndarray  # tokens that may end a bigram seen twice
+    count: np.ndarray  # by key
+    joint: np.ndarray  # of each token in ``on`` with the one before
+    open: np.ndarray  # tokens with a count that only a join gives
+
+    def open_tokens(self, groups: np.ndarray) -> pa.ListArray:
+        """The open tokens, in lists of which each has the tokens of so many texts."""
+        at = np.flatnonzero(self.open)
+        joint = np.zeros(len(self.ids))
+        joint[self.on] = self.joint
+        w, v = self.ids[at], self.before[at]
+        parts = [
+            *(x.view(np.int64) for x in (self.keys[w], self.keys[v], bigram(self.keys[v], self.keys[w]))),
+            *(self.count[w], self.count[v], joint[at], self.on[at]),
+        ]
+        made = pa.StructArray.from_arrays([pa.array(x) for x in parts], fields=list(_OPEN.value_type))
+        ends = np.concatenate([[0], np.cumsum(self.sizes)])[np.concatenate([[0], np.cumsum(groups)])]
+        return pa.ListArray.from_arrays(pa.array(np.searchsorted(at, ends).astype(np.int32)), made, type=_OPEN)
+
+
+def _read(words: LogFilter, pairs: LogFilter, texts: pa.Array) -> Read:
+    ids, keys, count, sizes, before, on = _pairs(words, texts)
+    code = pa.array(before[on] * len(keys) + ids[on]).dictionary_encode()
+    distinct = code.dictionary.to_numpy()
+    joint = _counts(pairs, bigram(keys[distinct // len(keys)], keys[distinct % len(keys)]))[code.indices.to_numpy()]
+    unsure = (count == OPEN)[ids]
+    unsure[on] |= (count[before[on]] == OPEN) | (joint == OPEN)
+    return Read(ids, keys, sizes, before, on, count, joint, unsure)
+
+
+def _share(joint: np.ndarray, first: np.ndarray, less: float) -> np.ndarray:
+    """c(v w) / c(v), with ``less`` taken off both counts."""
+    return np.maximum(np.minimum(joint, first) - less, 0) / np.maximum(first - less, 1)
+
+
+def looked_up(tokens: DataFrame, model: Model) -> DataFrame:
+    """Open tokens (rows with a column ``t``) with all counts: ``cw``, ``cv``, ``cvw``, and ``after``, whether a bigram counts."""
+
+    def quantise(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for got in batches:
+            yield batch(_MIDDLES, key=got["key"], n=MIDDLES[levels(got["n"].to_numpy())])
+
+    def below(counts: DataFrame, least: int) -> DataFrame:
+        return counts.filter(F.col("n") < int(STEPS[least])).select("key", "n").mapInArrow(given_back(quantise), "key long, n double")
+
+    out = tokens
+    for key, c, counts, held in (("w", "cw", model.counts, model.words.value), ("v", "cv", model.counts, model.words.value), ("vw", "cvw", model.bigrams, model.pairs.value)):
+        if held.whole:
+            out = out.withColumn(c, F.col(f"t.{c}"))
+            continue
+        rest = below(counts, held.least).select(F.col("key").alias(f"key_{c}"), F.col("n").alias(f"n_{c}"))
+        # What is known finds nothing; its keys are spread so that a frequent word's are not in one task.
+        asked = F.when(F.col(f"t.{c}") == OPEN, F.col(f"t.{key}")).otherwise(F.xxhash64("t", F.rand(SEED)))
+        joined = out.withColumn(f"asked_{c}", asked).join(rest, F.col(f"asked_{c}") == F.col(f"key_{c}"), "left")
+        found = F.when(F.col(f"t.{c}") == OPEN, F.coalesce(f"n_{c}", F.lit(0.0))).otherwise(F.col(f"t.{c}"))
+        out = joined.withColumn(c, found).drop(f"asked_{c}", f"key_{c}", f"n_{c}")
+    return out.withColumn("after", F.col("t.after") & (F.col("cv") >= 2) & (F.col("cw") >= 2)).drop("t")
 
 
 def learn(docs: DataFrame, *, bits_per_item: int = 12, max_bits: int = 1 << 30, tuning_texts: int = 2000) -> Model:
@@ -292,10 +372,10 @@ def learn(docs: DataFrame, *, bits_per_item: int = 12, max_bits: int = 1 << 30,
         yield flush()
 
     partial = docs.select(text_of(docs).alias("text")).mapInArrow(given_back(count_pairs), "key long, n long")
-    bigrams = partial.groupBy("key").agg(F.sum("n").alias("n")).filter("n >= 2")
-    pairs = context.broadcast(build_filter(write_scratch(bigrams, "lm-bigrams"), bits_per_item, max_bits)[0])
+    bigrams = write_scratch(partial.groupBy("key").agg(F.sum("n").alias("n")).filter("n >= 2"), "lm-bigrams")
+    pairs = context.broadcast(build_filter(bigrams, bits_per_item, max_bits)[0])
     norm = mass + 0.5 * (types + 1)
-    model = Model(words, pairs, context.broadcast(exact), counts, total, types, norm)
+    model = Model(words, pairs, context.broadcast(exact), counts, bigrams, total, types, norm)
     model.weight = _tuned(docs, model, tuning_texts)
     return model
 
@@ -308,37 +388,46 @@ def _tuned(docs: DataFrame, model: Model, texts: int) -> float:
     words, pairs, norm = model.words, model.pairs, model.norm
 
     def try_all(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        schema = pa.schema([("which", pa.int32()), ("total", pa.float64())])
+        schema = pa.schema([("totals", pa.list_(pa.float64())), ("open", _OPEN)])
         for got in batches:
             for begin, end in slices(got["text"], RUN_BYTES):
-                ids, keys, level, _, before, on = _pairs(words.value, got["text"].slice(begin, end - begin))
-                count = MIDDLES[level]
-                share = _bigram_shares(pairs.value, keys, count, before[on], ids[on], 1.0)
-                alone = (np.maximum(count - 1, 0) + 0.5)[ids[on]] / norm
+                read = _read(words.value, pairs.value, got["text"].slice(begin, end - begin))
+                sure = read.on & ~read.open
+                share = _share(read.joint[sure[read.on]], read.count[read.before[sure]], 1.0)
+                alone = (np.maximum(read.count[read.ids[sure]] - 1, 0) + 0.5) / norm
                 sums = [float(np.log(a * share + (1 - a) * alone).sum()) for a in WEIGHTS]
-                yield batch(schema, which=list(range(len(WEIGHTS))), total=sums)
+                read.open &= read.on
+                yield batch(schema, totals=[sums], open=read.open_tokens(np.array([end - begin])))
 
     h = F.xxhash64("doc_id", F.lit(9))
     cut = docs.select(h.alias("h")).orderBy("h").limit(texts).agg(F.max("h")).first()[0]
     if cut is None:
         return 0.0
-    sums = docs.filter(h <= cut).select(text_of(docs).alias("text")).mapInArrow(given_back(try_all), "which int, total double")
-    best = sums.groupBy("which").agg(F.sum("total").alias("total")).orderBy(F.desc("total"), "which").first()
-    return WEIGHTS[best["which"]]
+    tried = docs.filter(h <= cut).select(text_of(docs).alias("text")).mapInArrow(given_back(try_all), f"totals array<double>, open {_OPEN_SQL}")
+    whole = words.value.whole and pairs.value.whole
+    tried = tried if whole else write_scratch(tried, "lm-tuning")
+    each = [F.sum(F.col("totals")[i]).alias(str(i)) for i in range(len(WEIGHTS))]
+    sums = np.array(tried.agg(*each).first(), float)
+    if not whole:
+        found = looked_up(tried.select(F.explode("open").alias("t")), model).filter("after")
+        share = F.greatest(F.least("cvw", "cv") - 1, F.lit(0.0)) / F.greatest(F.col("cv") - 1, F.lit(1.0))
+        alone = (F.greatest(F.col("cw") - 1, F.lit(0.0)) + 0.5) / norm
+        each = [F.coalesce(F.sum(F.log(a * share + (1 - a) * alone)), F.lit(0.0)).alias(str(a)) for a in WEIGHTS]
+        sums += np.array(found.agg(*each).first(), float)
+    return WEIGHTS[int(sums.argmax())]
 
 
 # ---- scoring -----------------------------------------------------------------------
 
 
-def _log_probabilities(texts: pa.Array, words: LogFilter, pairs: LogFilter, norm: float, weight: float) -> tuple:
-    """Tokens, distinct keys, sizes, each token's text, and log10 probabilities by text."""
-    ids, keys, level, sizes, before, on = _pairs(words, texts)
-    count = MIDDLES[level]
-    p = ((count + 0.5) / norm)[ids]
-    if weight > 0 and on.any():
-        p[on] = weight * _bigram_shares(pairs, keys, count, before[on], ids[on], 0.0) + (1 - weight) * p[on]
-    doc = np.repeat(np.arange(len(texts)), sizes)
-    return ids, keys, sizes, doc, np.bincount(doc, np.log10(np.minimum(p, 1.0)), len(texts))
+def _log_probabilities(read: Read, norm: float, weight: float, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Each token's text, and by text the log10 probabilities of the tokens that are not open."""
+    p = ((np.maximum(read.count, 0) + 0.5) / norm)[read.ids]
+    if weight > 0 and read.on.any():
+        share = _share(read.joint, read.count[read.before[read.on]], 0.0)
+        p[read.on] = weight * share + (1 - weight) * p[read.on]
+    doc = np.repeat(np.arange(n), read.sizes)
+    return doc, np.bincount(doc, np.where(read.open, 0.0, np.log10(np.minimum(p, 1.0))), n)
 
 
 _SCORED = pa.schema(
@@ -351,9 +440,33 @@ _SCORED = pa.schema(
         ("logs", pa.float64()),
         ("score", pa.float64()),
         ("rare", pa.list_(pa.int64())),
+        ("open", _OPEN),
     ]
 )
-_SCORED_SQL = "doc_id long, held_out boolean, text_hash long, n_tokens long, known long, logs double, score double, rare array<long>"
+_SCORED_SQL = "doc_id long, held_out boolean, text_hash long, n_tokens long, known long, logs double, score double, rare array<long>, "
+_SCORED_SQL += f"open {_OPEN_SQL}"
+
+
+def _closed(scored: DataFrame, model: Model) -> DataFrame:
+    """The scores with the open tokens' log10 probabilities, from joined counts."""
+    if model.words.value.whole and model.pairs.value.whole:
+        return scored.drop("open")
+    key = ["doc_id", "text_hash"]
+    found = looked_up(scored.select(*key, F.explode("open").alias("t")), model)
+    a, p = model.weight, (F.col("cw") + 0.5) / model.norm
+    share = F.least("cvw", "cv") / F.greatest("cv", F.lit(1.0))
+    p = F.least(F.when(F.col("after"), a * share + (1 - a) * p).otherwise(p), F.lit(1.0))
+    copies = F.count("*").alias("copies")
+    sums = found.groupBy(*key).agg(F.sum(F.log10(p)).alias("open_logs"))
+    sums = sums.select(F.col("doc_id").alias("d_open"), F.col("text_hash").alias("h_open"), "open_logs")
+    times = scored.filter(F.size("open") > 0).groupBy(*key).agg(copies).select(
+        F.col("doc_id").alias("d_times"), F.col("text_hash").alias("h_times"), "copies"
+    )
+    sums = sums.join(times, F.col("d_open").eqNullSafe(F.col("d_times")) & (F.col("h_open") == F.col("h_times")))
+    same = scored["doc_id"].eqNullSafe(F.col("d_open")) & (scored["text_hash"] == F.col("h_open"))
+    whole = F.col("score") + F.coalesce(F.col("open_logs") / F.col("copies"), F.lit(0.0))
+    out = scored.join(sums, same, "left").withColumn("score", whole)
+    return out.select(*[scored[c] if c != "score" else out["score"] for c in scored.columns if c != "open"])
 
 
 def score(docs: DataFrame, model: Model) -> DataFrame:
@@ -365,15 +478,16 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
         heavy_keys, heavy_counts = heavy.value
         for got in batches:
             for begin, end in slices(got["text"], RUN_BYTES):
-                some = got["text"].slice(begin, end - begin)
-                ids, keys, sizes, doc, found = _log_probabilities(some, words.value, pairs.value, own_norm, weight)
+                n = end - begin
+                read = _read(words.value, pairs.value, got["text"].slice(begin, n))
+                ids, keys = read.ids, read.keys
+                doc, found = _log_probabilities(read, own_norm, weight, n)
                 signed = keys.view(np.int64)
                 exact = np.zeros(len(keys), np.int64)
                 if len(heavy_keys):
                     at = np.minimum(np.searchsorted(heavy_keys, signed), len(heavy_keys) - 1)
                     exact = np.where(heavy_keys[at] == signed, heavy_counts[at], 0)
                 sure = exact[ids] > 0
-                n = end - begin
                 logs = np.bincount(doc[sure], np.log10(exact[ids[sure]] + 0.5), n)
                 known = np.bincount(doc[sure], minlength=n)
                 rare = np.split(signed[ids[~sure]], np.cumsum(np.bincount(doc[~sure], minlength=n))[:-1])
@@ -382,11 +496,12 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
                     doc_id=got["doc_id"].slice(begin, n),
                     held_out=got["held_out"].slice(begin, n),
                     text_hash=got["text_hash"].slice(begin, n),
-                    n_tokens=sizes,
+                    n_tokens=read.sizes,
                     known=known,
                     logs=logs,
                     score=found,
                     rare=rare,
+                    open=read.open_tokens(np.ones(n, np.int64)),
                 )
             give_back()
 
@@ -409,6 +524,7 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
         (F.col("more_logs") / F.col("copies")).alias("more_logs"),
         (F.col("more_known") / F.col("copies")).cast("long").alias("more_known"),
     )
+    scored = _closed(scored, model)
     same = scored["doc_id"].eqNullSafe(F.col("d")) & (scored["text_hash"] == F.col("h"))
     norm = math.log10(model.train_tokens + 0.5 * (model.types + 1))
     zero = F.lit(0)
