@@ -136,6 +136,33 @@ def test_what_a_full_filter_does_not_hold_is_joined(spark, messy, documents):
         assert [g[3] for g in got] == pytest.approx([w[3] for w in want], rel=1e-9)
 
 
+def plain_weight(texts, asked):
+    """The best weight over the texts asked, with plain counts of all quantised alike."""
+    middle = lambda n: lm.MIDDLES[lm.levels(np.array([n]))[0]]
+    words = Counter(w for t in texts for w in split(t))
+    pairs = Counter(p for t in texts for p in zip(split(t), split(t)[1:], strict=False))
+    norm = sum(middle(n) for n in words.values()) + 0.5 * (len(words) + 1)
+    sums = np.zeros(len(lm.WEIGHTS))
+    tried = Counter(p for t in asked for p in zip(split(t), split(t)[1:], strict=False))
+    for (v, w), n in tried.items():
+        if words[v] > 1 and words[w] > 1:
+            cv, cw, cvw = middle(words[v]), middle(words[w]), middle(pairs[v, w]) if pairs[v, w] > 1 else 0.0
+            share = max(min(cvw, cv) - 1, 0) / max(cv - 1, 1)
+            sums += [n * math.log(a * share + (1 - a) * (cw - 0.5) / norm) for a in lm.WEIGHTS]
+    return lm.WEIGHTS[int(sums.argmax())]
+
+
+def test_the_weight_is_that_of_all_texts(spark):
+    """The 2,000 texts of smallest hashes have fixed pairs; the others, longer, many words without order."""
+    rng = np.random.default_rng(2)
+    ids = spark.range(4000).orderBy(F.xxhash64("id", F.lit(9))).collect()
+    rows = [(r["id"], " ".join(f"w{k} w{k + 1}" for k in rng.integers(0, 39, 8))) for r in ids[:2000]]
+    rows += [(r["id"], " ".join(f"w{k}" for k in rng.integers(0, 3000, 30))) for r in ids[2000:]]
+    weight = lm.learn(spark.createDataFrame(rows, "doc_id long, text string")).weight
+    texts = [t for _, t in rows]
+    assert weight == plain_weight(texts, texts) != plain_weight(texts, texts[:2000])
+
+
 def test_messy_and_empty_tables(spark, messy, nothing):
     asked = messy.withColumn("held_out", F.lit(None).cast("boolean"))
     key = lambda t: (t[0] is None, t[0] or 0, t[1])

@@ -10,8 +10,7 @@ scoring tasks:
 
 with quantised counts, N their sum, and P(w) alone where v or w is seen less than twice, so that no bigram of
 theirs can be seen twice. The weight a is, of ``WEIGHTS``, the one
-that makes the training texts likeliest when each token's own occurrence is left out of the counts;
-about ``tuning_texts`` texts (the smallest hashes) decide. A filter has ``bits_per_item`` bits per item up to
+that makes all training texts likeliest when each token's own occurrence is left out of the counts. A filter has ``bits_per_item`` bits per item up to
 ``max_bits``, so what is broadcast has a bound; beyond that it holds only higher counts (the least level rises).
 Tokens that need a count it doesn't hold are joined with the lower counts, quantised alike, so no count is
 dropped at any size.
@@ -282,16 +281,15 @@ class Read:
     open: np.ndarray  # tokens with a count that only a join gives
 
     def open_tokens(self, groups: np.ndarray) -> pa.ListArray:
-        """The open tokens, in lists of which each has the tokens of so many texts."""
+        """The open tokens, in lists of which each has the tokens of so many texts; keys of known counts are null."""
         at = np.flatnonzero(self.open)
         joint = np.zeros(len(self.ids))
         joint[self.on] = self.joint
         w, v = self.ids[at], self.before[at]
-        parts = [
-            *(x.view(np.int64) for x in (self.keys[w], self.keys[v], bigram(self.keys[v], self.keys[w]))),
-            *(self.count[w], self.count[v], joint[at], self.on[at]),
-        ]
-        made = pa.StructArray.from_arrays([pa.array(x) for x in parts], fields=list(_OPEN.value_type))
+        counts = [self.count[w], self.count[v], joint[at]]
+        asked = [self.keys[w], self.keys[v], bigram(self.keys[v], self.keys[w])]
+        asked = [pa.array(k.view(np.int64), mask=c != OPEN) for k, c in zip(asked, counts, strict=True)]
+        made = pa.StructArray.from_arrays([*asked, *map(pa.array, [*counts, self.on[at]])], fields=list(_OPEN.value_type))
         ends = np.concatenate([[0], np.cumsum(self.sizes)])[np.concatenate([[0], np.cumsum(groups)])]
         return pa.ListArray.from_arrays(pa.array(np.searchsorted(at, ends).astype(np.int32)), made, type=_OPEN)
 
@@ -335,7 +333,7 @@ def looked_up(tokens: DataFrame, model: Model) -> DataFrame:
     return out.withColumn("after", F.col("t.after") & (F.col("cv") >= 2) & (F.col("cw") >= 2)).drop("t")
 
 
-def learn(docs: DataFrame, *, bits_per_item: int = 12, max_bits: int = 1 << 30, tuning_texts: int = 2000) -> Model:
+def learn(docs: DataFrame, *, bits_per_item: int = 12, max_bits: int = 1 << 30) -> Model:
     """A model of all texts of ``docs`` (doc_id, text)."""
     context = docs.sparkSession.sparkContext
     counts = write_scratch(word_counts(docs), "lm-words")
@@ -376,15 +374,17 @@ def learn(docs: DataFrame, *, bits_per_item: int = 12, max_bits: int = 1 << 30,
     pairs = context.broadcast(build_filter(bigrams, bits_per_item, max_bits)[0])
     norm = mass + 0.5 * (types + 1)
     model = Model(words, pairs, context.broadcast(exact), counts, bigrams, total, types, norm)
-    model.weight = _tuned(docs, model, tuning_texts)
+    model.weight = _tuned(docs, model)
     return model
 
 
 WEIGHTS = [0.0, 0.01, 0.02, 0.05, 0.1, 0.15, 0.2, 0.3, 0.4, 0.5, 0.6, 0.7]
 
 
-def _tuned(docs: DataFrame, model: Model, texts: int) -> float:
-    """The bigram weight that makes a sample of training texts likeliest, leaving each token out."""
+def _tuned(docs: DataFrame, model: Model) -> float:
+    """The bigram weight that makes the training texts likeliest, leaving each token out."""
+    if not model.train_tokens:
+        return 0.0
     words, pairs, norm = model.words, model.pairs, model.norm
 
     def try_all(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -395,15 +395,15 @@ def _tuned(docs: DataFrame, model: Model, texts: int) -> float:
                 sure = read.on & ~read.open
                 share = _share(read.joint[sure[read.on]], read.count[read.before[sure]], 1.0)
                 alone = (np.maximum(read.count[read.ids[sure]] - 1, 0) + 0.5) / norm
-                sums = [float(np.log(a * share + (1 - a) * alone).sum()) for a in WEIGHTS]
+                # Without a share, a token's term is log(1 - a) + log(alone).
+                none = share == 0
+                apart, n = float(np.log(alone[none]).sum()), int(none.sum())
+                share, alone = share[~none], alone[~none]
+                sums = [float(np.log(a * share + (1 - a) * alone).sum()) + n * math.log1p(-a) + apart for a in WEIGHTS]
                 read.open &= read.on
                 yield batch(schema, totals=[sums], open=read.open_tokens(np.array([end - begin])))
 
-    h = F.xxhash64("doc_id", F.lit(9))
-    cut = docs.select(h.alias("h")).orderBy("h").limit(texts).agg(F.max("h")).first()[0]
-    if cut is None:
-        return 0.0
-    tried = docs.filter(h <= cut).select(text_of(docs).alias("text")).mapInArrow(given_back(try_all), f"totals array<double>, open {_OPEN_SQL}")
+    tried = docs.select(text_of(docs).alias("text")).mapInArrow(given_back(try_all), f"totals array<double>, open {_OPEN_SQL}")
     whole = words.value.whole and pairs.value.whole
     tried = tried if whole else write_scratch(tried, "lm-tuning")
     each = [F.sum(F.col("totals")[i]).alias(str(i)) for i in range(len(WEIGHTS))]
