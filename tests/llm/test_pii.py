@@ -76,6 +76,24 @@ def test_crf_marginal_training_separates_examples():
     assert extra / total < 0.1
 
 
+def test_a_word_is_shaped_as_a_whole():
+    short, long = ("=" * n + "555-123-4567" for n in (10, 90))
+    assert pii.shape(long) == pii.shape(short) == "=93-93-94"
+    model = pii.trained(None)
+    assert [s[1] for s in pii.spans_of([f"call {long} now"], model, {})[0][1]] == [pii.KINDS.index("phone")]
+    blob = "a1" * 300
+    key = pii.shape(blob)
+    cache: dict = {}
+    assert len(model.decode([[("", key, "")]], cache)) == 1 and not cache
+
+
+def test_neighbours_of_a_run_have_their_own_shapes():
+    run, later = pii.runs_of(0, "Tel: 555-1234 9 mail, then x@y")
+    assert run.keys == [("Aa:", "93-94", "91"), ("93-94", "91", "a,")]
+    assert later.keys == [("a", "a@a", "")]
+    assert [r.keys for r in pii.runs_of(0, "12")] == [[("", "92", "")]]
+
+
 def test_viterbi_equals_trying_every_labelling():
     rng = np.random.default_rng(1)
     k = len(pii.KINDS) + 1
