@@ -21,7 +21,7 @@ Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps documents that have a language with half of their letters; fills in a null lang."""
+    """Keeps documents that have a language, mixed ones too; fills in a null lang."""
     return langid.identified(docs, langid.learn(docs, docs["lang"]))
 
 

@@ -86,6 +86,17 @@ def test_messy_and_empty_tables(messy, nothing, documents):
     assert langid.identified(messy, none).count() == 0
 
 
+def test_clean_documents_of_three_languages_stay(spark):
+    words = {"en": "the cat sat on the mat", "ru": "кошка сидела на ковре", "el": "η γάτα κάθισε στο χαλί"}
+    rows = [(i, t, lang, "a", len(t)) for i, (lang, t) in enumerate(words.items())]
+    rows.append((3, " ".join(words.values()), None, "a", None))
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    model = langid.learn(docs, docs["lang"])
+    scores = {r["doc_id"]: r["score"] for r in langid.predict(docs, model, ["doc_id"]).collect()}
+    assert scores[3] < 0.5
+    assert {r["doc_id"] for r in langid.identified(docs, model).collect()} == {0, 1, 2, 3}
+
+
 def test_rejected_documents_go_and_null_languages_are_filled(documents, messy):
     model = langid.learn(documents, documents["lang"])
     assert langid.identified(documents, model).count() >= 0.98 * documents.count()

@@ -270,11 +270,11 @@ def spans(docs: DataFrame, model: Model) -> DataFrame:
     return frame.mapInArrow(given_back(cut), "doc_id long, start long, end long, lang string")
 
 
-def identified(docs: DataFrame, model: Model, least_score: float = 0.5) -> DataFrame:
-    """The documents that have a language with at least ``least_score`` of their letters.
+def identified(docs: DataFrame, model: Model) -> DataFrame:
+    """The documents that have a language, mixed ones too.
 
     Their columns stay; a null lang becomes the language found.
     """
     found = predict(docs, model, DOCUMENT_COLUMNS)
-    kept = found.filter((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= least_score))
+    kept = found.filter(F.col("lang_pred") != UNKNOWN)
     return kept.withColumn("lang", F.coalesce("lang", "lang_pred")).select(*DOCUMENT_COLUMNS)
