@@ -1,0 +1,121 @@
+from __future__ import annotations
+
+import hashlib
+import math
+import random
+import re
+import zlib
+from collections import Counter
+
+import numpy as np
+import pyarrow as pa
+import pytest
+import xxhash
+
+from tidemark.llm.importance import Interned, Spans, ngrams, resample
+from tidemark.llm.queries import QUERIES
+
+WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
+LOWER = {c: c + 32 for c in range(0x41, 0x5B)}
+
+
+def features(text, max_words=1):
+    words = WORD.findall((text or "").translate(LOWER))
+    runs = [" ".join(words[i : i + n]) for n in range(1, max_words + 1) for i in range(len(words) - n + 1)]
+    return words, runs
+
+
+def expected(docs, target, max_words=1, buckets=10_000, least_words=20, percent=10, seed=2024):
+    """Sorted rows by plain counting."""
+
+    def bucket(f):
+        return zlib.crc32(f.encode()) % buckets
+
+    s = Counter(bucket(f) for _, t in docs for f in features(t, max_words)[1])
+    t = Counter(bucket(f) for text in target for f in features(text, max_words)[1])
+    n_s, n_t = sum(s.values()), sum(t.values())
+
+    def gain(b):
+        return math.floor(1000 * math.log((t[b] + 1) * (n_s + buckets) / ((s[b] + 1) * (n_t + buckets))))
+
+    rows = []
+    for doc_id, text in docs:
+        words, runs = features(text, max_words)
+        weight = sum(gain(bucket(f)) for f in runs)
+        h = int(hashlib.sha256(f"{seed}:{'' if doc_id is None else doc_id}".encode()).hexdigest()[:8], 16)
+        score = weight + math.floor(-1000 * math.log(-math.log((h + 0.5) / 4294967296)))
+        rows.append([doc_id, len(runs), weight, score, None, len(words) >= least_words])
+    fit = sorted((r for r in rows if r[5]), key=lambda r: (-r[3], r[0] is None, r[0] or 0, -r[1], -r[2]))
+    for i, row in enumerate(fit[: percent * len(fit) // 100]):
+        row[4] = i + 1
+    return sorted(map(str, (tuple(r[:5]) for r in rows)))
+
+
+def got(df):
+    return sorted(str(tuple(r)) for r in df.select("doc_id", "n_features", "weight", "score", "rank").collect())
+
+
+def test_hashes_and_equality_of_spans():
+    rng = random.Random(3)
+    strings = [bytes(rng.choice(b"ab\x00\xff") for _ in range(n)) for n in [*range(100), 1000, 31, 32, 33, 7, 8]]
+    data = np.frombuffer(b"".join(strings), np.uint8)
+    length = np.array([len(s) for s in strings])
+    spans = Spans(data, np.cumsum(length) - length, length)
+    for seed in (0, 42):
+        assert spans.xxhash64(seed).tolist() == [xxhash.xxh64_intdigest(s, seed) for s in strings]
+    a, b = (x.ravel() for x in np.meshgrid(np.arange(len(strings)), np.arange(len(strings))))
+    assert spans.equal(a, b).tolist() == [strings[i] == strings[j] for i, j in zip(a, b, strict=True)]
+
+
+def test_equal_keys_need_equal_bytes(monkeypatch):
+    """With all hashes equal the table still tells n-grams apart."""
+    monkeypatch.setattr(Spans, "xxhash64", lambda self, seed=0: np.full(len(self), np.uint64(15)))
+    words = ["aa", "bb", "aa", "cc", "abcdefgh1", "abcdefgh2", "abcdefgh1"]
+    spans, _, _ = ngrams(pa.array([" ".join(words)]), 1)
+    table = Interned(spans, 1000)
+    assert [zlib.crc32(w.encode()) % 1000 for w in words] == table.bucket[table.slot].tolist()
+    assert table.count[table.slot].tolist() == [2, 1, 2, 1, 2, 1, 2]
+
+
+@pytest.mark.parametrize("max_words", [1, 2, 3])
+def test_features_of_texts(max_words):
+    texts = ["One two,two", "", "three", "Été x9_y", "… ", "--", "end\x00of"]
+    array = pa.array(["skipped words", *texts]).slice(1)
+    spans, counts, words = ngrams(array, max_words)
+    raw = [spans.data[b : b + n].tobytes().decode() for b, n in zip(spans.begin, spans.length, strict=True)]
+    plain = [features(t, max_words) for t in texts]
+    assert counts.tolist() == [len(f) for _, f in plain]
+    assert words.tolist() == [len(w) for w, _ in plain]
+    ends = np.cumsum(counts)
+    for i, (_, runs) in enumerate(plain):
+        assert sorted(raw[ends[i] - counts[i] : ends[i]]) == sorted(runs)
+
+
+def test_query_against_plain_counting(spark, sf_dir, load):
+    docs = [tuple(r) for r in load("documents").select("doc_id", "text").collect()]
+    target = [r[0] for r in load("benchmark").select("text").collect()]
+    result = got(QUERIES["op13_importance"](spark, sf_dir))
+    assert result == expected(docs, target)
+    ranks = [r for r in result if not r.endswith("None)")]
+    assert len(ranks) == sum(len(features(t)[0]) >= 20 for _, t in docs) * 10 // 100
+
+
+@pytest.mark.parametrize("max_words", [1, 2])
+def test_messy_rows(messy, max_words):
+    docs = [(r["doc_id"], r["text"]) for r in messy.select("doc_id", "text").collect()]
+    target = messy.filter("doc_id > 5")
+    texts = [t for d, t in docs if d is not None and d > 5]
+    options = {"max_words": max_words, "buckets": 64, "least_words": 2, "percent": 60}
+    assert got(resample(messy, target, **options)) == expected(docs, texts, **options)
+
+
+def test_ties_go_to_smaller_ids_and_repeated_rows_count(spark):
+    rows = [(i % 7, "a b c " * 10) for i in range(40)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    assert got(resample(docs, docs, percent=50)) == expected(rows, [t for _, t in rows], percent=50)
+
+
+def test_empty_tables(nothing, messy):
+    assert resample(nothing, messy).collect() == []
+    rows = got(resample(messy, nothing))
+    assert rows == expected([(r["doc_id"], r["text"]) for r in messy.select("doc_id", "text").collect()], [])

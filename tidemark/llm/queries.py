@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import ann, chat, langid, lm, pii, simhash, sketch, toxicity
+from tidemark.llm import ann, chat, importance, langid, lm, pii, simhash, sketch, toxicity
 from tidemark.llm.common import documents, remainder
 from tidemark.llm.mixing import mix
 from tidemark.llm.packing import pack
@@ -94,3 +94,11 @@ def op9_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op10_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(documents(spark, sf_dir), word_tokenizer())
+
+
+@query
+def op13_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    target = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+    return importance.resample(
+        documents(spark, sf_dir), target, max_words=1, buckets=10_000, least_words=20, percent=10, seed=2024
+    )
