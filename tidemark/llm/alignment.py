@@ -25,6 +25,7 @@ import hashlib
 import os
 import re
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -36,8 +37,10 @@ from tidemark.session import remove_scratch, scratch_path, write_scratch
 
 RUN_BYTES = 2_000_000
 KNOWN_PIECES = 200_000
+BLOCK = 200
 LONG_PIECE = 64
 # U+180E was white space in old versions of Unicode.
+INNER = re.compile(r"[^\s\u180e]")
 CUT = re.compile(r" (?<=[^\s\u180e] )(?=[^\s\u180e])")
 SPACE_SIGN = "▁"
 
@@ -81,28 +84,37 @@ class Aligner:
         self.kind = np.int32 if self.size_a * self.size_b < 1 << 31 else np.int64
         self.known: dict[str, tuple | None] = {}
 
-    def __call__(self, pieces: list[str]) -> list[tuple | None]:
-        """(A tokens, B tokens, groups, codes of links, groups as text) of each; None without tokens.
+    def _same(self, raw: bytes, a: list[int], b: list[int]) -> bool:
+        return b"".join(map(self.bytes_a.__getitem__, a)) == raw and b"".join(map(self.bytes_b.__getitem__, b)) == raw
+
+    def _encoded(self, blocks: list[list[str]]) -> Iterator[tuple[list[str], list[int], list[int]]]:
+        """Blocks of pieces with the tokens of each, encoded as one text; without those that differ from their tokens."""
+        joined = [" ".join(b) for b in blocks]
+        spaced = [" " + t for t in joined]
+        all_a = self.a.encode_batch_fast(spaced, add_special_tokens=False)
+        all_b = self.b.encode(joined, num_threads=1)
+        for block, text, a, b in zip(blocks, spaced, all_a, all_b, strict=True):
+            if self._same(text.encode(), a.ids, b):
+                yield block, a.ids, b
+            elif len(block) > 1:
+                yield from self._encoded([[p] for p in block])
+
+    def __call__(self, pieces: list[str]) -> dict[str, tuple]:
+        """(A tokens, B tokens, groups, codes of links, groups as text) of each that has tokens.
 
         A link's code is its A id times the size of B's vocabulary, plus its B id.
         """
-        spaced = [" " + p for p in pieces]
-        all_a = [e.ids for e in self.a.encode_batch_fast(spaced, add_special_tokens=False)]
-        all_b = self.b.encode(pieces, num_threads=1)
-        of_a, of_b = self.bytes_a.__getitem__, self.bytes_b.__getitem__
-        good = []
-        for i, (text, a, b) in enumerate(zip(spaced, all_a, all_b, strict=True)):
-            raw = text.encode()
-            if b"".join(map(of_a, a)) == raw and b"".join(map(of_b, b)) == raw:
-                good.append(i)
-        out: list[tuple | None] = [None] * len(pieces)
-        if not good:
-            return out
-        n_a = np.array([len(all_a[i]) for i in good])
-        n_b = np.array([len(all_b[i]) for i in good])
-        a = np.fromiter((t for i in good for t in all_a[i]), np.int64, int(n_a.sum()))
-        b = np.fromiter((t for i in good for t in all_b[i]), np.int64, int(n_b.sum()))
+        inner = [p for p in pieces if INNER.match(p[0]) and INNER.match(p[-1])]
+        blocks = [inner[i : i + BLOCK] for i in range(0, len(inner), BLOCK)]
+        blocks += [[p] for p in pieces if not (INNER.match(p[0]) and INNER.match(p[-1]))]
+        done = list(self._encoded(blocks))
+        if not done:
+            return {}
+        good = [p for block, _, _ in done for p in block]
+        a = np.fromiter(chain.from_iterable(ids for _, ids, _ in done), np.int64)
+        b = np.fromiter(chain.from_iterable(ids for _, _, ids in done), np.int64)
         # Both cover the same bytes, so places run on over all pieces.
+        last = np.cumsum([len(p.encode()) + 1 for p in good])
         end_a, end_b = np.cumsum(self.width_a[a]), np.cumsum(self.width_b[b])
         begin_a, begin_b = end_a - self.width_a[a], end_b - self.width_b[b]
         common = np.intersect1d(end_a, end_b, assume_unique=True)
@@ -111,9 +123,7 @@ class Aligner:
         linked_a = np.repeat(np.arange(len(a)), links)
         linked_b = np.repeat(low - (np.cumsum(links) - links), links) + np.arange(int(links.sum()))
         codes = (a[linked_a] * self.size_b + b[linked_b]).astype(self.kind)
-        last_a, last_b = np.cumsum(n_a), np.cumsum(n_b)
-        link_ends = np.cumsum(links)[last_a - 1].tolist()
-        group_ends = np.searchsorted(common, end_a[last_a - 1], "right").tolist()
+        last_a, last_b = np.searchsorted(end_a, last, "right"), np.searchsorted(end_b, last, "right")
         # A group's A tokens, then its B tokens, each with the sign before it.
         group = np.concatenate([np.searchsorted(common, end_a), np.searchsorted(common, end_b)])
         is_b = np.arange(len(group)) >= len(a)
@@ -123,29 +133,32 @@ class Aligner:
         begins_b = is_b & np.concatenate([[False], ~is_b[:-1]])
         sign = np.where(begins, ";", np.where(begins_b, "|", ","))
         written = list(map(str.__add__, sign.tolist(), map(str, np.concatenate([a, b])[order].tolist())))
-        token_ends = (last_a + last_b).tolist()
         raw, width = codes.tobytes(), codes.itemsize
-        token = link = done = 0
-        for i, x, y, t, l, g in zip(good, n_a.tolist(), n_b.tolist(), token_ends, link_ends, group_ends, strict=True):
-            out[i] = (x, y, g - done, raw[link * width : l * width], "".join(written[token:t])[1:])
-            token, link, done = t, l, g
-        return out
+        ends = [last_a, last_b, np.searchsorted(common, last, "right"), np.cumsum(links)[last_a - 1] * width]
+        n_a, n_b, groups = (np.diff(e, prepend=0).tolist() for e in ends[:3])
+        cuts = [0, *ends[3].tolist()]
+        tokens = [0, *(last_a + last_b).tolist()]
+        return {
+            p: (x, y, g, raw[cuts[i] : cuts[i + 1]], "".join(written[tokens[i] : tokens[i + 1]])[1:])
+            for i, (p, x, y, g) in enumerate(zip(good, n_a, n_b, groups, strict=True))
+        }
 
     def texts(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, pa.ListArray, list[str]]:
         """A tokens, B tokens, groups, codes of links and groups_sha256 of each text."""
         cut = [CUT.split(t) for t in texts.to_pylist()]
         sizes = np.array([len(c) for c in cut], np.int64)
-        places: dict[str, int] = {}
-        which = np.fromiter((places.setdefault(p, len(places)) for c in cut for p in c), np.int64, int(sizes.sum()))
-        distinct = list(places)
+        coded = pa.array(list(chain.from_iterable(cut)), pa.large_string()).dictionary_encode()
+        distinct, which = coded.dictionary.to_pylist(), coded.indices.to_numpy()
         found = [self.known.get(p, ()) for p in distinct]
         new = [i for i, f in enumerate(found) if f == ()]
         for begin in range(0, len(new), 20_000):
             some = new[begin : begin + 20_000]
-            for i, made in zip(some, self([distinct[i] for i in some]), strict=True):
-                found[i] = made
-                if len(self.known) < KNOWN_PIECES and len(distinct[i]) <= LONG_PIECE:
-                    self.known[distinct[i]] = made
+            made = self([distinct[i] for i in some])
+            for i in some:
+                piece = distinct[i]
+                found[i] = made.get(piece)
+                if len(self.known) < KNOWN_PIECES and len(piece) <= LONG_PIECE:
+                    self.known[piece] = found[i]
         bad = np.array([f is None for f in found])[which]
         text = np.repeat(np.arange(len(cut)), sizes)
         off = np.zeros(len(cut), bool)
