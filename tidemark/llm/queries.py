@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import alignment, ann, chat, importance, langid, lm, pii, simhash, sketch, toxicity
+from tidemark.llm import alignment, ann, chat, importance, langid, lm, pii, repeats, simhash, sketch, toxicity
 from tidemark.llm.common import documents, remainder
 from tidemark.llm.mixing import mix
 from tidemark.llm.packing import pack
@@ -96,6 +96,11 @@ def op10_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(documents(spark, sf_dir), word_tokenizer())
 
 
+@query
+def op11_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.digests(repeats.removed(documents(spark, sf_dir), length=100))
+
+
 @query
 def op12_align(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
