@@ -70,7 +70,7 @@ def _powers(which: int, size: int) -> list[np.ndarray]:
             made.append(np.cumprod(power))
         return made
 
-    return per_worker(("powers", which), make) if size <= 2 * PART_BYTES else make()
+    return per_worker(("powers", which), make) if size <= 1 << 21 else make()
 
 
 class Rolled:
@@ -78,9 +78,7 @@ class Rolled:
 
     def __init__(self, data: np.ndarray, which: int):
         n = len(data) + 1
-        known = _powers(which, PART_BYTES + PART_BYTES // 4)
-        if len(known[0]) < n:
-            known = _powers(which, n)
+        known = _powers(which, max(1 << n.bit_length(), 1 << 21))
         self.inverse = known[1]
         self.sums = np.zeros(n, np.uint64)
         np.cumsum(SIGNS[which][data] * known[0][: n - 1], out=self.sums[1:])
