@@ -62,8 +62,9 @@ def mutants(seed, n, size, alphabet):
     return rows
 
 
-@pytest.mark.parametrize("group, hot", [(2000, 16), (3, 2), (0, 1), (1, 10_000)])
-def test_overlapping_passages(spark, group, hot):
+@pytest.mark.parametrize("group, hot, wide", [(2000, 16, 1000), (2000, 16, 0), (3, 2, 2), (0, 1, 1), (1, 10_000, 1), (5000, 3, 3)])
+def test_overlapping_passages(spark, monkeypatch, group, hot, wide):
+    monkeypatch.setattr(repeats, "WIDE", wide)
     rows = mutants(group, 150, 3000, "abcdé ") + mutants(9, 30, 300, "xy")
     rows = [(i, t) for i, (_, t) in enumerate(rows)]
     random.Random(1).shuffle(rows)
@@ -90,14 +91,15 @@ def test_periodic_texts_and_long_ones_in_parts(spark, monkeypatch):
     assert got(removed(docs)) == want
 
 
-def test_many_copies_with_and_without_a_common_line(spark):
+def test_many_copies_with_and_without_a_common_line(spark, monkeypatch):
     line = "This line, which is well over a hundred bytes long, stands in all of these documents, and nothing else of them does."
     short = "A shorter line that is in all of them as well, though it has few bytes."
     rows = [(i, f"{i * 7919} begins {short} {i * 104729} goes on {line} {i * 1299709} ends") for i in range(500)]
     rows += [(i, "One text, word for word, over and over, in hundreds of rows; it is as long as it has to be for all this.") for i in range(500, 900)]
     docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(6)
     want = expected(rows)
-    for group in (2000, 50):
+    for group, wide in ((2000, 1000), (50, 1000), (2000, 20)):
+        monkeypatch.setattr(repeats, "WIDE", wide)
         assert got(removed(docs, group=group)) == want
 
 

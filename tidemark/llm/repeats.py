@@ -12,8 +12,10 @@ doc_id, or in the same document further left) goes; the strings are those of the
    array), and one scan with a stack gives the tree of common-prefix intervals. An interval whose occurrences
    differ in the byte before them (or stand at an edge) can't be extended to the left: it is a maximal repeat group,
    given with all its occurrences. All but the earliest of a group are copies.
-3. An anchor with more than ``group`` contexts is split: its contexts are cut into their strings of ``length`` bytes,
-   the roots of the tree, and each is a group of its own.
+3. Of an anchor with more than ``WIDE`` contexts, only the roots of the tree are looked at, which are the strings of
+   ``length`` bytes, at one distance from the anchor after another. This removes the same bytes (a group's span is
+   that of its strings) with little memory. An anchor with more than ``group`` contexts is no longer one task's: its
+   contexts are cut into those strings, and each is a group of its own.
 4. The copies' spans of a document are joined, and taken out of its text.
 
 Hot anchors: each run of texts passes on only its first occurrence of a context, the others are known to be copies
@@ -45,6 +47,7 @@ FLUSH = 300_000  # anchors that a run collects
 HOT = 16
 SORT_BYTES = 1_000_000
 ROWS = 5_000
+WIDE = 1_000
 OFFSET_BITS = 32
 ONCE, SEVERAL, WITNESS, LATER = range(4)  # what a row says of its anchor
 
@@ -251,7 +254,11 @@ class Suffixes:
 def enhanced_suffix_array(
     data: np.ndarray, ends: np.ndarray, group: np.ndarray, doc: np.ndarray, pos: np.ndarray, length: int
 ) -> Suffixes:
-    """Of contexts that end at ``ends`` in a buffer and start at (doc, pos), the suffixes whose string of ``length`` bytes repeats in its group."""
+    """Of contexts that end at ``ends`` in a buffer and start at (doc, pos), the suffixes that may begin a maximal repeat.
+
+    Their string of ``length`` bytes repeats in the group, with more than one byte before it. Where one byte is before all, no
+    interval with that string is maximal, and those of the suffixes one byte longer have the same occurrences.
+    """
     begins = np.concatenate([[0], ends[:-1]])
     count = np.maximum(ends - begins - length + 1, 0)
     owner = np.repeat(np.arange(len(ends)), count)
@@ -429,11 +436,11 @@ def anchor_rows(docs: DataFrame, shape: Shape, hot: int) -> DataFrame:
 
 
 def contexts(docs: DataFrame, asked: DataFrame, shape: Shape, group: int) -> DataFrame:
-    """doc, pos, key, print, bytes of the contexts of anchors (doc, pos, key).
+    """doc, pos, key, print, at, bytes of the contexts of anchors (doc, pos, key); ``at`` is the anchor's place in it.
 
     Contexts of keys with more than ``group`` are cut into their strings: two hashes as key and print, no bytes.
     """
-    schema = pa.schema([(n, pa.int64()) for n in ("doc", "pos", "key", "print")] + [("bytes", pa.binary())])
+    schema = pa.schema([(n, pa.int64()) for n in ("doc", "pos", "key", "print", "at")] + [("bytes", pa.binary())])
     large = asked.groupBy(F.col("key").alias("_key")).agg(F.count("*").alias("_n")).filter(F.col("_n") > group)
     known = asked.join(large, F.col("key") == F.col("_key"), "left")
     offset = F.col("pos").bitwiseAND(F.lit((1 << OFFSET_BITS) - 1))
@@ -459,11 +466,11 @@ def contexts(docs: DataFrame, asked: DataFrame, shape: Shape, group: int) -> Dat
                         continue
                     pos = hash_ << OFFSET_BITS | begin
                     if not cut[i]:
-                        made = [(pos, key[i], None, text[begin:end])]
+                        made = [(pos, key[i], None, offset[i] - begin, text[begin:end])]
                     else:
                         strings = [text[b : b + shape.length] for b in range(begin, end - shape.length + 1)]
                         hashes = np.frombuffer(b"".join(map(xxhash.xxh3_128_digest, strings)), "<i8").reshape(-1, 2)
-                        made = [(pos + b, k, p, None) for b, (k, p) in enumerate(hashes.tolist())]
+                        made = [(pos + b, k, p, None, None) for b, (k, p) in enumerate(hashes.tolist())]
                     for row in made:
                         for name, value in zip(out, (doc, *row), strict=True):
                             out[name].append(value)
@@ -474,25 +481,78 @@ def contexts(docs: DataFrame, asked: DataFrame, shape: Shape, group: int) -> Dat
 
     joined = texts.join(lists, (F.col("doc") == F.col("_doc")) & (F.col("hash") == F.col("_hash")))
     return joined.select("doc", "hash", "n_bytes", "raw", "wanted").mapInArrow(
-        given_back(read), "doc long, pos long, key long, print long, bytes binary"
+        given_back(read), "doc long, pos long, key long, print long, at long, bytes binary"
     )
 
 
+def later_strings(
+    data: np.ndarray, ends: np.ndarray, at: np.ndarray, doc: np.ndarray, pos: np.ndarray, shape: Shape
+) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Contexts of one anchor, and places in them, of strings of ``length`` bytes that are not the earliest such.
+
+    ``at`` is where the anchor stands in each. Equal strings have it at one place in them, so each place is apart.
+    """
+    begins = np.concatenate([[0], ends[:-1]])
+    rolled = Rolled(data, 0)
+    for left in range(shape.side + 1):
+        begin = begins + at - left
+        on = np.flatnonzero((at >= left) & (begin + shape.length <= ends))
+        begin = begin[on]
+        _, which, times = np.unique(rolled.of(begin, begin + shape.length), return_inverse=True, return_counts=True)
+        on, begin = on[times[which] >= 2], begin[times[which] >= 2]
+        if not len(on):
+            continue
+        strings = np.ascontiguousarray(data[begin[:, None] + np.arange(shape.length)]).view(f"V{shape.length}").ravel()
+        _, which = np.unique(strings, return_inverse=True)
+        place = pos[on] + at[on] - left
+        order = np.lexsort((place, doc[on], which))
+        new = np.concatenate([[True], which[order][1:] != which[order][:-1]])
+        first = order[new][np.cumsum(new) - 1]
+        later = order[(doc[on][order] != doc[on][first]) | (place[order] != place[first])]
+        yield on[later], at[on[later]] - left
+
+
 def repeated_in_groups(found: DataFrame, shape: Shape) -> DataFrame:
-    """doc, pos, size of the later occurrences of maximal repeats among contexts (doc, pos, key, bytes) of one key."""
+    """doc, pos, size of the later occurrences of repeats among contexts (doc, pos, key, at, bytes) of one key."""
 
-    def scan(rows: list[pa.RecordBatch]) -> pa.RecordBatch | None:
+    def scan(rows: list[pa.RecordBatch]) -> pa.RecordBatch:
         table = pa.Table.from_batches(rows).combine_chunks()
-        key, doc, pos = (table[n].to_numpy() for n in ("key", "doc", "pos"))
+        key = table["key"].to_numpy()
+        cuts = [0, *(np.flatnonzero(key[1:] != key[:-1]) + 1).tolist(), len(key)]
+        wide = [(a, b) for a, b in zip(cuts, cuts[1:], strict=False) if b - a > WIDE]
+        narrow = np.ones(len(key), bool)
+        for a, b in wide:
+            narrow[a:b] = False
+        out = [several(table.filter(pa.array(narrow)))] + [one(table.slice(a, b - a)) for a, b in wide]
+        doc, pos, size = (np.concatenate(x) for x in zip(*out, strict=True))
+        return batch(_SPANS, doc=doc, pos=pos, size=size)
+
+    def opened(table: pa.Table) -> tuple[np.ndarray, ...]:
         raw = table["bytes"].to_pylist()
-        data = np.frombuffer(b"".join(raw), np.uint8)
-        ends = np.cumsum([len(b) for b in raw])
-        group = np.cumsum(np.concatenate([[0], key[1:] != key[:-1]]))
+        ends = np.cumsum(np.array([len(b) for b in raw], np.int64))
+        return np.frombuffer(b"".join(raw), np.uint8), ends, table["doc"].to_numpy(), table["pos"].to_numpy()
+
+    def several(table: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Of many keys with few contexts each."""
+        data, ends, doc, pos = opened(table)
+        key = table["key"].to_numpy()
+        group = np.cumsum(np.concatenate([[0], key[1:] != key[:-1]]))[: len(key)]
         array = enhanced_suffix_array(data, ends, group, doc, pos, shape.length)
         at, size = later_occurrences(array, shape.length)
         owner = np.searchsorted(ends, array.begin[at], "right")
-        inside = array.begin[at] - np.concatenate([[0], ends[:-1]])[owner]
-        return batch(_SPANS, doc=doc[owner], pos=pos[owner] + inside, size=size)
+        inside = array.begin[at] - np.concatenate([[0], ends])[owner]
+        return doc[owner], pos[owner] + inside, size
+
+    def one(table: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Of one key with many contexts. Strings that go on from the last one share its span."""
+        data, ends, doc, pos = opened(table)
+        covered = np.zeros((len(doc), shape.side + 1), bool)
+        for rows, places in later_strings(data, ends, table["at"].to_numpy(), doc, pos, shape):
+            covered[rows, places] = True
+        edge = np.zeros((len(doc), 1), bool)
+        row, begin = np.nonzero(covered & ~np.hstack([edge, covered[:, :-1]]))
+        _, last = np.nonzero(covered & ~np.hstack([covered[:, 1:], edge]))
+        return doc[row], pos[row] + begin, last - begin + shape.length
 
     def walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.RecordBatch] = []
@@ -512,11 +572,11 @@ def repeated_in_groups(found: DataFrame, shape: Shape) -> DataFrame:
         if held:
             yield scan(held)
 
-    dealt = found.select("key", "doc", "pos", "bytes").repartition("key").sortWithinPartitions("key")
+    dealt = found.select("key", "doc", "pos", "at", "bytes").repartition("key").sortWithinPartitions("key")
     return dealt.mapInArrow(given_back(walk), _SPANS_SQL)
 
 
-def removed(docs: DataFrame, *, length: int = 100, anchor: int = 32, group: int = 2000, hot: int = HOT) -> DataFrame:
+def removed(docs: DataFrame, *, length: int = 100, anchor: int = 32, group: int = 200_000, hot: int = HOT) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept (the bytes that stay) of every row of ``docs`` (doc_id, text)."""
     shape = Shape(length, anchor)
     found = write_scratch(sorted_out(anchor_rows(docs, shape, hot)), "repeats-anchors")
@@ -526,15 +586,15 @@ def removed(docs: DataFrame, *, length: int = 100, anchor: int = 32, group: int
     copies = found.filter("key is null").select(
         "doc", (F.col("pos") - offset + begin).alias("pos"), (offset + length - begin).alias("size")
     )
-    several = write_scratch(contexts(docs, found.filter("key is not null"), shape, group), "repeats-contexts")
-    groups = repeated_in_groups(several.filter("bytes is not null"), shape)
+    read = write_scratch(contexts(docs, found.filter("key is not null"), shape, group), "repeats-contexts")
+    groups = repeated_in_groups(read.filter("bytes is not null"), shape)
 
     def collapse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for got in batches:
             key, prints, doc, pos = (got[n].to_numpy() for n in ("key", "print", "doc", "pos"))
             yield collapsed(key.view(np.uint64), prints.view(np.uint64), doc, pos, len(key) + 1)
 
-    strings = several.filter("bytes is null").select("key", "print", "doc", "pos").mapInArrow(given_back(collapse), _ROWS_SQL)
+    strings = read.filter("bytes is null").select("key", "print", "doc", "pos").mapInArrow(given_back(collapse), _ROWS_SQL)
     cut = sorted_out(strings).filter("key is null").select("doc", "pos", F.lit(length).cast("long").alias("size"))
     spans = copies.unionByName(groups).unionByName(cut)
     begin = F.col("pos").bitwiseAND(F.lit((1 << OFFSET_BITS) - 1))
@@ -543,7 +603,7 @@ def removed(docs: DataFrame, *, length: int = 100, anchor: int = 32, group: int
         F.collect_list(span).alias("spans")
     )
     lists = write_scratch(lists, "repeats-spans")
-    remove_scratch(found, several)
+    remove_scratch(found, read)
     schema = pa.schema([(n, pa.int64()) for n in ("doc_id", "n_bytes", "n_removed", "n_spans")] + [("kept", pa.binary())])
 
     def take_out(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
