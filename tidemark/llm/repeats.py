@@ -264,8 +264,15 @@ def enhanced_suffix_array(
     owner = np.repeat(np.arange(len(ends)), count)
     begin = begins[owner] + np.arange(int(count.sum())) - np.repeat(np.cumsum(count) - count, count)
     string = Rolled(data, 0).of(begin, begin + length) + mixed(group[owner].astype(np.uint64))
-    _, which, times = np.unique(string, return_inverse=True, return_counts=True)
-    keep = times[which] >= 2
+    before = np.where(begin > begins[owner], data[begin - 1].astype(np.int16), -1)
+    order = np.argsort(string, kind="stable")
+    first = np.flatnonzero(np.concatenate([[True], string[order][1:] != string[order][:-1]])[: len(order)])
+    times = np.diff(first, append=len(order))
+    if len(first):
+        low, high = (pick.reduceat(before[order], first) for pick in (np.minimum, np.maximum))
+        keep = order[np.repeat((times >= 2) & ((low < 0) | (low != high)), times)]
+    else:
+        keep = order
     owner, begin = owner[keep], begin[keep]
     raw, end = data.tobytes(), ends[owner]
     numbers = group[owner]
