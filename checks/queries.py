@@ -18,7 +18,7 @@ from tidemark.operators.merge import duplicate_keys, upsert
 from tidemark.operators.rows import day_slice, enrich
 from tidemark.plans.curate import curate
 from tidemark.plans.ingest import ingest
-from tidemark.plans.publish import publish_ready, read_gold, read_silver, stage_gold
+from tidemark.plans.publish import publish_ready, read_gold, read_silver, read_version, stage_gold
 from tidemark.session import scratch_path
 from tidemark.sinks.bronze import write_bronze
 from tidemark.sinks.silver import (
@@ -26,12 +26,12 @@ from tidemark.sinks.silver import (
     create_silver,
     merge_silver,
     overwrite_partitions,
+    read_table,
 )
-from tidemark.sinks.versions import read_snapshot
 from tidemark.sources import extract as extracts
 from tidemark.sources.bronze import read_bronze
 from tidemark.sources.tables import FrameSource, ParquetSource
-from tidemark.state import StateLog
+from tidemark.state import ControlTable
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -196,8 +196,8 @@ def bronze_day_slice(spark, sf_dir):
 def silver_create(spark, sf_dir):
     events = enrich(load(spark, sf_dir, "events"), F.col("ts"))
     root = scratch_path(spark, "silver")
-    table = create_silver(events, root)
-    return read_snapshot(spark, root, table).select(
+    schema = create_silver(events, root)
+    return read_table(spark, root, schema).select(
         "event_id", "event_type", "year", "month", "day"
     )
 
@@ -209,7 +209,7 @@ def silver_create_null_partition(spark, sf_dir):
     done = F.when(status == "F", True).when(status == "O", False)
     orders = load(spark, sf_dir, "orders").select("o_orderkey", done.alias("done"))
     root = scratch_path(spark, "silver")
-    return read_snapshot(spark, root, create_silver(orders, root, ["done"]))
+    return read_table(spark, root, create_silver(orders, root, ["done"]))
 
 
 @query
@@ -221,10 +221,11 @@ def silver_overwrite_partitions(spark, sf_dir):
         F.year("l_shipdate").cast("string").alias("year"),
     )
     root = scratch_path(spark, "silver")
-    table = create_silver(lines.withColumn("tag", F.lit("old")), root, ["year"])
-    batch = lines.filter(F.col("l_shipdate") >= ntz("2000-01-01 00:00:00"))
-    table = overwrite_partitions(table, batch.withColumn("tag", F.lit("new")), root)
-    return read_snapshot(spark, root, table).drop("year")
+    schema = create_silver(lines.withColumn("tag", F.lit("old")), root, ["year"])
+    late = F.col("l_shipdate") >= ntz("2000-01-01 00:00:00")
+    batch = read_table(spark, root, schema).filter(late).withColumn("tag", F.lit("new"))
+    overwrite_partitions(batch, root, schema, ["year"])
+    return read_table(spark, root, schema).drop("year")
 
 
 @query
@@ -232,9 +233,9 @@ def silver_append(spark, sf_dir):
     events = load(spark, sf_dir, "events")
     middle = ntz("2024-01-15 00:00:00")
     root = scratch_path(spark, "silver")
-    table = create_silver(enrich(events.filter(F.col("ts") <= middle), DAY_1), root)
-    table = append_silver(table, enrich(events.filter(F.col("ts") > middle), DAY_2), root)
-    return read_snapshot(spark, root, table).select("event_id", "value", "day")
+    schema = create_silver(enrich(events.filter(F.col("ts") <= middle), DAY_1), root)
+    append_silver(enrich(events.filter(F.col("ts") > middle), DAY_2), root, schema)
+    return read_table(spark, root, schema).select("event_id", "value", "day")
 
 
 @query
@@ -281,8 +282,9 @@ def silver_merge_null_keys(spark, sf_dir):
         F.when(number % 20 != 0, number).alias("k"), "c_name", nation, F.lit("s").alias("tag")
     )
     root = scratch_path(spark, "silver")
-    table = create_silver(target, root, ["c_nationkey"])
-    return read_snapshot(spark, root, merge_silver(table, source, root, ["k"]))
+    schema = create_silver(target, root, ["c_nationkey"])
+    merge_silver(source, root, schema, ["k"], ["c_nationkey"])
+    return read_table(spark, root, schema)
 
 
 @query
@@ -327,7 +329,7 @@ def lake(spark: SparkSession, *control: tuple) -> LakeConfig:
     """A fresh lake with the given control rows."""
     cfg = LakeConfig.under(scratch_path(spark, "lake"))
     rows = spark.createDataFrame(list(control), ctl.CONTROL_SCHEMA)
-    StateLog(spark, cfg.state_path).create(rows)
+    ControlTable(spark, cfg.state_path).create(rows)
     return cfg
 
 
@@ -347,7 +349,7 @@ def run_day(spark, cfg, table, frame, run_ts, **curate_options) -> None:
 def set_control(spark, cfg, table, **values) -> None:
     """Change control values the way an operator of the lake would."""
     changes = {column: {table: value} for column, value in values.items()}
-    StateLog(spark, cfg.state_path).commit([table], **changes)
+    ControlTable(spark, cfg.state_path).commit([table], **changes)
 
 
 @query
@@ -444,8 +446,8 @@ def ingest_curate_lineitem_dedupe(spark, sf_dir):
 def gold_stage(spark, sf_dir):
     cfg = lake(spark, ("orders", "full", None, None, None, "00"))
     run_day(spark, cfg, "orders", load(spark, sf_dir, "orders"), DAY_1)
-    staged = stage_gold(spark, cfg, StateLog(spark, cfg.state_path).lookup("orders"))
-    return read_snapshot(spark, cfg.gold_path("orders"), staged).drop(
+    staged = stage_gold(spark, cfg, ControlTable(spark, cfg.state_path).lookup("orders"))
+    return read_version(spark, cfg, "orders", staged).drop(
         "_ingestion_time", "year", "month", "day"
     )
 
@@ -463,13 +465,13 @@ def gold_publish(spark, sf_dir):
         )
         for n in names
     ]
-    status = StateLog(spark, cfg.state_path).current().select("table_name", "process_number")
+    status = ControlTable(spark, cfg.state_path).current().select("table_name", "process_number")
     return counts[0].unionByName(counts[1]).join(status, "table_name")
 
 
 @query
 def gold_publish_twice(spark, sf_dir):
-    """The second publication copies only what the second run wrote."""
+    """The second publication shows what the second run made of the table."""
     orders = load(spark, sf_dir, "orders")
     cfg = lake(spark, ("orders", "incremental", None, "o_orderdate", "o_orderkey", "00"))
     early = orders.filter(F.col("o_orderdate") <= ntz("2000-01-01 00:00:00"))

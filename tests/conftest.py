@@ -10,7 +10,7 @@ from tidemark.config import LakeConfig
 from tidemark.operators.control import CONTROL_SCHEMA
 from tidemark.session import local_session
 from tidemark.sources.tables import FrameSource
-from tidemark.state import StateLog
+from tidemark.state import ControlTable
 
 SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 
@@ -48,7 +48,7 @@ class Lake:
     def __init__(self, spark, root):
         self.spark = spark
         self.cfg = LakeConfig.under(str(root))
-        self.state = StateLog(spark, self.cfg.state_path)
+        self.state = ControlTable(spark, self.cfg.state_path)
 
     def create(self, *rows):
         self.state.create(self.spark.createDataFrame(list(rows), CONTROL_SCHEMA))

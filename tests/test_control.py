@@ -1,13 +1,16 @@
 from __future__ import annotations
 
+import os
+from concurrent.futures import ThreadPoolExecutor
+
 import pytest
 from pyspark.sql import functions as F
 
 from tests.conftest import rows
-from tidemark import publish_ready
+from tidemark import state as state_module
 from tidemark.operators import control as ctl
 from tidemark.sources.extract import checked_load_type, extract, is_unset
-from tidemark.state import StateLog
+from tidemark.state import ControlTable
 
 ROWS = [
     ("orders", "incremental", "2001-01-01 00:00:00", "o_orderdate", "o_orderkey", "00"),
@@ -103,44 +106,48 @@ def test_a_mark_without_a_column_fails(spark):
         extract(spark, None, row)
 
 
-# ---- state log ---------------------------------------------------------------------
+# ---- the control table as commits ---------------------------------------------------
 
 
 @pytest.fixture
 def state(spark, tmp_path, control):
-    log = StateLog(spark, str(tmp_path / "log"))
-    log.create(control)
-    return log
+    table = ControlTable(spark, str(tmp_path / "control"))
+    table.create(control)
+    return table
 
 
-def test_create_refuses_an_existing_log(state, control):
-    with pytest.raises(Exception, match="(?i)already exists"):
+def test_create_refuses_an_existing_table(state, control):
+    with pytest.raises(ctl.ControlError, match="already exists"):
         state.create(control)
 
 
+def test_without_a_table_there_is_no_state(spark, tmp_path):
+    with pytest.raises(ctl.ControlError, match="no control table"):
+        ControlTable(spark, str(tmp_path / "nothing")).lookup("orders")
+
+
 def test_commit_counts_what_moved(state):
     def advance(table, current, new):
-        return state.commit(
-            [table], lambda df: ctl.advance_status(df, table, current, new)
-        )
+        return state.commit([table], lambda df: ctl.advance_status(df, table, current, new))
 
     assert advance("orders", "00", "01") == 1
     assert advance("orders", "00", "01") == 0
     assert state.lookup("orders")["process_number"] == "01"
-    assert state.lookup("orders")["seq"] == 3
-    assert state.lookup("customer")["seq"] == 1
+    assert state.lookup("customer")["process_number"] == "01"
 
 
-def test_commit_covers_several_tables_in_one_file(state, spark):
-    before = set(spark.read.parquet(state.path).inputFiles())
+def test_commit_covers_several_tables_at_once(state, tmp_path):
     state.commit(
         ["lineitem", "events"],
         lambda df: ctl.reset_status(df, ["lineitem", "events"]),
         gold={"lineitem": "a", "events": "b"},
     )
-    assert len(set(spark.read.parquet(state.path).inputFiles()) - before) == 1
+    assert sorted(f for f in os.listdir(tmp_path / "control")) == ["commit=1", "commit=2"]
+    files = [f for f in os.listdir(tmp_path / "control" / "commit=2") if f.endswith(".parquet")]
+    assert len(files) == 1
     assert state.ready() == []
     assert state.lookup("events")["gold"] == "b"
+    assert state.lookup("orders")["gold"] is None
 
 
 def test_keys_come_with_the_lookup(state):
@@ -148,86 +155,90 @@ def test_keys_come_with_the_lookup(state):
     assert state.lookup("events")["keys"] == []
 
 
-def test_register_keeps_snapshots(state, spark):
-    state.commit(["orders"], silver={"orders": "snapshot"})
+def test_register_keeps_what_is_remembered(state, spark):
+    state.commit(["orders"], silver={"orders": "schema"})
     changed = [("orders", "FULL", None, None, None, "00"), ("new", "FULL", *[None] * 3, "00")]
     state.register(spark.createDataFrame(changed, ctl.CONTROL_SCHEMA))
     assert state.lookup("orders")["load_type"] == "FULL"
-    assert state.lookup("orders")["silver"] == "snapshot"
-    assert state.lookup("new")["seq"] == 1
+    assert state.lookup("orders")["silver"] == "schema"
+    assert state.lookup("new")["silver"] is None
     assert state.current().count() == 5
 
 
-def test_colliding_commits_are_reported(state, spark):
-    seen = state.current().filter("table_name = 'orders'")
-    stale = spark.createDataFrame(seen.collect(), seen.schema)
-    state.commit(["orders"], primary_keys={"orders": "a"})
-    state._write(stale, "append")
-    with pytest.raises(ctl.ControlError, match="more than one"):
+def test_two_writers_of_one_number_leave_one_winner(state):
+    """Both read the same commit; the second applies its change to what the first left."""
+    real, once = state._write, []
+
+    def late(rows, n):
+        if not once:
+            once.append(n)
+            other = ControlTable(state.spark, state.path)
+            assert other.commit(["orders"], lambda df: ctl.advance_status(df, "orders", "00", "01")) == 1
+        return real(rows, n)
+
+    state._write = late
+    assert state.commit(["orders"], lambda df: ctl.advance_status(df, "orders", "00", "01")) == 0
+    assert state.lookup("orders")["process_number"] == "01"
+    assert state._last() == 3
+
+
+def test_a_number_that_exists_is_refused(state):
+    rows = state.current()
+    assert state._write(rows, 2)
+    assert not state._write(rows.withColumn("process_number", F.lit("99")), 2)
+    assert state.lookup("orders")["process_number"] == "00"
+
+
+def test_runs_on_different_tables_may_commit_at_once(state):
+    def advance(table):
+        return state.commit([table], lambda df: ctl.advance_status(df, table, "02", "00"))
+
+    with ThreadPoolExecutor(4) as pool:
+        assert list(pool.map(advance, ["lineitem", "events", "lineitem", "events"])).count(1) == 2
+    assert state.ready() == []
+
+
+def test_an_unfinished_commit_is_waited_for_and_can_be_abandoned(state, tmp_path, monkeypatch):
+    monkeypatch.setattr(state_module, "PAUSE", 0.0)
+    (tmp_path / "control" / "commit=2").mkdir()
+    assert state.lookup("orders")["process_number"] == "00"
+    with pytest.raises(ctl.ControlError, match="commit 2 is being written"):
+        state.commit(["orders"], process_number={"orders": "01"})
+    with pytest.raises(ctl.ControlError, match="complete"):
+        state.abandon(1)
+    state.abandon(2)
+    state.commit(["orders"], process_number={"orders": "01"})
+    assert state.lookup("orders")["process_number"] == "01"
+
+
+def test_a_failed_change_leaves_no_commit(state, tmp_path):
+    bad = lambda df: df.withColumn("process_number", F.raise_error(F.lit("no")).cast("string"))
+    with pytest.raises(Exception, match="no"):
+        state.commit(["orders"], bad)
+    assert os.listdir(tmp_path / "control") == ["commit=1"]
+
+
+def test_two_files_in_one_commit_are_refused(state, tmp_path):
+    state.current().write.mode("append").parquet(str(tmp_path / "control" / "commit=1"))
+    with pytest.raises(ctl.ControlError, match="at once"):
         state.lookup("orders")
 
 
-def test_superseded_files(state):
-    assert state.superseded_files().count() == 0
-    for table in ("orders", "customer", "lineitem"):
-        state.commit([table])
-    assert state.superseded_files().count() == 0
-    state.commit(["events"])
-    state.commit(["orders"])
-    assert state.superseded_files().count() == 2
-
-
-def collided(spark, lake):
-    """Two commits of one table that did not see each other."""
-    lake.create(("a", "FULL", None, None, None, "02"), ("b", "FULL", None, None, None, "02"))
-    first = lake.state.current().filter("table_name = 'a'")
-    for status in ("01", "02"):
-        lake.state._write(first.withColumn("process_number", F.lit(status)), "append")
-    return lake.state
-
-
-def test_collisions_are_refused_and_can_be_settled(spark, lake):
-    state = collided(spark, lake)
-    control = spark.createDataFrame([("a", "FULL", None, None, None, "00")], ctl.CONTROL_SCHEMA)
-    for step in (
-        lambda: state.lookup("a"),
-        lambda: state.ready(),
-        lambda: state.commit(["a", "b"]),
-        lambda: state.register(control),
-        lambda: publish_ready(spark, lake.cfg),
-    ):
-        with pytest.raises(ctl.ControlError):
+def test_old_commits_go(state, tmp_path, monkeypatch):
+    monkeypatch.setattr(state_module, "KEPT", 3)
+    for status in "456789":
+        state.commit(["orders"], process_number={"orders": status})
+    assert sorted(os.listdir(tmp_path / "control")) == ["commit=5", "commit=6", "commit=7"]
+    assert state.lookup("orders")["process_number"] == "9"
+
+
+def test_a_table_with_two_rows_is_refused(spark, tmp_path, control):
+    table = ControlTable(spark, str(tmp_path / "twice"))
+    table.create(control.unionByName(control.filter("table_name = 'events'")))
+    for step in (lambda: table.lookup("events"), table.ready):
+        with pytest.raises(ctl.ControlError, match="more than one"):
             step()
-    assert state.commit(["b"]) == 0
-    rows = state.current().filter("table_name = 'a'").collect()
-    assert len(rows) == 2
-    with pytest.raises(ctl.ControlError):
-        state.settle("a", "no such commit")
-    chosen = next(r for r in rows if r["process_number"] == "02")
-    state.settle("a", chosen["commit_id"])
-    assert state.lookup("a")["process_number"] == "02"
-    assert state.ready() == ["a", "b"]
-    assert state.commit(["a"]) == 0
-
-
-def test_compaction_keeps_the_state_and_its_size(spark, lake):
-    state = collided(spark, lake)
-    files = lambda: len(state._log().select("_file").distinct().collect())
-    widths = set()
-    for i in range(10, 60):
-        state.commit(["b"], ingest_column={"b": str(i)}, silver={"b": f"lake/snapshot-{i}"})
-        if i % 10 == 0:
-            latest = state.current().filter("table_name = 'b'").first()
-            widths.add(sum(len(str(v)) for k, v in latest.asDict().items() if k != "seq"))
-    assert len(widths) == 1
-    before = sorted(map(str, state.current().collect()))
-    assert state.compact() >= 53
-    assert files() == 1 and len(state.current().inputFiles()) == 1
-    assert sorted(map(str, state.current().collect())) == before
-    assert state.superseded_files().count() == 0
-    assert state.lookup("b")["ingest_column"] == "59"
-    with pytest.raises(ctl.ControlError):
-        state.lookup("a")
+    assert table.lookup("orders")["load_type"] == "INCREMENTAL"
 
 
 def test_keys_lose_all_white_space(spark):

@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
+import json
 import os
-from dataclasses import replace
+import sys
 from datetime import datetime
 
 import pytest
@@ -11,16 +12,19 @@ from pyspark.sql import functions as F
 
 from tests.conftest import DAY_1, DAY_2, at, data_files, rows
 from tidemark import curate, ingest, publish_ready, read_gold, read_silver
-from tidemark.operators.control import ControlError
+from tidemark.operators.control import CONTROL_SCHEMA, ControlError
 from tidemark.operators.merge import MergeConflict
 from tidemark.operators.rows import enrich
-from tidemark.plans import publish as publish_module
 from tidemark.plans.results import DONE, EMPTY
 from tidemark.session import shared_root
 from tidemark.sinks.bronze import write_bronze
-from tidemark.sinks.versions import load_snapshot
+from tidemark.sinks.silver import read_table
+from tidemark.sources import bronze as bronze_module
 from tidemark.sources.bronze import read_bronze
 
+curate_module = sys.modules["tidemark.plans.curate"]
+publish_module = sys.modules["tidemark.plans.publish"]
+
 EVENTS = ("events", "INCREMENTAL", None, "ts", "event_id", "00")
 CUSTOMER = ("customer", "full", None, None, "c_custkey", "00")
 
@@ -173,16 +177,15 @@ def test_full_load_folds_changed_days_only(spark, lake, load):
     run(lake, "customer", customer, DAY_1)
     run(lake, "customer", customer, DAY_2)
 
-    def folders():
-        snapshot = load_snapshot(spark, lake.state.lookup("customer")["silver"])
-        return {f.path for f in snapshot.folders}
+    def files():
+        return data_files(lake.cfg.silver_path("customer"))
 
-    two_days = folders()
+    two_days = files()
     run(lake, "customer", customer, day_3)
-    assert len(folders() & two_days) == 2 and len(folders()) == 3
-    three_days = folders()
+    assert two_days.items() <= files().items() and len({f[:25] for f in files()}) == 3
+    three_days = files()
     curate(spark, lake.cfg, "customer", day_3)
-    assert folders() == three_days
+    assert files() == three_days
 
     # Landed again, appended to, or changed in Silver: folded again.
     ingest(spark, lake.showing(customer=customer.limit(7)), "customer", DAY_2)
@@ -190,7 +193,7 @@ def test_full_load_folds_changed_days_only(spark, lake, load):
         enrich(customer.limit(3), DAY_1), lake.cfg.bronze_path("customer"), "append"
     )
     curate(spark, lake.cfg, "customer", day_3)
-    assert len(folders() & three_days) == 1
+    assert {f[:25] for f in files().keys() & three_days.keys()} == {"year=2026/month=01/day=03"}
     counts = read_silver(spark, lake.cfg, "customer").groupBy("day").count()
     assert rows(counts) == [("01", 153), ("02", 7), ("03", 150)]
 
@@ -261,51 +264,37 @@ def test_failed_staging_publishes_nothing(spark, lake, load, monkeypatch):
     publish_ready(spark, lake.cfg)
     run(lake, "nation", load("nation").limit(1), DAY_2)
     run(lake, "region", load("region").limit(1), DAY_2)
-    real = publish_module.copy_snapshot
+    real = publish_module.stage_gold
 
-    def failing(spark, source_root, *args):
-        if source_root.endswith("region"):
+    def failing(spark, cfg, row):
+        if row["table_name"] == "region":
             raise OSError("disk gone")
-        return real(spark, source_root, *args)
+        return real(spark, cfg, row)
 
     with monkeypatch.context() as patch:
-        patch.setattr(publish_module, "copy_snapshot", failing)
+        patch.setattr(publish_module, "stage_gold", failing)
         with pytest.raises(OSError, match="disk gone"):
             publish_ready(spark, lake.cfg)
-    assert lake.state.ready() == ["nation", "region"]
+    assert [r["table_name"] for r in lake.state.ready()] == ["nation", "region"]
     assert read_gold(spark, lake.cfg, "nation").count() == 25
     assert publish_ready(spark, lake.cfg).moved == 2
     assert read_gold(spark, lake.cfg, "nation").count() == 26
     assert read_gold(spark, lake.cfg, "region").count() == 6
 
 
-def test_second_publication_copies_only_new_folders(spark, lake, load):
+def test_a_publication_is_one_folder_and_one_row(spark, lake, load):
     ready_tables(lake, load, "customer")
     publish_ready(spark, lake.cfg)
-    root = lake.cfg.gold_path("customer")
-    before = data_files(root)
+    first = json.loads(lake.state.lookup("customer")["gold"])["folder"]
     lake.set("customer", load_type="INCREMENTAL")
     run(lake, "customer", load("customer").limit(5), DAY_2)
     publish_ready(spark, lake.cfg)
-    after = data_files(root)
-    assert before.items() <= after.items()
-    assert all("day=02" in f for f in set(after) - set(before))
+    second = json.loads(lake.state.lookup("customer")["gold"])["folder"]
+    folders = {f.split("/")[0] for f in data_files(lake.cfg.gold_path("customer"))}
+    assert folders == {first, second} and first != second
     assert read_gold(spark, lake.cfg, "customer").count() == 155
 
 
-def test_publication_without_a_gold_root_copies_nothing(spark, lake, load):
-    ready_tables(lake, load, "customer")
-    cfg = replace(lake.cfg, gold_root=None)
-    before = data_files(cfg.silver_root)
-    assert publish_ready(spark, cfg).moved == 1
-    assert data_files(cfg.silver_root) == before
-    lake.set("customer", load_type="INCREMENTAL")
-    run(lake, "customer", load("customer").limit(5), DAY_2)
-    assert read_gold(spark, cfg, "customer").filter("day = '02'").isEmpty()
-    publish_ready(spark, cfg)
-    assert read_gold(spark, cfg, "customer").filter("day = '02'").count() == 5
-
-
 def test_readers_of_an_old_publication_are_not_disturbed(spark, lake, load):
     ready_tables(lake, load, "customer")
     publish_ready(spark, lake.cfg)
@@ -326,15 +315,15 @@ def test_half_written_copies_are_replaced(spark, lake, load):
 
 def test_reset_leaves_tables_that_moved_meanwhile(spark, lake, load, monkeypatch):
     ready_tables(lake, load, "nation", "region")
-    real = publish_module.copy_snapshot
+    real = publish_module.stage_gold
 
-    def slow(spark, source_root, *args):
-        if source_root.endswith("region"):
+    def slow(spark, cfg, row):
+        if row["table_name"] == "region":
             lake.set("region", process_number="00")
             lake.set("region", process_number="01")
-        return real(spark, source_root, *args)
+        return real(spark, cfg, row)
 
-    monkeypatch.setattr(publish_module, "copy_snapshot", slow)
+    monkeypatch.setattr(publish_module, "stage_gold", slow)
     assert publish_ready(spark, lake.cfg).moved == 1
     assert (lake.status("nation"), lake.status("region")) == ("00", "01")
 
@@ -375,3 +364,98 @@ def test_jobs_leave_no_scratch_files(spark, lake):
     lake.set("squares", process_number="00")
     run(lake, "squares", spark.range(2, 8), DAY_2, dedupe_order=["id"])
     assert set(os.listdir(root)) == before
+
+
+# ---- runs that stop, and what a run costs --------------------------------------------
+
+
+@pytest.mark.parametrize("stop", ["before apply", "in apply", "before the status moves"])
+def test_an_upsert_that_stops_is_finished_by_the_next_run(spark, lake, monkeypatch, stop):
+    """Rows with a NULL key are inserted by every merge, so folding a day twice would show."""
+    keyed = lambda df: df.select(F.when(F.col("id") % 4 != 0, F.col("id")).alias("k"), "id")
+    lake.create(("squares", "INCREMENTAL", None, None, "k", "00"))
+    run(lake, "squares", keyed(spark.range(8)), DAY_1)
+    lake.set("squares", process_number="00")
+    ingest(spark, lake.showing(squares=keyed(spark.range(4, 12))), "squares", DAY_2)
+    real = curate_module.apply
+
+    def stopped(spark, staged, root, schema):
+        if stop == "in apply":
+            read_table(spark, staged.path, schema).write.mode("overwrite").option(
+                "partitionOverwriteMode", "dynamic"
+            ).partitionBy("year", "month", "day").parquet(root)
+        elif stop != "before apply":
+            real(spark, staged, root, schema)
+        raise OSError("driver gone")
+
+    with monkeypatch.context() as patch:
+        patch.setattr(curate_module, "apply", stopped)
+        with pytest.raises(OSError, match="driver gone"):
+            curate(spark, lake.cfg, "squares", DAY_2)
+    assert lake.status("squares") == "01"
+    assert curate(spark, lake.cfg, "squares", DAY_2).moved == 1
+    got = rows(read_silver(spark, lake.cfg, "squares"), "id", "k", "day")
+    kept = [(0, None, "01"), (1, 1, "01"), (2, 2, "01"), (3, 3, "01"), (4, None, "01")]
+    new = [(i, i if i % 4 else None, "02") for i in range(4, 12)]
+    assert got == sorted(kept + new)
+    assert lake.state.lookup("squares")["pending"] is None
+    assert os.listdir(lake.cfg.staging_root) == []
+
+
+def test_a_later_day_finishes_the_day_before_first(spark, lake, monkeypatch):
+    lake.create(("squares", "INCREMENTAL", None, None, "id", "00"))
+    run(lake, "squares", spark.range(4), DAY_1)
+
+    def stopped(*args):
+        raise OSError("driver gone")
+
+    ingest(spark, lake.showing(squares=spark.range(2, 6)), "squares", DAY_2)
+    with monkeypatch.context() as patch:
+        patch.setattr(curate_module, "apply", stopped)
+        with pytest.raises(OSError):
+            curate(spark, lake.cfg, "squares", DAY_2)
+    run(lake, "squares", spark.range(5, 8), datetime(2026, 1, 3))
+    silver = rows(read_silver(spark, lake.cfg, "squares"), "id", "day")
+    assert silver == [(0, "01"), (1, "01"), (2, "02"), (3, "02"), (4, "02"), (5, "03"), (6, "03"), (7, "03")]
+
+
+def test_a_daily_run_takes_few_jobs(spark, lake, load):
+    events = load("events")
+    lake.create(EVENTS)
+    run(lake, "events", events, DAY_1)
+    publish_ready(spark, lake.cfg)
+    lake.set("events", ingest_column="2024-01-10 00:00:00")
+    context = spark.sparkContext
+    context.setJobGroup("daily run", "ingest, curate and publish one table")
+    try:
+        run(lake, "events", events, DAY_2)
+        publish_ready(spark, lake.cfg)
+    finally:
+        context.setLocalProperty("spark.jobGroup.id", None)
+    assert len(context.statusTracker().getJobIdsForGroup("daily run")) <= 25
+
+
+def test_landed_schemas_are_remembered(spark, lake, monkeypatch):
+    """No file is opened to learn a schema, neither for a day nor for all of them."""
+
+    def opened(*args):
+        raise AssertionError("files are opened")
+
+    monkeypatch.setattr(bronze_module, "landed_schema", opened)
+    for table, load_type in (("a", "INCREMENTAL"), ("b", "FULL")):
+        control = spark.createDataFrame([(table, load_type, None, None, "id", "00")], CONTROL_SCHEMA)
+        lake.state.register(control) if table == "b" else lake.state.create(control)
+        run(lake, table, spark.range(3), DAY_1)
+        run(lake, table, spark.range(2, 5), DAY_2)
+        curate(spark, lake.cfg, table, DAY_2)
+        curate(spark, lake.cfg, table, datetime(2026, 1, 9))
+        days = {"a": [(0, "01"), (1, "01"), (2, "02"), (3, "02"), (4, "02")]}
+        days["b"] = [(0, "01"), (1, "01"), (2, "01"), (2, "02"), (3, "02"), (4, "02")]
+        assert rows(read_silver(spark, lake.cfg, table), "id", "day") == days[table]
+
+
+def test_a_column_that_a_day_lacks_is_refused(spark, lake):
+    lake.create(("squares", "INCREMENTAL", None, None, "id", "00"))
+    run(lake, "squares", spark.range(4).withColumn("extra", F.lit(1)), DAY_1)
+    with pytest.raises(ValueError, match="missing .*extra"):
+        run(lake, "squares", spark.range(4), DAY_2)

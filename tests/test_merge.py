@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+from datetime import datetime
+
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from tests.conftest import DAY_1, DAY_2, data_files, plan, rows
-from tidemark.sinks import silver
 from tidemark.operators.merge import (
     MergeConflict,
     check_single_match,
@@ -19,13 +20,15 @@ from tidemark.operators.merge import (
     upsert,
 )
 from tidemark.operators.rows import dedupe_latest, enrich
-from tidemark.sinks.silver import append_silver, create_silver, merge_silver, overwrite_partitions
-from tidemark.sinks.versions import (
-    Snapshot,
-    copy_snapshot,
-    load_snapshot,
-    read_snapshot,
-    save_snapshot,
+from tidemark.sinks.silver import (
+    append_silver,
+    apply,
+    create_silver,
+    merge_silver,
+    overwrite_partitions,
+    read_table,
+    replace_silver,
+    stage_merge,
 )
 
 SCHEMA = "a int, b string, v int"
@@ -80,19 +83,19 @@ def test_upsert_is_merge(spark, target, source, keys):
     keys=st.sampled_from([["a"], ["a", "b"]]),
 )
 def test_merge_into_folders_is_merge(spark, tmp_path_factory, target, source, keys):
-    """The same through version folders, partitioned by the value column."""
+    """The same through folders, partitioned by the value column."""
     root = str(tmp_path_factory.mktemp("silver"))
     part = (F.col("v") % 3).cast("string").alias("p")
     old = spark.createDataFrame(target, SCHEMA).select("*", part)
     new = spark.createDataFrame(source, SCHEMA).select("*", part)
-    table = create_silver(old, root, ["p"])
+    schema = create_silver(old, root, ["p"])
     expected = merge_model(target, source, len(keys))
     if expected is None:
         with pytest.raises(MergeConflict):
-            merge_silver(table, new, root, keys)
+            merge_silver(new, root, schema, keys, ["p"])
         return
-    merged = merge_silver(table, new, root, keys)
-    got = [tuple(r) for r in read_snapshot(spark, root, merged).collect()]
+    merge_silver(new, root, schema, keys, ["p"])
+    got = [tuple(r) for r in read_table(spark, root, schema).collect()]
     assert as_sorted(got) == as_sorted([(*t, str(t[2] % 3)) for t in expected])
 
 
@@ -174,59 +177,73 @@ def test_dedupe_keeps_rows_with_a_null_key(spark):
     ]
 
 
-def test_merge_rewrites_only_files_with_a_match(spark, tmp_path):
+def test_merge_rewrites_only_partitions_with_a_match(spark, tmp_path):
     root = str(tmp_path)
     days = spark.range(0, 32, 1, 4).withColumn("day", (F.col("id") % 2).cast("string"))
-    table = create_silver(days.withColumn("tag", F.lit("old")), root, ["day"])
-    assert [(f.partition, f.live) for f in table.folders] == [("day=0", 4), ("day=1", 4)]
+    schema = create_silver(days.withColumn("tag", F.lit("old")), root, ["day"])
     before = data_files(root)
     batch = spark.createDataFrame([(1, "9", "new"), (100, "9", "new")], "id long, day string, tag string")
-    merged = merge_silver(table, batch, root, ["id"])
-
-    kept = [f for f in merged.folders if f.path in {g.path for g in table.folders}]
-    assert [(f.partition, f.live, len(f.files)) for f in kept] == [
-        ("day=0", 4, 0),
-        ("day=1", 3, 3),
-    ]
-    rewritten = [f for f in merged.folders if f not in kept]
-    assert [(f.partition, f.live) for f in rewritten] == [("day=1", 1), ("day=9", 1)]
-    assert before.items() <= data_files(root).items()
-    got = read_snapshot(spark, root, merged)
+    merge_silver(batch, root, schema, ["id"], ["day"])
+    after = data_files(root)
+    kept = {f for f in before if f in after}
+    assert kept == {f for f in before if f.startswith("day=0")} and len(kept) == 4
+    got = read_table(spark, root, schema)
     assert got.count() == 33
     assert rows(got.filter("tag = 'new'"), "id", "day") == [(1, "9"), (100, "9")]
-    assert read_snapshot(spark, root, table).filter("tag = 'new'").isEmpty()
 
 
-def test_dropped_files_are_pruned_and_not_opened(spark, tmp_path):
+def test_rows_that_are_there_already_stay_in_the_batchs_partition(spark, tmp_path):
     root = str(tmp_path)
-    table = create_silver(enrich(spark.range(0, 40, 1, 4), DAY_1), root)
-    table = merge_silver(table, enrich(spark.range(5), DAY_2), root, ["id"])
-    (old,) = [f for f in table.folders if f.files]
-    (gone,) = [f for f in (tmp_path / old.path).glob("*.parquet") if f.name not in old.files]
-    gone.write_bytes(b"not parquet any more")
-    assert rows(read_snapshot(spark, root, table), "id") == [(i,) for i in range(40)]
+    schema = create_silver(enrich(spark.range(3), DAY_1), root)
+    append_silver(enrich(spark.range(10, 13), DAY_2), root, schema)
+    merge_silver(enrich(spark.range(2, 5), DAY_2), root, schema, ["id"])
+    assert rows(read_table(spark, root, schema), "id", "day") == [
+        *((i, "01") for i in (0, 1)),
+        *((i, "02") for i in (2, 3, 4, 10, 11, 12)),
+    ]
 
 
-def test_colliding_file_ids_only_add_to_the_rewrite(spark, tmp_path, monkeypatch):
+def test_partitions_are_replaced_while_they_are_read(spark, tmp_path):
     root = str(tmp_path)
-    table = create_silver(enrich(spark.range(0, 40, 1, 4), DAY_1), root)
-    table = merge_silver(table, enrich(spark.range(5), DAY_2), root, ["id"])
-    real = silver.snapshot_files
-    same = lambda *args: real(*args).withColumn("file_id", F.lit(0).cast("long"))
-    monkeypatch.setattr(silver, "snapshot_files", same)
-    reads = silver.read_snapshot
-    monkeypatch.setattr(
-        silver,
-        "read_snapshot",
-        lambda *a, **k: reads(*a, **k).withColumn("_file_id", F.lit(0).cast("long"))
-        if "extra" in k
-        else reads(*a, **k),
-    )
-    merged = merge_silver(table, enrich(spark.range(30, 31), DAY_2), root, ["id"])
-    got = read_snapshot(spark, root, merged)
-    assert rows(got, "id") == [(i,) for i in range(40)]
-    assert got.filter("day = '02'").count() == 6
-    assert not {f.path for f in table.folders} & {f.path for f in merged.folders}
+    schema = create_silver(spark.range(30).selectExpr("id", "0 v", "cast(id % 3 as string) p"), root, ["p"])
+    for step in range(1, 4):
+        part = read_table(spark, root, schema).filter(F.col("p") != "1").withColumn("v", F.col("v") + 1)
+        overwrite_partitions(part, root, schema, ["p"])
+        got = read_table(spark, root, schema).groupBy("p", "v").count()
+        assert rows(got) == [("0", step, 10), ("1", 0, 10), ("2", step, 10)]
+
+
+def test_a_merge_stopped_between_its_writes_can_be_repeated(spark, tmp_path, monkeypatch):
+    """Applying stops after the new partitions, before, or in between; done again, the result is the same."""
+    batch = enrich(spark.range(2, 8), DAY_2)
+    expected = [(0, "01"), (1, "01"), *((i, "02") for i in range(2, 8))]
+
+    def fresh(name):
+        root = str(tmp_path / name)
+        schema = create_silver(enrich(spark.range(3), DAY_1), root)
+        append_silver(enrich(spark.range(4, 5), datetime(2026, 1, 5)), root, schema)
+        return root, schema, stage_merge(batch, root, schema, ["id"], str(tmp_path / f"{name}-staged"))
+
+    root, schema, staged = fresh("once")
+    assert len(staged.gone) == 1 and "day=05" in staged.gone[0]
+    for _ in range(3):
+        apply(spark, staged, root, schema)
+        assert rows(read_table(spark, root, schema), "id", "day") == expected
+
+    root, schema, staged = fresh("some")
+    some = read_table(spark, staged.path, schema).filter("day = '02'")
+    some.write.mode("overwrite").partitionBy("year", "month", "day").option("partitionOverwriteMode", "dynamic").parquet(root)
+    assert rows(read_table(spark, root, schema), "id", "day") != expected
+    apply(spark, staged, root, schema)
+    assert rows(read_table(spark, root, schema), "id", "day") == expected
+
+
+def test_a_table_can_be_replaced(spark, tmp_path):
+    root = str(tmp_path)
+    schema = create_silver(enrich(spark.range(3), DAY_1), root)
+    append_silver(enrich(spark.range(3), DAY_2), root, schema)
+    replace_silver(enrich(spark.range(7), DAY_2), root, schema)
+    assert rows(read_table(spark, root, schema), "id", "day") == [(i, "02") for i in range(7)]
 
 
 batch_rows = st.lists(st.tuples(st.integers(0, 30), st.integers(0, 2)), max_size=8)
@@ -234,80 +251,68 @@ batch_rows = st.lists(st.tuples(st.integers(0, 30), st.integers(0, 2)), max_size
 
 @settings(max_examples=3, deadline=None)
 @given(first=batch_rows, later=st.lists(batch_rows, min_size=3, max_size=3))
-def test_many_merges_and_publications(spark, tmp_path_factory, first, later):
-    """A table and its copy follow a plain dictionary through merge after merge."""
-    root, copy_root = (str(tmp_path_factory.mktemp(n)) for n in ("silver", "gold"))
+def test_many_merges(spark, tmp_path_factory, first, later):
+    """A table follows a plain dictionary through merge after merge."""
+    root = str(tmp_path_factory.mktemp("silver"))
 
     def frame(pairs, step):
         data = [(k, str(p), step) for k, p in pairs]
         return spark.createDataFrame(data, "k int, p string, step int").repartition(3, "k")
 
     model = {k: (k, str(p), 0) for k, p in dict(first).items()}
-    table = create_silver(frame(dict(first).items(), 0), root, ["p"])
-    copy = copy_snapshot(spark, root, copy_root, table)
+    schema = create_silver(frame(dict(first).items(), 0), root, ["p"])
     for step, pairs in enumerate(later, 1):
         unique = dict(pairs)
-        table = merge_silver(table, frame(unique.items(), step), root, ["k"])
+        merge_silver(frame(unique.items(), step), root, schema, ["k"], ["p"])
         model.update({k: (k, str(p), step) for k, p in unique.items()})
-        copy = copy_snapshot(spark, root, copy_root, table, copy)
-        expected = sorted(model.values())
-        table = Snapshot.from_json(table.to_json())
-        order = ["k", "p", "step"]
-        assert rows(read_snapshot(spark, root, table), *order) == expected
-        assert rows(read_snapshot(spark, copy_root, copy), *order) == expected
-        assert all(f.live > 0 for f in table.folders)
+        assert rows(read_table(spark, root, schema), "k", "p", "step") == sorted(model.values())
 
 
-def test_a_folder_that_loses_every_row_drops_out(spark, tmp_path):
+def test_a_partition_that_loses_every_row_is_dropped(spark, tmp_path):
     root = str(tmp_path)
-    table = create_silver(enrich(spark.range(3), DAY_1), root)
-    merged = merge_silver(table, enrich(spark.range(3), DAY_2), root, ["id"])
-    assert [f.partition for f in merged.folders] == ["year=2026/month=01/day=02"]
-    assert read_snapshot(spark, root, merged).count() == 3
+    schema = create_silver(enrich(spark.range(3), DAY_1), root)
+    merge_silver(enrich(spark.range(3), DAY_2), root, schema, ["id"])
+    assert all("day=02" in f for f in data_files(root))
+    assert read_table(spark, root, schema).count() == 3
 
 
 def test_merge_into_and_from_nothing(spark, tmp_path):
     root = str(tmp_path)
-    table = create_silver(enrich(spark.range(0), DAY_1), root)
-    assert table.folders == ()
-    table = merge_silver(table, enrich(spark.range(2), DAY_1), root, ["id"])
-    again = merge_silver(table, enrich(spark.range(0), DAY_2), root, ["id"])
-    assert again == table
+    schema = create_silver(enrich(spark.range(0), DAY_1), root)
+    assert read_table(spark, root, schema).isEmpty()
+    merge_silver(enrich(spark.range(2), DAY_1), root, schema, ["id"])
+    before = data_files(root)
+    merge_silver(enrich(spark.range(0), DAY_2), root, schema, ["id"])
+    assert data_files(root) == before
+    assert read_table(spark, root, schema).count() == 2
 
 
 def test_conflict_leaves_the_table_as_it_was(spark, tmp_path):
     root = str(tmp_path)
-    table = create_silver(enrich(spark.range(3), DAY_1), root)
+    schema = create_silver(enrich(spark.range(3), DAY_1), root)
+    before = data_files(root)
     twice = enrich(spark.range(1).union(spark.range(1)), DAY_2)
     with pytest.raises(MergeConflict, match="id=0"):
-        merge_silver(table, twice, root, ["id"])
-    assert read_snapshot(spark, root, table).count() == 3
+        merge_silver(twice, root, schema, ["id"])
+    assert data_files(root) == before
 
 
 def test_appends_share_a_partition(spark, tmp_path):
     root = str(tmp_path)
-    table = create_silver(enrich(spark.range(3), DAY_1), root)
-    table = append_silver(table, enrich(spark.range(2), DAY_1), root)
-    assert len(table.folders) == 2
-    assert read_snapshot(spark, root, table).count() == 5
+    schema = create_silver(enrich(spark.range(3), DAY_1), root)
+    append_silver(enrich(spark.range(2), DAY_1), root, schema)
+    assert read_table(spark, root, schema).count() == 5
 
 
-def test_snapshot_reads_prune_and_round_trip(spark, tmp_path):
+def test_reads_prune(spark, tmp_path):
     root = str(tmp_path)
-    table = create_silver(enrich(spark.range(3), DAY_1), root)
-    table = append_silver(table, enrich(spark.range(2), DAY_2), root)
-    assert Snapshot.from_json(table.to_json()) == table
-    assert Snapshot.from_json(None) is None
-    day = read_snapshot(spark, root, table).filter(F.col("day") == "02")
+    schema = create_silver(enrich(spark.range(3), DAY_1), root)
+    append_silver(enrich(spark.range(2), DAY_2), root, schema)
+    day = read_table(spark, root, schema).filter(F.col("day") == "02")
     assert day.count() == 2
     assert "PartitionFilters: [isnotnull(day" in plan(day)
 
 
-def test_reserved_column_names(spark, tmp_path):
-    with pytest.raises(ValueError, match="reserved"):
-        create_silver(enrich(spark.range(1).withColumn("_file_id", F.lit(1)), DAY_1), str(tmp_path))
-
-
 @pytest.mark.parametrize(
     ("kind", "values"),
     [
@@ -319,7 +324,7 @@ def test_reserved_column_names(spark, tmp_path):
     ],
 )
 def test_partition_values_of_any_kind(spark, tmp_path, kind, values):
-    """Folders are taken as Spark named them, for all writes and for a copy."""
+    """Folders are taken as Spark named them, for all writes."""
     root = str(tmp_path / "silver")
 
     def frame(first, tag):
@@ -327,23 +332,26 @@ def test_partition_values_of_any_kind(spark, tmp_path, kind, values):
         df = spark.createDataFrame(data, "id int, p string, tag string")
         return df.withColumn("p", F.col("p").cast(kind))
 
-    def shown(table, at=root):
-        return {(r["id"], str(r["p"]), r["tag"]) for r in read_snapshot(spark, at, table).collect()}
+    def shown():
+        return {(r["id"], str(r["p"]), r["tag"]) for r in read_table(spark, root, schema).collect()}
 
     def expected(first, tag):
         return {(r["id"], str(r["p"]), r["tag"]) for r in frame(first, tag).collect()}
 
-    table = create_silver(frame(0, "a"), root, ["p"])
-    assert shown(table) == expected(0, "a")
-    table = append_silver(table, frame(100, "b"), root)
-    table = merge_silver(table, frame(0, "c").limit(1), root, ["id"])
+    schema = create_silver(frame(0, "a"), root, ["p"])
+    assert shown() == expected(0, "a")
+    append_silver(frame(100, "b"), root, schema, ["p"])
+    merge_silver(frame(0, "c").limit(1), root, schema, ["id"], ["p"])
     one = {x for x in expected(0, "c") if x[0] == 0}
     rest = {x for x in expected(0, "a") if x[0] != 0}
-    assert shown(table) == one | rest | expected(100, "b")
-    copy = copy_snapshot(spark, root, str(tmp_path / "gold"), table)
-    assert shown(copy, str(tmp_path / "gold")) == shown(table)
-    table = overwrite_partitions(table, frame(200, "d"), root)
-    assert shown(table) == expected(200, "d")
+    assert shown() == one | rest | expected(100, "b")
+    overwrite_partitions(frame(200, "d"), root, schema, ["p"])
+    assert shown() == expected(200, "d")
+    # All rows go to the first partition, so that the others are dropped by name.
+    there = frame(200, "e").withColumn("p", F.lit(values[0]).cast(kind))
+    merge_silver(there, root, schema, ["id"], ["p"])
+    assert {p for _, p, _ in shown()} == {str(frame(0, "a").first()["p"])}
+    assert len({f.split("/")[0] for f in data_files(root)}) == 1
 
 
 def test_upsert_fails_on_a_key_that_matches_twice(spark):
@@ -358,33 +366,8 @@ def test_keys_may_be_repeated_and_in_any_case(spark, tmp_path):
     new = spark.createDataFrame([(2, "z", 1)], "A int, B string, V int")
     assert rows(upsert(old, new, ["a", "A", "a"])) == [(1, "x", 0), (2, "z", 1)]
     part = F.lit("1").alias("p")
-    table = create_silver(old.select("*", part), str(tmp_path), ["p"])
-    merged = merge_silver(table, new.select("*", part), str(tmp_path), ["A", "a"])
-    assert rows(read_snapshot(spark, str(tmp_path), merged), "a", "b", "v") == [(1, "x", 0), (2, "z", 1)]
+    schema = create_silver(old.select("*", part), str(tmp_path), ["p"])
+    merge_silver(new.select("*", part), str(tmp_path), schema, ["A", "a"], ["p"])
+    assert rows(read_table(spark, str(tmp_path), schema), "a", "b", "v") == [(1, "x", 0), (2, "z", 1)]
     with pytest.raises(ValueError, match="does not have"):
-        merge_silver(table, new.select("*", part), str(tmp_path), ["nope"])
-
-
-def test_a_merge_reads_its_batch_four_times_at_most(spark, tmp_path, monkeypatch):
-    root, source = str(tmp_path / "t"), str(tmp_path / "batch")
-    table = create_silver(enrich(spark.range(0, 40, 1, 4), DAY_1), root)
-    enrich(spark.range(30, 50), DAY_2).write.parquet(source)
-    scans = []
-    for name in ("write_scratch", "write_version"):
-        real = getattr(silver, name)
-
-        def counted(df, *args, real=real):
-            scans.append(plan(df).count(f"Location: InMemoryFileIndex [file:{source}"))
-            return real(df, *args)
-
-        monkeypatch.setattr(silver, name, counted)
-    merge_silver(table, spark.read.parquet(source), root, ["id"])
-    assert 1 <= sum(scans) <= 4
-
-
-def test_snapshots_are_files_of_their_own(spark, tmp_path):
-    root = str(tmp_path)
-    table = create_silver(enrich(spark.range(3), DAY_1), root)
-    path = save_snapshot(spark, root, table)
-    assert load_snapshot(spark, path) == table
-    assert load_snapshot(spark, None) is None
+        merge_silver(new.select("*", part), str(tmp_path), schema, ["nope"], ["p"])

@@ -160,4 +160,4 @@ def test_every_ready_table_is_staged(spark, lake, load, jdbc_writes):
         ingest(spark, cfg, t, DAY_1)
         curate(spark, cfg, t, DAY_1)
     assert stage_ready(spark, cfg, "jdbc:x") == {t: f"stg_{t}" for t in tables}
-    assert lake.state.ready() == tables
+    assert [r["table_name"] for r in lake.state.ready()] == tables

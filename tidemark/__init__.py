@@ -4,11 +4,11 @@ from tidemark.config import LakeConfig
 from tidemark.plans.curate import curate
 from tidemark.plans.ingest import ingest
 from tidemark.plans.publish import publish_ready, read_gold, read_silver
-from tidemark.state import StateLog
+from tidemark.state import ControlTable
 
 __all__ = [
     "LakeConfig",
-    "StateLog",
+    "ControlTable",
     "curate",
     "ingest",
     "publish_ready",

@@ -13,18 +13,16 @@ def _folder(root: str) -> str:
 
 @dataclass(frozen=True)
 class LakeConfig:
-    """Roots of the three layers and of the state log, plus the table source.
+    """Roots of the three layers and of the control table, plus the table source.
 
-    Without a ``gold_root``, publishing makes Silver's own files visible and copies
-    nothing; they never change once written. ``silver_catalog`` (for example ``"lake.sales"``)
-    puts Silver into tables of a Spark catalog with row-level writes instead of versioned
-    Parquet directories, created with ``table_properties`` (for example
+    ``silver_catalog`` (for example ``"lake.sales"``) puts Silver into tables of a Spark catalog
+    with row-level writes instead of plain Parquet folders, created with ``table_properties`` (for example
     ``{"format-version": "2"}``).
     """
 
     bronze_root: str
     silver_root: str
-    gold_root: str | None
+    gold_root: str
     state_root: str
     source: Any = field(default=None, repr=False)
     silver_catalog: str | None = None
@@ -45,14 +43,13 @@ class LakeConfig:
         return f"{_folder(self.silver_root)}/{table}"
 
     def gold_path(self, table: str) -> str:
-        if self.gold_root is None:
-            return self.silver_path(table)
         return f"{_folder(self.gold_root)}/{table}"
 
     @property
     def state_path(self) -> str:
-        return f"{_folder(self.state_root)}/log"
+        return f"{_folder(self.state_root)}/control"
 
     @property
-    def snapshot_root(self) -> str:
-        return f"{_folder(self.state_root)}/snapshots"
+    def staging_root(self) -> str:
+        """Where changes to Silver are written before they are applied."""
+        return f"{_folder(self.silver_root)}/_staged"

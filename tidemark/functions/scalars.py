@@ -84,3 +84,10 @@ def all_nullable(dtype: T.DataType) -> T.DataType:
     if isinstance(dtype, T.MapType):
         return T.MapType(all_nullable(dtype.keyType), all_nullable(dtype.valueType))
     return dtype
+
+
+def merged_schema(first: T.StructType, second: T.StructType) -> T.StructType:
+    """The columns of both, as files store them; a name in another case is the same column."""
+    known = {f.lower() for f in first.names}
+    more = [f for f in second.fields if f.name.lower() not in known]
+    return all_nullable(T.StructType([*first.fields, *more]))

@@ -71,17 +71,27 @@ def key_range(source: DataFrame, keys: Sequence[str]) -> Column:
     It holds the lowest and highest source key as literals, so a scan skips the row
     groups outside them; new batches mostly carry recent keys. Runs one small query.
     """
-    types = {f.name: f.dataType for f in source.schema if f.name in keys}
-    bounded = [k for k in keys if isinstance(types[k], EXACT_AS_TEXT)]
-    ends = [end(name(k)).cast("string") for k in bounded for end in (F.min, F.max)]
-    if not bounded:
-        return F.lit(True)
-    found = source.filter(all_set(keys)).agg(*ends).first()
-    if found[0] is None:
+    ends = range_ends(source.schema, keys)
+    found = source.filter(all_set(keys)).agg(*ends).first() if ends else ()
+    return range_filter(source.schema, keys, found)
+
+
+def _bounded(schema: T.StructType, keys: Sequence[str]) -> list[str]:
+    return [k for k in keys if isinstance(schema[k].dataType, EXACT_AS_TEXT)]
+
+
+def range_ends(schema: T.StructType, keys: Sequence[str]) -> list[Column]:
+    """Aggregates for the lowest and highest value of each key column that has a range."""
+    return [end(name(k)).cast("string") for k in _bounded(schema, keys) for end in (F.min, F.max)]
+
+
+def range_filter(schema: T.StructType, keys: Sequence[str], ends: Sequence[str | None]) -> Column:
+    """The filter that values of :func:`range_ends` stand for."""
+    if None in ends:
         return F.lit(False)
     inside = F.lit(True)
-    for i, key in enumerate(bounded):
-        low, high = (F.lit(text).cast(types[key]) for text in found[2 * i : 2 * i + 2])
+    for i, key in enumerate(_bounded(schema, keys)):
+        low, high = (F.lit(text).cast(schema[key].dataType) for text in ends[2 * i : 2 * i + 2])
         inside = inside & name(key).between(low, high)
     return inside
 

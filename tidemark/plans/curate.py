@@ -2,29 +2,36 @@
 
 from __future__ import annotations
 
+import json
+import uuid
 from collections.abc import Sequence
+from dataclasses import asdict
 from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import types as T
 
 from tidemark.config import LakeConfig
 from tidemark.functions.scalars import resolve_keys
+from tidemark.functions.stamps import day_folder
 from tidemark.operators.control import CURATED, LANDED, advance_status
-from tidemark.operators.merge import conform
 from tidemark.operators.rows import dedupe_latest
+from tidemark.plans.ingest import Landed
 from tidemark.plans.results import DONE, RunResult
-from tidemark.session import remove_scratch, write_scratch
+from tidemark.session import remove, remove_scratch, write_scratch
 from tidemark.sinks.catalog import CatalogTable
 from tidemark.sinks.silver import (
+    Staged,
     append_silver,
+    apply,
     create_silver,
-    merge_silver,
     overwrite_partitions,
+    replace_silver,
+    stage_merge,
 )
-from tidemark.sinks.versions import Snapshot, load_snapshot, save_snapshot
 from tidemark.sources.bronze import landed_days, read_bronze
 from tidemark.sources.extract import FULL, checked_load_type
-from tidemark.state import StateLog
+from tidemark.state import ControlTable
 
 
 def curate(
@@ -42,64 +49,86 @@ def curate(
     found; days that Silver already holds unchanged are left as they are, with the same
     result. ``full_mode="replace"`` takes the run day alone as the whole table.
     ``dedupe_order`` keeps the first row per key of a batch that delivers keys twice.
+
+    An upsert is staged, noted in the control table, and then applied. A run that finds such a note finishes
+    that upsert first; if it was this day's, that is all there is to do.
     """
     if full_mode not in ("partitions", "replace"):
         raise ValueError(f"unknown full_mode: {full_mode!r}")
-    state = StateLog(spark, cfg.state_path)
+    state = ControlTable(spark, cfg.state_path)
     control = state.lookup(table)
     full = checked_load_type(control["load_type"]) == FULL
     keys = [] if full else control["keys"]
+    run = run_ts.isoformat()
+
+    def done(**changes: str | None) -> RunResult:
+        moved = state.commit(
+            [table],
+            lambda df: advance_status(df, table, LANDED, CURATED),
+            **{column: {table: value} for column, value in changes.items()},
+        )
+        return RunResult(DONE, (table,), moved)
+
+    if control["pending"]:
+        unfinished = json.loads(control["pending"])
+        _apply(spark, cfg, table, control["silver"], unfinished)
+        this_run = unfinished["run"] == run
+        result = done(pending=None, folded=None) if this_run else None
+        if not this_run:
+            state.commit([table], pending={table: None}, folded={table: None})
+            control = state.lookup(table)
+        remove(spark, unfinished["path"])
+        if result:
+            return result
 
     every_day = full and full_mode == "partitions"
     bronze_path = cfg.bronze_path(table)
-    present = load_snapshot(spark, control["silver"])
+    folded = json.loads(control["folded"] or "{}")
     landed, days = {}, None
     if every_day and not cfg.silver_catalog:
         landed = landed_days(spark, bronze_path)
-        folded = present.sources() if present else {}
         days = [day for day in landed if folded.get(day) != landed[day]]
-    batch = read_bronze(spark, bronze_path, run_ts=None if every_day else run_ts, days=days)
+    known = Landed.of(control["landed"])
+    schema = known.schema(None if every_day else day_folder(run_ts))
+    batch = read_bronze(spark, bronze_path, schema, None if every_day else run_ts, days, known.every)
     keys = resolve_keys(keys, batch.columns)
     scratch: list[DataFrame] = []
     if keys and dedupe_order:
         # Written once, because a merge looks at its batch several times.
         batch = write_scratch(dedupe_latest(batch, keys, dedupe_order), "deduped")
         scratch.append(batch)
-
-    replace = full and full_mode == "replace"
-    if cfg.silver_catalog:
-        _fold_into_catalog(spark, cfg, table, batch, keys, full, replace)
-        changes = {}
-    else:
+    try:
+        if cfg.silver_catalog:
+            _fold_into_catalog(spark, cfg, table, batch, keys, full, full_mode == "replace")
+            return done()
         root = cfg.silver_path(table)
-        new = _fold(present, batch, root, keys, full, replace, landed)
-        changes = {"silver": {table: save_snapshot(spark, cfg.snapshot_root, new)}}
+        if control["silver"] is None:
+            silver = create_silver(batch, root)
+            return done(silver=silver.json(), folded=json.dumps(landed) if every_day else None)
+        present = T.StructType.fromJson(json.loads(control["silver"]))
+        if every_day:
+            overwrite_partitions(batch, root, present, reads_table=False)
+            return done(folded=json.dumps(landed))
+        if full:
+            replace_silver(batch, root, present)
+        elif keys:
+            staging = f"{cfg.staging_root}/{table}-{uuid.uuid4().hex[:12]}"
+            pending = {**asdict(stage_merge(batch, root, present, keys, staging)), "run": run}
+            state.commit([table], pending={table: json.dumps(pending)})
+            _apply(spark, cfg, table, control["silver"], pending)
+            result = done(pending=None, folded=None)
+            remove(spark, staging)
+            return result
+        else:
+            append_silver(batch, root, present)
+        return done(folded=None)
+    finally:
+        remove_scratch(*scratch)
 
-    remove_scratch(*scratch)
-    moved = state.commit(
-        [table], lambda df: advance_status(df, table, LANDED, CURATED), **changes
-    )
-    return RunResult(DONE, (table,), moved)
 
-
-def _fold(
-    present: Snapshot | None,
-    batch: DataFrame,
-    root: str,
-    keys: list[str],
-    full: bool,
-    replace: bool,
-    landed: dict[str, str],
-) -> Snapshot:
-    if present is None:
-        return create_silver(batch, root, sources=landed)
-    if replace:
-        return create_silver(conform(batch, present.schema), root)
-    if full:
-        return overwrite_partitions(present, batch, root, landed)
-    if keys:
-        return merge_silver(present, batch, root, keys)
-    return append_silver(present, batch, root)
+def _apply(spark: SparkSession, cfg: LakeConfig, table: str, schema: str, pending: dict) -> None:
+    staged = Staged(pending["path"], tuple(pending["gone"]))
+    apply(spark, staged, cfg.silver_path(table), T.StructType.fromJson(json.loads(schema)))
 
 
 def _fold_into_catalog(

@@ -53,6 +53,35 @@ def delete(spark: SparkSession, path: str) -> None:
     place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
 
 
+def _place(spark: SparkSession, path: str):
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return place, place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    """Whether there is a file or folder, by its plain path."""
+    place, system = _place(spark, path)
+    return system.exists(place)
+
+
+def names_in(spark: SparkSession, path: str) -> list[str]:
+    """Names of what is in a folder; none if there is no such folder."""
+    place, system = _place(spark, path)
+    return [found.getPath().getName() for found in system.listStatus(place)] if system.exists(place) else []
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder by its plain path, if it is there."""
+    place, system = _place(spark, path)
+    system.delete(place, True)
+
+
+def rename(spark: SparkSession, old: str, new: str) -> None:
+    """Move a folder, by plain paths. If ``new`` is a folder already, ``old`` goes into it or stays."""
+    place, system = _place(spark, old)
+    system.rename(place, _place(spark, new)[0])
+
+
 def local_session(
     cpus: int | str = "*", name: str = "tidemark", conf: dict[str, str] | None = None
 ) -> SparkSession:

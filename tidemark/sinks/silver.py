@@ -1,102 +1,178 @@
-"""Changes to a Silver table kept in version folders. Each returns the new snapshot."""
+"""Changes to a curated table of plain Parquet, whole partitions at a time.
+
+Spark replaces partitions by dynamic overwrite. What is to replace partitions that it was read from is written
+aside first (:class:`Staged`) and read back, so that nothing is overwritten while it is read. Once staged, a change
+no longer depends on the table, and :func:`apply` may be repeated after any failure with the same result.
+"""
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
-from types import MappingProxyType
+from collections.abc import Sequence
+from dataclasses import dataclass
+from urllib.parse import unquote
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from tidemark.functions.scalars import names, resolve_keys
+from tidemark.functions.scalars import all_nullable, all_set, name, names, resolve_keys
 from tidemark.functions.stamps import DAY_COLUMNS
-from tidemark.operators.merge import (
-    check_hits,
-    conform,
-    counted_hits,
-    key_counts,
-    key_range,
-    upsert,
-)
-from tidemark.session import remove_scratch, write_scratch
-from tidemark.sinks.versions import (
-    FILE_ID,
-    Snapshot,
-    read_snapshot,
-    snapshot_files,
-    write_version,
-)
-from tidemark.sources.files import list_files
+from tidemark.operators.merge import N, MergeConflict, conform, key_counts, range_ends, range_filter, upsert
+from tidemark.session import delete, exists, remove, remove_scratch, scratch_path, write_scratch
+from tidemark.sources.files import folder_marks, folder_of
+
+PARTITION, FOLDER = "_partition", "_folder"
+
+
+@dataclass(frozen=True)
+class Staged:
+    """New partitions in a folder of their own, and the table's folders that no row is left in."""
+
+    path: str
+    gone: tuple[str, ...] = ()
+
+
+def read_table(spark: SparkSession, root: str, schema: T.StructType) -> DataFrame:
+    """The table as it is now. Partition filters prune folders."""
+    return spark.read.schema(schema).parquet(root).select(*names(schema.names))
 
 
 def create_silver(
-    batch: DataFrame,
-    root: str,
-    partition_by: Sequence[str] = DAY_COLUMNS,
-    sources: Mapping[str, str] = MappingProxyType({}),
-) -> Snapshot:
-    """A table that is exactly this batch; its schema is fixed from here on."""
-    return write_version(batch, root, partition_by).with_sources(sources)
+    batch: DataFrame, root: str, partition_by: Sequence[str] = DAY_COLUMNS
+) -> T.StructType:
+    """A table that is exactly this batch; its schema, which is returned, is fixed from here on."""
+    batch.write.mode("overwrite").partitionBy(*partition_by).parquet(root)
+    return all_nullable(batch.schema)
 
 
-def append_silver(table: Snapshot, batch: DataFrame, root: str) -> Snapshot:
+def append_silver(
+    batch: DataFrame, root: str, schema: T.StructType, partition_by: Sequence[str] = DAY_COLUMNS
+) -> None:
     """Add the batch. Nothing that is there already is read or rewritten."""
-    new = write_version(conform(batch, table.schema), root, table.partition_by)
-    return table.with_folders([*table.folders, *new.folders])
+    conform(batch, schema).write.mode("append").partitionBy(*partition_by).parquet(root)
 
 
 def overwrite_partitions(
-    table: Snapshot,
     batch: DataFrame,
     root: str,
-    sources: Mapping[str, str] = MappingProxyType({}),
-) -> Snapshot:
-    """Replace the partitions that occur in the batch; the rest is kept as it lies."""
-    new = write_version(conform(batch, table.schema), root, table.partition_by)
-    new = new.with_sources(sources)
-    replaced = {folder.partition for folder in new.folders}
-    kept = [folder for folder in table.folders if folder.partition not in replaced]
-    return table.with_folders([*kept, *new.folders])
+    schema: T.StructType,
+    partition_by: Sequence[str] = DAY_COLUMNS,
+    *,
+    reads_table: bool = True,
+) -> None:
+    """Replace the partitions that occur in the batch; the rest is kept as it lies.
+
+    A batch that was not read from the table is written at once, others are staged.
+    """
+    batch = conform(batch, schema)
+    if not reads_table:
+        _overwrite(batch, root, partition_by)
+        return
+    staged = stage(batch, scratch_path(batch.sparkSession, "silver-partitions"), partition_by)
+    apply(batch.sparkSession, staged, root, schema, partition_by)
+    remove(batch.sparkSession, staged.path)
+
+
+def replace_silver(
+    batch: DataFrame, root: str, schema: T.StructType, partition_by: Sequence[str] = DAY_COLUMNS
+) -> None:
+    """The batch, not read from the table, becomes the whole table."""
+    spark = batch.sparkSession
+    before = folder_marks(spark, root)
+    _overwrite(conform(batch, schema), root, partition_by)
+    after = folder_marks(spark, root)
+    for folder in before:
+        if before[folder] == after.get(folder):
+            delete(spark, folder)
 
 
 def merge_silver(
-    table: Snapshot, batch: DataFrame, root: str, keys: Sequence[str]
-) -> Snapshot:
-    """Upsert the batch by key, rewriting only files that hold a matched row.
-
-    The batch's keys are counted once, into the shared scratch folder. One pass over the target
-    reads key columns alone, in those keys' range. Its hits, with the counts, tell which
-    files are to be rewritten, whether a key matches twice, and which batch rows are
-    inserts; all three need them, so they are written too. Updated rows move to the
-    partition of their new values. Keys are found in the table's spelling, each once.
+    batch: DataFrame, root: str, schema: T.StructType, keys: Sequence[str], partition_by: Sequence[str] = DAY_COLUMNS
+) -> None:
+    """Upsert the batch by key."""
+    spark = batch.sparkSession
+    staged = stage_merge(batch, root, schema, keys, scratch_path(spark, "silver-merge"), partition_by)
+    apply(spark, staged, root, schema, partition_by)
+    remove(spark, staged.path)
+
+
+def stage(batch: DataFrame, path: str, partition_by: Sequence[str]) -> Staged:
+    batch.write.mode("overwrite").partitionBy(*partition_by).parquet(path)
+    return Staged(path)
+
+
+def stage_merge(
+    batch: DataFrame,
+    root: str,
+    schema: T.StructType,
+    keys: Sequence[str],
+    path: str,
+    partition_by: Sequence[str] = DAY_COLUMNS,
+) -> Staged:
+    """The partitions as an upsert of the batch by key leaves them.
+
+    One pass over the table reads key columns alone, in the range of the batch's keys. Its hits, a fraction of the
+    batch's size, are written to the shared scratch folder; they tell which partitions have a matched row,
+    whether a key matches twice, and which batch rows are new. Those partitions and the ones that the batch's rows go
+    to are read in full, the others are not opened. Updated rows move to the partition of their new values.
+    Keys are found in the table's spelling. The driver holds a row per partition touched.
     """
     spark = batch.sparkSession
-    batch = conform(batch, table.schema)
-    keys = resolve_keys(keys, table.schema.names)
-    counts = write_scratch(key_counts(batch, keys), "merge-keys")
-    target = read_snapshot(spark, root, table, extra=[FILE_ID])
-    target = target.select(*names([*keys, FILE_ID])).filter(key_range(counts, keys))
-    # Hits are few and come from all tasks of the scan: gather them into few files.
-    hits = counted_hits(target, counts, keys).hint("rebalance", *names(keys))
-    hits = write_scratch(hits, "merge-hits")
-    check_hits(hits, keys)
-    # Ids might collide: that adds a file to the rewrite and changes nothing else.
-    ids = hits.select(F.col(FILE_ID).alias("file_id")).distinct()
-    files = snapshot_files(spark, root, table)
-    touched = [r["path"] for r in files.join(ids, "file_id", "left_semi").select("path").collect()]
-    # Of folders that lose files, the names of the others.
-    hit = {table.tail(path)[0] for path in touched}
-    present = [f"{root}/{p}" for f in table.folders if f.path in hit for p in f.paths]
-    beside = [r["path"] for r in list_files(spark, present).select("path").collect()]
-    old = read_snapshot(spark, root, table, only=touched)
-    rows = upsert(old, batch, keys, hits)
+    batch = conform(batch, schema)
+    keys = resolve_keys(keys, schema.names)
+    here = partition_text(partition_by).alias(PARTITION)
+    *ends, own = batch.agg(*range_ends(schema, keys), F.collect_set(here)).first()
+    table = spark.read.schema(schema).parquet(root)
+    near = table.select(*names(keys), here, folder_of(F.col("_metadata.file_path")).alias(FOLDER)).filter(
+        all_set(keys) & range_filter(schema, keys, ends)
+    )
+    hits = write_scratch(near.join(key_counts(batch, keys), list(keys)), "merge-hits")
+    folders = _matched(hits, keys)
+    old = read_table(spark, root, schema).filter(partition_text(partition_by).isin(list({*own, *folders})))
+    rows = upsert(old, batch, keys, hits.select(*names([*keys, N])))
     # Cluster by partition to avoid a file per task and day; hot days are split by size.
     # (Without adaptive execution Spark ignores the hint: then there is a file per task and day.)
     # The writer sorts by partition anyway; keys next make row groups skippable by key.
-    rows = rows.hint("rebalance", *names(table.partition_by)).sortWithinPartitions(
-        *names([*table.partition_by, *keys])
+    rows = rows.hint("rebalance", *names(partition_by)).sortWithinPartitions(*names([*partition_by, *keys]))
+    stage(rows, path, partition_by)
+    remove_scratch(hits)
+    # Spark names a partition's folder alike everywhere, and encodes the paths of files.
+    names_of = {folder: unquote("/".join(folder.split("/")[-len(partition_by) :])) for folder in folders.values()}
+    return Staged(path, tuple(f for f, inner in names_of.items() if not exists(spark, f"{path}/{inner}")))
+
+
+def _matched(hits: DataFrame, keys: Sequence[str]) -> dict[str, str]:
+    """Partitions with a matched row, and their folders. A key that matches and is twice in the batch is an error."""
+    found = hits.groupBy(PARTITION).agg(
+        F.max(FOLDER).alias(FOLDER), F.max(N).alias(N), F.max_by(F.struct(*names(keys)), name(N)).alias("key")
     )
-    new = write_version(rows, root, table.partition_by)
-    remove_scratch(counts, hits)
-    kept = table.without_files(touched, beside)
-    return table.with_folders([*kept.folders, *new.folders])
+    folders = {}
+    for row in found.collect():
+        if row[N] > 1:
+            raise MergeConflict(f"several source rows match one target row: {row['key']}")
+        folders[row[PARTITION]] = row[FOLDER]
+    return folders
+
+
+def apply(
+    spark: SparkSession,
+    staged: Staged,
+    root: str,
+    schema: T.StructType,
+    partition_by: Sequence[str] = DAY_COLUMNS,
+) -> None:
+    """Put staged partitions into the table, then drop the folders that they leave empty."""
+    _overwrite(read_table(spark, staged.path, schema), root, partition_by)
+    for folder in staged.gone:
+        delete(spark, folder)
+
+
+def partition_text(partition_by: Sequence[str]) -> Column:
+    """A row's partition as one text, with NULL apart from all values. Filters on it prune folders."""
+    values = [F.concat(F.lit("="), name(c).cast("string")) for c in partition_by]
+    return F.concat_ws("/", *[F.coalesce(v, F.lit("")) for v in values])
+
+
+def _overwrite(rows: DataFrame, root: str, partition_by: Sequence[str]) -> None:
+    writer = rows.write.mode("overwrite").partitionBy(*partition_by)
+    writer.option("partitionOverwriteMode", "dynamic").parquet(root)

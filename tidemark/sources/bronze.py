@@ -5,14 +5,13 @@ from __future__ import annotations
 from collections.abc import Sequence
 from datetime import datetime
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.functions.stamps import DAY_COLUMNS, day_folder, day_parts
 from tidemark.operators.rows import day_slice
-from tidemark.sources.files import list_files
+from tidemark.session import exists
+from tidemark.sources.files import folder_marks
 
 
 def text_partitions(
@@ -45,24 +44,23 @@ def read_bronze(
     schema: T.StructType | None = None,
     run_ts: datetime | None = None,
     days: Sequence[str] | None = None,
+    known: T.StructType | None = None,
 ) -> DataFrame:
     """Every landed day, the day of ``run_ts``, or some ``days`` given by folder.
 
     Days are opened by their own folders, so that the file listing does not grow
-    with the age of the table. A day without data gives an empty result.
+    with the age of the table. A day without data gives an empty result. Files are opened to
+    learn their schema only if it is not given; ``known`` is that of a day without data.
     """
     if run_ts is not None:
         folder = f"{path}/{day_folder(run_ts)}"
-        try:
-            if schema is None:
-                schema = landed_schema(spark, path, [folder])
-            day = _reader(spark, path).schema(text_partitions(schema)).parquet(folder)
-            # As literals, the day parts need no sort when the slice is written again.
-            return day_slice(day, run_ts).withColumns(day_parts(run_ts))
-        except AnalysisException as error:
-            if error.getCondition() != "PATH_NOT_FOUND":
-                raise
-            return day_slice(read_bronze(spark, path, schema), run_ts)
+        if not exists(spark, folder):
+            return day_slice(read_bronze(spark, path, schema or known, days=[] if known else None), run_ts)
+        if schema is None:
+            schema = landed_schema(spark, path, [folder])
+        day = _reader(spark, path).schema(text_partitions(schema)).parquet(folder)
+        # As literals, the day parts need no sort when the slice is written again.
+        return day_slice(day, run_ts).withColumns(day_parts(run_ts))
     paths = [path] if days is None else [f"{path}/{day}" for day in days]
     if schema is None:
         schema = landed_schema(spark, path, paths or [path])
@@ -73,13 +71,6 @@ def read_bronze(
 
 
 def landed_days(spark: SparkSession, path: str) -> dict[str, str]:
-    """Every landed day by its folder, with a mark that changes when its files change.
-
-    From a listing; no file is opened. Names are unique to the job that wrote
-    the file, so the same names are the same files.
-    """
-    levels = -1 - len(DAY_COLUMNS)
-    folder = F.substring_index(F.substring_index("path", "/", levels), "/", len(DAY_COLUMNS))
-    mark = F.concat_ws("-", F.count(F.lit(1)), F.sum("length"), F.bit_xor(F.xxhash64("name")))
-    days = list_files(spark, [path]).groupBy(folder.alias("folder")).agg(mark.alias("mark"))
-    return {row.folder: row.mark for row in days.collect()}
+    """Every landed day by its folder, with a mark that changes when its files change; see :func:`folder_marks`."""
+    depth = -len(DAY_COLUMNS)
+    return {"/".join(folder.split("/")[depth:]): mark for folder, mark in folder_marks(spark, path).items()}

@@ -1,22 +1,22 @@
-"""The control table and the current snapshots, as one append-only Parquet log.
+"""The control table with what the jobs have to remember, as one small Parquet folder per commit.
 
-Each commit appends a single file with the new rows of the tables it changes; the row
-with the highest ``seq`` is the state of a table. A file appears whole or not at all,
-and so does a commit, however many tables it covers. Runs on different tables may
-commit at the same time. Two commits on one table at once leave two rows with the same
-``seq``: every later read or commit of that table is refused until :meth:`StateLog.settle`
-chooses one of them.
+``commit=<n>`` holds a row per table; the highest n that is complete is the state. A change reads it, applies a
+transition, writes a folder of its own and renames it to ``commit=<n + 1>``. If that exists, another run was faster:
+the change is applied again to what that run left, so that transitions which ask for a status never overwrite
+one. A commit covers any number of tables and is seen whole or not at all. The last ``KEPT`` commits stay.
 
-The log holds one small row per table and commit, with the paths of its snapshots, not their
-texts. :meth:`StateLog.compact` keeps the latest rows alone.
+Renaming a folder is one step on HDFS and local disks. Where storage copies instead, a run that dies may leave a
+commit without ``_SUCCESS``: as it may be at work still, others wait for it and then fail, and
+:meth:`ControlTable.abandon` removes it. Two runs that copy at the same instant leave two files, and every later read is refused.
 """
 
 from __future__ import annotations
 
+import time
 import uuid
 from collections.abc import Callable, Mapping, Sequence
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -26,138 +26,131 @@ from tidemark.operators.control import (
     CURATED,
     ControlError,
     control_lookup,
-    control_ready,
     only_row,
 )
-from tidemark.session import delete
-
-# The snapshots are paths, see tidemark.sinks.versions.save_snapshot.
-STATE_SCHEMA = T.StructType(
-    [
-        *CONTROL_SCHEMA.fields,
-        T.StructField("silver", T.StringType()),
-        T.StructField("gold", T.StringType()),
-        T.StructField("seq", T.LongType()),
-        T.StructField("commit_id", T.StringType()),
-    ]
-)
+from tidemark.session import exists, names_in, remove, rename
+
+# Schemas as JSON, the published folder, and what a repeated run needs to know.
+REMEMBERED = ("landed", "silver", "folded", "pending", "gold")
+STATE_SCHEMA = T.StructType([*CONTROL_SCHEMA.fields, *(T.StructField(c, T.StringType()) for c in REMEMBERED)])
+KEPT = 20
+ATTEMPTS = 50
+PAUSE = 0.2  # seconds
 
 Move = Callable[[DataFrame], DataFrame]
 
 
-class StateLog:
+class ControlTable:
     def __init__(self, spark: SparkSession, path: str):
         self.spark = spark
         self.path = path
 
     def current(self) -> DataFrame:
-        """The latest row of every table; several of one table if runs have collided."""
-        return self._latest().select(*STATE_SCHEMA.names)
-
-    def rows(self, tables: Sequence[str] | None = None) -> DataFrame:
-        """The latest rows of some tables, or of all; refused if one has collided."""
-        found = self.current()
-        if tables is not None:
-            found = found.filter(F.col("table_name").isin(list(tables)))
-        names = found.groupBy("table_name").count().filter("count > 1").orderBy("table_name")
-        clash = [r.table_name for r in names.limit(5).collect()]
-        if clash:
-            raise ControlError(f"tables with colliding commits, see StateLog.settle: {clash}")
-        return found
-
-    def superseded_files(self) -> DataFrame:
-        """Log files without any latest row. They may be deleted at any time."""
-        kept = self._latest().select("_file").distinct()
-        files = self._log().select("_file").distinct().join(kept, "_file", "left_anti")
-        return files.select(F.col("_file").alias("file"))
+        """The rows of the latest complete commit."""
+        return self._rows(self._last())
 
     def lookup(self, table: str) -> dict:
         """State of one table with its key columns as ``keys``; it must have one row."""
         found = control_lookup(self.current(), table)
         return only_row(found.withColumn("keys", split_keys(F.col("primary_keys"))), table)
 
-    def ready(self, status: str = CURATED) -> list[str]:
-        """Names of the tables at a status, in alphabetical order; none may have collided."""
-        found = control_ready(self.current(), status).distinct().collect()
-        tables = sorted(r.table_name for r in found)
-        self.rows(tables)
-        return tables
+    def ready(self, status: str = CURATED) -> list[dict]:
+        """States of the tables at a status, by name; each must have one row."""
+        rows = self.current().collect()  # one per managed table
+        ready = {r.table_name for r in rows if r.process_number == status}
+        found = sorted((r.asDict() for r in rows if r.table_name in ready), key=lambda r: r["table_name"])
+        if len(found) > len(ready):
+            raise ControlError(f"tables with more than one control row: {[r['table_name'] for r in found]}")
+        return found
 
     def create(self, control: DataFrame) -> None:
-        """Start the log of a new lake with its control rows."""
-        nothing = self.spark.createDataFrame([], STATE_SCHEMA)
-        self._write(self._registered(control, nothing), "errorifexists")
+        """Start the state of a new lake with its control rows."""
+        rows = control.select(*CONTROL_SCHEMA.names, *(F.lit(None).cast("string").alias(c) for c in REMEMBERED))
+        if not self._write(rows, 1):
+            raise ControlError(f"a control table already exists at {self.path}")
 
     def register(self, control: DataFrame) -> None:
-        """Add control rows, or replace those of known tables; snapshots are kept."""
-        tables = [r.table_name for r in control.select("table_name").collect()]
-        self._write(self._registered(control, self.rows(tables)), "append")
-
-    def commit(
-        self,
-        tables: Sequence[str],
-        move: Move | None = None,
-        **changes: Mapping[str, str | None],
-    ) -> int:
-        """Append new rows for ``tables`` together; returns how many changed status.
-
-        ``changes`` gives new values by table for any state column, and ``move`` is the
-        status transition, applied to the state as it is at this moment.
-        """
-        rows = self.rows(tables)
-        for column, values in changes.items():
-            pairs = [F.lit(x).cast("string") for pair in values.items() for x in pair]
-            rows = rows.withColumn(column, F.create_map(*pairs)[F.col("table_name")])
-        before = rows.withColumn("_before", F.col("process_number"))
-        after = move(before) if move else before
-        moved = ~F.col("process_number").eqNullSafe(F.col("_before"))
-        seen = Observation()
-        self._write(after.observe(seen, F.count_if(moved).alias("moved")), "append")
-        return seen.get["moved"]
-
-    def settle(self, table: str, commit_id: str) -> None:
-        """End a collision: the row of ``commit_id`` becomes the state of the table.
-
-        ``current()`` shows the colliding rows with their ``commit_id``.
-        """
-        mine = (F.col("table_name") == table) & (F.col("commit_id") == commit_id)
-        chosen = self.current().filter(mine)
-        if chosen.count() != 1:
-            raise ControlError(f"no single latest row of {table!r} has commit {commit_id!r}")
-        self._write(chosen, "append")
+        """Add control rows, or replace those of known tables; what is remembered of them stays."""
+
+        def put(rows: DataFrame) -> DataFrame:
+            given = control.select(*CONTROL_SCHEMA.names)
+            kept = rows.join(given, "table_name", "left_anti")
+            known = rows.select("table_name", *REMEMBERED)
+            return kept.unionByName(given.join(known, "table_name", "left"))
+
+        self._replace(put)
 
-    def compact(self) -> int:
-        """Write the latest rows as one file and delete the files before it; returns how many.
+    def commit(self, tables: Sequence[str], move: Move | None = None, **changes: Mapping[str, str | None]) -> int:
+        """Change ``tables`` together; returns how many of them changed status.
 
-        Commits made meanwhile stay, as only files seen at the start are deleted. Until they
-        are, rows occur twice with one ``commit_id``, which counts as one row.
+        ``changes`` gives new values by table for any column, and ``move`` is the status transition.
+        Both are applied to the state as it is when the commit succeeds.
         """
-        before = [r["_file"] for r in self._log().select("_file").distinct().collect()]
-        self.current().coalesce(1).write.mode("append").parquet(self.path)
-        for file in before:
-            delete(self.spark, file)
-        return len(before)
-
-    def _log(self) -> DataFrame:
-        log = self.spark.read.schema(STATE_SCHEMA).parquet(self.path)
-        return log.select("*", F.col("_metadata.file_path").alias("_file"))
-
-    def _latest(self) -> DataFrame:
-        """The rows with the highest ``seq`` of their table, with one of their files."""
-        log = self._log()
-        top = log.groupBy("table_name").agg(F.max("seq").alias("seq"))
-        latest = log.join(top, ["table_name", "seq"], "left_semi")
-        return latest.dropDuplicates(["table_name", "seq", "commit_id"])
-
-    @staticmethod
-    def _registered(control: DataFrame, current: DataFrame) -> DataFrame:
-        known = current.select("table_name", "silver", "gold", "seq")
-        rows = control.select(*CONTROL_SCHEMA.names).join(known, "table_name", "left")
-        return rows.withColumn("seq", F.coalesce("seq", F.lit(0)))
-
-    def _write(self, rows: DataFrame, mode: str) -> None:
-        stamped = rows.withColumns(
-            {"seq": F.col("seq") + 1, "commit_id": F.lit(uuid.uuid4().hex)}
-        )
-        one_file = stamped.select(*STATE_SCHEMA.names).coalesce(1)
-        one_file.write.mode(mode).parquet(self.path)
+        mine = F.col("table_name").isin(list(tables))
+
+        def change(rows: DataFrame) -> DataFrame:
+            for column, values in changes.items():
+                pairs = [F.lit(x).cast("string") for pair in values.items() for x in pair]
+                known = F.col("table_name").isin(list(values))
+                rows = rows.withColumn(
+                    column, F.when(known, F.create_map(*pairs)[F.col("table_name")]).otherwise(F.col(column))
+                )
+            before = rows.withColumn("_before", F.col("process_number"))
+            return move(before) if move else before
+
+        return self._replace(change, mine & ~F.col("process_number").eqNullSafe(F.col("_before")))
+
+    def abandon(self, n: int) -> None:
+        """Remove a commit that a run left unfinished. Only while no run is at work."""
+        if self._complete(n):
+            raise ControlError(f"commit {n} is complete")
+        remove(self.spark, self._folder(n))
+
+    def _folder(self, n: int) -> str:
+        return f"{self.path}/commit={n}"
+
+    def _complete(self, n: int) -> bool:
+        return "_SUCCESS" in names_in(self.spark, self._folder(n))
+
+    def _last(self) -> int:
+        """The latest complete commit. From listings, without a job."""
+        commits = (name.split("=")[1] for name in names_in(self.spark, self.path) if name.startswith("commit="))
+        for n in sorted(map(int, commits), reverse=True):
+            if self._complete(n):
+                return n
+        raise ControlError(f"there is no control table at {self.path}")
+
+    def _rows(self, n: int) -> DataFrame:
+        files = [f for f in names_in(self.spark, self._folder(n)) if f.endswith(".parquet")]
+        if len(files) > 1:
+            raise ControlError(f"two runs wrote commit {n} at once: {files}")
+        return self.spark.read.schema(STATE_SCHEMA).parquet(self._folder(n))
+
+    def _replace(self, change: Move, counted: Column | None = None) -> int:
+        """Commit what ``change`` makes of the rows; returns how many rows are ``counted``."""
+        for _ in range(ATTEMPTS):
+            last = self._last()
+            seen = Observation()
+            n = F.count_if(F.lit(False) if counted is None else counted)
+            if self._write(change(self._rows(last)).observe(seen, n.alias("n")), last + 1):
+                remove(self.spark, self._folder(last + 1 - KEPT))
+                return seen.get["n"]
+            time.sleep(PAUSE)
+        raise ControlError(f"commit {last + 1} is being written by another run, or one that died left it: see abandon()")
+
+    def _write(self, rows: DataFrame, n: int) -> bool:
+        """Write a commit, unless it exists already. Of several that try at once, the first to rename its folder wins."""
+        if exists(self.spark, self._folder(n)):
+            return False
+        own = f"{self.path}/writing-{uuid.uuid4().hex}"
+        try:
+            rows.select(*STATE_SCHEMA.names).coalesce(1).write.parquet(own)
+            (file,) = (f for f in names_in(self.spark, own) if f.endswith(".parquet"))
+            rename(self.spark, own, self._folder(n))
+            # A folder that comes too late ends up inside the other one.
+            won = exists(self.spark, f"{self._folder(n)}/{file}")
+            if not won:
+                remove(self.spark, f"{self._folder(n)}/{own.rsplit('/', 1)[1]}")
+            return won
+        finally:
+            remove(self.spark, own)
