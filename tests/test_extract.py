@@ -6,6 +6,7 @@ from datetime import date, datetime
 from decimal import Decimal
 from random import Random
 
+import duckdb
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -13,6 +14,7 @@ from pyspark.sql import DataFrameReader
 from pyspark.sql import functions as F
 
 from tests.conftest import plan, rows
+from tidemark.operators.control import CONTROL_SCHEMA
 from tidemark.sources.extract import (
     extract,
     extract_incremental,
@@ -28,6 +30,8 @@ from tidemark.sources.tables import (
     counts_query,
     quoted,
     range_predicates,
+    split_predicates,
+    text_literal,
 )
 
 
@@ -233,3 +237,111 @@ def test_jdbc_without_split_is_one_plain_read(spark, jdbc_calls):
         JdbcSource("jdbc:x").read(spark, "s.t")
     assert [c[1] for c in jdbc_calls] == ['"s"."t"']
     assert "predicates" not in jdbc_calls[0][2]
+
+
+# ---- the same against a database in this process --------------------------------------
+
+
+@pytest.fixture
+def database():
+    connection = duckdb.connect()
+    connection.execute("SET timezone = 'UTC'")
+    return connection
+
+
+def ask_of(connection):
+    return lambda query: connection.execute(f"SELECT * FROM {query}").fetchall()
+
+
+def taken(connection, predicates, some="TRUE"):
+    """How many of the rows each of the ranges takes."""
+    return [connection.execute(f"SELECT COUNT(*) FROM t WHERE ({p}) AND {some}").fetchone()[0] for p in predicates]
+
+
+KINDS = {
+    "INTEGER": "CAST(n * 7 - 300 AS INTEGER)",
+    "DECIMAL(12,3)": "CAST(n / 7 AS DECIMAL(12,3))",
+    "DOUBLE": "sqrt(n)",
+    "DATE": "DATE '2024-02-20' + CAST(n AS INTEGER)",
+    "TIMESTAMP": "TIMESTAMP '2024-02-28 23:00:00' + INTERVAL (n) MINUTE",
+    "VARCHAR": "chr(CAST(65 + n % 50 AS INTEGER)) || '''' || CAST(n AS VARCHAR)",
+}
+
+
+@pytest.mark.parametrize("kind", KINDS)
+@pytest.mark.parametrize("size", [0, 1, 2, 400])
+@pytest.mark.parametrize("with_mark", [False, True])
+def test_marks_of_any_type_take_each_row_once(database, kind, size, with_mark):
+    database.execute(f"CREATE TABLE t AS SELECT {KINDS[kind]} AS c, n FROM range({size}) AS r(n)")
+    database.execute("INSERT INTO t SELECT NULL, n FROM range(5) AS r(n)")
+    after, some = None, "TRUE"
+    if with_mark:
+        (mark,) = database.execute("SELECT CAST(quantile_disc(c, 0.3) AS VARCHAR) FROM t").fetchone()
+        after = ("c", mark or ("2024-01-01" if kind in ("DATE", "TIMESTAMP") else "0"))
+        some = f"c > {text_literal(after[1])}"
+    predicates = split_predicates(ask_of(database), "t", "c", 8, after)
+    (total,) = database.execute(f"SELECT COUNT(*) FROM t WHERE {some}").fetchone()
+    sizes = taken(database, predicates, some)
+    assert sum(sizes) == total
+    assert not (with_mark and any("IS NULL" in p for p in predicates))
+    if size == 400:
+        assert len(predicates) == (8 if with_mark else 9)
+        assert max(sizes) <= 2.2 * total / 8
+
+
+def test_texts_are_cut_by_rows_not_by_letters(database):
+    """Most begin alike, and a third is one text."""
+    text = "CASE WHEN n % 3 = 0 THEN 'same' WHEN n % 10 = 1 THEN 'x' || n ELSE 'a' || n END"
+    database.execute(f"CREATE TABLE t AS SELECT {text} AS c FROM range(3000) AS r(n)")
+    sizes = sorted(taken(database, split_predicates(ask_of(database), "t", "c", 10)))
+    assert sum(sizes) == 3000
+    assert sizes[-1] <= 1300 and sizes[-2] <= 320
+
+
+def test_only_null_and_kinds_without_ranges(database):
+    database.execute("CREATE TABLE t (c VARCHAR, b BOOLEAN, f DOUBLE, raw BLOB)")
+    database.execute("INSERT INTO t VALUES (NULL, true, 1.0, 'a'), (NULL, false, 'inf', 'b')")
+    assert split_predicates(ask_of(database), "t", "c", 4) == ['"c" IS NOT NULL', '"c" IS NULL']
+    for column in ("b", "f", "raw"):
+        assert split_predicates(ask_of(database), "t", column, 4) is None
+
+
+def test_a_source_that_cannot_count_or_cut(database):
+    database.execute("CREATE TABLE t AS SELECT n, 'k' || n AS c FROM range(100) AS r(n)")
+    answer = ask_of(database)
+
+    def ask(query):
+        if query.endswith((" counts", " cuts")):
+            raise RuntimeError("no such function")
+        return answer(query)
+
+    with pytest.warns(UserWarning, match="equal ranges"):
+        predicates = split_predicates(ask, "t", "n", 4)
+    assert sum(taken(database, predicates)) == 100 and max(taken(database, predicates)) <= 26
+    with pytest.warns(UserWarning, match="can't be cut"):
+        assert split_predicates(ask, "t", "c", 4) is None
+
+
+def test_full_reads_are_split_by_the_control_rows_key(spark, monkeypatch):
+    calls = []
+
+    def fake(reader, url, table, **options):
+        calls.append((table, options.get("predicates")))
+        if "bounds" in table:
+            return spark.createDataFrame([(0, 100)], "lo long, hi long")
+        if ") counts" in table:
+            return spark.createDataFrame([(b, 5) for b in range(128)], "b long, n long")
+        return spark.createDataFrame([], "Id long, v string")
+
+    monkeypatch.setattr(DataFrameReader, "jdbc", fake)
+    row = dict(zip(CONTROL_SCHEMA.names, ("s.t", "FULL", None, None, "id | v", "00")))
+    frame, mode = extract(spark, JdbcSource("jdbc:x", pieces=4), {**row, "keys": ["id", "v"]})
+    assert mode == "overwrite" and frame.columns == ["Id", "v"]
+    assert calls[-1][0] == '"s"."t"' and len(calls[-1][1]) == 5
+    assert calls[-1][1][0] == '"Id" < 25'
+    # An entry in splits goes first, and a key that the table does not have splits nothing.
+    extract(spark, JdbcSource("jdbc:x", splits={"s.t": ("v2", 2)}), {**row, "keys": ["id"]})
+    assert all(p.startswith('"v2"') for p in calls[-1][1])
+    with pytest.warns(UserWarning, match="one connection"):
+        extract(spark, JdbcSource("jdbc:x"), {**row, "keys": ["nope"]})
+    assert calls[-1] == ('"s"."t"', None)

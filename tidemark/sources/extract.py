@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -24,14 +26,14 @@ def checked_load_type(value: str | None) -> str:
     return load_type
 
 
-def extract_full(spark: SparkSession, source, table: str) -> DataFrame:
-    """The whole source table."""
-    return source.read(spark, table)
+def extract_full(spark: SparkSession, source, table: str, keys: Sequence[str] = ()) -> DataFrame:
+    """The whole source table. A source may split its read by the keys."""
+    return source.read(spark, table, keys=keys)
 
 
-def extract_first_run(spark: SparkSession, source, table: str) -> DataFrame:
+def extract_first_run(spark: SparkSession, source, table: str, keys: Sequence[str] = ()) -> DataFrame:
     """An incremental table that has no mark yet: everything, landed as an append."""
-    return source.read(spark, table)
+    return source.read(spark, table, keys=keys)
 
 
 def extract_incremental(
@@ -45,13 +47,16 @@ def extract_incremental(
 
 
 def extract(spark: SparkSession, source, control: dict) -> tuple[DataFrame, str]:
-    """The extract that a control row asks for, and the mode to land it with."""
-    table = control["table_name"]
+    """The extract that a control row asks for, and the mode to land it with.
+
+    ``keys`` of the row, if it has them, are the table's key columns.
+    """
+    table, keys = control["table_name"], control.get("keys") or ()
     if checked_load_type(control["load_type"]) == FULL:
-        return extract_full(spark, source, table), "overwrite"
+        return extract_full(spark, source, table, keys), "overwrite"
     mark, dt_column = control["ingest_column"], control["source_dt_col"]
     if is_unset(mark):
-        return extract_first_run(spark, source, table), "append"
+        return extract_first_run(spark, source, table, keys), "append"
     if is_unset(dt_column):
         raise ValueError(f"{table} has a mark but no source_dt_col to compare it with")
     return extract_incremental(spark, source, table, dt_column, mark), "append"
