@@ -222,7 +222,8 @@ def test_a_merge_stopped_between_its_writes_can_be_repeated(spark, tmp_path, mon
         root = str(tmp_path / name)
         schema = create_silver(enrich(spark.range(3), DAY_1), root)
         append_silver(enrich(spark.range(4, 5), datetime(2026, 1, 5)), root, schema)
-        return root, schema, stage_merge(batch, root, schema, ["id"], str(tmp_path / f"{name}-staged"))
+        table = spark.read.schema(schema).parquet(root)
+        return root, schema, stage_merge(table, batch, schema, ["id"], str(tmp_path / f"{name}-staged"))
 
     root, schema, staged = fresh("once")
     assert len(staged.gone) == 1 and "day=05" in staged.gone[0]

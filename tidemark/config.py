@@ -17,7 +17,8 @@ class LakeConfig:
 
     ``silver_catalog`` (for example ``"lake.sales"``) puts Silver into tables of a Spark catalog
     with row-level writes instead of plain Parquet folders, created with ``table_properties`` (for example
-    ``{"format-version": "2"}``).
+    ``{"format-version": "2"}``). With ``silver_buckets`` they are Parquet tables of the session's own
+    catalog instead, bucketed by their keys; see :mod:`tidemark.sinks.bucketed`.
     """
 
     bronze_root: str
@@ -27,6 +28,7 @@ class LakeConfig:
     source: Any = field(default=None, repr=False)
     silver_catalog: str | None = None
     table_properties: Mapping[str, str] = field(default_factory=dict)
+    silver_buckets: int | None = None
 
     @classmethod
     def under(cls, root: str, source: Any = None) -> LakeConfig:

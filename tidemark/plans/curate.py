@@ -19,6 +19,7 @@ from tidemark.operators.rows import dedupe_latest
 from tidemark.plans.ingest import Landed
 from tidemark.plans.results import DONE, RunResult
 from tidemark.session import remove, remove_scratch, write_scratch
+from tidemark.sinks.bucketed import BucketedTable
 from tidemark.sinks.catalog import CatalogTable
 from tidemark.sinks.silver import (
     Staged,
@@ -113,7 +114,8 @@ def curate(
             replace_silver(batch, root, present)
         elif keys:
             staging = f"{cfg.staging_root}/{table}-{uuid.uuid4().hex[:12]}"
-            pending = {**asdict(stage_merge(batch, root, present, keys, staging)), "run": run}
+            table_now = spark.read.schema(present).parquet(root)
+            pending = {**asdict(stage_merge(table_now, batch, present, keys, staging)), "run": run}
             state.commit([table], pending={table: json.dumps(pending)})
             _apply(spark, cfg, table, control["silver"], pending)
             result = done(pending=None, folded=None)
@@ -140,7 +142,10 @@ def _fold_into_catalog(
     full: bool,
     replace: bool,
 ) -> None:
-    silver = CatalogTable(spark, cfg.silver_catalog, table, cfg.table_properties)
+    if cfg.silver_buckets:
+        silver = BucketedTable(spark, cfg.silver_catalog, table, cfg.table_properties, keys, cfg.silver_buckets)
+    else:
+        silver = CatalogTable(spark, cfg.silver_catalog, table, cfg.table_properties)
     if not silver.exists():
         silver.create(batch)
     elif replace:

@@ -91,7 +91,8 @@ def merge_silver(
 ) -> None:
     """Upsert the batch by key."""
     spark = batch.sparkSession
-    staged = stage_merge(batch, root, schema, keys, scratch_path(spark, "silver-merge"), partition_by)
+    table = spark.read.schema(schema).parquet(root)
+    staged = stage_merge(table, batch, schema, keys, scratch_path(spark, "silver-merge"), partition_by)
     apply(spark, staged, root, schema, partition_by)
     remove(spark, staged.path)
 
@@ -102,14 +103,14 @@ def stage(batch: DataFrame, path: str, partition_by: Sequence[str]) -> Staged:
 
 
 def stage_merge(
+    table: DataFrame,
     batch: DataFrame,
-    root: str,
     schema: T.StructType,
     keys: Sequence[str],
     path: str,
     partition_by: Sequence[str] = DAY_COLUMNS,
 ) -> Staged:
-    """The partitions as an upsert of the batch by key leaves them.
+    """The partitions as an upsert of the batch by key leaves them; ``table`` is read from files.
 
     One pass over the table reads key columns alone, in the range of the batch's keys. Its hits, a fraction of the
     batch's size, are written to the shared scratch folder; they tell which partitions have a matched row,
@@ -122,13 +123,13 @@ def stage_merge(
     keys = resolve_keys(keys, schema.names)
     here = partition_text(partition_by).alias(PARTITION)
     *ends, own = batch.agg(*range_ends(schema, keys), F.collect_set(here)).first()
-    table = spark.read.schema(schema).parquet(root)
     near = table.select(*names(keys), here, folder_of(F.col("_metadata.file_path")).alias(FOLDER)).filter(
         all_set(keys) & range_filter(schema, keys, ends)
     )
     hits = write_scratch(near.join(key_counts(batch, keys), list(keys)), "merge-hits")
     folders = _matched(hits, keys)
-    old = read_table(spark, root, schema).filter(partition_text(partition_by).isin(list({*own, *folders})))
+    touched = partition_text(partition_by).isin(list({*own, *folders}))
+    old = table.select(*names(schema.names)).filter(touched)
     rows = upsert(old, batch, keys, hits.select(*names([*keys, N])))
     # Cluster by partition to avoid a file per task and day; hot days are split by size.
     # (Without adaptive execution Spark ignores the hint: then there is a file per task and day.)
