@@ -2,18 +2,21 @@
 
 Training texts' words (A-Z lower-cased, white-space separated) and one end per text are counted, all of
 them. Counts are quantised to levels that grow as the logarithm. A filter holds, for an n-gram of level
-q, one item for each level 1 to q, so membership probes for level 1, 2, ... until the first miss read the
-level back. One filter holds words, another all bigrams seen twice or more. They are broadcast and probed by the
-scoring tasks:
-
-    P(w) = (c(w) + 0.5) / (N + 0.5 (V + 1)),  P(w | v) = a c(v w) / c(v) + (1 - a) P(w)
-
-with quantised counts, N their sum, and P(w) alone where v or w is seen less than twice, so that no bigram of
-theirs can be seen twice. The weight a is, of ``WEIGHTS``, the one
-that makes all training texts likeliest when each token's own occurrence is left out of the counts. A filter has ``bits_per_item`` bits per item up to
-``max_bits``, so what is broadcast has a bound; beyond that it holds only higher counts (the least level rises).
-Tokens that need a count it doesn't hold are joined with the lower counts, quantised alike, so no count is
-dropped at any size.
+q, one item for each level from the lowest to q, so membership probes for one level after another until the first miss
+read the level back. One filter holds words, another all bigrams seen twice or more, from level 2 on. They are
+broadcast and probed by the scoring tasks:
+
+    P(w) = (c(w) + 0.5) / (N + 0.5 (V + 1))
+    P(w | v) = (l(v) c(v w) / c(v) + (1 - l(v)) P(w)) / (1 + f(v)),  l(v) = a c(v) / (c(v) + K)
+
+with N the sum of the counts as they are read. P(w) is alone where v is seen less than twice. c(v w) is the least count of its
+level and c(v) the greatest of its own, so that the shares of a context add up to 1 at most; f(v) is the mass that
+the bigram filter's false hits add to a context on average (its hashes grow with the logarithm of the vocabulary, to
+keep that small). So P(. | v) adds up to 1 at most, but for luck with false hits. The weight a is, of ``WEIGHTS``, the one
+that makes all training texts likeliest when each token's own occurrence is left out of the counts; it follows from the
+counts alone. A filter has ``bits_per_probe`` bits for each bit it sets, up to ``max_bits``, so what is broadcast has a
+bound; beyond that it holds only higher counts (the least level rises). Tokens that need a count it doesn't hold are
+joined with the lower counts, quantised alike, so no count is dropped at any size.
 
 The base score needs exact counts. Words with at least N / 2**19 occurrences, at most 2**19 of them, are
 broadcast; the other words of each text are joined with the counts. Words are identified by
@@ -29,7 +32,6 @@ from __future__ import annotations
 import math
 from collections.abc import Iterator
 from dataclasses import dataclass
-from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -38,21 +40,26 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import batch, give_back, given_back, slices, text_of
+from tidemark.llm.importance import Spans
 from tidemark.session import write_scratch
 
 END = " "  # no word has white space
 SEED = 42
 RUN_BYTES = 2_000_000
 HELD_PAIRS = 600_000
-HASHES = 3
+HASHES = 5
+RARE = 4.0  # K: contexts seen so often get half of the weight
 SEGMENT_BITS = 1 << 15
 HEAVY = 1 << 19
 
 
-def hashed(words: list[str]) -> np.ndarray:
-    import xxhash
-
-    return np.fromiter(map(xxhash.xxh64_intdigest, words, repeat(SEED)), np.uint64, len(words))
+def hashed(words: list[str] | pa.Array) -> np.ndarray:
+    """XXH64 of each word, all at once."""
+    array = words if isinstance(words, pa.Array) else pa.array(words, pa.string())
+    offsets = np.frombuffer(array.buffers()[1], np.int32, len(array) + 1, 4 * array.offset).astype(np.int64)
+    raw = array.buffers()[2]
+    data = np.frombuffer(raw, np.uint8) if raw is not None else np.zeros(0, np.uint8)
+    return Spans(data, offsets[:-1], np.diff(offsets)).xxhash64(SEED)
 
 
 def mixed(x: np.ndarray, salt: int) -> np.ndarray:
@@ -79,13 +86,13 @@ def split(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
     return words, sizes.astype(np.int64)
 
 
-def tokens(texts: pa.Array) -> tuple[np.ndarray, list[str], np.ndarray]:
-    """Index of each token (END closes a text) into the distinct words, these, and tokens per text."""
+def tokens(texts: pa.Array) -> tuple[np.ndarray, pa.Array, np.ndarray]:
+    """Index of each token (END, the first, closes a text) into the distinct words, these, and tokens per text."""
     words, sizes = split(texts)
     encoded = words.dictionary_encode()
     ids = np.zeros(len(words) + len(sizes), np.int64)
     ids[np.arange(len(words)) + np.repeat(np.arange(len(sizes)), sizes)] = encoded.indices.to_numpy() + 1
-    return ids, [END, *encoded.dictionary.to_pylist()], sizes + 1
+    return ids, pa.concat_arrays([pa.array([END]), encoded.dictionary]), sizes + 1
 
 
 # ---- the filter --------------------------------------------------------------------
@@ -100,7 +107,10 @@ def _steps() -> np.ndarray:
 
 
 STEPS = _steps()
-MIDDLES = np.append(0.0, np.sqrt(STEPS[:-1].astype(float) * (STEPS[1:] - 1)))  # by level
+# By level, with 0 for none: the middle on the log scale, the least and the greatest count.
+MIDDLES = np.append(0.0, np.sqrt(STEPS[:-1].astype(float) * (STEPS[1:] - 1)))
+LEAST = np.append(0.0, STEPS[:-1].astype(float))
+MOST = np.append(0.0, STEPS[1:].astype(float) - 1)
 
 
 def levels(counts: np.ndarray) -> np.ndarray:
@@ -125,10 +135,11 @@ class LogFilter:
     segments: np.ndarray  # segment x byte
     least: int  # the lowest level held
     most: int
+    first: int = HASHES  # hashes of the lowest level's items; the others have ``HASHES``
     whole: bool = True  # no count is below least
 
     def level(self, keys: np.ndarray) -> np.ndarray:
-        """The level of each n-gram: probes from the lowest until the first miss."""
+        """The level of each n-gram, 0 if not held: probes from the lowest until the first miss."""
         out = np.zeros(len(keys), np.int64)
         if not len(self.segments):
             return out
@@ -137,7 +148,7 @@ class LogFilter:
         alive = np.arange(len(keys))
         for level in range(self.least, self.most + 1):
             item, step = _item(keys[alive], level)
-            for _ in range(HASHES):
+            for _ in range(self.first if level == self.least else HASHES):
                 at = _place(item)
                 hit = np.flatnonzero(flat[start[alive] + (at >> 3)] >> (at & 7).astype(np.uint8) & 1)
                 alive, item, step = alive[hit], item[hit] + step[hit], step[hit]
@@ -146,33 +157,51 @@ class LogFilter:
             out[alive] = level
         return out
 
-    def count(self, keys: np.ndarray) -> np.ndarray:
-        """Quantised counts: the middle of a level on the log scale; 0 if not held."""
-        return MIDDLES[self.level(keys)]
+    def read(self, keys: np.ndarray) -> np.ndarray:
+        """The level of each n-gram; ``OPEN`` where a count below the least level is possible."""
+        level = self.level(keys)
+        return level if self.whole else np.where(level, level, OPEN)
+
+    def chance(self, hashes: int) -> float:
+        """How often an item of so many hashes is found that isn't held."""
+        if not len(self.segments):
+            return 0.0
+        filled = np.bitwise_count(self.segments).sum(axis=1) / SEGMENT_BITS
+        return float((filled**hashes).mean())
+
+
+@dataclass
+class Sizes:
+    """N-grams, and the sum of their counts, by level."""
 
+    types: dict[int, int]
+    total: dict[int, int]
 
-def build_filter(counts: DataFrame, bits_per_item: int, max_bits: int) -> tuple[LogFilter, float]:
-    """A filter of columns key, n, each segment made by one task; and the sum of quantised counts."""
+
+def build_filter(counts: DataFrame, bits_per_probe: float, max_bits: int, first: int) -> tuple[LogFilter, Sizes]:
+    """A filter of columns key, n, each segment made by one task; and what the levels hold."""
 
     def quantise(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        schema = pa.schema([*_LEVELS, ("n", pa.int64())])
         for got in batches:
-            yield batch(_LEVELS, key=got["key"], level=levels(got["n"].to_numpy()).astype(np.int32))
+            yield batch(schema, key=got["key"], level=levels(got["n"].to_numpy()).astype(np.int32), n=got["n"])
 
-    held = counts.select("key", "n").mapInArrow(given_back(quantise), "key long, level int")
-    sizes = {r["level"]: r["n"] for r in held.groupBy("level").agg(F.count("*").alias("n")).collect()}
-    if not sizes:
-        return LogFilter(np.zeros((0, SEGMENT_BITS // 8), np.uint8), 1, 0), 0.0
-    total = float(sum(n * MIDDLES[level] for level, n in sizes.items()))
-    least, most = 1, max(sizes)
+    held = counts.select("key", "n").mapInArrow(given_back(quantise), "key long, level int, n long")
+    found = held.groupBy("level").agg(F.count("*").alias("types"), F.sum("n").alias("total")).collect()
+    sizes = Sizes({r["level"]: r["types"] for r in found}, {r["level"]: r["total"] for r in found})
+    if not found:
+        return LogFilter(np.zeros((0, SEGMENT_BITS // 8), np.uint8), 1, 0), sizes
+    lowest = least = min(sizes.types)
+    most = max(sizes.types)
 
-    def items() -> int:
-        return sum(n * (k - least + 1) for k, n in sizes.items() if k >= least)
+    def bits() -> float:
+        return bits_per_probe * sum(n * (first + HASHES * (k - least)) for k, n in sizes.types.items() if k >= least)
 
-    while items() * bits_per_item > max_bits:
+    while bits() > max_bits:
         least += 1
     if least > most:
-        return LogFilter(np.zeros((0, SEGMENT_BITS // 8), np.uint8), least, most, False), total
-    segments = max(1, math.ceil(items() * bits_per_item / SEGMENT_BITS))
+        return LogFilter(np.zeros((0, SEGMENT_BITS // 8), np.uint8), least, most, first, False), sizes
+    segments = max(1, math.ceil(bits() / SEGMENT_BITS))
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         schema = pa.schema([("key", pa.int64()), ("level", pa.int32()), ("segment", pa.int64())])
@@ -183,30 +212,34 @@ def build_filter(counts: DataFrame, bits_per_item: int, max_bits: int) -> tuple[
     def fill(table: pa.Table) -> pa.Table:
         keys = table["key"].to_numpy().astype(np.int64).view(np.uint64)
         top = table["level"].to_numpy()
-        bits = np.zeros(SEGMENT_BITS, np.uint8)
+        set_ = np.zeros(SEGMENT_BITS, np.uint8)
         for k in range(least, int(top.max()) + 1):
             item, step = _item(keys[top >= k], k)
-            for _ in range(HASHES):
-                bits[_place(item)] = 1
+            for _ in range(first if k == least else HASHES):
+                set_[_place(item)] = 1
                 item = item + step
-        made = np.packbits(bits, bitorder="little").tobytes()
+        made = np.packbits(set_, bitorder="little").tobytes()
         return pa.table({"segment": table["segment"].slice(0, 1), "bits": pa.array([made], pa.binary())})
 
-    placed = held.filter(F.col("level") >= least).mapInArrow(given_back(place), "key long, level int, segment long")
+    placed = held.filter(F.col("level") >= least).drop("n").mapInArrow(given_back(place), "key long, level int, segment long")
     made = placed.groupBy("segment").applyInArrow(fill, "segment long, bits binary")
     out = np.zeros((segments, SEGMENT_BITS // 8), np.uint8)
     # At most max_bits, see above.
-    found = made.toArrow()
-    for segment, raw in zip(found["segment"].to_pylist(), found["bits"].to_pylist(), strict=True):
+    filled = made.toArrow()
+    for segment, raw in zip(filled["segment"].to_pylist(), filled["bits"].to_pylist(), strict=True):
         out[segment] = np.frombuffer(raw, np.uint8)
-    return LogFilter(out, least, most, least <= min(sizes)), total
+    return LogFilter(out, least, most, first, least == lowest), sizes
 
 
+OPEN = -1  # a level that only a join gives
+NONE = -2  # of a token that ends no bigram
+
 # ---- counting ----------------------------------------------------------------------
 
 _COUNTS = pa.schema([("key", pa.int64()), ("n", pa.int64())])
 _LEVELS = pa.schema([("key", pa.int64()), ("level", pa.int32())])
-_MIDDLES = pa.schema([("key", pa.int64()), ("n", pa.float64())])
+_PAIRS = pa.schema([("key", pa.int64()), ("n", pa.int64()), ("of", pa.int32())])
+_OPEN_PAIRS = pa.schema([*_PAIRS, ("v", pa.int64()), ("w", pa.int64())])
 
 
 def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -214,7 +247,7 @@ def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for begin, end in slices(got["text"], 2 * RUN_BYTES):
             words, sizes = split(got["text"].slice(begin, end - begin))
             counted = words.value_counts()
-            key = hashed([END, *counted.field("values").to_pylist()])
+            key = hashed(pa.concat_arrays([pa.array([END]), counted.field("values")]))
             yield batch(_COUNTS, key=key.view(np.int64), n=[len(sizes), *counted.field("counts").to_pylist()])
 
 
@@ -225,209 +258,262 @@ def word_counts(docs: DataFrame) -> DataFrame:
 
 
 @dataclass
-class Model:
-    words: object  # broadcast LogFilter
-    pairs: object  # broadcast LogFilter
-    heavy: object  # broadcast (sorted keys, counts) of the most frequent words, exact
-    counts: DataFrame  # key, n of every word
-    bigrams: DataFrame  # key, n of every bigram seen twice or more
-    train_tokens: int
-    types: int
+class Mix:
+    """What turns levels into probabilities."""
+
     norm: float
     weight: float = 0.0
+    false_hits: float = 0.0  # false bigrams that a context has on average
+    raised: float = 0.0  # the share of bigrams that are read a level too high
 
+    def share(self, first: np.ndarray) -> np.ndarray:
+        """l(v) by the level of v."""
+        return self.weight * MOST[first] / (MOST[first] + RARE)
 
-def _pairs(words: LogFilter, texts: pa.Array) -> tuple:
-    """Tokens, distinct keys and counts, sizes, the token before each, and which tokens may end a bigram seen twice.
-
-    Counts are quantised; ``OPEN`` where the filter doesn't tell. A word seen once is in no bigram seen twice.
-    """
-    ids, distinct, sizes = tokens(texts)
-    keys = hashed(distinct)
-    count = _counts(words, keys)
-    follows = np.ones(len(ids), bool)
-    follows[np.concatenate([[0], np.cumsum(sizes)[:-1]]).astype(np.int64)] = False
-    before = np.concatenate([[0], ids[:-1]])
-    again = (count >= 2) | (count == OPEN)
-    return ids, keys, count, sizes, before, follows & again[before] & again[ids]
+    def extra(self, first: np.ndarray) -> np.ndarray:
+        """f(v) by the level of v: a false hit has level 2, and no level is over half more than the one before."""
+        return self.share(first) * (self.false_hits * LEAST[2] / np.maximum(MOST[first], 1) + self.raised / 2)
 
+    def alone(self, word: np.ndarray) -> np.ndarray:
+        return (MIDDLES[word] + 0.5) / self.norm
 
-OPEN = -1.0
+    def after(self, word: np.ndarray, first: np.ndarray, joint: np.ndarray) -> np.ndarray:
+        """P(w | v) by the levels of w, of v (2 or more) and of both together."""
+        most = MOST[first]
+        kept = self.share(first)
+        direct = np.minimum(LEAST[joint], most) / most
+        return (kept * direct + (1 - kept) * self.alone(word)) / (1 + self.extra(first))
 
 
-def _counts(held: LogFilter, keys: np.ndarray) -> np.ndarray:
-    """Quantised counts. Of a full filter only levels above the least tell, as one probe hits by chance too often."""
-    level = held.level(keys)
-    return np.where(held.whole | (level > held.least), MIDDLES[level], OPEN)
+@dataclass
+class Model:
+    words: object  # broadcast LogFilter
+    pairs: object  # broadcast LogFilter
+    heavy: object  # broadcast (sorted keys, counts) of the most frequent words, exact
+    counts: DataFrame  # key, n of every word
+    bigrams: DataFrame  # key, n of every bigram seen twice or more
+    train_tokens: int
+    types: int
+    mix: Mix
 
 
-_OPEN = pa.list_(
-    pa.struct([*((k, pa.int64()) for k in ("w", "v", "vw")), *((c, pa.float64()) for c in ("cw", "cv", "cvw")), ("after", pa.bool_())])
-)
-_OPEN_SQL = "array<struct<w: long, v: long, vw: long, cw: double, cv: double, cvw: double, after: boolean>>"
+_OPEN = pa.list_(pa.struct([*((k, pa.int64()) for k in ("w", "v", "vw")), *((c, pa.int16()) for c in ("lw", "lv", "lvw"))]))
+_OPEN_SQL = "array<struct<w: long, v: long, vw: long, lw: smallint, lv: smallint, lvw: smallint>>"
 
 
 @dataclass
 class Read:
-    """Tokens and the counts that the filters give for them."""
+    """Tokens and the levels that the filters give for them."""
 
     ids: np.ndarray  # of each token among keys
     keys: np.ndarray
     sizes: np.ndarray  # tokens per text
     before: np.ndarray  # the token before each
-    on: np.ndarray  # tokens that may end a bigram seen twice
-    count: np.ndarray  # by key
-    joint: np.ndarray  # of each token in ``on`` with the one before
-    open: np.ndarray  # tokens with a count that only a join gives
-
-    def open_tokens(self, groups: np.ndarray) -> pa.ListArray:
-        """The open tokens, in lists of which each has the tokens of so many texts; keys of known counts are null."""
+    level: np.ndarray  # by key
+    on: np.ndarray  # tokens after one that may be seen twice
+    joint: np.ndarray  # of each token with the one before; 0 if either is seen less than twice
+
+    @property
+    def open(self) -> np.ndarray:
+        """Tokens with a level that only a join gives."""
+        unsure = self.level[self.ids] == OPEN
+        return unsure | (self.on & ((self.level[self.before] == OPEN) | (self.joint == OPEN)))
+
+    def open_tokens(self) -> pa.ListArray:
+        """The open tokens of each text; keys of known levels are null."""
         at = np.flatnonzero(self.open)
-        joint = np.zeros(len(self.ids))
-        joint[self.on] = self.joint
         w, v = self.ids[at], self.before[at]
-        counts = [self.count[w], self.count[v], joint[at]]
-        asked = [self.keys[w], self.keys[v], bigram(self.keys[v], self.keys[w])]
-        asked = [pa.array(k.view(np.int64), mask=c != OPEN) for k, c in zip(asked, counts, strict=True)]
-        made = pa.StructArray.from_arrays([*asked, *map(pa.array, [*counts, self.on[at]])], fields=list(_OPEN.value_type))
-        ends = np.concatenate([[0], np.cumsum(self.sizes)])[np.concatenate([[0], np.cumsum(groups)])]
+        lw = self.level[w]
+        lv = np.where(self.on[at], self.level[v], NONE)
+        lvw = np.where(self.on[at], self.joint[at], 0)
+        asked = zip((self.keys[w], self.keys[v], bigram(self.keys[v], self.keys[w])), (lw, lv, lvw), strict=True)
+        keys = [pa.array(k.view(np.int64), mask=known != OPEN) for k, known in asked]
+        known = [pa.array(x.astype(np.int16)) for x in (lw, lv, lvw)]
+        made = pa.StructArray.from_arrays([*keys, *known], fields=list(_OPEN.value_type))
+        ends = np.concatenate([[0], np.cumsum(self.sizes)])
         return pa.ListArray.from_arrays(pa.array(np.searchsorted(at, ends).astype(np.int32)), made, type=_OPEN)
 
 
-def _read(words: LogFilter, pairs: LogFilter, texts: pa.Array) -> Read:
-    ids, keys, count, sizes, before, on = _pairs(words, texts)
-    code = pa.array(before[on] * len(keys) + ids[on]).dictionary_encode()
-    distinct = code.dictionary.to_numpy()
-    joint = _counts(pairs, bigram(keys[distinct // len(keys)], keys[distinct % len(keys)]))[code.indices.to_numpy()]
-    unsure = (count == OPEN)[ids]
-    unsure[on] |= (count[before[on]] == OPEN) | (joint == OPEN)
-    return Read(ids, keys, sizes, before, on, count, joint, unsure)
+def _words_read(words: LogFilter, texts: pa.Array) -> tuple[np.ndarray, ...]:
+    """Tokens, keys, sizes, the token before each, levels by key, and tokens after one that may be seen twice."""
+    ids, distinct, sizes = tokens(texts)
+    keys = hashed(distinct)
+    level = words.read(keys)
+    follows = np.ones(len(ids), bool)
+    follows[np.concatenate([[0], np.cumsum(sizes)[:-1]]).astype(np.int64)] = False
+    before = np.concatenate([[0], ids[:-1]])
+    again = (level >= 2) | (level == OPEN)
+    return ids, keys, sizes, before, level, follows & again[before]
 
 
-def _share(joint: np.ndarray, first: np.ndarray, less: float) -> np.ndarray:
-    """c(v w) / c(v), with ``less`` taken off both counts."""
-    return np.maximum(np.minimum(joint, first) - less, 0) / np.maximum(first - less, 1)
+def _distinct_pairs(ids: np.ndarray, keys: np.ndarray, before: np.ndarray, level: np.ndarray, on: np.ndarray) -> tuple:
+    """Tokens that may end a bigram seen twice, the distinct bigrams as indices of both words, and which each is."""
+    both = np.flatnonzero(on & ((level >= 2) | (level == OPEN))[ids])
+    coded = pa.array(before[both] * len(keys) + ids[both]).dictionary_encode()
+    code = coded.dictionary.to_numpy()
+    return both, code // len(keys), code % len(keys), coded.indices.to_numpy()
+
+
+def _read(words: LogFilter, pairs: LogFilter, texts: pa.Array) -> Read:
+    ids, keys, sizes, before, level, on = _words_read(words, texts)
+    both, first, second, which = _distinct_pairs(ids, keys, before, level, on)
+    joint = np.zeros(len(ids), np.int64)
+    joint[both] = pairs.read(bigram(keys[first], keys[second]))[which]
+    return Read(ids, keys, sizes, before, level, on, joint)
 
 
 def looked_up(tokens: DataFrame, model: Model) -> DataFrame:
-    """Open tokens (rows with a column ``t``) with all counts: ``cw``, ``cv``, ``cvw``, and ``after``, whether a bigram counts."""
+    """Open tokens (rows with a column ``t``) with all levels: ``lw``, ``lv`` (``NONE`` without a bigram) and ``lvw``."""
 
     def quantise(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for got in batches:
-            yield batch(_MIDDLES, key=got["key"], n=MIDDLES[levels(got["n"].to_numpy())])
+            yield batch(_LEVELS, key=got["key"], level=levels(got["n"].to_numpy()).astype(np.int32))
 
     def below(counts: DataFrame, least: int) -> DataFrame:
-        return counts.filter(F.col("n") < int(STEPS[least])).select("key", "n").mapInArrow(given_back(quantise), "key long, n double")
+        return counts.filter(F.col("n") < int(STEPS[least - 1])).select("key", "n").mapInArrow(given_back(quantise), "key long, level int")
 
     out = tokens
-    for key, c, counts, held in (("w", "cw", model.counts, model.words.value), ("v", "cv", model.counts, model.words.value), ("vw", "cvw", model.bigrams, model.pairs.value)):
+    for key, c, counts, held in (("w", "lw", model.counts, model.words.value), ("v", "lv", model.counts, model.words.value), ("vw", "lvw", model.bigrams, model.pairs.value)):
+        known = F.col(f"t.{c}").cast("int")
         if held.whole:
-            out = out.withColumn(c, F.col(f"t.{c}"))
+            out = out.withColumn(c, known)
             continue
-        rest = below(counts, held.least).select(F.col("key").alias(f"key_{c}"), F.col("n").alias(f"n_{c}"))
+        rest = below(counts, held.least).select(F.col("key").alias(f"key_{c}"), F.col("level").alias(f"level_{c}"))
         # What is known finds nothing; its keys are spread so that a frequent word's are not in one task.
-        asked = F.when(F.col(f"t.{c}") == OPEN, F.col(f"t.{key}")).otherwise(F.xxhash64("t", F.rand(SEED)))
+        asked = F.when(known == OPEN, F.col(f"t.{key}")).otherwise(F.xxhash64("t", F.rand(SEED)))
         joined = out.withColumn(f"asked_{c}", asked).join(rest, F.col(f"asked_{c}") == F.col(f"key_{c}"), "left")
-        found = F.when(F.col(f"t.{c}") == OPEN, F.coalesce(f"n_{c}", F.lit(0.0))).otherwise(F.col(f"t.{c}"))
-        out = joined.withColumn(c, found).drop(f"asked_{c}", f"key_{c}", f"n_{c}")
-    return out.withColumn("after", F.col("t.after") & (F.col("cv") >= 2) & (F.col("cw") >= 2)).drop("t")
+        found = F.when(known == OPEN, F.coalesce(f"level_{c}", F.lit(0))).otherwise(known)
+        out = joined.withColumn(c, found).drop(f"asked_{c}", f"key_{c}", f"level_{c}")
+    return out.drop("t")
 
 
-def learn(docs: DataFrame, *, bits_per_item: int = 12, max_bits: int = 1 << 30) -> Model:
+def learn(docs: DataFrame, *, bits_per_probe: float = 2.2, max_bits: int = 1 << 30) -> Model:
     """A model of all texts of ``docs`` (doc_id, text)."""
     context = docs.sparkSession.sparkContext
     counts = write_scratch(word_counts(docs), "lm-words")
     total, types = counts.agg(F.sum("n"), F.count("*")).first()
     total = total or 0
-    made, mass = build_filter(counts, bits_per_item, max_bits)
+    made, sizes = build_filter(counts, bits_per_probe, max_bits, _hashes(types, bits_per_probe))
     words = context.broadcast(made)
     heavy = counts.filter(F.col("n") >= max(1, -(-total // HEAVY))).toPandas().sort_values("key")
     exact = (heavy["key"].to_numpy(np.int64), heavy["n"].to_numpy(np.int64))
 
+    # Where the filter doesn't know all levels, both words are kept to join them.
+    schema = _PAIRS if made.whole else _OPEN_PAIRS
+
     def count_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: dict[str, list] = {"key": [], "n": []}
+        seen: dict[str, list] = {f.name: [] for f in schema}
         held = 0
 
         def flush() -> pa.RecordBatch:
             key = np.concatenate([np.zeros(0, np.uint64), *seen["key"]])
-            key, at = np.unique(key, return_inverse=True)
+            key, one, at = np.unique(key, return_index=True, return_inverse=True)
             n = np.bincount(at, np.concatenate([np.zeros(0), *seen["n"]]), len(key)).astype(np.int64)
-            seen["key"].clear()
-            seen["n"].clear()
-            return batch(_COUNTS, key=key.view(np.int64), n=n)
+            rest = {c: np.concatenate([np.zeros(0, np.int64), *seen[c]])[one] for c in schema.names[2:]}
+            for kept in seen.values():
+                kept.clear()
+            return batch(schema, key=key.view(np.int64), n=n, **rest)
 
         for got in batches:
             for begin, end in slices(got["text"], RUN_BYTES):
-                ids, keys, _, _, before, on = _pairs(words.value, got["text"].slice(begin, end - begin))
-                code, n = np.unique(before[on] * len(keys) + ids[on], return_counts=True)
-                seen["key"].append(bigram(keys[code // len(keys)], keys[code % len(keys)]))
-                seen["n"].append(n)
-                held += len(code)
+                ids, keys, _, before, level, on = _words_read(words.value, got["text"].slice(begin, end - begin))
+                _, first, second, which = _distinct_pairs(ids, keys, before, level, on)
+                seen["key"].append(bigram(keys[first], keys[second]))
+                seen["n"].append(np.bincount(which, minlength=len(first)))
+                seen["of"].append(np.maximum(level[first], 0) * 1024 + np.maximum(level[second], 0))
+                if "v" in seen:
+                    seen["v"].append(keys[first].view(np.int64))
+                    seen["w"].append(keys[second].view(np.int64))
+                held += len(first)
                 if held > HELD_PAIRS:
                     yield flush()
                     held = 0
                     give_back()
         yield flush()
 
-    partial = docs.select(text_of(docs).alias("text")).mapInArrow(given_back(count_pairs), "key long, n long")
-    bigrams = write_scratch(partial.groupBy("key").agg(F.sum("n").alias("n")).filter("n >= 2"), "lm-bigrams")
-    pairs = context.broadcast(build_filter(bigrams, bits_per_item, max_bits)[0])
-    norm = mass + 0.5 * (types + 1)
-    model = Model(words, pairs, context.broadcast(exact), counts, bigrams, total, types, norm)
-    model.weight = _tuned(docs, model)
-    return model
+    sql = ", ".join(f"{f.name} {'int' if f.name == 'of' else 'long'}" for f in schema)
+    partial = docs.select(text_of(docs).alias("text")).mapInArrow(given_back(count_pairs), sql)
+    kept = [F.max(c).alias(c) for c in schema.names[2:]]
+    bigrams = partial.groupBy("key").agg(F.sum("n").alias("n"), *kept).filter("n >= 2")
+    bigrams = write_scratch(bigrams, "lm-bigrams")
+    again = sum(n for k, n in sizes.types.items() if k >= 2)
+    held, _ = build_filter(bigrams, bits_per_probe, max_bits, _hashes(again, bits_per_probe))
+    # Now and then the item of the next level is found by chance.
+    up = made.chance(HASHES)
+    read = (1 - up) * sum(up**i * np.append(MIDDLES[i:], np.repeat(MIDDLES[-1], i)) for i in range(20))
+    norm = sum(n * read[k] for k, n in sizes.types.items()) + 0.5 * (types + 1)
+    mix = Mix(norm, 0.0, held.chance(held.first) * again, held.chance(HASHES))
+    if total:
+        mix.weight = _tuned(counts, bigrams, sizes, norm)
+    return Model(words, context.broadcast(held), context.broadcast(exact), counts, bigrams, total, types, mix)
+
+
+def _hashes(types: int, bits_per_probe: float) -> int:
+    """Hashes of an item of the lowest level, so that of ``types`` n-grams a tenth of one is a false hit."""
+    filled = 1 - math.exp(-1 / bits_per_probe)
+    return min(max(HASHES, math.ceil(math.log(10 * max(types, 1)) / -math.log(filled))), 32)
+
 
+WEIGHTS = [0.0, 0.01, 0.02, 0.05, 0.1, 0.15, 0.2, 0.3, 0.4, 0.5, 0.6, 0.7, 0.8, 0.9]
 
-WEIGHTS = [0.0, 0.01, 0.02, 0.05, 0.1, 0.15, 0.2, 0.3, 0.4, 0.5, 0.6, 0.7]
 
+def _tuned(counts: DataFrame, bigrams: DataFrame, sizes: Sizes, norm: float) -> float:
+    """The bigram weight that makes the training texts likeliest, leaving each token out.
 
-def _tuned(docs: DataFrame, model: Model) -> float:
-    """The bigram weight that makes the training texts likeliest, leaving each token out."""
-    if not model.train_tokens:
-        return 0.0
-    words, pairs, norm = model.words, model.pairs, model.norm
+    All occurrences of a bigram have the same term, and it depends on three levels only. A token of a bigram seen once has
+    log(1 - l(v)) and a rest that is the same for every weight; there are as many as the contexts' tokens that are left.
+    """
+
+    joined = "v" in bigrams.columns
+    if joined:
+        for c in ("v", "w"):
+            of_word = counts.select(F.col("key").alias(c), F.col("n").alias(f"n_{c}"))
+            bigrams = bigrams.join(of_word, c)
 
-    def try_all(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        schema = pa.schema([("totals", pa.list_(pa.float64())), ("open", _OPEN)])
+    def quantise(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        schema = pa.schema([("of", pa.int32()), ("level", pa.int32()), ("n", pa.int64())])
         for got in batches:
-            for begin, end in slices(got["text"], RUN_BYTES):
-                read = _read(words.value, pairs.value, got["text"].slice(begin, end - begin))
-                sure = read.on & ~read.open
-                share = _share(read.joint[sure[read.on]], read.count[read.before[sure]], 1.0)
-                alone = (np.maximum(read.count[read.ids[sure]] - 1, 0) + 0.5) / norm
-                # Without a share, a token's term is log(1 - a) + log(alone).
-                none = share == 0
-                apart, n = float(np.log(alone[none]).sum()), int(none.sum())
-                share, alone = share[~none], alone[~none]
-                sums = [float(np.log(a * share + (1 - a) * alone).sum()) + n * math.log1p(-a) + apart for a in WEIGHTS]
-                read.open &= read.on
-                yield batch(schema, totals=[sums], open=read.open_tokens(np.array([end - begin])))
-
-    tried = docs.select(text_of(docs).alias("text")).mapInArrow(given_back(try_all), f"totals array<double>, open {_OPEN_SQL}")
-    whole = words.value.whole and pairs.value.whole
-    tried = tried if whole else write_scratch(tried, "lm-tuning")
-    each = [F.sum(F.col("totals")[i]).alias(str(i)) for i in range(len(WEIGHTS))]
-    sums = np.array(tried.agg(*each).first(), float)
-    if not whole:
-        found = looked_up(tried.select(F.explode("open").alias("t")), model).filter("after")
-        share = F.greatest(F.least("cvw", "cv") - 1, F.lit(0.0)) / F.greatest(F.col("cv") - 1, F.lit(1.0))
-        alone = (F.greatest(F.col("cw") - 1, F.lit(0.0)) + 0.5) / norm
-        each = [F.coalesce(F.sum(F.log(a * share + (1 - a) * alone)), F.lit(0.0)).alias(str(a)) for a in WEIGHTS]
-        sums += np.array(found.agg(*each).first(), float)
-    return WEIGHTS[int(sums.argmax())]
+            of = got["of"].to_numpy()
+            if joined:
+                of = levels(got["n_v"].to_numpy()) * 1024 + levels(got["n_w"].to_numpy())
+            yield batch(schema, of=of.astype(np.int32), level=levels(got["n"].to_numpy()).astype(np.int32), n=got["n"])
+
+    asked = ["of", "n", *(("n_v", "n_w") if joined else ())]
+    levelled = bigrams.select(*asked).mapInArrow(given_back(quantise), "of int, level int, n long")
+    # At most a row for every three levels.
+    found = levelled.groupBy("of", "level").agg(F.sum("n").alias("n")).toPandas()
+    of, level, n = (found[c].to_numpy(np.int64) for c in ("of", "level", "n"))
+    first, second = of // 1024, of % 1024
+    (end,) = hashed([END]).view(np.int64).tolist()
+    ends = counts.filter(F.col("key") == end).agg(F.sum("n")).first()[0] or 0
+    left = np.zeros(len(MOST))
+    for k, tokens_ in sizes.total.items():
+        left[k] += tokens_
+    left[levels(np.array([ends]))[0]] -= ends  # nothing comes after the end
+    np.subtract.at(left, first, n)
+    left = np.where((np.arange(len(left)) >= 2) & (left > 0), left, 0)
+    direct = np.maximum(np.minimum(LEAST[level], MOST[first]) - 1, 0) / np.maximum(MOST[first] - 1, 1)
+    alone = (np.maximum(MIDDLES[second] - 1, 0) + 0.5) / norm
+    sums = []
+    for a in WEIGHTS:
+        kept = a * MOST / (MOST + RARE)
+        mine = kept[first]
+        sums.append(float((n * np.log(mine * direct + (1 - mine) * alone)).sum() + (left * np.log1p(-kept)).sum()))
+    return WEIGHTS[int(np.argmax(sums))]
 
 
 # ---- scoring -----------------------------------------------------------------------
 
 
-def _log_probabilities(read: Read, norm: float, weight: float, n: int) -> tuple[np.ndarray, np.ndarray]:
+def _log_probabilities(read: Read, mix: Mix, n: int) -> tuple[np.ndarray, np.ndarray]:
     """Each token's text, and by text the log10 probabilities of the tokens that are not open."""
-    p = ((np.maximum(read.count, 0) + 0.5) / norm)[read.ids]
-    if weight > 0 and read.on.any():
-        share = _share(read.joint, read.count[read.before[read.on]], 0.0)
-        p[read.on] = weight * share + (1 - weight) * p[read.on]
+    open_ = read.open
+    p = mix.alone(np.maximum(read.level, 0))[read.ids]
+    at = np.flatnonzero(read.on & ~open_)
+    if mix.weight > 0 and len(at):
+        p[at] = mix.after(read.level[read.ids[at]], read.level[read.before[at]], read.joint[at])
     doc = np.repeat(np.arange(n), read.sizes)
-    return doc, np.bincount(doc, np.where(read.open, 0.0, np.log10(np.minimum(p, 1.0))), n)
+    return doc, np.bincount(doc, np.where(open_, 0.0, np.log10(np.minimum(p, 1.0))), n)
 
 
 _SCORED = pa.schema(
@@ -452,12 +538,23 @@ def _closed(scored: DataFrame, model: Model) -> DataFrame:
     if model.words.value.whole and model.pairs.value.whole:
         return scored.drop("open")
     key = ["doc_id", "text_hash"]
-    found = looked_up(scored.select(*key, F.explode("open").alias("t")), model)
-    a, p = model.weight, (F.col("cw") + 0.5) / model.norm
-    share = F.least("cvw", "cv") / F.greatest("cv", F.lit(1.0))
-    p = F.least(F.when(F.col("after"), a * share + (1 - a) * p).otherwise(p), F.lit(1.0))
+    mix = model.mix
+
+    def rate(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        schema = pa.schema([("doc_id", pa.int64()), ("text_hash", pa.int64()), ("open_log", pa.float64())])
+        for got in batches:
+            word, first, joint = (got[c].to_numpy() for c in ("lw", "lv", "lvw"))
+            p = mix.alone(word)
+            at = np.flatnonzero(first >= 2)
+            if mix.weight > 0:
+                joint = np.where(word >= 2, joint, 0)
+                p[at] = mix.after(word[at], first[at], joint[at])
+            yield batch(schema, doc_id=got["doc_id"], text_hash=got["text_hash"], open_log=np.log10(np.minimum(p, 1.0)))
+
+    looked = looked_up(scored.select(*key, F.explode("open").alias("t")), model)
+    found = looked.mapInArrow(given_back(rate), "doc_id long, text_hash long, open_log double")
     copies = F.count("*").alias("copies")
-    sums = found.groupBy(*key).agg(F.sum(F.log10(p)).alias("open_logs"))
+    sums = found.groupBy(*key).agg(F.sum("open_log").alias("open_logs"))
     sums = sums.select(F.col("doc_id").alias("d_open"), F.col("text_hash").alias("h_open"), "open_logs")
     times = scored.filter(F.size("open") > 0).groupBy(*key).agg(copies).select(
         F.col("doc_id").alias("d_times"), F.col("text_hash").alias("h_times"), "copies"
@@ -472,7 +569,7 @@ def _closed(scored: DataFrame, model: Model) -> DataFrame:
 def score(docs: DataFrame, model: Model) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score of rows with doc_id, held_out, text."""
     words, pairs, heavy = model.words, model.pairs, model.heavy
-    own_norm, weight = model.norm, model.weight
+    mix = model.mix
 
     def rate(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         heavy_keys, heavy_counts = heavy.value
@@ -481,7 +578,7 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
                 n = end - begin
                 read = _read(words.value, pairs.value, got["text"].slice(begin, n))
                 ids, keys = read.ids, read.keys
-                doc, found = _log_probabilities(read, own_norm, weight, n)
+                doc, found = _log_probabilities(read, mix, n)
                 signed = keys.view(np.int64)
                 exact = np.zeros(len(keys), np.int64)
                 if len(heavy_keys):
@@ -501,7 +598,7 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
                     logs=logs,
                     score=found,
                     rare=rare,
-                    open=read.open_tokens(np.ones(n, np.int64)),
+                    open=read.open_tokens(),
                 )
             give_back()
 
