@@ -114,7 +114,8 @@ def test_all_bigrams_seen_twice_are_held(spark):
 
     def level(v, w):
         first, second = lm.hashed([v]), lm.hashed([w])
-        return model.pairs.value.level(lm.bigram(first, second))[0]
+        read = model.words.value.read
+        return model.pairs.value.level(lm.bigram(first, second, read(first), read(second)))[0]
 
     assert model.pairs.value.least == 2
     assert all(level(f"seldom{i}", f"pair{i}") == 2 for i in range(30))
@@ -211,8 +212,9 @@ def test_probabilities_of_a_context_add_up_to_one_at_most(spark, documents):
         sums = []
         for v in rng.choice(by_count[n], 12):
             first = lm.hashed([v])
-            joint = np.where(level >= 2, model.pairs.value.read(lm.bigram(np.repeat(first, len(keys)), keys)), 0)
             at = np.full(len(keys), model.words.value.read(first)[0])
+            asked = lm.bigram(np.repeat(first, len(keys)), keys, at, level)
+            joint = np.where(level >= 2, model.pairs.value.read(asked), 0)
             sums.append(float(model.mix.after(level, at, joint).sum()))
         assert np.mean(sums) <= 1, n
         all_sums += sums

@@ -20,7 +20,8 @@ joined with the lower counts, quantised alike, so no count is dropped at any siz
 
 The base score needs exact counts. Words with at least N / 2**19 occurrences, at most 2**19 of them, are
 broadcast; the other words of each text are joined with the counts. Words are identified by
-XXH64; at a billion distinct words the chance that any two meet is about 3 %.
+XXH64; at a billion distinct words the chance that any two meet is about 3 %. Of a billion bigrams, identified by 48 bits
+and the levels of their words, some 2,000 share a key with another.
 
 Null texts count as empty: one end. A null doc_id is neither held out nor learned from. Rows with one doc_id
 are separate documents. Without training texts every probability is 1. No rows give no rows. Other
@@ -48,6 +49,7 @@ SEED = 42
 RUN_BYTES = 2_000_000
 HELD_PAIRS = 600_000
 HASHES = 5
+WORD_HASHES = 8  # of the lowest level of words
 RARE = 4.0  # K: contexts seen so often get half of the weight
 SEGMENT_BITS = 1 << 15
 HEAVY = 1 << 19
@@ -69,8 +71,11 @@ def mixed(x: np.ndarray, salt: int) -> np.ndarray:
     return x ^ (x >> np.uint64(32))
 
 
-def bigram(first: np.ndarray, second: np.ndarray) -> np.ndarray:
-    return mixed(first, 1) ^ (second * np.uint64(0xC2B2AE3D27D4EB4F))
+def bigram(first: np.ndarray, second: np.ndarray, level: np.ndarray, level2: np.ndarray) -> np.ndarray:
+    """A bigram's key: 48 bits of hash, and the levels of both words (0 for an open one) as they are read."""
+    hashes = mixed(mixed(first, 1) ^ (second * np.uint64(0xC2B2AE3D27D4EB4F)), 2)
+    packed = np.maximum(level, 0) << 8 | np.maximum(level2, 0)
+    return hashes & ~np.uint64(0xFFFF) | packed.astype(np.uint64)
 
 
 def split(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
@@ -238,8 +243,7 @@ NONE = -2  # of a token that ends no bigram
 
 _COUNTS = pa.schema([("key", pa.int64()), ("n", pa.int64())])
 _LEVELS = pa.schema([("key", pa.int64()), ("level", pa.int32())])
-_PAIRS = pa.schema([("key", pa.int64()), ("n", pa.int64()), ("of", pa.int32())])
-_OPEN_PAIRS = pa.schema([*_PAIRS, ("v", pa.int64()), ("w", pa.int64())])
+_OPEN_PAIRS = pa.schema([*_COUNTS, ("v", pa.int64()), ("w", pa.int64())])
 
 
 def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -326,7 +330,8 @@ class Read:
         lw = self.level[w]
         lv = np.where(self.on[at], self.level[v], NONE)
         lvw = np.where(self.on[at], self.joint[at], 0)
-        asked = zip((self.keys[w], self.keys[v], bigram(self.keys[v], self.keys[w])), (lw, lv, lvw), strict=True)
+        joint = bigram(self.keys[v], self.keys[w], self.level[v], lw)
+        asked = zip((self.keys[w], self.keys[v], joint), (lw, lv, lvw), strict=True)
         keys = [pa.array(k.view(np.int64), mask=known != OPEN) for k, known in asked]
         known = [pa.array(x.astype(np.int16)) for x in (lw, lv, lvw)]
         made = pa.StructArray.from_arrays([*keys, *known], fields=list(_OPEN.value_type))
@@ -358,7 +363,7 @@ def _read(words: LogFilter, pairs: LogFilter, texts: pa.Array) -> Read:
     ids, keys, sizes, before, level, on = _words_read(words, texts)
     both, first, second, which = _distinct_pairs(ids, keys, before, level, on)
     joint = np.zeros(len(ids), np.int64)
-    joint[both] = pairs.read(bigram(keys[first], keys[second]))[which]
+    joint[both] = pairs.read(bigram(keys[first], keys[second], level[first], level[second]))[which]
     return Read(ids, keys, sizes, before, level, on, joint)
 
 
@@ -387,19 +392,19 @@ def looked_up(tokens: DataFrame, model: Model) -> DataFrame:
     return out.drop("t")
 
 
-def learn(docs: DataFrame, *, bits_per_probe: float = 2.2, max_bits: int = 1 << 30) -> Model:
+def learn(docs: DataFrame, *, bits_per_probe: float = 1.8, max_bits: int = 1 << 30) -> Model:
     """A model of all texts of ``docs`` (doc_id, text)."""
     context = docs.sparkSession.sparkContext
     counts = write_scratch(word_counts(docs), "lm-words")
     total, types = counts.agg(F.sum("n"), F.count("*")).first()
     total = total or 0
-    made, sizes = build_filter(counts, bits_per_probe, max_bits, _hashes(types, bits_per_probe))
+    made, sizes = build_filter(counts, bits_per_probe, max_bits, WORD_HASHES)
     words = context.broadcast(made)
     heavy = counts.filter(F.col("n") >= max(1, -(-total // HEAVY))).toPandas().sort_values("key")
     exact = (heavy["key"].to_numpy(np.int64), heavy["n"].to_numpy(np.int64))
 
     # Where the filter doesn't know all levels, both words are kept to join them.
-    schema = _PAIRS if made.whole else _OPEN_PAIRS
+    schema = _COUNTS if made.whole else _OPEN_PAIRS
 
     def count_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: dict[str, list] = {f.name: [] for f in schema}
@@ -418,9 +423,8 @@ def learn(docs: DataFrame, *, bits_per_probe: float = 2.2, max_bits: int = 1 <<
             for begin, end in slices(got["text"], RUN_BYTES):
                 ids, keys, _, before, level, on = _words_read(words.value, got["text"].slice(begin, end - begin))
                 _, first, second, which = _distinct_pairs(ids, keys, before, level, on)
-                seen["key"].append(bigram(keys[first], keys[second]))
+                seen["key"].append(bigram(keys[first], keys[second], level[first], level[second]))
                 seen["n"].append(np.bincount(which, minlength=len(first)))
-                seen["of"].append(np.maximum(level[first], 0) * 1024 + np.maximum(level[second], 0))
                 if "v" in seen:
                     seen["v"].append(keys[first].view(np.int64))
                     seen["w"].append(keys[second].view(np.int64))
@@ -431,7 +435,7 @@ def learn(docs: DataFrame, *, bits_per_probe: float = 2.2, max_bits: int = 1 <<
                     give_back()
         yield flush()
 
-    sql = ", ".join(f"{f.name} {'int' if f.name == 'of' else 'long'}" for f in schema)
+    sql = ", ".join(f"{f.name} long" for f in schema)
     partial = docs.select(text_of(docs).alias("text")).mapInArrow(given_back(count_pairs), sql)
     kept = [F.max(c).alias(c) for c in schema.names[2:]]
     bigrams = partial.groupBy("key").agg(F.sum("n").alias("n"), *kept).filter("n >= 2")
@@ -449,9 +453,9 @@ def learn(docs: DataFrame, *, bits_per_probe: float = 2.2, max_bits: int = 1 <<
 
 
 def _hashes(types: int, bits_per_probe: float) -> int:
-    """Hashes of an item of the lowest level, so that of ``types`` n-grams a tenth of one is a false hit."""
+    """Hashes of an item of the lowest level, so that of ``types`` n-grams half of one is a false hit."""
     filled = 1 - math.exp(-1 / bits_per_probe)
-    return min(max(HASHES, math.ceil(math.log(10 * max(types, 1)) / -math.log(filled))), 32)
+    return min(max(HASHES, math.ceil(math.log(2 * max(types, 1)) / -math.log(filled))), 40)
 
 
 WEIGHTS = [0.0, 0.01, 0.02, 0.05, 0.1, 0.15, 0.2, 0.3, 0.4, 0.5, 0.6, 0.7, 0.8, 0.9]
@@ -473,17 +477,17 @@ def _tuned(counts: DataFrame, bigrams: DataFrame, sizes: Sizes, norm: float) ->
     def quantise(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         schema = pa.schema([("of", pa.int32()), ("level", pa.int32()), ("n", pa.int64())])
         for got in batches:
-            of = got["of"].to_numpy()
+            of = got["key"].to_numpy() & 0xFFFF
             if joined:
-                of = levels(got["n_v"].to_numpy()) * 1024 + levels(got["n_w"].to_numpy())
+                of = levels(got["n_v"].to_numpy()) << 8 | levels(got["n_w"].to_numpy())
             yield batch(schema, of=of.astype(np.int32), level=levels(got["n"].to_numpy()).astype(np.int32), n=got["n"])
 
-    asked = ["of", "n", *(("n_v", "n_w") if joined else ())]
+    asked = ["key", "n", *(("n_v", "n_w") if joined else ())]
     levelled = bigrams.select(*asked).mapInArrow(given_back(quantise), "of int, level int, n long")
     # At most a row for every three levels.
     found = levelled.groupBy("of", "level").agg(F.sum("n").alias("n")).toPandas()
     of, level, n = (found[c].to_numpy(np.int64) for c in ("of", "level", "n"))
-    first, second = of // 1024, of % 1024
+    first, second = of >> 8, of & 255
     (end,) = hashed([END]).view(np.int64).tolist()
     ends = counts.filter(F.col("key") == end).agg(F.sum("n")).first()[0] or 0
     left = np.zeros(len(MOST))
