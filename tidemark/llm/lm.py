@@ -52,6 +52,8 @@ HASHES = 5
 WORD_HASHES = 8  # of the lowest level of words
 RARE = 4.0  # K: contexts seen so often get half of the weight
 SEGMENT_BITS = 1 << 15
+SEGMENT_WORDS = SEGMENT_BITS // 64
+WORD_BITS = 7  # of an item that one word of a segment takes at most
 HEAVY = 1 << 19
 
 
@@ -123,21 +125,22 @@ def levels(counts: np.ndarray) -> np.ndarray:
     return np.searchsorted(STEPS, counts, "right")
 
 
-def _item(keys: np.ndarray, level: int) -> tuple[np.ndarray, np.ndarray]:
-    """Of each n-gram's item for a level its first place in the segment, and the step to the next."""
-    item = mixed(keys, 100 + level)
-    return item, (item >> np.uint64(40)) | np.uint64(1)
-
-
-def _place(item: np.ndarray) -> np.ndarray:
-    return (item & np.uint64(SEGMENT_BITS - 1)).astype(np.int64)
+def _marks(keys: np.ndarray, level: int, hashes: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Of each n-gram's item for a level, words of its segment and the bits that are set in them."""
+    parts = -(-hashes // WORD_BITS)
+    for part in range(parts):
+        item = mixed(keys, 100 + level + 1000 * part)
+        bits = np.zeros(len(keys), np.uint64)
+        for i in range(hashes * (part + 1) // parts - hashes * part // parts):
+            bits |= np.uint64(1) << (item >> np.uint64(6 * i) & np.uint64(63))
+        yield (item >> np.uint64(64 - SEGMENT_WORDS.bit_length() + 1)).astype(np.int64), bits
 
 
 @dataclass
 class LogFilter:
     """Segments of bits; an n-gram's items all lie in the segment that its hash names."""
 
-    segments: np.ndarray  # segment x byte
+    segments: np.ndarray  # segment x word of 64 bits
     least: int  # the lowest level held
     most: int
     first: int = HASHES  # hashes of the lowest level's items; the others have ``HASHES``
@@ -149,14 +152,14 @@ class LogFilter:
         if not len(self.segments):
             return out
         flat = self.segments.reshape(-1)
-        start = (mixed(keys, 7) % np.uint64(len(self.segments))).astype(np.int64) * (SEGMENT_BITS // 8)
+        start = (mixed(keys, 7) % np.uint64(len(self.segments))).astype(np.int64) * SEGMENT_WORDS
         alive = np.arange(len(keys))
         for level in range(self.least, self.most + 1):
-            item, step = _item(keys[alive], level)
-            for _ in range(self.first if level == self.least else HASHES):
-                at = _place(item)
-                hit = np.flatnonzero(flat[start[alive] + (at >> 3)] >> (at & 7).astype(np.uint8) & 1)
-                alive, item, step = alive[hit], item[hit] + step[hit], step[hit]
+            hit = np.arange(len(keys))
+            for word, bits in _marks(keys, level, self.first if level == self.least else HASHES):
+                word, bits = start[hit] + word[hit], bits[hit]
+                hit = hit[flat[word] & bits == bits]
+            alive, keys, start = alive[hit], keys[hit], start[hit]
             if not len(alive):
                 break
             out[alive] = level
@@ -171,8 +174,9 @@ class LogFilter:
         """How often an item of so many hashes is found that isn't held."""
         if not len(self.segments):
             return 0.0
-        filled = np.bitwise_count(self.segments).sum(axis=1) / SEGMENT_BITS
-        return float((filled**hashes).mean())
+        filled = np.bitwise_count(self.segments) / 64
+        parts = -(-hashes // WORD_BITS)
+        return float((filled ** (hashes / parts)).mean() ** parts)
 
 
 @dataclass
@@ -195,7 +199,7 @@ def build_filter(counts: DataFrame, bits_per_probe: float, max_bits: int, first:
     found = held.groupBy("level").agg(F.count("*").alias("types"), F.sum("n").alias("total")).collect()
     sizes = Sizes({r["level"]: r["types"] for r in found}, {r["level"]: r["total"] for r in found})
     if not found:
-        return LogFilter(np.zeros((0, SEGMENT_BITS // 8), np.uint8), 1, 0), sizes
+        return LogFilter(np.zeros((0, SEGMENT_WORDS), np.uint64), 1, 0), sizes
     lowest = least = min(sizes.types)
     most = max(sizes.types)
 
@@ -205,7 +209,7 @@ def build_filter(counts: DataFrame, bits_per_probe: float, max_bits: int, first:
     while bits() > max_bits:
         least += 1
     if least > most:
-        return LogFilter(np.zeros((0, SEGMENT_BITS // 8), np.uint8), least, most, first, False), sizes
+        return LogFilter(np.zeros((0, SEGMENT_WORDS), np.uint64), least, most, first, False), sizes
     segments = max(1, math.ceil(bits() / SEGMENT_BITS))
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -217,22 +221,19 @@ def build_filter(counts: DataFrame, bits_per_probe: float, max_bits: int, first:
     def fill(table: pa.Table) -> pa.Table:
         keys = table["key"].to_numpy().astype(np.int64).view(np.uint64)
         top = table["level"].to_numpy()
-        set_ = np.zeros(SEGMENT_BITS, np.uint8)
+        words = np.zeros(SEGMENT_WORDS, np.uint64)
         for k in range(least, int(top.max()) + 1):
-            item, step = _item(keys[top >= k], k)
-            for _ in range(first if k == least else HASHES):
-                set_[_place(item)] = 1
-                item = item + step
-        made = np.packbits(set_, bitorder="little").tobytes()
-        return pa.table({"segment": table["segment"].slice(0, 1), "bits": pa.array([made], pa.binary())})
+            for word, bits in _marks(keys[top >= k], k, first if k == least else HASHES):
+                np.bitwise_or.at(words, word, bits)
+        return pa.table({"segment": table["segment"].slice(0, 1), "bits": pa.array([words.tobytes()], pa.binary())})
 
     placed = held.filter(F.col("level") >= least).drop("n").mapInArrow(given_back(place), "key long, level int, segment long")
     made = placed.groupBy("segment").applyInArrow(fill, "segment long, bits binary")
-    out = np.zeros((segments, SEGMENT_BITS // 8), np.uint8)
+    out = np.zeros((segments, SEGMENT_WORDS), np.uint64)
     # At most max_bits, see above.
     filled = made.toArrow()
     for segment, raw in zip(filled["segment"].to_pylist(), filled["bits"].to_pylist(), strict=True):
-        out[segment] = np.frombuffer(raw, np.uint8)
+        out[segment] = np.frombuffer(raw, np.uint64)
     return LogFilter(out, least, most, first, least == lowest), sizes
 
 
@@ -392,7 +393,7 @@ def looked_up(tokens: DataFrame, model: Model) -> DataFrame:
     return out.drop("t")
 
 
-def learn(docs: DataFrame, *, bits_per_probe: float = 1.8, max_bits: int = 1 << 30) -> Model:
+def learn(docs: DataFrame, *, bits_per_probe: float = 2.2, max_bits: int = 1 << 30) -> Model:
     """A model of all texts of ``docs`` (doc_id, text)."""
     context = docs.sparkSession.sparkContext
     counts = write_scratch(word_counts(docs), "lm-words")
@@ -455,7 +456,8 @@ def learn(docs: DataFrame, *, bits_per_probe: float = 1.8, max_bits: int = 1 <<
 def _hashes(types: int, bits_per_probe: float) -> int:
     """Hashes of an item of the lowest level, so that of ``types`` n-grams half of one is a false hit."""
     filled = 1 - math.exp(-1 / bits_per_probe)
-    return min(max(HASHES, math.ceil(math.log(2 * max(types, 1)) / -math.log(filled))), 40)
+    # Words of 64 bits are filled unevenly, which costs a hash or two.
+    return min(max(HASHES, math.ceil(math.log(2 * max(types, 1)) / -math.log(filled)) + 2), 40)
 
 
 WEIGHTS = [0.0, 0.01, 0.02, 0.05, 0.1, 0.15, 0.2, 0.3, 0.4, 0.5, 0.6, 0.7, 0.8, 0.9]
