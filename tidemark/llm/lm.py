@@ -18,7 +18,7 @@ counts alone. A filter has ``bits_per_probe`` bits for each bit it sets, up to `
 bound; beyond that it holds only higher counts (the least level rises). Tokens that need a count it doesn't hold are
 joined with the lower counts, quantised alike, so no count is dropped at any size.
 
-The base score needs exact counts. Words with at least N / 2**19 occurrences, at most 2**19 of them, are
+The base score needs exact counts. Words with at least N / 2**21 occurrences, at most 2**21 of them, are
 broadcast; the other words of each text are joined with the counts. Words are identified by
 XXH64; at a billion distinct words the chance that any two meet is about 3 %. Of a billion bigrams, identified by 48 bits
 and the levels of their words, some 2,000 share a key with another.
@@ -46,7 +46,8 @@ from tidemark.session import write_scratch
 
 END = " "  # no word has white space
 SEED = 42
-RUN_BYTES = 2_000_000
+RUN_BYTES = 1_000_000
+GIVE_BACK = 6  # runs after which freed memory goes back
 HELD_PAIRS = 600_000
 HASHES = 5
 WORD_HASHES = 8  # of the lowest level of words
@@ -54,7 +55,7 @@ RARE = 4.0  # K: contexts seen so often get half of the weight
 SEGMENT_BITS = 1 << 15
 SEGMENT_WORDS = SEGMENT_BITS // 64
 WORD_BITS = 7  # of an item that one word of a segment takes at most
-HEAVY = 1 << 19
+HEAVY = 1 << 21
 
 
 def hashed(words: list[str] | pa.Array) -> np.ndarray:
@@ -580,7 +581,9 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
     def rate(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         heavy_keys, heavy_counts = heavy.value
         for got in batches:
-            for begin, end in slices(got["text"], RUN_BYTES):
+            for run, (begin, end) in enumerate(slices(got["text"], RUN_BYTES)):
+                if run % GIVE_BACK == GIVE_BACK - 1:
+                    give_back()
                 n = end - begin
                 read = _read(words.value, pairs.value, got["text"].slice(begin, n))
                 ids, keys = read.ids, read.keys
