@@ -18,7 +18,7 @@ counts alone. A filter has ``bits_per_probe`` bits for each bit it sets, up to `
 bound; beyond that it holds only higher counts (the least level rises). Tokens that need a count it doesn't hold are
 joined with the lower counts, quantised alike, so no count is dropped at any size.
 
-The base score needs exact counts. Words with at least N / 2**21 occurrences, at most 2**21 of them, are
+The base score needs exact counts. Words with at least N / 2**20 occurrences, at most 2**20 of them, are
 broadcast; the other words of each text are joined with the counts. Words are identified by
 XXH64; at a billion distinct words the chance that any two meet is about 3 %. Of a billion bigrams, identified by 48 bits
 and the levels of their words, some 2,000 share a key with another.
@@ -47,15 +47,15 @@ from tidemark.session import write_scratch
 END = " "  # no word has white space
 SEED = 42
 RUN_BYTES = 1_000_000
-GIVE_BACK = 6  # runs after which freed memory goes back
+GIVE_BACK = 4  # runs after which freed memory goes back
 HELD_PAIRS = 600_000
 HASHES = 5
 WORD_HASHES = 8  # of the lowest level of words
 RARE = 4.0  # K: contexts seen so often get half of the weight
 SEGMENT_BITS = 1 << 15
 SEGMENT_WORDS = SEGMENT_BITS // 64
-WORD_BITS = 7  # of an item that one word of a segment takes at most
-HEAVY = 1 << 21
+WORD_BITS = 8  # of an item that one word of a segment takes at most
+HEAVY = 1 << 20
 
 
 def hashed(words: list[str] | pa.Array) -> np.ndarray:
@@ -141,19 +141,24 @@ def _marks(keys: np.ndarray, level: int, hashes: int) -> Iterator[tuple[np.ndarr
 class LogFilter:
     """Segments of bits; an n-gram's items all lie in the segment that its hash names."""
 
-    segments: np.ndarray  # segment x word of 64 bits
+    raw: bytes  # not an array, which is copied when it is unpickled
     least: int  # the lowest level held
     most: int
     first: int = HASHES  # hashes of the lowest level's items; the others have ``HASHES``
     whole: bool = True  # no count is below least
 
+    @property
+    def segments(self) -> np.ndarray:
+        """Segment by word of 64 bits."""
+        return np.frombuffer(self.raw, np.uint64).reshape(-1, SEGMENT_WORDS)
+
     def level(self, keys: np.ndarray) -> np.ndarray:
         """The level of each n-gram, 0 if not held: probes from the lowest until the first miss."""
         out = np.zeros(len(keys), np.int64)
         if not len(self.segments):
             return out
         flat = self.segments.reshape(-1)
-        start = (mixed(keys, 7) % np.uint64(len(self.segments))).astype(np.int64) * SEGMENT_WORDS
+        start = (mixed(keys, 7) % np.uint64(len(flat) // SEGMENT_WORDS)).astype(np.int64) * SEGMENT_WORDS
         alive = np.arange(len(keys))
         for level in range(self.least, self.most + 1):
             hit = np.arange(len(keys))
@@ -200,7 +205,7 @@ def build_filter(counts: DataFrame, bits_per_probe: float, max_bits: int, first:
     found = held.groupBy("level").agg(F.count("*").alias("types"), F.sum("n").alias("total")).collect()
     sizes = Sizes({r["level"]: r["types"] for r in found}, {r["level"]: r["total"] for r in found})
     if not found:
-        return LogFilter(np.zeros((0, SEGMENT_WORDS), np.uint64), 1, 0), sizes
+        return LogFilter(b"", 1, 0), sizes
     lowest = least = min(sizes.types)
     most = max(sizes.types)
 
@@ -210,7 +215,7 @@ def build_filter(counts: DataFrame, bits_per_probe: float, max_bits: int, first:
     while bits() > max_bits:
         least += 1
     if least > most:
-        return LogFilter(np.zeros((0, SEGMENT_WORDS), np.uint64), least, most, first, False), sizes
+        return LogFilter(b"", least, most, first, False), sizes
     segments = max(1, math.ceil(bits() / SEGMENT_BITS))
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -235,7 +240,7 @@ def build_filter(counts: DataFrame, bits_per_probe: float, max_bits: int, first:
     filled = made.toArrow()
     for segment, raw in zip(filled["segment"].to_pylist(), filled["bits"].to_pylist(), strict=True):
         out[segment] = np.frombuffer(raw, np.uint64)
-    return LogFilter(out, least, most, first, least == lowest), sizes
+    return LogFilter(out.tobytes(), least, most, first, least == lowest), sizes
 
 
 OPEN = -1  # a level that only a join gives
@@ -394,7 +399,7 @@ def looked_up(tokens: DataFrame, model: Model) -> DataFrame:
     return out.drop("t")
 
 
-def learn(docs: DataFrame, *, bits_per_probe: float = 2.2, max_bits: int = 1 << 30) -> Model:
+def learn(docs: DataFrame, *, bits_per_probe: float = 2.0, max_bits: int = 1 << 30) -> Model:
     """A model of all texts of ``docs`` (doc_id, text)."""
     context = docs.sparkSession.sparkContext
     counts = write_scratch(word_counts(docs), "lm-words")
@@ -457,8 +462,8 @@ def learn(docs: DataFrame, *, bits_per_probe: float = 2.2, max_bits: int = 1 <<
 def _hashes(types: int, bits_per_probe: float) -> int:
     """Hashes of an item of the lowest level, so that of ``types`` n-grams half of one is a false hit."""
     filled = 1 - math.exp(-1 / bits_per_probe)
-    # Words of 64 bits are filled unevenly, which costs a hash or two.
-    return min(max(HASHES, math.ceil(math.log(2 * max(types, 1)) / -math.log(filled)) + 2), 40)
+    # Words of 64 bits are filled unevenly, which costs a hash.
+    return min(max(HASHES, math.ceil(math.log(2 * max(types, 1)) / -math.log(filled)) + 1), 40)
 
 
 WEIGHTS = [0.0, 0.01, 0.02, 0.05, 0.1, 0.15, 0.2, 0.3, 0.4, 0.5, 0.6, 0.7, 0.8, 0.9]
