@@ -52,7 +52,7 @@ HELD_PAIRS = 600_000
 HASHES = 5
 WORD_HASHES = 8  # of the lowest level of words
 RARE = 4.0  # K: contexts seen so often get half of the weight
-SEGMENT_BITS = 1 << 15
+SEGMENT_BITS = 1 << 18
 SEGMENT_WORDS = SEGMENT_BITS // 64
 WORD_BITS = 8  # of an item that one word of a segment takes at most
 HEAVY = 1 << 20
