@@ -1,22 +1,36 @@
 import zlib
+from collections import Counter
 
 import numpy as np
+import pyarrow as pa
+import pytest
 from pyspark.sql import functions as F
 
 from tidemark.llm import toxicity
 from tidemark.llm.queries import op7_toxicity
 
 
+def fitted(terms):
+    """A model from (context or None, word, ordinary, toxic)."""
+    single = [t[1:] for t in terms if t[0] is None]
+    pairs = [t for t in terms if t[0] is not None]
+    counts = [("n0", pa.int64()), ("n1", pa.int64())]
+    one = pa.schema([("word", pa.string()), *counts])
+    two = pa.schema([("context", pa.string()), ("word", pa.string()), *counts])
+    rows = [dict(zip(one.names, t, strict=True)) for t in single], [dict(zip(two.names, t, strict=True)) for t in pairs]
+    return toxicity.KneserNey.fit(pa.Table.from_pylist(rows[0], one), pa.Table.from_pylist(rows[1], two))
+
+
 def test_probabilities_of_each_class_add_up_to_one():
     words = ["a", "b", "c"]
     terms = [(None, w, 4 + i, 2 * i + 1) for i, w in enumerate(words)]
     terms += [("a", "b", 3, 1), ("a", "c", 1, 0), ("b", "a", 0, 3)]
-    totals = {0: 20, 1: 12}
-    model = toxicity.KneserNey.fit(terms, totals, {"a": 2, "b": 1})
+    totals = {0: 15, 1: 9}
+    model = fitted(terms)
     assert model.index == {"a": 1, "b": 2, "c": 3}
     # exp(ratio) * p0 = p1; recover p0 from the definition for the lowest order.
     one = np.array([[0, 4, 5, 6], [0, 1, 3, 5]], float)
-    shared = np.array([0.5, 2.5, 1.5, 0.5]) / 5
+    shared = np.array([0.5, 1.5, 1.5, 1.5]) / 5
     for k in (0, 1):
         kept = np.maximum(one[k] - toxicity.DISCOUNT, 0)
         p = kept / totals[k] + (1 - kept.sum() / totals[k]) * shared
@@ -27,13 +41,54 @@ def test_probabilities_of_each_class_add_up_to_one():
 
 def test_features_follow_the_bigrams():
     terms = [(None, "you", 50, 50), (None, "idiot", 0, 40), (None, "fine", 40, 0), ("you", "idiot", 0, 20), ("you", "fine", 20, 0)]
-    model = toxicity.KneserNey.fit(terms, {0: 100, 1: 100}, {"you": 2, "idiot": 1, "fine": 1})
+    model = fitted(terms)
     x = model.features(["you idiot", "you fine", "", "unknown words only", "IDIOT!"])
     assert x[0, 0] > 1 > -1 > x[1, 0]
     assert (x[2] == 0).all()
     assert abs(x[3, 0]) < abs(x[4, 0])
 
 
+def test_ratios_against_plain_kneser_ney():
+    """Every n-gram of some texts, however rare, in dictionaries."""
+    rng = np.random.default_rng(3)
+    texts = [(k, " ".join(rng.choice(list("abcdefgh"), 12 - 3 * k))) for k in (0, 1) for _ in range(15)]
+    words = [Counter(), Counter()]
+    pairs = [Counter(), Counter()]
+    for k, text in texts:
+        split = text.split()
+        words[k].update(split)
+        pairs[k].update(zip(split, split[1:], strict=False))
+    seen = pairs[0].keys() | pairs[1].keys()
+    vocabulary = sorted(words[0].keys() | words[1].keys())
+    model = fitted(
+        [(None, w, words[0][w], words[1][w]) for w in vocabulary] + [(*p, pairs[0][p], pairs[1][p]) for p in seen]
+    )
+    d = toxicity.DISCOUNT
+    before = {w: 0.5 + sum(p[1] == w for p in seen) for w in vocabulary}
+    mass = 0.5 + sum(before.values())
+
+    def single(k, w):
+        total = sum(words[k].values())
+        left = sum(min(n, d) for n in words[k].values()) / total
+        return max(words[k][w] - d, 0) / total + left * before.get(w, 0.5) / mass
+
+    def after(k, v, w):
+        n = words[k][v]
+        if not n:
+            return single(k, w)
+        kept = sum(max(c - d, 0) for p, c in pairs[k].items() if p[0] == v)
+        left = min(max(1 - kept / n, 1e-6), 1.0)
+        return max(pairs[k][v, w] - d, 0) / n + left * single(k, w)
+
+    for text in [t for _, t in texts] + ["a zz b", "zz", "h h h h"]:
+        split = text.split()
+        ratio = 0.0
+        for v, w in zip([None, *split], split, strict=False):
+            p = [after(k, v, w) if v in before else single(k, w) for k in (0, 1)]
+            ratio += np.log(p[1] / p[0])
+        assert model.features([text])[0, 0] == pytest.approx(ratio / len(split))
+
+
 def test_query_holds_out_and_separates(spark, sf_dir, load):
     toxic = {r["doc_id"]: r["toxic"] for r in load("labels").collect()}
     rows = op7_toxicity(spark, sf_dir).collect()

@@ -1,14 +1,14 @@
 """Toxicity by class-conditional Kneser-Ney bigram models.
 
 Two interpolated, absolutely discounted bigram models, one of toxic and one of ordinary texts, share
-their lowest order: continuation counts (how many words precede a word) over both classes. N-grams
-in fewer than ``least`` texts of the sample count only through that shared backoff, so rare words weigh
-alike in both classes. A text's features are its log-likelihood ratio normalised by its length in
-several ways; a logistic fit on further labelled texts turns them into a score.
+their lowest order: continuation counts (how many words precede a word) over both classes. All n-grams of the sample
+are kept; what rare ones say is smoothed by the discount and that shared backoff. A text's features are its log-likelihood ratio normalised by its length in
+several ways, once over all n-grams and once with those seen less than ``OFTEN`` times read as unknown, so that the fit
+can weigh rare expressions apart; a logistic fit on further labelled texts turns them into a score.
 
 The fit uses a bounded sample of labelled rows: per class ``sample`` rows for the language models and
-``sample`` for the logistic fit, those with the smallest hashes of doc_id, and at most ``max_terms`` kept
-n-grams of each order, the most frequent. Scoring covers all rows and whole texts.
+``sample`` for the logistic fit, those with the smallest hashes of doc_id. So the models' size has a bound, too. Scoring
+covers all rows and whole texts, however long.
 
 Null texts count as empty; empty texts get the score of a ratio of zero. Labels other than 0 and 1, and null ones,
 are not learned from. Without labels of both classes every score is the share of label 1 (0 if there
@@ -24,16 +24,18 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import batch, given_back, runs, text_of
-from tidemark.session import write_scratch
+from tidemark.session import remove_scratch, write_scratch
 
 _WORD = re.compile(r"[^\W\d_]+")
 RUN_CHARS = 1_500_000
 DISCOUNT = 0.75
 FLUSH = 400_000
+OFTEN = 5
 
 
 def words_of(text: str) -> list[str]:
@@ -49,28 +51,33 @@ class KneserNey:
     backoff: np.ndarray  # by context
     keys: np.ndarray  # sorted context * (n + 1) + word
     pair: np.ndarray  # by key
+    often: np.ndarray  # words seen often; 0 isn't
+    pair_often: np.ndarray  # by key
 
     @classmethod
-    def fit(cls, terms: list[tuple], totals: dict[int, int], preceded: dict[str, int]) -> KneserNey:
-        """terms: (context or None, word, n ordinary, n toxic); preceded: continuation counts."""
-        index = {w: i + 1 for i, w in enumerate(sorted(w for c, w, *_ in terms if c is None))}
-        n = len(index)
+    def fit(cls, single: pa.Table, pairs: pa.Table) -> KneserNey:
+        """single: word, n0 (ordinary), n1 (toxic); pairs: context, word, n0, n1. All words of pairs are in single."""
+        single = single.sort_by("word").combine_chunks()
+        words = single["word"].combine_chunks()
+        n = len(words)
         one = np.zeros((2, n + 1))
-        for context, word, *counts in terms:
-            if context is None:
-                one[:, index[word]] = counts
-        follow = np.full(n + 1, 0.5)
-        for word, i in index.items():
-            follow[i] += preceded.get(word, 0)
+        for k in (0, 1):
+            one[k, 1:] = single[f"n{k}"].to_numpy()
+        totals = one.sum(axis=1)
+        at = np.column_stack(
+            [
+                *(pc.index_in(pairs[c], value_set=words).to_numpy().astype(np.int64) + 1 for c in ("context", "word")),
+                *(pairs[f"n{k}"].to_numpy() for k in (0, 1)),
+            ]
+        )
+        at = at[np.argsort(at[:, 0] * (n + 1) + at[:, 1])]
+        follow = 0.5 + np.bincount(at[:, 1], minlength=n + 1)
         shared = follow / follow.sum()
         prob = np.zeros((2, n + 1))
         for k in (0, 1):
             kept = np.maximum(one[k] - DISCOUNT, 0)
             total = max(totals[k], 1)
             prob[k] = kept / total + (1 - kept.sum() / total) * shared
-        pairs = [(index[c], index[w], *x) for c, w, *x in terms if c is not None and c in index and w in index]
-        pairs.sort()
-        at = np.array(pairs, np.int64).reshape(-1, 4)
         held = np.zeros((2, n + 1))
         for k in (0, 1):
             np.add.at(held[k], at[:, 0], np.maximum(at[:, 2 + k] - DISCOUNT, 0))
@@ -82,45 +89,52 @@ class KneserNey:
             direct = np.where(seen > 0, np.maximum(at[:, 2 + k] - DISCOUNT, 0) / np.maximum(seen, 1), 0)
             both[k] = direct + left[k][at[:, 0]] * prob[k][at[:, 1]]
         return cls(
-            index,
+            {w: i for i, w in enumerate(words.to_pylist(), 1)},
             np.log(prob[1] / prob[0]),
             np.log(left[1] / left[0]),
             at[:, 0] * (n + 1) + at[:, 1],
             np.log(both[1] / both[0]),
+            one.sum(axis=0) >= OFTEN,
+            at[:, 2] + at[:, 3] >= OFTEN,
         )
 
     def features(self, texts: list[str]) -> np.ndarray:
-        """Per text: the ratio by length, by its root, its size, its positive part, and the length."""
+        """Per text, of all n-grams and of those seen often: the ratio by length, by its root, its size and its
+        positive part; and the length."""
         split = [words_of(t) for t in texts]
         sizes = np.array([len(w) for w in split], np.int64)
         ids = np.fromiter((self.index.get(w, 0) for words in split for w in words), np.int64, int(sizes.sum()))
-        ratio = self.single[ids]
+        context, hit, at = np.zeros(len(ids), np.int64), np.zeros(len(ids), bool), np.zeros(len(ids), np.int64)
+        inside = np.ones(len(ids), bool)
         if len(ids):
             context = np.concatenate([[0], ids[:-1]])
-            starts = np.concatenate([[0], np.cumsum(sizes)[:-1]])[sizes > 0]
-            inside = np.ones(len(ids), bool)
-            inside[starts] = False
-            known = inside & (context > 0)
-            ratio = ratio + np.where(known, self.backoff[context], 0)
+            inside[np.concatenate([[0], np.cumsum(sizes)[:-1]])[sizes > 0]] = False
+            context[~inside] = 0
             if len(self.keys):
                 key = context * (len(self.index) + 1) + ids
                 at = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
-                hit = known & (ids > 0) & (self.keys[at] == key)
-                ratio = np.where(hit, self.pair[at], ratio)
+                hit = (context > 0) & (ids > 0) & (self.keys[at] == key)
         doc = np.repeat(np.arange(len(texts)), sizes)
-        total = np.bincount(doc, ratio, len(texts))
-        strong = np.bincount(doc, np.where(ratio > 1.5, ratio, 0), len(texts))
         n = np.maximum(sizes, 1)
-        return np.column_stack(
-            [
+        columns = []
+        for only_often in (False, True):
+            word, before, known = ids, context, hit
+            if only_often:
+                word, before = np.where(self.often[ids], ids, 0), np.where(self.often[context], context, 0)
+                known = hit & self.pair_often[at] if len(self.keys) else hit
+            ratio = self.single[word] + np.where(before > 0, self.backoff[before], 0)
+            if len(self.keys):
+                ratio = np.where(known, self.pair[at], ratio)
+            total = np.bincount(doc, ratio, len(texts))
+            strong = np.bincount(doc, np.where(ratio > 1.5, ratio, 0), len(texts))
+            columns += [
                 total / n,
                 total / np.sqrt(n),
                 np.sign(total) * np.log1p(np.abs(total)),
                 np.log1p(strong),
                 strong / n,
-                np.log1p(sizes),
             ]
-        )
+        return np.column_stack([*columns, np.log1p(sizes)])
 
 
 @dataclass
@@ -168,7 +182,7 @@ def sampled(labels: DataFrame, sample: int) -> tuple[DataFrame, dict[int, int]]:
     return rows.filter(inside).select("doc_id", "label", (F.pmod("h", F.lit(2)) == 0).alias("fits_words")), sizes
 
 
-def learn(docs: DataFrame, labels: DataFrame, *, sample: int = 2500, least: int = 5, max_terms: int = 200_000) -> Scorer:
+def learn(docs: DataFrame, labels: DataFrame, *, sample: int = 2500) -> Scorer:
     """A scorer from texts (doc_id, text) and labels (doc_id, label: 0 or 1)."""
     chosen, sizes = sampled(labels, sample)
     share = sizes.get(1, 0) / max(1, sum(sizes.values()))
@@ -178,10 +192,9 @@ def learn(docs: DataFrame, labels: DataFrame, *, sample: int = 2500, least: int
     picked = write_scratch(given, "toxicity-sample")
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        columns = [("context", pa.string()), ("word", pa.string()), *((c, pa.int64()) for c in ("n0", "n1", "texts"))]
+        columns = [("context", pa.string()), ("word", pa.string()), ("n0", pa.int64()), ("n1", pa.int64())]
         schema = pa.schema(columns)
         seen: dict[int, Counter] = {0: Counter(), 1: Counter()}
-        texts: Counter = Counter()
 
         def flush() -> pa.RecordBatch:
             terms = list(seen[0].keys() | seen[1].keys())
@@ -191,9 +204,8 @@ def learn(docs: DataFrame, labels: DataFrame, *, sample: int = 2500, least: int
                 word=[w for _, w in terms],
                 n0=[seen[0][t] for t in terms],
                 n1=[seen[1][t] for t in terms],
-                texts=[texts[t] for t in terms],
             )
-            for c in (*seen.values(), texts):
+            for c in seen.values():
                 c.clear()
             return out
 
@@ -202,34 +214,26 @@ def learn(docs: DataFrame, labels: DataFrame, *, sample: int = 2500, least: int
                 words = words_of(text)
                 terms = [(None, w) for w in words] + list(zip(words, words[1:], strict=False))
                 seen[label].update(terms)
-                texts.update(set(terms))
-                if len(texts) > FLUSH:
+                if len(seen[0]) + len(seen[1]) > FLUSH:
                     yield flush()
         yield flush()
 
     counted = (
         picked.filter("fits_words")
         .select("label", "text")
-        .mapInArrow(given_back(count), "context string, word string, n0 long, n1 long, texts long")
+        .mapInArrow(given_back(count), "context string, word string, n0 long, n1 long")
         .groupBy("context", "word")
-        .agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1"), F.sum("texts").alias("texts"))
+        .agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1"))
     )
     counted = write_scratch(counted, "toxicity-terms")
     totals = counted.filter("context is null").agg(F.sum("n0"), F.sum("n1")).first()
     if not totals[0] or not totals[1]:
         return constant
-    often = counted.filter(F.col("texts") >= least).drop("texts")
-    best = [F.desc(F.col("n0") + F.col("n1")), "context", "word"]
-    single = often.filter("context is null").orderBy(*best).limit(max_terms)
-    pairs = often.filter("context is not null").orderBy(*best).limit(max_terms)
-    words = [tuple(r) for r in single.collect()]
-    follow = counted.filter("context is not null").groupBy("word").agg(F.count("*").alias("n"))
-    preceded = follow.join(single.select("word"), "word").select("word", "n")
-    model = KneserNey.fit(
-        [*words, *(tuple(r) for r in pairs.collect())],
-        {0: totals[0], 1: totals[1]},
-        {r["word"]: r["n"] for r in preceded.collect()},
-    )
+    # Of a sample of bounded size.
+    single = counted.filter("context is null").select("word", "n0", "n1").toArrow()
+    pairs = counted.filter("context is not null").toArrow()
+    model = KneserNey.fit(single, pairs)
+    remove_scratch(counted)
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         schema = pa.schema([("label", pa.int32()), ("x", pa.list_(pa.float64()))])
