@@ -79,5 +79,5 @@ def test_stages_take_messy_and_empty_tables(spark, sf_dir, messy, nothing):
 
 def test_every_operator_has_its_query():
     names = __spark_entry__.queries()
-    assert {int(n[2:].split("_")[0]) for n in names if re.match(r"op\d+_", n)} == set(range(1, 11))
+    assert {int(n[2:].split("_")[0]) for n in names if re.match(r"op\d+_", n)} == set(range(1, 14))
     assert set(__spark_entry__.oracle_sql()) <= set(names)
