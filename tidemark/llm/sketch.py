@@ -3,18 +3,22 @@
 A text's paragraphs are its lines, each cut every ``WORDS`` words, white space between words as it is; their digests (XXH64, without
 repeats) are the elements. A sketch has three thirds of cells; an element belongs to one cell of each. A
 cell holds the number of its elements, the exclusive or of their digests and that of their check hashes.
-Sketches of two versions subtract cell by cell. Peeling goes through the thirds in turn: a cell that holds
+A third's size is the least power of two, ``LEAST_THIRD`` or more, that is one and a half times the paragraphs, so it
+depends on the text alone. The fingerprint is that sketch in hex: the size's exponent, then each filled cell with half its check hash.
+
+Two fingerprints of one size subtract cell by cell. If sizes differ, the smaller one's elements (it gives them all out
+when peeled alone) are placed at the larger size. Peeling goes through the thirds in turn: a cell that holds
 one element of either version gives its digest out, and it is removed from its three cells, until all are
 empty: the digests are exactly the paragraphs by which the versions differ. Pairs that keep filled
-cells (about one in a thousand) are retried with four times the cells and other hashes, until none is left,
-``ATTEMPTS`` times at most; one that still fails (one in 10 ** 12) counts the elements recovered.
+cells are retried with four times the cells and other hashes, until none is left, ``ATTEMPTS`` times at most; what still
+fails (about one in 10 ** 12) is counted from the digests themselves.
 
 Cells are rows (document, code of pair, size and cell): only filled ones exist, and each step is an
 aggregation by document, whose rows lie together already, so that no step shuffles. The work is
 proportional to the paragraphs, however long a text is.
 
 The likeness of two texts is 1 - d / u for d differing paragraphs and u paragraphs of either (1 if
-neither has any). The fingerprint is the text's sketch of 3 * ``FINGERPRINT_THIRD`` cells, in hex.
+neither has any). Both follow from the two fingerprints: the counts of a third's cells add up to the paragraphs.
 
 Null texts count as empty. The next document is that with the next larger (doc_id, hash of the text), null
 first; the last one's is the first. A single document is its own next. Equal rows (doc_id and text)
@@ -29,14 +33,13 @@ from pyspark.sql import functions as F
 from tidemark.llm.common import text_of
 from tidemark.session import write_scratch
 
-WORDS = 24
-LEAST_THIRD = 64
-FINGERPRINT_THIRD = 3
+WORDS = 16
+LEAST_THIRD = 32
 ATTEMPTS = 5
 STEPS = 8
 KEY = ["_id", "_hash"]
 
-# A cell's code: the pair (two bits), the size of a third (30 bits), the cell (32 bits). The cell after the
+# A cell's code: the pair (two bits), the exponent of a third's size (six bits), the cell (56 bits). The cell after the
 # last counts the elements given out.
 EDITED, NEXT, OWN_PRINT, EDITED_PRINT = range(4)
 
@@ -51,21 +54,31 @@ def paragraphs(text: Column) -> Column:
 # ---- sketches as rows --------------------------------------------------------------
 
 
-def code_of(pair: Column | int, third: Column, cell: Column) -> Column:
-    pair = F.lit(pair).cast("long") if isinstance(pair, int) else pair.cast("long")
-    return F.shiftleft(pair, 62).bitwiseOR(F.shiftleft(third.cast("long"), 32)).bitwiseOR(cell.cast("long"))
+def code_of(pair: int, exponent: Column) -> Column:
+    """The code of a sketch's first cell."""
+    return F.shiftleft(F.lit(pair).cast("long"), 62).bitwiseOR(F.shiftleft(exponent.cast("long"), 56))
 
 
 def pair_in(code: Column) -> Column:
     return F.shiftrightunsigned(code, 62)
 
 
+def exponent_in(code: Column) -> Column:
+    return F.shiftrightunsigned(code, 56).bitwiseAND(F.lit(63)).cast("int")
+
+
 def third_in(code: Column) -> Column:
-    return F.shiftrightunsigned(code, 32).bitwiseAND(F.lit((1 << 30) - 1))
+    return F.call_function("shiftleft", F.lit(1).cast("long"), exponent_in(code))
 
 
 def cell_in(code: Column) -> Column:
-    return code.bitwiseAND(F.lit((1 << 32) - 1))
+    return code.bitwiseAND(F.lit((1 << 56) - 1))
+
+
+def exponent_for(paragraphs: Column) -> Column:
+    """Of the size of a third that a text with so many paragraphs has."""
+    least = F.greatest(paragraphs * F.lit(1.5), F.lit(float(LEAST_THIRD)))
+    return F.ceil(F.log2(least)).cast("int")
 
 
 def check(key: Column, salt: int) -> Column:
@@ -74,13 +87,13 @@ def check(key: Column, salt: int) -> Column:
 
 def places(checked: Column, third: Column) -> list[Column]:
     """An element's cell in each third, from its check hash."""
-    parts = [F.shiftrightunsigned(checked, 43), F.shiftrightunsigned(checked, 22), checked]
-    return [F.pmod(p.bitwiseAND(F.lit((1 << 21) - 1)), third) + third * i for i, p in enumerate(parts)]
+    parts = [checked, F.shiftrightunsigned(checked, 32), F.xxhash64(checked)]
+    return [p.bitwiseAND(third - 1) + third * i for i, p in enumerate(parts)]
 
 
-def elements(pair: int, third: Column, mine: str, other: str | None) -> Column:
-    """Array of an element's digest, its sign, and the code of its pair and third."""
-    base = code_of(pair, third, F.lit(0))
+def elements(pair: int, exponent: Column, mine: str, other: str | None) -> Column:
+    """Array of an element's digest, its sign, and the code of its sketch's first cell."""
+    base = code_of(pair, exponent)
 
     def signed(digests: str, sign: int) -> Column:
         return F.transform(digests, lambda d: F.struct(d.alias("key"), F.lit(sign).alias("n"), base.alias("base")))
@@ -105,12 +118,12 @@ def sketched(rows: DataFrame, parts: list[Column], salt: int) -> DataFrame:
 
 
 def peeled(cells: DataFrame, salt: int) -> DataFrame:
-    """The cells after ``STEPS`` steps of peeling. Fingerprints' own cells stay."""
+    """The cells after ``STEPS`` steps of peeling."""
     for step in range(STEPS):
         code, key, n = F.col("code"), F.col("key"), F.col("n")
         third = third_in(code)
         # In one third an element has one cell, so it is given out once.
-        pure = (F.abs(n) == 1) & (pair_in(code) <= NEXT) & (F.floor(cell_in(code) / third) == step % 3)
+        pure = (F.abs(n) == 1) & (F.call_function("shiftright", cell_in(code), exponent_in(code)) == step % 3)
         pure = pure & (check(key, salt) == F.col("check"))
         base = code - cell_in(code)
 
@@ -126,66 +139,77 @@ def peeled(cells: DataFrame, salt: int) -> DataFrame:
     return cells
 
 
-def written(cells: Column) -> Column:
-    """Cells as hex, in their order."""
+def written(exponent: Column, cells: Column) -> Column:
+    """A sketch as hex: exponent;cell:n:key:check,... by cell."""
     texts = F.transform(
         F.array_sort(cells),
         lambda c: F.concat_ws(
-            ":", F.hex(c["cell"]), F.hex(c["n"]), F.lpad(F.hex(c["key"]), 16, "0")
+            ":", F.hex(c["cell"]), F.hex(c["n"]), F.lpad(F.hex(c["key"]), 16, "0"), F.lpad(F.hex(c["check"]), 8, "0")
         ),
     )
-    return F.lower(F.array_join(texts, ","))
+    return F.concat_ws(";", F.lower(F.hex(exponent)), F.lower(F.array_join(texts, ",")))
+
+
+def printed(rows: DataFrame) -> DataFrame:
+    """keys, own_print, edited_print of rows with keys and digests, which lie together by keys."""
+    pairs = ((OWN_PRINT, "digests", "own_print"), (EDITED_PRINT, "edited_digests", "edited_print"))
+    parts = [elements(pair, exponent_for(F.size(digests)), digests, None) for pair, digests, _ in pairs]
+    code = F.col("code")
+    shown = F.struct(cell_in(code).alias("cell"), "n", "key", F.shiftrightunsigned("check", 32).alias("check"))
+    columns = []
+    for pair, _, name in pairs:
+        mine = pair_in(code) == pair
+        columns.append(written(F.max(F.when(mine, exponent_in(code))), F.collect_list(F.when(mine, shown))).alias(name))
+    return sketched(rows, parts, 1).groupBy(*KEY).agg(*columns)
 
 
 def outcome(cells: DataFrame) -> DataFrame:
-    """Per document and pair: d, the elements given out, and left, the cells still filled; its fingerprints."""
-    pair, cell = pair_in(F.col("code")), cell_in(F.col("code"))
-    given = cell == third_in(F.col("code")) * 3
+    """Per document and pair: d, the elements given out, and left, the cells still filled."""
+    pair = pair_in(F.col("code"))
+    given = cell_in(F.col("code")) == third_in(F.col("code")) * 3
     columns = []
     for name, which in (("edited", EDITED), ("next", NEXT)):
         columns.append(F.sum(F.when((pair == which) & given, F.col("n"))).alias(f"d_{name}"))
         columns.append(F.count(F.when((pair == which) & ~given, 1)).alias(f"left_{name}"))
-    shown = F.struct(cell.alias("cell"), "n", "key")
-    for name, which in (("own_print", OWN_PRINT), ("edited_print", EDITED_PRINT)):
-        columns.append(F.collect_list(F.when(pair == which, shown)).alias(name))
     return cells.groupBy(*KEY).agg(*columns)
 
 
 def compared(rows: DataFrame) -> DataFrame:
-    """keys, d_edited, d_next, own_print, edited_print of rows with keys and digests."""
-
-    def third(other: str, attempt: int) -> Column:
-        return F.greatest((F.size("digests") + F.size(other)) * 2, F.lit(LEAST_THIRD)) * 4**attempt
+    """keys, d_edited, d_next of rows with keys and digests."""
 
     def pairs(attempt: int) -> list[Column]:
         return [
-            elements(pair, third(other, attempt), "digests", other)
+            elements(pair, exponent_for(F.greatest(F.size("digests"), F.size(other))) + 2 * attempt, "digests", other)
             for pair, other in ((EDITED, "edited_digests"), (NEXT, "next_digests"))
         ]
 
+    def redone(known: DataFrame, new: DataFrame) -> DataFrame:
+        """``known`` with the d and left of ``new`` where cells were left."""
+        names = [f"{c}_{n}" for c in ("d", "left") for n in ("edited", "next")]
+        both = known.join(new.select(*KEY, *(F.col(c).alias(f"new_{c}") for c in names)), KEY, "left")
+        mine = [
+            F.when(F.col(f"left_{c.split('_')[1]}") > 0, F.col(f"new_{c}")).otherwise(F.col(c)).alias(c) for c in names
+        ]
+        return both.select(*KEY, *mine)
+
     # The documents of a task stay in it through all steps.
     tasks = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     rows = rows.select(*KEY, "digests", "edited_digests", "next_digests")
-    small = F.lit(FINGERPRINT_THIRD)
-    prints = [elements(OWN_PRINT, small, "digests", None), elements(EDITED_PRINT, small, "edited_digests", None)]
-    cells = sketched(rows.repartition(tasks, *KEY), [*pairs(0), *prints], 1)
-    known = write_scratch(outcome(peeled(cells, 1)), "sketch-outcome")
+    failures = F.expr("left_edited > 0 or left_next > 0")
+    known = write_scratch(outcome(peeled(sketched(rows.repartition(tasks, *KEY), pairs(0), 1), 1)), "sketch-outcome")
     for attempt in range(1, ATTEMPTS):
-        failed = known.filter("left_edited > 0 or left_next > 0").select(*KEY)
+        failed = known.filter(failures).select(*KEY)
         if failed.isEmpty():
-            break
+            return known
         cells = sketched(rows.join(failed, KEY, "left_semi").repartition(tasks, *KEY), pairs(attempt), attempt + 1)
-        new = write_scratch(outcome(peeled(cells, attempt + 1)), "sketch-outcome")
-        new = new.select(*KEY, *(F.col(c).alias(f"new_{c}") for c in ("d_edited", "left_edited", "d_next", "left_next")))
-        known = known.join(new, KEY, "left")
-        for name in ("edited", "next"):
-            redone = F.col(f"left_{name}") > 0
-            changed = {c: F.when(redone, F.col(f"new_{c}")).otherwise(F.col(c)) for c in (f"d_{name}", f"left_{name}")}
-            known = known.withColumns(changed)
-        known = known.drop(*(f"new_{c}_{n}" for c in ("d", "left") for n in ("edited", "next")))
-    return known.select(
-        *KEY, "d_edited", "d_next", written(F.col("own_print")).alias("own_print"), written(F.col("edited_print")).alias("edited_print")
-    )
+        known = redone(known, write_scratch(outcome(peeled(cells, attempt + 1)), "sketch-outcome"))
+    last = rows.join(known.filter(failures).select(*KEY), KEY, "left_semi")
+    counts = []
+    for name in ("edited", "next"):
+        apart = [F.array_except("digests", f"{name}_digests"), F.array_except(f"{name}_digests", "digests")]
+        counts += [(F.size(apart[0]) + F.size(apart[1])).cast("long").alias(f"d_{name}")]
+        counts += [F.lit(0).cast("long").alias(f"left_{name}")]
+    return redone(known, last.select(*KEY, *counts))
 
 
 def likeness(differ: Column, mine: Column, other: Column) -> Column:
@@ -276,19 +300,27 @@ def fingerprints(docs: DataFrame) -> DataFrame:
         "next_digests",
     )
     rows = write_scratch(rows, "sketch-digests")
+    known = compared(rows).select(*KEY, "d_edited", "d_next")
     size = {c: F.size(f"{c}digests").alias(f"{c}size") for c in ("", "edited_", "next_")}
+    tasks = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    prints = printed(rows.select(*KEY, "digests", "edited_digests").repartition(tasks, *KEY))
+    plain = rows.select(*KEY, "doc_id", "copies", "n_chars", "edited_sha256", *size.values())
     # Documents without paragraphs have no cells.
-    found = rows.select(*KEY, "doc_id", "copies", "n_chars", "edited_sha256", *size.values()).join(
-        compared(rows), KEY, "left"
-    )
+    found = plain.repartition(tasks, *KEY).join(known, KEY, "left").join(prints, KEY, "left")
     zero = F.lit(0).cast("long")
     d_edited, d_next = F.coalesce("d_edited", zero), F.coalesce("d_next", zero)
+    none = written(exponent_for(F.lit(0)), F.array().cast("array<struct<cell:long,n:long,key:long,check:long>>"))
+
+    def print_of(column: str) -> Column:
+        # A text without paragraphs has an empty sketch, whatever the other version has.
+        return F.when(F.col("size" if column == "own_print" else "edited_size") > 0, F.col(column)).otherwise(none)
+
     return found.select(
         "doc_id",
         "n_chars",
         "edited_sha256",
-        F.coalesce("own_print", F.lit("")).alias("fingerprint"),
-        F.coalesce("edited_print", F.lit("")).alias("edited_fingerprint"),
+        print_of("own_print").alias("fingerprint"),
+        print_of("edited_print").alias("edited_fingerprint"),
         likeness(d_edited, F.col("size"), F.col("edited_size")).alias("near_edited"),
         likeness(d_next, F.col("size"), F.col("next_size")).alias("near_next"),
         F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies"))).alias("_copy"),
