@@ -240,18 +240,20 @@ def train(rows: list[tuple[str, list[tuple[str, int, int]]]], steps: int = 150,
     if not found:
         model.moves[OTHER, OTHER] = 1.0
         return model
-    n, width = len(found), max(len(r.keys) for r, _ in found)
-    x = np.zeros((n, width, len(index)), np.float32)
+    # Longest first: the runs that have a word at t are the first ``active[t]``.
+    found.sort(key=lambda pair: -len(pair[1]))
+    n, width = len(found), len(found[0][1])
     mask = np.zeros((n, width), bool)
     gold = np.zeros((n, width), int)
     for i, (run, labels) in enumerate(found):
         mask[i, : len(labels)], gold[i, : len(labels)] = True, labels
-        for t, key in enumerate(run.keys):
-            x[i, t, [index[f] for f in features(*key)]] = 1
-    flat = x[mask]
+    # Each word's features one after another, words in the order of ``mask``.
+    held = [[index[f] for f in features(*key)] for run, _ in found for key in run.keys]
+    sizes = np.array([len(h) for h in held])
+    flat, begins, word = np.concatenate(held), np.cumsum(sizes) - sizes, np.repeat(np.arange(len(held)), sizes)
     truth = np.eye(k)[gold]
     last = mask.sum(axis=1) - 1
-    rows_ix = np.arange(n)
+    rows_ix, active = np.arange(n), mask.sum(axis=0)
     padded = np.concatenate([np.zeros((n, 1), int), np.where(mask, gold, OTHER), np.zeros((n, 1), int)], axis=1)
     real = np.concatenate([np.ones((n, 1), bool), mask], axis=1)
     counted = np.zeros((k, k))
@@ -260,29 +262,29 @@ def train(rows: list[tuple[str, list[tuple[str, int, int]]]], steps: int = 150,
     second = [np.zeros_like(model.weights), np.zeros_like(model.moves)]
     for step in range(1, steps + 1):
         emit = np.zeros((n, width, k))
-        emit[mask] = flat @ model.weights
+        emit[mask] = np.add.reduceat(model.weights[flat], begins)
         moves = model.moves
         alpha, beta = np.zeros((n, width, k)), np.zeros((n, width, k))
         alpha[:, 0] = emit[:, 0] + moves[OTHER]
         for t in range(1, width):
-            ahead = _logsumexp(alpha[:, t - 1, :, None] + moves[None], 1) + emit[:, t]
-            alpha[:, t] = np.where(mask[:, t, None], ahead, alpha[:, t - 1])
+            m = active[t]
+            alpha[:m, t] = _logsumexp(alpha[:m, t - 1, :, None] + moves[None], 1) + emit[:m, t]
         total = _logsumexp(alpha[rows_ix, last] + moves[:, OTHER], 1)
-        for t in range(width - 1, -1, -1):
-            end = (last == t)[:, None]
-            if t + 1 < width:
-                inner = _logsumexp(moves[None] + (emit[:, t + 1] + beta[:, t + 1])[:, None, :], 2)
-                beta[:, t] = np.where(end, moves[:, OTHER], inner)
-            else:
-                beta[:, t] = moves[:, OTHER]
-        marginal = np.exp(alpha + beta - total[:, None, None])
-        grads = [flat.T @ (truth - marginal)[mask] - l2 * n * 0.01 * model.weights, counted.copy()]
+        beta[rows_ix, last] = moves[:, OTHER]
+        for t in range(width - 2, -1, -1):
+            m = active[t + 1]
+            beta[:m, t] = _logsumexp(moves[None] + (emit[:m, t + 1] + beta[:m, t + 1])[:, None, :], 2)
+        marginal = np.zeros((n, width, k))
+        marginal[mask] = np.exp(alpha[mask] + beta[mask] - np.repeat(total, last + 1)[:, None])
+        missed = (truth[mask] - marginal[mask])[word]
+        summed = np.stack([np.bincount(flat, missed[:, y], len(index)) for y in range(k)], axis=1)
+        grads = [summed - l2 * n * 0.01 * model.weights, counted.copy()]
         grads[1][OTHER] -= marginal[:, 0].sum(axis=0)
         grads[1][:, OTHER] -= marginal[rows_ix, last].sum(axis=0)
         for t in range(1, width):
-            on = mask[:, t]
-            pair = alpha[on, t - 1, :, None] + moves[None] + (emit[on, t] + beta[on, t])[:, None, :]
-            grads[1] -= np.exp(pair - total[on, None, None]).sum(axis=0)
+            m = active[t]
+            pair = alpha[:m, t - 1, :, None] + moves[None] + (emit[:m, t] + beta[:m, t])[:, None, :]
+            grads[1] -= np.exp(pair - total[:m, None, None]).sum(axis=0)
         grads[1] -= l2 * model.moves
         for p, g, m, v in zip((model.weights, model.moves), grads, state, second, strict=True):
             m += 0.1 * (g - m)
