@@ -1,4 +1,5 @@
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -90,3 +91,9 @@ def test_rotation_is_orthogonal():
     sample = np.random.default_rng(0).normal(size=(300, 8))
     for turn in ann.Rotation.learn(sample, 32).turns:
         assert np.allclose(turn @ turn.T, np.eye(8))
+
+
+def test_slices_of_vectors_keep_their_rows():
+    table = pa.table({"v": pa.chunked_array([[[1.0, 2.0], [3.0, 4.0]], [[5.0, 6.0]], [[7.0, 8.0]]])})
+    assert ann.matrix(table.slice(1, 2)["v"], 2).tolist() == [[3, 4], [5, 6]]
+    assert ann.matrix(table.slice(3, 9)["v"], 2).tolist() == [[7, 8]]

@@ -8,7 +8,8 @@ query within ``radius // parts`` bits in some substring, so probing all substrin
 near retrieves every code within the radius, which is then checked on whole codes. Those rows are
 reranked by the cosine of their original vectors in double precision. A block that finds fewer than ``k`` rows
 widens its radius, so each query gets ``k`` rows if there are as many. Queries go to every
-block, in blocks of their own.
+block, in blocks of their own. Blocks are as large as memory allows, because rows are copied for each block of
+queries and queries for each block of rows: what is shuffled falls with the blocks' size.
 
 Vectors that are null, zero, or hold null or non-finite components take no part, nor do those
 whose length is not the commonest (of equal ones, the smaller), nor a null id. Of rows with one id the
@@ -30,6 +31,8 @@ from pyspark.sql import types as T
 from tidemark.session import write_scratch
 
 PART_BITS = 16
+BLOCK_COMPONENTS = 1 << 24
+ASKED_AT_ONCE = 4096
 POP16 = np.array([bin(i).count("1") for i in range(1 << PART_BITS)], np.uint8)
 
 
@@ -126,15 +129,16 @@ def search(
     id_column: str = "vec_id",
     vector_column: str = "embedding",
     sample: int = 4096,
-    block_rows: int = 65_536,
-    block_queries: int = 16_384,
+    block_rows: int | None = None,
+    block_queries: int | None = None,
     least_blocks: int = 16,
 ) -> DataFrame:
     """query_id, rank, vec_id, score. ``is_query``: a condition on the column ``id``.
 
     The rotation is learned from the ``sample`` rows with the smallest hashes of their id.
     Each pair of a row block and a query block is one task; rows are copied for each query block,
-    and queries for each row block. Small tables have ``least_blocks`` row blocks.
+    and queries for each row block. A block of rows has ``BLOCK_COMPONENTS`` components of vectors unless given (262,144
+    rows of 64), one of queries half of that. Small tables have ``least_blocks`` row blocks.
     """
     if bits % PART_BITS:
         raise ValueError(f"bits must be a multiple of {PART_BITS}")
@@ -142,6 +146,8 @@ def search(
     result = "query_id long, rank int, vec_id long, score double"
     if not d:
         return vectors.sparkSession.createDataFrame([], result)
+    block_rows = block_rows or max(1, BLOCK_COMPONENTS // d)
+    block_queries = block_queries or max(1, BLOCK_COMPONENTS // 2 // d)
     rows = write_scratch(rows, "ann-rows")
     total, asked = rows.agg(F.count("*"), F.count(F.when(is_query, 1))).first()
     least = rows.select("id", "vector", F.xxhash64("id").alias("h")).orderBy("h", "id").limit(sample)
@@ -166,23 +172,25 @@ def search(
         own = matrix(base["vector"], d)
         norms = np.sqrt((own * own).sum(axis=1))
         index = Index(rotation.codes(own, bits))
-        wanted = matrix(asked["vector"], d)
-        wanted_norms = np.sqrt((wanted * wanted).sum(axis=1))
-        for query, vector, norm, code in zip(
-            asked["id"].to_pylist(), wanted, wanted_norms, rotation.codes(wanted, bits), strict=True
-        ):
-            reach = radius
-            while True:
-                near = index.within(code, reach)
-                near = near[ids[near] != query]
-                if len(near) >= k or reach >= bits:
-                    break
-                reach = min(bits, reach + max(1, bits // 16))
-            cosine = (own[near] * vector).sum(axis=1) / (norms[near] * norm)
-            best = np.lexsort((ids[near], -cosine))[:k]
-            found["query_id"] += [query] * len(best)
-            found["vec_id"] += ids[near[best]].tolist()
-            found["score"] += cosine[best].tolist()
+        for begin in range(0, asked.num_rows, ASKED_AT_ONCE):
+            some = asked.slice(begin, ASKED_AT_ONCE)
+            wanted = matrix(some["vector"], d)
+            wanted_norms = np.sqrt((wanted * wanted).sum(axis=1))
+            for query, vector, norm, code in zip(
+                some["id"].to_pylist(), wanted, wanted_norms, rotation.codes(wanted, bits), strict=True
+            ):
+                reach = radius
+                while True:
+                    near = index.within(code, reach)
+                    near = near[ids[near] != query]
+                    if len(near) >= k or reach >= bits:
+                        break
+                    reach = min(bits, reach + max(1, bits // 16))
+                cosine = (own[near] * vector).sum(axis=1) / (norms[near] * norm)
+                best = np.lexsort((ids[near], -cosine))[:k]
+                found["query_id"] += [query] * len(best)
+                found["vec_id"] += ids[near[best]].tolist()
+                found["score"] += cosine[best].tolist()
         return pa.table(found, schema=schema)
 
     near = (
