@@ -13,7 +13,7 @@ ever part of an escaped text, and every text can be read back.
 
 Null roles and texts inside a turn count as empty. A null or empty array gives no turns and an
 empty output. A record with an unknown fingerprint has layout ``unknown`` and no turns. Turns stay in
-the order given. Records with one id stay apart. Other columns are ignored, as long as the record is
+the order given, and texts are whole, however long. Records with one id stay apart. Other columns are ignored, as long as the record is
 handed over as the columns ``fields`` only. No rows give no rows.
 """
 

@@ -9,7 +9,7 @@ each switch, labels its spans. A text's language is the one with most letters in
 
 Null texts and texts without letters are ``und`` with score 0, and so is every text if nothing
 was learned. Rows with null text or label are not learned from. A doc_id may repeat or be null;
-each row gives a row. No rows give no rows. Other columns are ignored. The driver and each task hold
+each row gives a row. Texts are read whole, however long. No rows give no rows. Other columns are ignored. The driver and each task hold
 ``buckets`` numbers per language.
 """
 

@@ -24,7 +24,8 @@ XXH64; at a billion distinct words the chance that any two meet is about 3 %. Of
 and the levels of their words, some 2,000 share a key with another.
 
 Null texts count as empty: one end. A null doc_id is neither held out nor learned from. Rows with one doc_id
-are separate documents. Without training texts every probability is 1. No rows give no rows. Other
+are separate documents. Texts are read whole, in runs of bounded size. Of weights that make the texts equally likely the
+first of ``WEIGHTS`` is taken. Without training texts every probability is 1. No rows give no rows. Other
 columns are ignored.
 """
 

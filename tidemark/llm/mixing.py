@@ -11,7 +11,8 @@ Targets: sources by code point, null last, weigh 1, 2, 3, and so on again. They
 all sources by weight, but none gets more than ``most`` times its own words; the excess is reshared.
 
 Null texts have no words. Documents without words are never taken. Rows with one doc_id are separate
-documents; equal rows are interchangeable. No rows give no rows. Columns other than doc_id, text and
+documents; equal rows are interchangeable, and those that share a part of a stream lie by doc_id and text hash. Very long
+texts are cut into blocks like others, so a document may lie in many. No rows give no rows. Columns other than doc_id, text and
 source are ignored by ``mix``; ``mixed_documents`` keeps those of ``documents``. The driver
 holds one row per source (name, size, target), nothing per document.
 """

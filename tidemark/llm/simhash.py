@@ -11,7 +11,9 @@ member, not all pairs; components come from alternating large and small stars ov
 
 Null texts count as empty; texts without words have fingerprint zero, linked like any other.
 Rows with one doc_id are separate documents and give a row each. A null doc_id takes no part in
-component_id, which is null if a component has no other. No rows give no rows. Other columns are
+component_id, which is null if a component has no other. Texts are read whole, however long. A bit that is set in
+exactly half of the shingles' hashes is 0, and of a component's documents the smallest doc_id names it (``first_of_each``
+keeps that one, of equal ones the text with the smallest hash). No rows give no rows. Other columns are
 ignored by ``components``; ``first_of_each`` keeps those of `documents`.
 """
 

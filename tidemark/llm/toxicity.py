@@ -7,7 +7,7 @@ several ways, once over all n-grams and once with those seen less than ``OFTEN``
 can weigh rare expressions apart; a logistic fit on further labelled texts turns them into a score.
 
 The fit uses a bounded sample of labelled rows: per class ``sample`` rows for the language models and
-``sample`` for the logistic fit, those with the smallest hashes of doc_id. So the models' size has a bound, too. Scoring
+``sample`` for the logistic fit, those with the smallest hashes of doc_id (with all that share the largest of these). So the models' size has a bound, too. Scoring
 covers all rows and whole texts, however long.
 
 Null texts count as empty; empty texts get the score of a ratio of zero. Labels other than 0 and 1, and null ones,
