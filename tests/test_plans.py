@@ -81,6 +81,16 @@ def test_null_keys_stay_out_of_every_join(load):
     assert all("IsNotNull(o_custkey)" in s for s in scans if s not in null_scans)
 
 
+def test_an_upsert_sorts_no_target_keys(load, conf):
+    """Sorted are the target's rows, and the source with its keys, for changes and for new rows."""
+    conf(spark__sql__autoBroadcastJoinThreshold="-1")
+    lines = load("lineitem").select(F.col("l_orderkey").alias("k"), F.col("l_linestatus").alias("status"))
+    batch = load("orders").select(F.col("o_orderkey").alias("k"), F.lit("U").alias("status"))
+    tree = plan(upsert(lines, batch, ["k"])).split("\n\n")[0]
+    assert (tree.count("SortMergeJoin"), len(re.findall(r"\bSort \(", tree))) == (3, 5)
+    assert not re.search(r"Anti|Semi", tree)
+
+
 def test_a_merge_reads_keys_first_and_then_pruned_partitions(spark, load, tmp_path, monkeypatch):
     root = str(tmp_path / "silver")
     orders = load("orders")

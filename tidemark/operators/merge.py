@@ -17,8 +17,8 @@ from tidemark.functions.scalars import (
     split_by_null_key,
 )
 
-# How often a key occurs in the source.
-N = "_n"
+# How often a key occurs in the source, and whether the target has it.
+N, HIT = "_n", "_hit"
 
 # Types that come back unchanged from their text form.
 EXACT_AS_TEXT = (
@@ -125,24 +125,21 @@ def upsert(
     """Matched target rows take all values of their source row; the rest is inserted.
 
     A key that occurs several times in the target is updated each time. Several source rows
-    for one matched key fail the query. ``hits`` are the target's keys found in the source with
-    their counts, see :func:`counted_hits`, if the caller has them already. A key column may be
-    given twice and in any case.
+    for one matched key fail the query. ``hits`` are the target's keys found in the source, see
+    :func:`counted_hits`, if the caller has them already. A key column may be given twice and in
+    any case.
 
     The right side of every join has one row per key, so a hot key is only ever on the
-    left, where Spark can split it.
+    left, where Spark can split it. Which keys match is found by an aggregation, so that the
+    target's keys are sorted by no task.
     """
     keys = resolve_keys(keys, target.columns)
     source = source.select(*[name(resolve(c, source.columns)).alias(c) for c in target.columns])
     old, old_unkeyed = split_by_null_key(target, keys)
     new, new_unkeyed = split_by_null_key(source, keys)
-    if hits is None:
-        hits = counted_hits(target.select(*names(keys)), key_counts(source, keys), keys)
-    known = hits.groupBy(*names(keys)).agg(F.max(name(N)).alias(N))
-    clash = F.raise_error(F.lit("several source rows match one target row")).cast("boolean")
-    single = known.filter(F.when(name(N) == 1, F.lit(True)).otherwise(clash))
+    located = new.join(_key_matches(target if hits is None else hits, new, keys), list(keys))
     values = [name(c) for c in target.columns if c not in keys]
-    change = new.join(single, list(keys)).select(
+    change = located.filter(name(HIT)).select(
         *names(keys), F.struct(F.lit(True).alias("_"), *values).alias("_new")
     )
     updated = old.join(change, list(keys), "left").select(
@@ -155,12 +152,26 @@ def upsert(
             for c in target.columns
         ]
     )
-    inserted = new.join(known.select(*names(keys)), list(keys), "left_anti")
+    inserted = located.filter(~name(HIT)).select(*names(target.columns))
     return (
         updated.unionByName(inserted).unionByName(old_unkeyed).unionByName(new_unkeyed)
     )
 
 
+def _key_matches(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The source's complete keys, each once, and whether the target has them as ``_hit``.
+
+    A key that the target has and that comes more than once in the source fails the query.
+    Repeats are added up by each task before the shuffle.
+    """
+    there = target.filter(all_set(keys)).select(*names(keys), F.lit(0).alias(N), F.lit(True).alias(HIT))
+    given = source.filter(all_set(keys)).select(*names(keys), F.lit(1).alias(N), F.lit(False).alias(HIT))
+    found = there.unionByName(given).groupBy(*names(keys)).agg(F.sum(N).alias(N), F.max(HIT).alias(HIT))
+    clash = F.raise_error(F.lit("several source rows match one target row")).cast("boolean")
+    wanted = F.when(name(N) == 0, F.lit(False)).when(~name(HIT) | (name(N) == 1), F.lit(True)).otherwise(clash)
+    return found.filter(wanted).select(*names(keys), HIT)
+
+
 def _distinct_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Complete keys, each once. Repeats are dropped by each task before the shuffle."""
     return df.filter(all_set(keys)).select(*names(keys)).distinct()
