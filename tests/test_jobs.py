@@ -366,6 +366,22 @@ def test_jobs_leave_no_scratch_files(spark, lake):
     assert set(os.listdir(root)) == before
 
 
+def test_a_first_load_is_not_written_aside(spark, lake, monkeypatch):
+    """Only a merge looks at its batch more than once."""
+    written = []
+    real = curate_module.write_scratch
+    monkeypatch.setattr(curate_module, "write_scratch", lambda df, name: written.append(name) or real(df, name))
+    lake.create(("squares", "INCREMENTAL", None, None, "k", "00"))
+    twice = spark.range(8).selectExpr("id % 4 k", "id")
+    run(lake, "squares", twice, DAY_1, dedupe_order=[F.desc("id")])
+    assert rows(read_silver(spark, lake.cfg, "squares"), "k", "id") == [(k, k + 4) for k in range(4)]
+    assert written == []
+    lake.set("squares", process_number="00")
+    run(lake, "squares", twice.filter("k > 1"), DAY_2, dedupe_order=["id"])
+    assert rows(read_silver(spark, lake.cfg, "squares"), "k", "id") == [(0, 4), (1, 5), (2, 2), (3, 3)]
+    assert written == ["deduped"]
+
+
 # ---- runs that stop, and what a run costs --------------------------------------------
 
 

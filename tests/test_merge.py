@@ -20,6 +20,7 @@ from tidemark.operators.merge import (
     upsert,
 )
 from tidemark.operators.rows import dedupe_latest, enrich
+from tidemark.sinks import silver
 from tidemark.sinks.silver import (
     append_silver,
     apply,
@@ -239,6 +240,25 @@ def test_a_merge_stopped_between_its_writes_can_be_repeated(spark, tmp_path, mon
     assert rows(read_table(spark, root, schema), "id", "day") == expected
 
 
+@pytest.mark.parametrize(
+    "old, key, joins",
+    [([1, 2, None], "bigint", 0), ([1, 2, 2], "bigint", 1), ([1, 2, None], "double", 1), ([5, 6], "bigint", 0)],
+)
+def test_a_batch_is_only_joined_where_a_key_matches_twice(spark, tmp_path, monkeypatch, old, key, joins):
+    calls = []
+    monkeypatch.setattr(silver, "FEW", -1)
+    monkeypatch.setattr(silver, "upsert", lambda *args: calls.append(1) or upsert(*args))
+    frame = lambda keys, v: spark.createDataFrame([(k, v) for k in keys], "k long, v int").select(
+        F.col("k").cast(key), "v"
+    )
+    new = [2, 3, 3, None]
+    schema = create_silver(enrich(frame(old, 0), DAY_1), str(tmp_path))
+    merge_silver(enrich(frame(new, 1), DAY_2), str(tmp_path), schema, ["k"])
+    result = merge_model([(k, 0, "01") for k in old], [(k, 1, "02") for k in new], 1)
+    assert rows(read_table(spark, str(tmp_path), schema), "k", "v", "day") == as_sorted(result)
+    assert len(calls) == joins
+
+
 def test_a_table_can_be_replaced(spark, tmp_path):
     root = str(tmp_path)
     schema = create_silver(enrich(spark.range(3), DAY_1), root)

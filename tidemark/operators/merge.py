@@ -158,6 +158,27 @@ def upsert(
     )
 
 
+def replace_rows(target: DataFrame, hits: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """:func:`upsert` for a target with each of the keys ``hits`` once: those rows go, all source rows come.
+
+    So the source is neither joined nor shuffled. Both have the same columns and types. For many hits: they are
+    not broadcast, as Spark might by the small size of a file that has them sorted.
+    """
+    old, unkeyed = split_by_null_key(target, keys)
+    kept = old.join(hits.select(*names(keys)).hint("merge"), list(keys), "left_anti")
+    return kept.unionByName(unkeyed).unionByName(source)
+
+
+def once_each(hits: DataFrame, keys: Sequence[str]) -> bool:
+    """Whether no key comes twice, and keys that are equal are also the same, bit by bit."""
+    same = all(
+        isinstance(hits.schema[k].dataType, EXACT_AS_TEXT)
+        and not (isinstance(hits.schema[k].dataType, T.StringType) and hits.schema[k].dataType != T.StringType())
+        for k in keys
+    )
+    return same and (key_counts(hits, keys).agg(F.max(name(N))).first()[0] or 0) < 2
+
+
 def _key_matches(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFrame:
     """The source's complete keys, each once, and whether the target has them as ``_hit``.
 

@@ -95,9 +95,11 @@ def curate(
     keys = resolve_keys(keys, batch.columns)
     scratch: list[DataFrame] = []
     if keys and dedupe_order:
-        # Written once, because a merge looks at its batch several times.
-        batch = write_scratch(dedupe_latest(batch, keys, dedupe_order), "deduped")
-        scratch.append(batch)
+        batch = dedupe_latest(batch, keys, dedupe_order)
+        if control["silver"] is not None or cfg.silver_catalog:
+            # Written once, because a merge looks at its batch several times. A first load takes it as it comes.
+            batch = write_scratch(batch, "deduped")
+            scratch.append(batch)
     try:
         if cfg.silver_catalog:
             _fold_into_catalog(spark, cfg, table, batch, keys, full, full_mode == "replace")

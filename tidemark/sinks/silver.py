@@ -17,12 +17,25 @@ from pyspark.sql import types as T
 
 from tidemark.functions.scalars import all_nullable, all_set, name, names, resolve_keys
 from tidemark.functions.stamps import DAY_COLUMNS
-from tidemark.operators.merge import N, MergeConflict, conform, key_counts, range_ends, range_filter, upsert
+from tidemark.operators.merge import (
+    N,
+    MergeConflict,
+    conform,
+    key_counts,
+    once_each,
+    range_ends,
+    range_filter,
+    replace_rows,
+    upsert,
+)
 from tidemark.session import delete, exists, remove, remove_scratch, scratch_path, write_scratch
 from tidemark.sources.files import folder_marks, folder_of
 
 PARTITION, FOLDER = "_partition", "_folder"
 
+# Up to so many matched rows, a merge joins its batch; to find out if it needs to would take longer.
+FEW = 1_000_000
+
 
 @dataclass(frozen=True)
 class Staged:
@@ -115,7 +128,8 @@ def stage_merge(
     One pass over the table reads key columns alone, in the range of the batch's keys. Its hits, a fraction of the
     batch's size, are written to the shared scratch folder; they tell which partitions have a matched row,
     whether a key matches twice, and which batch rows are new. Those partitions and the ones that the batch's rows go
-    to are read in full, the others are not opened. Updated rows move to the partition of their new values.
+    to are read in full, the others are not opened. Updated rows move to the partition of their new values. Where many
+    keys match and none twice, the batch's rows take the place of the matched ones without a join.
     Keys are found in the table's spelling. The driver holds a row per partition touched.
     """
     spark = batch.sparkSession
@@ -127,10 +141,14 @@ def stage_merge(
         all_set(keys) & range_filter(schema, keys, ends)
     )
     hits = write_scratch(near.join(key_counts(batch, keys), list(keys)), "merge-hits")
-    folders = _matched(hits, keys)
+    folders, matched = _matched(hits, keys)
     touched = partition_text(partition_by).isin(list({*own, *folders}))
     old = table.select(*names(schema.names)).filter(touched)
-    rows = upsert(old, batch, keys, hits.select(*names([*keys, N])))
+    found = hits.select(*names(keys))
+    if matched > FEW and once_each(found, keys):
+        rows = replace_rows(old, found, batch, keys)
+    else:
+        rows = upsert(old, batch, keys, found)
     # Cluster by partition to avoid a file per task and day; hot days are split by size.
     # (Without adaptive execution Spark ignores the hint: then there is a file per task and day.)
     # The writer sorts by partition anyway; keys next make row groups skippable by key.
@@ -142,17 +160,24 @@ def stage_merge(
     return Staged(path, tuple(f for f, inner in names_of.items() if not exists(spark, f"{path}/{inner}")))
 
 
-def _matched(hits: DataFrame, keys: Sequence[str]) -> dict[str, str]:
-    """Partitions with a matched row, and their folders. A key that matches and is twice in the batch is an error."""
+def _matched(hits: DataFrame, keys: Sequence[str]) -> tuple[dict[str, str], int]:
+    """Partitions with a matched row and their folders, and the number of such rows.
+
+    A key that matches and is twice in the batch is an error.
+    """
     found = hits.groupBy(PARTITION).agg(
-        F.max(FOLDER).alias(FOLDER), F.max(N).alias(N), F.max_by(F.struct(*names(keys)), name(N)).alias("key")
+        F.max(FOLDER).alias(FOLDER),
+        F.max(N).alias(N),
+        F.max_by(F.struct(*names(keys)), name(N)).alias("key"),
+        F.count(F.lit(1)).alias("rows"),
     )
-    folders = {}
+    folders, matched = {}, 0
     for row in found.collect():
         if row[N] > 1:
             raise MergeConflict(f"several source rows match one target row: {row['key']}")
         folders[row[PARTITION]] = row[FOLDER]
-    return folders
+        matched += row["rows"]
+    return folders, matched
 
 
 def apply(
