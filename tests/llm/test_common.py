@@ -1,0 +1,68 @@
+import pyarrow as pa
+
+from tidemark.llm import common, langid, mixing, packing
+
+
+def test_cuts_bound_the_bytes_and_keep_every_row():
+    texts = ["a" * 40, None, "", "é" * 30, "b" * 500, "c", None]
+    whole = pa.RecordBatch.from_pydict({"n": list(range(len(texts))), "t": texts})
+    parts = list(common.cuts(whole, "t", 100))
+    assert [r for p in parts for r in p.to_pylist()] == whole.to_pylist()
+    sizes = [sum(len((t or "").encode()) for t in p["t"].to_pylist()) for p in parts]
+    assert all(n <= 100 or sum(bool(t) for t in p["t"].to_pylist()) == 1 for n, p in zip(sizes, parts, strict=True))
+    assert len(parts) == 3 and not list(common.cuts(whole.slice(0, 0), "t", 100))
+
+
+def test_a_task_drops_what_another_operator_kept():
+    made = []
+
+    def use(batches):
+        made.append(common.per_worker(("words", 1), lambda: object()))
+        yield from batches
+
+    for keeps in ("words", "words", None, "words"):
+        list(common.given_back(use, keeps)([]))
+    assert made[0] is made[1] is not made[2]
+    # The third task's own thing stays for the fourth, until one of another kind begins.
+    assert made[3] is made[2]
+    list(common.given_back(lambda batches: iter(batches))([]))
+    assert not [name for name in common._kept() if isinstance(name, tuple)]
+
+
+def test_a_kept_text_goes_to_the_workers_once(documents, messy):
+    model = langid.learn(documents, documents["lang"])
+    kept = langid.identified(documents, model)
+    assert "_text" not in kept._jdf.queryExecution().optimizedPlan().toString()
+    beside = langid.predict(messy, model, ["doc_id"]).collect()
+    whole = langid.predict(messy, model, common.DOCUMENT_COLUMNS).collect()
+    assert sorted((str(r["doc_id"]), r["lang_pred"], r["score"]) for r in beside) == sorted(
+        (str(r["doc_id"]), r["lang_pred"], r["score"]) for r in whole
+    )
+    assert sorted(str(r[: len(common.DOCUMENT_COLUMNS)]) for r in whole) == sorted(
+        str(tuple(r)) for r in messy.select(*common.DOCUMENT_COLUMNS).collect()
+    )
+
+
+def test_slices_do_not_change_results(spark, documents, messy, monkeypatch):
+    docs = documents.unionByName(messy.select(*common.DOCUMENT_COLUMNS))
+
+    def results():
+        model = langid.learn(docs, docs["lang"])
+        found = langid.predict(docs, model, ["doc_id"]).collect()
+        return model.scores.tolist(), sorted(map(str, found))
+
+    small = []
+    for size in (langid.RUN_BYTES, 1_000):
+        monkeypatch.setattr(langid, "RUN_BYTES", size)
+        small.append(results())
+    assert small[0] == small[1]
+
+
+def test_the_source_table_starts_no_python_workers(documents):
+    table = mixing.Mix(documents).source_table()
+    assert "Python" not in table._jdf.queryExecution().toRdd().toDebugString()
+    assert table.schema.simpleString() == "struct<source_ix:int,source:string,source_size:bigint,target:double>"
+
+
+def test_packing_takes_small_slices():
+    assert packing.RUN_BYTES <= 2_000_000 and langid.RUN_BYTES <= 2_000_000

@@ -232,7 +232,7 @@ def aligned(docs: DataFrame, a_path: str, b_path: str) -> tuple[DataFrame, int]:
     keyed = distinct.select(text_key("text"), "copies", "text")
     path = scratch_path(docs.sparkSession, "alignment-links")
     # Long columns of small numbers, read twice.
-    keyed.mapInArrow(given_back(align), sql).write.option("compression", "zstd").parquet(path)
+    keyed.mapInArrow(given_back(align, "aligner"), sql).write.option("compression", "zstd").parquet(path)
     return docs.sparkSession.read.schema(sql).parquet(path), here.size_b
 
 
@@ -313,7 +313,7 @@ def measured(links: DataFrame, counts: DataFrame, held_pairs: int) -> DataFrame:
             give_back()
 
     sql = "text_key binary, " + ", ".join(f"{name} long" for name in (*names, *found)) + ", groups_sha256 string, open array<long>"
-    rows = write_scratch(links.drop("copies").mapInArrow(given_back(measure), sql), "alignment-measures")
+    rows = write_scratch(links.drop("copies").mapInArrow(given_back(measure, "aligner"), sql), "alignment-measures")
     rare = counts.filter(F.col("n") < least)
     asked = rows.select("text_key", F.explode("open").alias("code")).groupBy("text_key", "code").agg(F.count("*").alias("times"))
     more = asked.join(rare, "code").groupBy(F.col("text_key").alias("_key")).agg(

@@ -62,6 +62,13 @@ def slices(texts: pa.Array, budget: int) -> Iterator[tuple[int, int]]:
     return runs([range(n) for n in sizes.tolist()], budget)
 
 
+def cuts(got: pa.RecordBatch, column: str, budget: int) -> Iterator[pa.RecordBatch]:
+    """Slices of a batch, of at most ``budget`` bytes of a text column each (null: none); a longer text is alone."""
+    sizes = pc.fill_null(pc.binary_length(got[column]), 0).to_numpy(zero_copy_only=False)
+    for begin, end in runs([range(n) for n in sizes.tolist()], budget):
+        yield got.slice(begin, end - begin)
+
+
 def give_back() -> None:
     """Hands freed memory to the system; allocators otherwise keep what they once took."""
     pa.default_memory_pool().release_unused()
@@ -70,10 +77,16 @@ def give_back() -> None:
         trim(0)
 
 
-def given_back(work: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
-    """``work`` of a task, which gives freed memory back at its end: Python workers live on."""
+def given_back(work: Callable[[Iterator], Iterator], keeps: str | None = None) -> Callable[[Iterator], Iterator]:
+    """``work`` of a task, which gives freed memory back at its end: Python workers live on.
+
+    Of what :func:`per_worker` keeps, only things of the kind ``keeps`` outlive the task's beginning: what another
+    operator left in the worker would stay for good.
+    """
 
     def run(batches: Iterator) -> Iterator:
+        if forget(keeps):
+            give_back()
         try:
             yield from work(batches)
         finally:
@@ -82,14 +95,27 @@ def given_back(work: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Ite
     return run
 
 
-def per_worker(name: object, make: Callable):
-    """What ``make`` gives, made once per Python worker and kept between its tasks."""
-    kept = sys.modules.setdefault("_tidemark_worker", types.ModuleType("_tidemark_worker")).__dict__
+def _kept() -> dict:
+    return sys.modules.setdefault("_tidemark_worker", types.ModuleType("_tidemark_worker")).__dict__
+
+
+def per_worker(name: tuple, make: Callable):
+    """What ``make`` gives, made once per Python worker and kept between its tasks; the name begins with its kind."""
+    kept = _kept()
     if name not in kept:
         kept[name] = make()
     return kept[name]
 
 
+def forget(but: str | None) -> bool:
+    """Drops what :func:`per_worker` keeps, ``but`` one kind; whether there was any."""
+    kept = _kept()
+    gone = [name for name in kept if isinstance(name, tuple) and name[0] != but]
+    for name in gone:
+        del kept[name]
+    return bool(gone)
+
+
 def batch(schema: pa.Schema, **columns) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(
         [pa.array(columns[f.name], type=f.type) for f in schema], schema=schema

@@ -23,10 +23,11 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import DOCUMENT_COLUMNS, batch, given_back, runs, text_of
+from tidemark.llm.common import DOCUMENT_COLUMNS, batch, cuts, given_back, runs, text_of
 
 UNKNOWN = "und"
 RUN_CHARS = 1_000_000
+RUN_BYTES = 2_000_000  # of a batch, become Python strings at once
 
 # First code points of Unicode ranges, with the script that begins there.
 SCRIPT_RANGES = [
@@ -101,11 +102,14 @@ class Letters:
         else:
             letter, lower = self.letter[points], self.lower[points]
         lower = np.where(letter, lower, 0).astype(np.uint64)
-        mixed = lower * np.uint64(0x9E3779B97F4A7C15)
-        mixed[1:] ^= lower[:-1] * np.uint64(0xC2B2AE3D27D4EB4F)
-        mixed[:-1] ^= lower[1:] * np.uint64(0x165667B19E3779F9)
+        mixed, part = lower * np.uint64(0x9E3779B97F4A7C15), lower * np.uint64(0xC2B2AE3D27D4EB4F)
+        mixed[1:] ^= part[:-1]
+        np.multiply(lower, np.uint64(0x165667B19E3779F9), out=part)
+        mixed[:-1] ^= part[1:]
+        del lower, part
         at = np.flatnonzero(letter)
         hashed = mixed[at]
+        del mixed, letter
         hashed ^= hashed >> np.uint64(31)
         hashed *= np.uint64(0xD6E8FEB86659FD93)
         trigram = (hashed >> np.uint64(40)).astype(np.int64) & (self.buckets - 1)
@@ -168,7 +172,7 @@ def learn(docs: DataFrame, label: Column, *, buckets: int = 1 << 16, penalty: fl
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         letters, seen = Letters(buckets), {}
-        for got in batches:
+        for got in (some for whole in batches for some in cuts(whole, "text", RUN_BYTES)):
             by_label: dict[str, list[str]] = {}
             for name, text in zip(got["label"].to_pylist(), got["text"].to_pylist(), strict=True):
                 by_label.setdefault(name, []).append(text)
@@ -222,19 +226,21 @@ PREDICTED = "lang_pred string, score double"
 
 def predict(docs: DataFrame, model: Model, keep: list[str]) -> DataFrame:
     """The ``keep`` columns, then lang_pred and score."""
-    frame = docs.select(*keep, text_of(docs).alias("_text"))
+    # A kept text isn't sent to the workers twice.
+    read = "text" if "text" in keep else "_text"
+    frame = docs.select(*keep) if read in keep else docs.select(*keep, text_of(docs).alias(read))
     schema = frame.drop("_text").withColumns({"lang_pred": F.lit(""), "score": F.lit(0.0)}).schema
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         letters = Letters(model.buckets)
-        for got in batches:
-            texts = got["_text"].to_pylist()
+        for got in (some for whole in batches for some in cuts(whole, read, RUN_BYTES)):
+            texts = [t or "" for t in got[read].to_pylist()]
             names, scores = [], []
             for _, _, share, _, _ in _tables(texts, letters, model):
                 some, likely = _decide(share, model)
                 names += some
                 scores += likely
-            kept = got.drop_columns(["_text"])
+            kept = got if read in keep else got.drop_columns([read])
             yield pa.RecordBatch.from_arrays(
                 [*kept.columns, pa.array(names, pa.string()), pa.array(scores, pa.float64())],
                 names=[*kept.schema.names, "lang_pred", "score"],
@@ -249,7 +255,7 @@ def spans(docs: DataFrame, model: Model) -> DataFrame:
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         letters = Letters(model.buckets)
         schema = pa.schema([("doc_id", pa.int64()), ("start", pa.int64()), ("end", pa.int64()), ("lang", pa.string())])
-        for got in batches:
+        for got in (some for whole in batches for some in cuts(whole, "text", RUN_BYTES)):
             ids, texts = got["doc_id"].to_pylist(), got["text"].to_pylist()
             for begin, _, _, words, labels in _tables(texts, letters, model):
                 if not len(labels):

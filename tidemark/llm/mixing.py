@@ -30,13 +30,14 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import DOCUMENT_COLUMNS, WORD, batch, distinct_documents, given_back, root_buckets, text_of
+from tidemark.llm.common import DOCUMENT_COLUMNS, WORD, batch, cuts, distinct_documents, given_back, root_buckets, text_of
 from tidemark.session import write_scratch
 
 SLOTS = "shard long, slot long, source_ix int, epoch int, block long"
 
 TASK_SLOTS = 500_000
 BROADCAST_SOURCES = 100_000
+RUN_BYTES = 2_000_000
 
 
 @dataclass
@@ -124,8 +125,10 @@ class Mix:
         return sources
 
     def source_table(self) -> DataFrame:
-        rows = [(i, s.name, s.size, s.target) for i, s in enumerate(self.sources)]
-        return self.spark.createDataFrame(rows, "source_ix int, source string, source_size long, target double")
+        # An Arrow table: rows would start Python workers on the executors, beside those of the operators.
+        rows = [{"source_ix": i, "source": s.name, "source_size": s.size, "target": s.target} for i, s in enumerate(self.sources)]
+        kinds = [("source_ix", pa.int32()), ("source", pa.string()), ("source_size", pa.int64()), ("target", pa.float64())]
+        return self.spark.createDataFrame(pa.Table.from_pylist(rows, pa.schema(kinds)))
 
     def with_sources(self, rows: DataFrame, *keys: str) -> DataFrame:
         """``rows`` joined with columns of the source table: broadcast if it is small, else shuffled."""
@@ -282,7 +285,7 @@ def mixed_documents(docs: DataFrame, **options) -> DataFrame:
     word = re.compile(WORD)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for got in batches:
+        for got in (some for whole in batches for some in cuts(whole, "text", RUN_BYTES)):
             out: dict[str, list] = {c: [] for c in DOCUMENT_COLUMNS}
             for row in got.to_pylist():
                 copies: dict[tuple, list] = {}

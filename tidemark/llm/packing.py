@@ -45,7 +45,7 @@ _CUT_ARROW = pa.schema(
 )
 LONG_WORD = 64
 KNOWN_WORDS = 500_000
-RUN_BYTES = 8_000_000
+RUN_BYTES = 2_000_000
 # Signs that a split into runs of letters, single digits and runs of other signs parts from a letter.
 TAIL = ".,;:!?|%$#*&"
 
@@ -179,7 +179,7 @@ def tokenise(docs: DataFrame, tokenizer_json: str, length: int, end_id: int, gro
     deal = F.pmod(F.xxhash64(docs["doc_id"], text), F.lit(groups))
     return docs.select(
         docs["doc_id"].cast("long").alias("doc_id"), text.alias("text"), deal.alias("group")
-    ).mapInArrow(given_back(cut), _CUT)
+    ).mapInArrow(given_back(cut, "tokens"), _CUT)
 
 
 def capacities(ids: int, length: int) -> list[int]:

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import DOCUMENT_COLUMNS, WORD, batch, given_back, runs, text_of
+from tidemark.llm.common import DOCUMENT_COLUMNS, WORD, batch, cuts, given_back, runs, text_of
 
 KINDS = ["email", "ip", "card", "phone"]
 OTHER = 0  # the label; kinds follow in their order
@@ -475,7 +475,7 @@ def redact(docs: DataFrame, labelled: DataFrame | None = None) -> DataFrame:
 
     def replace(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cache: dict = {}
-        for got in batches:
+        for got in (some for whole in batches for some in cuts(whole, "text", RUN_CHARS)):
             texts = got["text"].to_pylist()
             sizes = got["n_chars"].to_pylist()
             given = [t or "" for t in texts]

@@ -229,7 +229,7 @@ def sorted_out(rows: DataFrame) -> DataFrame:
             if len(d):
                 yield batch(_FOUND, doc=d, pos=p, key=pa.array(k, mask=null))
 
-    return dealt.mapInArrow(given_back(walk), _FOUND_SQL)
+    return dealt.mapInArrow(given_back(walk, "powers"), _FOUND_SQL)
 
 
 def _one(row: tuple) -> tuple:
@@ -366,7 +366,7 @@ def packed(docs: DataFrame) -> DataFrame:
                 raw=[codec.compress(t, asbytes=True) if t else b"" for t in texts],
             )
 
-    return _keyed(docs).mapInArrow(given_back(pack), "doc_id long, doc long, hash long, n_bytes long, raw binary")
+    return _keyed(docs).mapInArrow(given_back(pack, "powers"), "doc_id long, doc long, hash long, n_bytes long, raw binary")
 
 
 def _keyed(docs: DataFrame) -> DataFrame:
@@ -439,7 +439,7 @@ def anchor_rows(docs: DataFrame, shape: Shape, hot: int) -> DataFrame:
         if kept:
             yield flush()
 
-    return _keyed(docs).select("doc", "hash", "text").mapInArrow(given_back(find), _ROWS_SQL)
+    return _keyed(docs).select("doc", "hash", "text").mapInArrow(given_back(find, "powers"), _ROWS_SQL)
 
 
 def contexts(docs: DataFrame, asked: DataFrame, shape: Shape, group: int) -> DataFrame:
@@ -488,7 +488,7 @@ def contexts(docs: DataFrame, asked: DataFrame, shape: Shape, group: int) -> Dat
 
     joined = texts.join(lists, (F.col("doc") == F.col("_doc")) & (F.col("hash") == F.col("_hash")))
     return joined.select("doc", "hash", "n_bytes", "raw", "wanted").mapInArrow(
-        given_back(read), "doc long, pos long, key long, print long, at long, bytes binary"
+        given_back(read, "powers"), "doc long, pos long, key long, print long, at long, bytes binary"
     )
 
 
@@ -580,7 +580,7 @@ def repeated_in_groups(found: DataFrame, shape: Shape) -> DataFrame:
             yield scan(held)
 
     dealt = found.select("key", "doc", "pos", "at", "bytes").repartition("key").sortWithinPartitions("key")
-    return dealt.mapInArrow(given_back(walk), _SPANS_SQL)
+    return dealt.mapInArrow(given_back(walk, "powers"), _SPANS_SQL)
 
 
 def removed(docs: DataFrame, *, length: int = 100, anchor: int = 32, group: int = 200_000, hot: int = HOT) -> DataFrame:
@@ -601,7 +601,7 @@ def removed(docs: DataFrame, *, length: int = 100, anchor: int = 32, group: int
             key, prints, doc, pos = (got[n].to_numpy() for n in ("key", "print", "doc", "pos"))
             yield collapsed(key.view(np.uint64), prints.view(np.uint64), doc, pos, len(key) + 1)
 
-    strings = read.filter("bytes is null").select("key", "print", "doc", "pos").mapInArrow(given_back(collapse), _ROWS_SQL)
+    strings = read.filter("bytes is null").select("key", "print", "doc", "pos").mapInArrow(given_back(collapse, "powers"), _ROWS_SQL)
     cut = sorted_out(strings).filter("key is null").select("doc", "pos", F.lit(length).cast("long").alias("size"))
     spans = copies.unionByName(groups).unionByName(cut)
     begin = F.col("pos").bitwiseAND(F.lit((1 << OFFSET_BITS) - 1))
@@ -634,7 +634,7 @@ def removed(docs: DataFrame, *, length: int = 100, anchor: int = 32, group: int
 
     same = (F.col("doc") == F.col("_doc")) & (F.col("hash") == F.col("_hash"))
     joined = packed(docs).join(lists, same, "left").select("doc_id", "n_bytes", "raw", "spans")
-    return joined.mapInArrow(given_back(take_out), "doc_id long, n_bytes long, n_removed long, n_spans long, kept binary")
+    return joined.mapInArrow(given_back(take_out, "powers"), "doc_id long, n_bytes long, n_removed long, n_spans long, kept binary")
 
 
 def joined_spans(begin: np.ndarray, end: np.ndarray, size: int, length: int) -> list[tuple[int, int]]:

@@ -28,11 +28,12 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import DOCUMENT_COLUMNS, batch, distinct_documents, given_back, text_of
+from tidemark.llm.common import DOCUMENT_COLUMNS, batch, cuts, distinct_documents, given_back, text_of
 from tidemark.session import write_scratch
 
 BITS = 64
 CHUNK_ROWS = 1 << 16
+RUN_BYTES = 2_000_000
 FRONTIER = 1 << 20
 DIRECT = 64  # node pairs of at most so many fingerprint pairs are compared at once
 TASK_ROWS = 400_000
@@ -69,7 +70,7 @@ def fingerprints(docs: DataFrame, words: int = 3, seed: int = 42) -> DataFrame:
     schema = pa.schema([("doc_id", pa.int64()), ("text_hash", pa.int64()), ("fp", pa.int64())])
 
     def print_(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for got in batches:
+        for got in (some for whole in batches for some in cuts(whole, "text", RUN_BYTES)):
             prints = np.array([simhash(t, words, seed) for t in got["text"].to_pylist()], np.uint64)
             yield batch(schema, doc_id=got["doc_id"], text_hash=got["text_hash"], fp=prints.view(np.int64))
 
